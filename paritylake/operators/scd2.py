@@ -67,12 +67,12 @@ def scd2_violations(df: DataFrame, key: str, eff_from: str = "eff_from",
     if hash_col and hash_cols:
         rules.append((~F.col(hash_col).eqNullSafe(row_hash_md5(hash_cols)), "hash_mismatch"))
     arr = F.array(*[F.when(cond, F.lit(name)) for cond, name in rules])
-    row_v = (w.select(F.col(key), F.col(eff_from).cast("timestamp").alias("eff_from"),
+    row_v = (w.select(F.col(key), F.col(eff_from).alias("eff_from"),
                       F.explode(F.array_compact(arr)).alias("rule")))
     per_key = (df.groupBy(key)
                .agg(F.count_if(F.col(current)).alias("_n_cur"))
                .where(F.col("_n_cur") != 1)
-               .select(F.col(key), F.lit(None).cast("timestamp").alias("eff_from"),
+               .select(F.col(key), F.lit(None).cast(df.schema[eff_from].dataType).alias("eff_from"),
                        F.lit("current_count").alias("rule")))
     return row_v.unionByName(per_key)
 

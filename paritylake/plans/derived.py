@@ -84,8 +84,7 @@ def events_scd2(events: DataFrame, broken: bool = False) -> DataFrame:
     is_current for user_id%11=0 (the negative twin).
     """
     from paritylake.operators.scd2 import scd2_build
-    v = scd2_build(events.select("user_id", F.col("ts").cast("timestamp").alias("ts"),
-                                 "event_id", "event_type"),
+    v = scd2_build(events.select("user_id", "ts", "event_id", "event_type"),
                    key="user_id", ts="ts", tie="event_id", attrs=["event_type"])
     if not broken:
         return v

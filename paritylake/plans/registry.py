@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["keys_parity"]
+FAMILIES = ["keys_parity", "keys_checks"]
 
 QUERIES: dict = {}
 ORACLE: dict = {}
