@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from paritylake.session import materialize
+
 DEFAULT_HOT_ROWS = 2_000_000
 
 
@@ -37,8 +39,10 @@ def _ranged(df: DataFrame, key: str, order: list[str], prev_cols: dict, next_col
             n_parts: int) -> DataFrame:
     """Hot keys: range partitions on (key, order), window per (key, partition),
     edge rows completed from a small boundary table."""
-    r = (df.repartitionByRange(n_parts, F.col(key), *[F.col(c) for c in order])
-         .withColumn("_rp", F.spark_partition_id()))
+    # materialised once: the window and the boundary table must see the same
+    # range partitions (a re-run range shuffle may sample different bounds)
+    r = materialize(df.repartitionByRange(n_parts, F.col(key), *[F.col(c) for c in order])
+                    .withColumn("_rp", F.spark_partition_id()))
     w = Window.partitionBy(key, "_rp").orderBy(*[F.col(c).asc_nulls_first() for c in order])
     inner = _plain(r, key, order, prev_cols, next_cols, extra_part=["_rp"])
     inner = (inner.withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
@@ -84,8 +88,12 @@ def neighbours(df: DataFrame, key: str, order: list[str], prev_cols: dict | None
         return _plain(df, key, order, prev_cols, next_cols)
     spark = df.sparkSession
     n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > hot_rows).select(key))
+    # hot keys: at most rows/hot_rows of them, so collecting the list is bounded
+    hot_rows_list = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+                     .where(F.col("_n") > hot_rows).select(key).collect())
+    if not hot_rows_list:
+        return _plain(df, key, order, prev_cols, next_cols)
+    hot = spark.createDataFrame(hot_rows_list, df.select(key).schema)
     cold_part = _plain(df.join(F.broadcast(hot), key, "left_anti"), key, order,
                        prev_cols, next_cols)
     hot_part = _ranged(df.join(F.broadcast(hot), key, "left_semi"), key, order,
@@ -100,9 +108,10 @@ def global_rank(df: DataFrame, order: list[Column], n_parts: int | None = None)
     n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     r = df.repartitionByRange(n_parts, *order).withColumn("_rp", F.spark_partition_id())
     w = Window.partitionBy("_rp").orderBy(*order)
-    local = (r.withColumn("_lrn", F.row_number().over(w))
-             .withColumn("_lrank", F.rank().over(w)))
-    counts = r.groupBy("_rp").agg(F.count(F.lit(1)).alias("_cnt"))
+    # materialised once so the offsets are computed on the same range partitions
+    local = materialize(r.withColumn("_lrn", F.row_number().over(w))
+                        .withColumn("_lrank", F.rank().over(w)))
+    counts = local.groupBy("_rp").agg(F.count(F.lit(1)).alias("_cnt"))
     wo = Window.orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)
     wall = Window.orderBy("_rp").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # one row per range partition — tiny, safe to broadcast

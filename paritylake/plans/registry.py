@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["keys_parity", "keys_checks"]
+FAMILIES = ["keys_parity", "keys_checks", "keys_marts"]
 
 QUERIES: dict = {}
 ORACLE: dict = {}

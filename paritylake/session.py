@@ -62,3 +62,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage: reliable checkpoint into the shared checkpoint folder.
+
+    Used where two branches must see the *same* physical partitioning (range
+    partition ids), and to keep recomputation after an executor loss bounded.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
