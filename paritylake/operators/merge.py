@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from paritylake.functions.canon import digest
+from paritylake.operators.parity import fingerprint_pair
 
 
 def delta_latest(delta: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -92,12 +92,12 @@ def merge_idempotency(target: DataFrame, delta: DataFrame, keys: list[str],
     once = fn(target, delta)
     twice = fn(once, delta)
     cols = once.columns
-    a = digest(once, cols).select(*[F.col(c).alias(f"a_{c}") for c in ("n", "s1", "s2", "x")])
-    b = digest(twice, cols).select(*[F.col(c).alias(f"b_{c}") for c in ("n", "s1", "s2", "x")])
+    pair = fingerprint_pair(once, twice, cols)
+    pair = pair.toDF(*[c.replace("src_", "a_").replace("tgt_", "b_") for c in pair.columns])
     dk = delete_keys_present(twice, delta, keys, op, delete)
     same = ((F.col("a_n") == F.col("b_n")) & (F.col("a_s1") == F.col("b_s1"))
             & (F.col("a_s2") == F.col("b_s2")) & (F.col("a_x") == F.col("b_x")))
-    fp = a.crossJoin(b).select(
+    fp = pair.select(
         F.lit("merge_idempotency").alias("pattern"), F.lit("fingerprint_once_vs_twice").alias("target"),
         F.when(same, "PASS").otherwise("FAIL").alias("status"),
         F.col("a_n").cast("string").alias("expected"), F.col("b_n").cast("string").alias("actual"),

@@ -20,11 +20,13 @@ from paritylake.functions.canon import (bucket_of, digest_aggs, with_row_hash)
 # ---------------------------------------------------------------- V1
 def rowcount_counts(src: DataFrame, tgt: DataFrame, src_filter: str | None = None,
                     tgt_filter: str | None = None) -> DataFrame:
-    """One row (src_n, tgt_n): two partial count aggregates joined on a constant."""
+    """One row (src_n, tgt_n): both sides tagged and counted in ONE aggregate
+    (no columns are read beyond the filters)."""
     s = src.where(src_filter) if src_filter else src
     t = tgt.where(tgt_filter) if tgt_filter else tgt
-    return (s.agg(F.count(F.lit(1)).cast("bigint").alias("src_n"))
-            .crossJoin(t.agg(F.count(F.lit(1)).cast("bigint").alias("tgt_n"))))
+    u = s.select(F.lit(1).alias("_side")).unionByName(t.select(F.lit(2).alias("_side")))
+    return u.agg(F.count_if(F.col("_side") == 1).cast("bigint").alias("src_n"),
+                 F.count_if(F.col("_side") == 2).cast("bigint").alias("tgt_n"))
 
 
 def rowcount_parity(pairs: list[tuple]) -> DataFrame:
@@ -108,10 +110,19 @@ def aggregate_parity(src: DataFrame, tgt: DataFrame, specs: list[tuple],
 
 # ---------------------------------------------------------------- V3
 def fingerprint_pair(src: DataFrame, tgt: DataFrame, cols: list[str]) -> DataFrame:
-    """One row with both sides' (n, s1, s2, x) digests over ``cols``."""
-    a = with_row_hash(src, cols).agg(*digest_aggs("src_"))
-    b = with_row_hash(tgt, cols).agg(*digest_aggs("tgt_"))
-    return a.crossJoin(b)
+    """One row with both sides' (n, s1, s2, x) digests over ``cols``: the two
+    hashed scans are tagged, unioned and folded by one partial aggregate."""
+    u = (with_row_hash(src, cols).withColumn("_side", F.lit(1))
+         .unionByName(with_row_hash(tgt, cols).withColumn("_side", F.lit(2))))
+    aggs = []
+    for side, p in ((1, "src_"), (2, "tgt_")):
+        on = F.col("_side") == side
+        z = F.lit(0).cast("decimal(38,0)")
+        aggs += [F.count_if(on).cast("bigint").alias(f"{p}n"),
+                 F.coalesce(F.sum(F.when(on, F.col("h1").cast("decimal(38,0)"))), z).alias(f"{p}s1"),
+                 F.coalesce(F.sum(F.when(on, F.col("h2").cast("decimal(38,0)"))), z).alias(f"{p}s2"),
+                 F.coalesce(F.bit_xor(F.when(on, F.col("h1"))), F.lit(0).cast("bigint")).alias(f"{p}x")]
+    return u.agg(*aggs)
 
 
 def fingerprint_parity(src: DataFrame, tgt: DataFrame, cols: list[str],
@@ -211,9 +222,11 @@ def query_parity(a: DataFrame, b: DataFrame, mode: str = "rowset", tol=0,
             "pattern", F.lit("query_parity"))
     if mode == "scalar":
         t = parse_tolerance(tol)
-        va = a.select(F.col(a.columns[0]).cast("string").alias("va")).limit(1)
-        vb = b.select(F.col(b.columns[0]).cast("string").alias("vb")).limit(1)
-        j = va.crossJoin(vb)
+        va = a.select(F.col(a.columns[0]).cast("string").alias("_v")).limit(1)
+        vb = b.select(F.col(b.columns[0]).cast("string").alias("_v")).limit(1)
+        u = va.withColumn("_side", F.lit(1)).unionByName(vb.withColumn("_side", F.lit(2)))
+        j = u.agg(F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("va"),
+                  F.max(F.when(F.col("_side") == 2, F.col("_v"))).alias("vb"))
         da, db = F.col("va").try_cast("decimal(38,9)"), F.col("vb").try_cast("decimal(38,9)")
         ok = (F.col("va").eqNullSafe(F.col("vb"))
               | (da.isNotNull() & db.isNotNull() & (F.abs(da - db).cast("double") <= t.allowed(da))))
