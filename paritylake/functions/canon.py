@@ -6,7 +6,7 @@ Canonical text (one rule set, used on both sides of every comparison):
 * floats: ``round(x * 10^float_decimals)`` as an integer text, with
   NaN / Inf / -Inf spelled out;
 * decimals: fixed scale 9 text, so 1.5 and 1.50 agree across declared scales;
-* timestamps: ``yyyy-MM-dd HH:mm:ss`` in UTC, truncated to the second;
+* timestamps: whole epoch seconds in UTC (floor — truncated to the second);
 * binary: lower-case hex;
 * arrays ``[a,b]``, structs ``{name=v,...}`` with fields sorted by name,
   maps as their entries sorted by key.
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 NULL_TOKEN = "-"
 FLOAT_DECIMALS = 6
 DECIMAL_TEXT_TYPE = "decimal(38,9)"
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+LONG_SAFE = 9.0e18
 LANE_HEX_DIGITS = 15
 
 _INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -41,9 +41,11 @@ def canon_text(c: Column, dtype: T.DataType, float_decimals: int = FLOAT_DECIMAL
     if isinstance(dtype, _FLOATS):
         d = c.cast("double")
         scaled = F.round(d * F.lit(float(10 ** float_decimals)))
+        # a long cast is exact and much cheaper than decimal(38,0) in range
         return (F.when(F.isnan(d), F.lit("NaN"))
                 .when(d == F.lit(float("inf")), F.lit("Inf"))
                 .when(d == F.lit(float("-inf")), F.lit("-Inf"))
+                .when(F.abs(scaled) < F.lit(LONG_SAFE), scaled.cast("bigint").cast("string"))
                 .otherwise(scaled.cast("decimal(38,0)").cast("string")))
     if isinstance(dtype, T.DecimalType):
         return c.cast(DECIMAL_TEXT_TYPE).cast("string")
@@ -55,8 +57,10 @@ def canon_text(c: Column, dtype: T.DataType, float_decimals: int = FLOAT_DECIMAL
         return c.cast("string")
     if isinstance(dtype, T.DateType):
         return c.cast("string")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(c, TS_FORMAT)
+    if isinstance(dtype, T.TimestampType):
+        return F.floor(F.unix_micros(c) / F.lit(1_000_000)).cast("string")
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(1_000_000)).cast("string")
     if isinstance(dtype, T.BinaryType):
         return F.lower(F.hex(c))
     if isinstance(dtype, T.ArrayType):

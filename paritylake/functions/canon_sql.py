@@ -26,7 +26,7 @@ def text_sql(expr: str, typ: str, float_decimals: int = FLOAT_DECIMALS) -> str:
     if typ in ("bool", "date"):
         return f"CAST({expr} AS VARCHAR)"
     if typ == "timestamp":
-        return f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
+        return f"CAST(epoch_us({expr}) // 1000000 AS VARCHAR)"
     if typ.startswith("list<") and typ.endswith(">"):
         et = typ[5:-1]
         return (f"('[' || array_to_string(list_transform({expr}, lambda x: "
