@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["keys_parity", "keys_checks", "keys_marts", "keys_ops", "keys_files"]
+FAMILIES = ["keys_parity", "keys_checks", "keys_marts", "keys_ops", "keys_files", "keys_reporting"]
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -16,3 +16,8 @@ for _m in FAMILIES:
             raise ValueError(f"duplicate key {_k}")
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_mod.ORACLE)
+
+for _m in FAMILIES:
+    _mod = importlib.import_module(f"paritylake.plans.{_m}")
+    if hasattr(_mod, "late_oracle"):
+        ORACLE.update(_mod.late_oracle())
