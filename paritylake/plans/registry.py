@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["keys_parity", "keys_checks", "keys_marts", "keys_ops", "keys_files", "keys_reporting"]
+FAMILIES = ["keys_parity", "keys_checks", "keys_marts", "keys_ops", "keys_files", "keys_reporting", "keys_streaming"]
 
 QUERIES: dict = {}
 ORACLE: dict = {}
