@@ -60,7 +60,8 @@ def nested_signature(s: str) -> str:
             token += ch
     if token:
         out.append(_SPELLING.get(token, token))
-    return "".join(x.upper() if x in TYPE_FAMILIES else x for x in out)
+    containers = {"array", "struct", "map"}
+    return "".join(x.upper() if x in TYPE_FAMILIES or x in containers else x for x in out)
 
 
 def spark_logical(dt: T.DataType) -> tuple[str, int | None]:
@@ -128,24 +129,24 @@ def schema_conformance(spark: SparkSession, df: DataFrame, table_name: str,
             meta_rows.append(("schema_conformance", f"{tgt}:scale_declared", "FAIL", "scale", "none", False))
         data_specs.append((spec, f, escale if efam in ("NUMERIC", "FLOAT64") else None))
     meta = spark.createDataFrame(meta_rows, CHECKS_DDL)
+    if not data_specs:
+        return meta
+    # one profile scan; each column's data checks come out of one explode
     prof = column_profile(df.select(*[f.name for _, f, _ in data_specs]))
-    data_checks = []
-    for spec, f, escale in data_specs:
-        tgt = f"{table_name}.{spec.name}"
-        p = prof.where(F.col("col") == f.name)
-        if not spec.nullable:
-            data_checks.append(p.select(
-                F.lit("schema_conformance").alias("pattern"), F.lit(f"{tgt}:not_null_on_data").alias("target"),
-                F.when(F.col("nulls") == 0, "PASS").otherwise("FAIL").alias("status"),
-                F.lit("0").alias("expected"), F.col("nulls").cast("string").alias("actual"),
-                F.lit(False).alias("measurement")))
-        if escale is not None:
-            data_checks.append(p.select(
-                F.lit("schema_conformance").alias("pattern"), F.lit(f"{tgt}:scale_on_data").alias("target"),
-                F.when(F.coalesce(F.col("max_scale"), F.lit(0)) <= escale, "PASS").otherwise("FAIL").alias("status"),
-                F.lit(str(escale)).alias("expected"), F.col("max_scale").cast("string").alias("actual"),
-                F.lit(False).alias("measurement")))
-    out = meta
-    for d in data_checks:
-        out = out.unionByName(d)
-    return out
+    specs_df = spark.createDataFrame(
+        [(f.name, f"{table_name}.{spec.name}", not spec.nullable, escale) for spec, f, escale in data_specs],
+        "col string, tgt string, nn boolean, escale int")
+    j = prof.join(F.broadcast(specs_df), "col")
+    mk = lambda name, ok, exp, act: F.struct(
+        F.concat(F.col("tgt"), F.lit(f":{name}")).alias("target"),
+        F.when(ok, "PASS").otherwise("FAIL").alias("status"),
+        exp.cast("string").alias("expected"), act.cast("string").alias("actual"))
+    checks = F.array_compact(F.array(
+        F.when(F.col("nn"), mk("not_null_on_data", F.col("nulls") == 0, F.lit("0"), F.col("nulls"))),
+        F.when(F.col("escale").isNotNull(),
+               mk("scale_on_data", F.coalesce(F.col("max_scale"), F.lit(0)) <= F.col("escale"),
+                  F.col("escale"), F.col("max_scale")))))
+    data = j.select(F.explode(checks).alias("c")).select(
+        F.lit("schema_conformance").alias("pattern"), "c.target", "c.status", "c.expected", "c.actual",
+        F.lit(False).alias("measurement"))
+    return meta.unionByName(data)
