@@ -11,11 +11,18 @@ Canonical text (one rule set, used on both sides of every comparison):
 * arrays ``[a,b]``, structs ``{name=v,...}`` with fields sorted by name,
   maps as their entries sorted by key.
 
-Each value then becomes a length-prefixed token ``<len>:<text>`` and NULL the
-token ``-``, so no value can imitate NULL and no separator inside a value
-can shift column boundaries. A row digest is the md5 of the comma-joined
-tokens; two 60-bit lanes of it are summed (as decimal(38,0)) and xor-ed by
-the digest aggregates, which are order-independent and duplicate-sensitive.
+Each value then becomes a token and NULL the token ``-``. Text-like values
+(strings, arrays, structs, maps) are length-prefixed ``<len>:<text>``; the
+fixed-format texts of numbers, dates, timestamps, booleans and hex contain
+no comma and are never a lone ``-``, so they need no prefix. No value can
+imitate NULL and no separator inside a value can shift column boundaries.
+A row digest is the md5 of the comma-joined tokens; two 60-bit lanes of it
+are summed (as decimal(38,0)) and xor-ed by the digest aggregates, which are
+order-independent and duplicate-sensitive.
+
+Hashing is staged in three projections (canonical texts → md5 → lanes):
+Catalyst does not inline a non-cheap expression used twice, so each text and
+the md5 are computed once per row.
 """
 
 from __future__ import annotations
@@ -40,13 +47,17 @@ def canon_text(c: Column, dtype: T.DataType, float_decimals: int = FLOAT_DECIMAL
         return c.cast("string")
     if isinstance(dtype, _FLOATS):
         d = c.cast("double")
-        scaled = F.round(d * F.lit(float(10 ** float_decimals)))
-        # a long cast is exact and much cheaper than decimal(38,0) in range
+        y = d * F.lit(float(10 ** float_decimals))
+        # half away from zero on the binary value, in long arithmetic (Spark's
+        # round() on doubles goes through BigDecimal and is far slower)
+        t = y.cast("bigint")
+        frac = y - t.cast("double")
+        rounded = t + F.when(frac >= 0.5, F.lit(1)).when(frac <= -0.5, F.lit(-1)).otherwise(F.lit(0))
         return (F.when(F.isnan(d), F.lit("NaN"))
                 .when(d == F.lit(float("inf")), F.lit("Inf"))
                 .when(d == F.lit(float("-inf")), F.lit("-Inf"))
-                .when(F.abs(scaled) < F.lit(LONG_SAFE), scaled.cast("bigint").cast("string"))
-                .otherwise(scaled.cast("decimal(38,0)").cast("string")))
+                .when(F.abs(y) < F.lit(LONG_SAFE), rounded.cast("string"))
+                .otherwise(F.round(y).cast("decimal(38,0)").cast("string")))
     if isinstance(dtype, T.DecimalType):
         return c.cast(DECIMAL_TEXT_TYPE).cast("string")
     if isinstance(dtype, T.StringType):
@@ -83,11 +94,24 @@ def canon_text(c: Column, dtype: T.DataType, float_decimals: int = FLOAT_DECIMAL
     raise TypeError(f"no canonical form for {dtype.simpleString()}")
 
 
+_FIXED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+          T.DecimalType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
+
+
+def is_fixed_format(dtype: T.DataType) -> bool:
+    return isinstance(dtype, _FIXED)
+
+
+def token_of_text(t: Column, dtype: T.DataType) -> Column:
+    """Token from an already computed canonical text (NULL text = NULL value)."""
+    if is_fixed_format(dtype):
+        return F.coalesce(t, F.lit(NULL_TOKEN))
+    return F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(NULL_TOKEN))
+
+
 def token(c: Column, dtype: T.DataType, float_decimals: int = FLOAT_DECIMALS) -> Column:
-    """Length-prefixed canonical text; NULL becomes the NULL token."""
-    t = canon_text(c, dtype, float_decimals)
-    return F.when(c.isNull(), F.lit(NULL_TOKEN)).otherwise(
-        F.concat(F.length(t).cast("string"), F.lit(":"), t))
+    """Canonical token of one value; NULL becomes the NULL token."""
+    return token_of_text(canon_text(c, dtype, float_decimals), dtype)
 
 
 def canon_col(df: DataFrame, name: str, float_decimals: int = FLOAT_DECIMALS,
@@ -112,9 +136,15 @@ def lanes(md5_hex: Column) -> tuple[Column, Column]:
 def with_row_hash(df: DataFrame, cols: list[str], float_decimals: int = FLOAT_DECIMALS,
                   keep: list[str] | None = None) -> DataFrame:
     """Project ``keep`` columns plus the two hash lanes ``h1``, ``h2``."""
-    m = F.md5(row_text(df, cols, float_decimals))
-    h1, h2 = lanes(m)
-    return df.select(*[F.col(k) for k in (keep or [])], h1.alias("h1"), h2.alias("h2"))
+    keep = list(keep or [])
+    types = [df.schema[c].dataType for c in cols]
+    texts = df.select(*[F.col(k) for k in keep],
+                      *[canon_text(F.col(c), t, float_decimals).alias(f"_t{i}")
+                        for i, (c, t) in enumerate(zip(cols, types))])
+    hashed = texts.select(*[F.col(k) for k in keep], F.md5(F.concat_ws(",", *[
+        token_of_text(F.col(f"_t{i}"), t) for i, t in enumerate(types)])).alias("_m"))
+    h1, h2 = lanes(F.col("_m"))
+    return hashed.select(*[F.col(k) for k in keep], h1.alias("h1"), h2.alias("h2"))
 
 
 def digest_aggs(prefix: str = "") -> list[Column]:

@@ -34,8 +34,13 @@ def text_sql(expr: str, typ: str, float_decimals: int = FLOAT_DECIMALS) -> str:
     raise TypeError(typ)
 
 
+_FIXED = ("int", "bigint", "double", "float", "decimal", "bool", "date", "timestamp")
+
+
 def token_sql(expr: str, typ: str, float_decimals: int = FLOAT_DECIMALS) -> str:
     t = text_sql(expr, typ, float_decimals)
+    if typ in _FIXED:
+        return f"(CASE WHEN {expr} IS NULL THEN '{NULL_TOKEN}' ELSE {t} END)"
     return (f"(CASE WHEN {expr} IS NULL THEN '{NULL_TOKEN}' ELSE "
             f"CAST(length({t}) AS VARCHAR) || ':' || {t} END)")
 

@@ -9,11 +9,38 @@ from paritylake.session import ensure_session
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
+# inputs with fewer files than cores and more bytes than this are spread over
+# the cores after the scan (a file with one row group is read by one task)
+SPREAD_MIN_BYTES = 4 * 1024 * 1024
+
+
+def _total_bytes(spark: SparkSession, files: list[str]) -> int:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Few large files (few row groups) give few scan tasks; spread such an
+    input round-robin over the cores so per-row work (hashing, regex,
+    canonical text) runs in parallel. Tables made of many files — every large
+    table — keep the scan's own splits and get no extra shuffle."""
+    spark = df.sparkSession
+    par = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if 0 < len(files) < par and _total_bytes(spark, files) >= SPREAD_MIN_BYTES:
+        return df.repartition(par)
+    return df
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
     ensure_session(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
