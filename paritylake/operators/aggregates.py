@@ -3,13 +3,14 @@ totals and null profiles.
 
 Nearest-rank percentiles are exact but never gather a group's rows: values
 are first counted per (group, value) by a partial aggregate, then a running
-sum over the *distinct* values of each group finds the first value whose
-cumulative count reaches ceil(p·N).
+sum over the *distinct* values of each group (skew-aware, see
+``windows.running_sum``) finds the first value whose cumulative count
+reaches ceil(p·N).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 _EPS = 1e-9
 
@@ -18,12 +19,14 @@ def nearest_rank(df: DataFrame, group_cols: list[str], value: str, ps: list[floa
                  names: list[str] | None = None) -> DataFrame:
     """Per group: the nearest-rank percentile value for each p in ``ps``."""
     names = names or [f"p{int(round(p * 100))}" for p in ps]
+    from paritylake.operators.windows import running_sum
     c = df.where(F.col(value).isNotNull()).groupBy(*group_cols, value).agg(
         F.count(F.lit(1)).alias("_c"))
-    wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
-    cum = (c.withColumn("_cum", F.sum("_c").over(wg.orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)))
-           .withColumn("_n", F.sum("_c").over(wg)))
+    # one key column for the running sum; group sizes come from a partial aggregate
+    gk = F.to_json(F.struct(*[F.col(g) for g in group_cols])) if group_cols else F.lit("")
+    c = c.withColumn("_g", gk)
+    n = c.groupBy("_g").agg(F.sum("_c").alias("_n"))
+    cum = running_sum(c, "_g", [F.col(value)], F.col("_c"), "_cum").join(n, "_g")
     aggs = []
     for p, name in zip(ps, names):
         target = F.greatest(F.ceil(F.lit(p) * F.col("_n") - F.lit(_EPS)), F.lit(1))

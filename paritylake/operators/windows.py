@@ -137,3 +137,43 @@ def ntile_col(k: int) -> Column:
     big = r * (q + 1)
     return F.when(g <= big, F.floor((g - 1) / (q + 1)) + 1).otherwise(
         r + F.floor((g - big - 1) / F.greatest(q, F.lit(1))) + 1).cast("int")
+
+
+def _hot_split(df: DataFrame, key: str, hot_rows: int | None):
+    """(cold rows, hot rows or None): keys above ``hot_rows`` rows — at most
+    rows/hot_rows of them, so the collected list is bounded."""
+    if hot_rows is None:
+        return df, None
+    lst = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > hot_rows).select(key).collect())
+    if not lst:
+        return df, None
+    hot = df.sparkSession.createDataFrame(lst, df.select(key).schema)
+    return (df.join(F.broadcast(hot), key, "left_anti"), df.join(F.broadcast(hot), key, "left_semi"))
+
+
+def running_sum(df: DataFrame, key: str, order: list[Column], value: Column, out: str,
+                hot_rows: int | None = DEFAULT_HOT_ROWS, n_parts: int | None = None) -> DataFrame:
+    """Cumulative sum of ``value`` per key in ``order`` (ROWS UNBOUNDED
+    PRECEDING .. CURRENT ROW); with value 1 it is ROW_NUMBER. Hot keys are
+    range-partitioned on (key, order): each (key, range partition) is summed
+    locally and shifted by the totals of the key's earlier partitions (a table
+    of one row per (hot key, partition))."""
+    w = (Window.partitionBy(key).orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cold, hot = _hot_split(df, key, hot_rows)
+    cold_out = cold.withColumn(out, F.sum(value).over(w))
+    if hot is None:
+        return cold_out
+    n_parts = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = materialize(hot.repartitionByRange(n_parts, F.col(key), *order)
+                    .withColumn("_rp", F.spark_partition_id()).withColumn("_v", value))
+    wl = (Window.partitionBy(key, "_rp").orderBy(*order)
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = r.withColumn("_local", F.sum("_v").over(wl))
+    tot = r.groupBy(key, "_rp").agg(F.sum("_v").alias("_tot"))
+    wo = Window.partitionBy(key).orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select(key, "_rp", F.coalesce(F.sum("_tot").over(wo), F.lit(0)).alias("_off"))
+    hot_out = (local.join(offs, [key, "_rp"]).withColumn(out, F.col("_off") + F.col("_local"))
+               .drop("_rp", "_v", "_local", "_off"))
+    return cold_out.unionByName(hot_out.select(*cold_out.columns))

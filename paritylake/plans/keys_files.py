@@ -83,7 +83,7 @@ def q_s3(spark, sf):
     three leading lines are dropped by per-file position, the rest parsed."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     path = scratch_dir(spark, "orders_banner_csv")
-    FS.write_with_banner(o, path, 4, BANNER)
+    FS.write_with_banner(o, path, spark.sparkContext.defaultParallelism, BANNER)
     back = FS.skip_leading_rows(spark, path, len(BANNER) + 1, schema=o.schema)
     return back.agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
                     F.count_distinct("o_orderkey").cast("bigint").alias("keys"),
@@ -268,7 +268,7 @@ def q_v14(spark, sf):
                                           "actual string, measurement boolean")
     path = scratch_dir(spark, "bulk_banner")
     sub = o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    FS.write_with_banner(sub, path, 4, BANNER)
+    FS.write_with_banner(sub, path, spark.sparkContext.defaultParallelism, BANNER)
     back = FS.skip_leading_rows(spark, path, len(BANNER) + 1, schema=sub.schema)
     landed = back.select(F.lit(1).alias("_s")).unionByName(o.select(F.lit(2).alias("_s"))).agg(
         F.count_if(F.col("_s") == 1).alias("got"), F.count_if(F.col("_s") == 2).alias("want"))

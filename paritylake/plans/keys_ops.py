@@ -462,9 +462,10 @@ O_["mismatch_sample"] = _mismatch_sql()
 @key("version_sort", f"""WITH {EVENTS_SCD2}
 SELECT user_id, eff_from, CAST(row_number() OVER (PARTITION BY user_id ORDER BY eff_from) AS INTEGER) AS version_no FROM events_scd2""")
 def q_t3(spark, sf):
-    v = D.events_scd2(table(spark, sf, "events"))
-    w = Window.partitionBy("user_id").orderBy("eff_from")
-    return v.select("user_id", "eff_from", F.row_number().over(w).cast("int").alias("version_no"))
+    from paritylake.operators.windows import running_sum
+    v = D.events_scd2(table(spark, sf, "events")).select("user_id", "eff_from")
+    r = running_sum(v, "user_id", [F.col("eff_from")], F.lit(1), "version_no")
+    return r.select("user_id", "eff_from", F.col("version_no").cast("int").alias("version_no"))
 
 
 # =============================================================== 2.7 set operations

@@ -69,7 +69,7 @@ def skip_leading_rows(spark: SparkSession, path: str, n_skip: int, sep: str = CS
                      F.col("_metadata.file_block_start").alias("_blk"),
                      F.monotonically_increasing_id().alias("_id")))
     first = lines.where(F.col("_blk") == 0).groupBy("_f").agg(F.min("_id").alias("_min"))
-    pos = lines.join(F.broadcast(first), "_f", "left").withColumn(
+    pos = lines.join(first, "_f", "left").withColumn(
         "_pos", F.when(F.col("_blk") == 0, F.col("_id") - F.col("_min")))
     body = pos.where(F.col("_pos").isNull() | (F.col("_pos") >= n_skip)).select("value")
     return split_csv(body, schema, sep) if schema is not None else body

@@ -54,9 +54,10 @@ def incremental_ingest(spark: SparkSession, src: DataFrame, sink_path: str, chec
 
 
 # ---------------------------------------------------------------- stream helpers
-def land_files(df: DataFrame, path: str, part_col: str, n_files: int = 8) -> None:
-    """Land a table as many files (one folder per ``part_col`` value)."""
-    df.repartition(n_files, part_col).write.mode("overwrite").partitionBy(part_col).parquet(path)
+def land_files(df: DataFrame, path: str, part_col: str) -> None:
+    """Land a table as many files (one folder per ``part_col`` value, one file
+    per writing task and value — no single task writes a whole folder)."""
+    df.write.mode("overwrite").partitionBy(part_col).parquet(path)
 
 
 def _run_available_now(writer, checkpoint: str) -> None:

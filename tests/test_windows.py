@@ -51,3 +51,23 @@ def test_range_count_matches_brute_force(spark):
     for i, k, t in rows:
         want = sum(1 for _, k2, t2 in rows if k2 == k and t < t2 <= t + dt.timedelta(days=7))
         assert got[i] == want
+
+
+def test_running_sum_hot_path_equals_plain(spark):
+    from paritylake.operators.windows import running_sum
+    df = _events(spark)
+    plain = running_sum(df, "k", [F.col("ts"), F.col("id")], F.lit(1), "rn", hot_rows=None)
+    hot = running_sum(df, "k", [F.col("ts"), F.col("id")], F.lit(1), "rn", hot_rows=50, n_parts=5)
+    assert sorted(tuple(r) for r in plain.select("id", "rn").collect()) == \
+        sorted(tuple(r) for r in hot.select("id", "rn").collect())
+
+
+def test_nearest_rank_matches_definition(spark):
+    import math
+    from paritylake.operators.aggregates import nearest_rank
+    df = spark.createDataFrame([(g, float(v)) for g in ("a", "b") for v in range(1, 21 if g == "a" else 8)],
+                               "g string, v double")
+    got = {r["g"]: (r["p50"], r["p95"]) for r in nearest_rank(df, ["g"], "v", [0.5, 0.95]).collect()}
+    for g, n in (("a", 20), ("b", 7)):
+        vals = list(range(1, n + 1))
+        assert got[g] == (vals[math.ceil(0.5 * n) - 1], vals[math.ceil(0.95 * n) - 1])
