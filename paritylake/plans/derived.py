@@ -23,17 +23,18 @@ TERMINAL_TS = "9999-12-31 00:00:00"
 def orders_tgt(orders: DataFrame) -> DataFrame:
     """Target copy of ``orders``: drop k%97, +0.01 on k%101, duplicate k%103.
 
-    Precedence drop > duplicate > change; one scan, no shuffle (a union of
-    two filtered projections of the same scan).
+    Precedence drop > duplicate > change; one scan, no shuffle: each row is
+    emitted 0, 1 or 2 times by exploding a repeat count.
     """
     k = F.col("o_orderkey")
-    kept = orders.where(k % DROP_MOD != 0)
-    changed = kept.withColumn(
+    copies = (F.when(k % DROP_MOD == 0, F.lit(0)).when(k % DUP_MOD == 0, F.lit(2))
+              .otherwise(F.lit(1)))
+    changed = orders.withColumn(
         "o_totalprice",
         F.when((k % CHANGE_MOD == 0) & (k % DUP_MOD != 0), F.col("o_totalprice") + F.lit(PRICE_DELTA))
         .otherwise(F.col("o_totalprice")))
-    dups = orders.where((k % DUP_MOD == 0) & (k % DROP_MOD != 0))
-    return changed.unionByName(dups)
+    return (changed.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies)))
+            .drop("_copy"))
 
 
 def orders_epoch(orders: DataFrame) -> DataFrame:
