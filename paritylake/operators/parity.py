@@ -137,56 +137,56 @@ def fingerprint_parity(src: DataFrame, tgt: DataFrame, cols: list[str],
 
 
 # ---------------------------------------------------------------- V4
-def bucket_compare(src: DataFrame, tgt: DataFrame, cols: list[str], key: str,
-                   n_buckets: int = 256) -> DataFrame:
-    """Both sides' per-bucket digests, full-outer joined: (b, src_*, tgt_*, differs)."""
-    def side(df, p):
+def _side_digests(src: DataFrame, tgt: DataFrame, cols: list[str], key: str, n_buckets: int,
+                  group: list, bad: DataFrame | None = None) -> DataFrame:
+    """Both sides hashed, tagged, unioned and folded by ONE aggregation on
+    ``group``: grouping treats NULL keys as equal, partial aggregation absorbs
+    hot keys and duplicates, and no join is needed."""
+    def side(df, s):
         h = with_row_hash(df, cols, keep=[key]).withColumn("b", bucket_of(F.col(key), n_buckets))
-        return h.groupBy("b").agg(*digest_aggs(p)[:3])
-    j = side(src, "src_").join(side(tgt, "tgt_"), "b", "full")
-    z = F.lit(0)
-    differs = ~((F.coalesce(F.col("src_n"), z) == F.coalesce(F.col("tgt_n"), z))
-                & (F.coalesce(F.col("src_s1"), z) == F.coalesce(F.col("tgt_s1"), z))
-                & (F.coalesce(F.col("src_s2"), z) == F.coalesce(F.col("tgt_s2"), z)))
-    return j.withColumn("differs", differs)
+        if bad is not None:
+            # bad-bucket list has at most n_buckets+1 rows: a size-bounded broadcast
+            h = h.join(F.broadcast(bad), "b", "left_semi")
+        return h.withColumn("_side", F.lit(s))
+    u = side(src, 1).unionByName(side(tgt, 2))
+    aggs = []
+    z = F.lit(0).cast("decimal(38,0)")
+    for s, p in ((1, "src_"), (2, "tgt_")):
+        on = F.col("_side") == s
+        aggs += [F.count_if(on).cast("bigint").alias(f"{p}n"),
+                 F.coalesce(F.sum(F.when(on, F.col("h1").cast("decimal(38,0)"))), z).alias(f"{p}s1"),
+                 F.coalesce(F.sum(F.when(on, F.col("h2").cast("decimal(38,0)"))), z).alias(f"{p}s2")]
+    return u.groupBy(*group).agg(*aggs)
 
 
-def _key_digest(df: DataFrame, cols: list[str], key: str, n_buckets: int,
-                bad: DataFrame, p: str) -> DataFrame:
-    h = with_row_hash(df, cols, keep=[key]).withColumn("b", bucket_of(F.col(key), n_buckets))
-    # bad-bucket list has at most n_buckets+1 rows: a size-bounded broadcast
-    h = h.join(F.broadcast(bad), "b", "left_semi")
-    return h.groupBy(key).agg(F.count(F.lit(1)).cast("bigint").alias(f"{p}n"),
-                              F.sum(F.col("h1").cast("decimal(38,0)")).alias(f"{p}s1"),
-                              F.sum(F.col("h2").cast("decimal(38,0)")).alias(f"{p}s2"))
+def _differs() -> Column:
+    return ~((F.col("src_n") == F.col("tgt_n")) & (F.col("src_s1") == F.col("tgt_s1"))
+             & (F.col("src_s2") == F.col("tgt_s2")))
+
+
+def bucket_compare(src: DataFrame, tgt: DataFrame, cols: list[str], key: str,
+                   n_buckets: int = 256) -> DataFrame:
+    """Per-bucket digests of both sides in one aggregate: (b, src_*, tgt_*, differs)."""
+    return _side_digests(src, tgt, cols, key, n_buckets, ["b"]).withColumn("differs", _differs())
 
 
 def localize(src: DataFrame, tgt: DataFrame, cols: list[str], key: str,
              n_buckets: int = 256) -> DataFrame:
     """V4: keys whose row multiset differs → (key, kind, src_n, tgt_n).
 
-    Stage 1: per-bucket digests (tiny shuffle). Stage 2: only rows of the
-    differing buckets are hashed per key — each key's multiset (count and hash
-    sums), so duplicated rows are seen; NULL keys have their own bucket and
-    compare as one group (null-safe join). kind ∈ missing / extra / changed /
-    duplicated / under_count.
+    Stage 1: per-bucket digests (one tiny aggregate). Stage 2: only rows of
+    the differing buckets are hashed per key — each key's multiset (count and
+    hash sums), so duplicated rows are seen; NULL keys form their own group.
+    kind ∈ missing / extra / changed / duplicated / under_count.
     """
     bad = bucket_compare(src, tgt, cols, key, n_buckets).where("differs").select("b")
-    a = _key_digest(src, cols, key, n_buckets, bad, "src_").withColumnRenamed(key, "_ak")
-    b = _key_digest(tgt, cols, key, n_buckets, bad, "tgt_").withColumnRenamed(key, "_bk")
-    j = a.join(b, F.col("_ak").eqNullSafe(F.col("_bk")), "full").select(
-        F.coalesce(F.col("_ak"), F.col("_bk")).alias(key),
-        F.coalesce(F.col("src_n"), F.lit(0)).cast("bigint").alias("src_n"),
-        F.coalesce(F.col("tgt_n"), F.lit(0)).cast("bigint").alias("tgt_n"),
-        F.col("src_s1"), F.col("tgt_s1"), F.col("src_s2"), F.col("tgt_s2"))
+    per_key = _side_digests(src, tgt, cols, key, n_buckets, [key], bad=bad)
     kind = (F.when(F.col("tgt_n") == 0, F.lit("missing"))
             .when(F.col("src_n") == 0, F.lit("extra"))
             .when(F.col("tgt_n") > F.col("src_n"), F.lit("duplicated"))
             .when(F.col("tgt_n") < F.col("src_n"), F.lit("under_count"))
             .otherwise(F.lit("changed")))
-    same = ((F.col("src_n") == F.col("tgt_n")) & F.col("src_s1").eqNullSafe(F.col("tgt_s1"))
-            & F.col("src_s2").eqNullSafe(F.col("tgt_s2")))
-    return j.where(~same).select(key, kind.alias("kind"), "src_n", "tgt_n")
+    return per_key.where(_differs()).select(key, kind.alias("kind"), "src_n", "tgt_n")
 
 
 def localize_summary(diffs: DataFrame) -> DataFrame:

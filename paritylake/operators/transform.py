@@ -13,16 +13,15 @@ from paritylake.operators.parity import align_columns
 
 
 def multiset_diff(a: DataFrame, b: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows whose multiplicity differs: cols + side ('only_a'/'only_b') + copies."""
-    ca = a.groupBy(*cols).agg(F.count(F.lit(1)).alias("_na"))
-    cb = b.groupBy(*cols).agg(F.count(F.lit(1)).alias("_nb"))
-    cb = cb.toDF(*[f"_b_{c}" if c in cols else c for c in cb.columns])
-    j = ca.join(cb, [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in cols], "full")
-    d = F.coalesce(F.col("_na"), F.lit(0)) - F.coalesce(F.col("_nb"), F.lit(0))
-    return j.where(d != 0).select(
-        *[F.coalesce(F.col(c), F.col(f"_b_{c}")).alias(c) for c in cols],
-        F.when(d > 0, F.lit("only_a")).otherwise(F.lit("only_b")).alias("side"),
-        F.abs(d).cast("bigint").alias("copies"))
+    """Rows whose multiplicity differs: cols + side ('only_a'/'only_b') + copies.
+    Both sides are tagged +1/-1 and summed per distinct row in ONE aggregation
+    (NULLs group together; partial aggregation absorbs repeated rows)."""
+    u = (a.select(*cols, F.lit(1).alias("_w"))
+         .unionByName(b.select(*cols, F.lit(-1).alias("_w"))))
+    g = u.groupBy(*cols).agg(F.sum("_w").alias("_d"))
+    return g.where(F.col("_d") != 0).select(
+        *cols, F.when(F.col("_d") > 0, F.lit("only_a")).otherwise(F.lit("only_b")).alias("side"),
+        F.abs(F.col("_d")).cast("bigint").alias("copies"))
 
 
 def expect_rows(actual: DataFrame, expected: DataFrame, cols: list[str] | None = None

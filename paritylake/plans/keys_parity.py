@@ -116,34 +116,29 @@ def q_bucket_digests(spark, sf):
 
 
 def q_keyed_diff(spark, sf):
-    """J10 without the bucket stage: per-key multiset digests, full outer join."""
+    """J10 without the bucket stage: per-key multiset digests of both sides in
+    one aggregate over the tagged union (the key-union compare)."""
     o, t = _orders_pair(spark, sf)
-
-    def per_key(df, p):
-        return with_row_hash(df, ORDERS_NAMES, keep=["o_orderkey"]).groupBy("o_orderkey").agg(
-            F.count(F.lit(1)).cast("bigint").alias(f"{p}n"),
-            F.sum(F.col("h1").cast("decimal(38,0)")).alias(f"{p}s"))
-    a, b = per_key(o, "a_"), per_key(t, "b_")
-    j = a.join(b, "o_orderkey", "full")
+    u = (with_row_hash(o, ORDERS_NAMES, keep=["o_orderkey"]).withColumn("_s", F.lit(1))
+         .unionByName(with_row_hash(t, ORDERS_NAMES, keep=["o_orderkey"]).withColumn("_s", F.lit(2))))
+    side = lambda s, c: F.sum(F.when(F.col("_s") == s, c))
+    g = u.groupBy("o_orderkey").agg(
+        side(1, F.lit(1)).alias("a_n"), side(2, F.lit(1)).alias("b_n"),
+        side(1, F.col("h1").cast("decimal(38,0)")).alias("a_s"),
+        side(2, F.col("h1").cast("decimal(38,0)")).alias("b_s"))
     kind = (F.when(F.col("b_n").isNull(), "missing").when(F.col("a_n").isNull(), "extra")
             .otherwise("changed"))
-    return j.where(~(F.col("a_n").eqNullSafe(F.col("b_n")) & F.col("a_s").eqNullSafe(F.col("b_s")))) \
+    return g.where(~(F.col("a_n").eqNullSafe(F.col("b_n")) & F.col("a_s").eqNullSafe(F.col("b_s")))) \
         .select("o_orderkey", kind.alias("kind"))
 
 
 def q_multiset_except(spark, sf):
-    """U1 both ways, counted per distinct row (one shuffle): side + copies."""
+    """U1 both ways, counted per distinct row in one aggregation: side + copies."""
+    from paritylake.operators.transform import multiset_diff
     o, t = _orders_pair(spark, sf)
-    a = o.groupBy(*ORDERS_NAMES).agg(F.count(F.lit(1)).alias("a_n"))
-    b = t.groupBy(*ORDERS_NAMES).agg(F.count(F.lit(1)).alias("b_n"))
-    b = b.toDF(*[f"_b_{c}" if c in ORDERS_NAMES else c for c in b.columns])
-    on = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in ORDERS_NAMES]
-    j = a.join(b, on, "full").select(
-        *[F.coalesce(F.col(c), F.col(f"_b_{c}")).alias(c) for c in ORDERS_NAMES],
-        (F.coalesce(F.col("a_n"), F.lit(0)) - F.coalesce(F.col("b_n"), F.lit(0))).alias("d"))
-    return j.where(F.col("d") != 0).select(
-        *ORDERS_NAMES, F.when(F.col("d") > 0, "missing").otherwise("unexpected").alias("side"),
-        F.abs(F.col("d")).cast("bigint").alias("copies"))
+    d = multiset_diff(o, t, ORDERS_NAMES)
+    return d.select(*ORDERS_NAMES, F.when(F.col("side") == "only_a", "missing").otherwise("unexpected")
+                    .alias("side"), "copies")
 
 
 def q_key_union_changed(spark, sf):
