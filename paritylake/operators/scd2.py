@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from paritylake.operators.windows import neighbours
+from paritylake.operators.windows import hot_keys, neighbours
 
 # fixed values: open-ended version end and hash separator
 TERMINAL_TS = "9999-12-31 00:00:00"
@@ -34,9 +34,10 @@ def scd2_build(changes: DataFrame, key: str, ts: str, attrs: list[str],
                                    for a in attrs])
     base = changes.select(key, *order, *[a for a in attrs if a not in order]) \
         .withColumn("_sig", sig)
-    with_prev = neighbours(base, key, order, prev_cols={"_sig": "_prev_sig"})
+    hot = hot_keys(base, key)           # one detection pass serves both windows
+    with_prev = neighbours(base, key, order, prev_cols={"_sig": "_prev_sig"}, hot=hot)
     starts = with_prev.where(F.col("_prev_sig").isNull() | (F.col("_prev_sig") != F.col("_sig")))
-    closed = neighbours(starts.drop("_prev_sig"), key, order, next_cols={ts: "_next_from"})
+    closed = neighbours(starts.drop("_prev_sig"), key, order, next_cols={ts: "_next_from"}, hot=hot)
     terminal = F.lit(TERMINAL_TS).cast(closed.schema[ts].dataType)
     return closed.select(
         F.col(key), F.col(ts).alias("eff_from"),

@@ -74,26 +74,38 @@ def _ranged(df: DataFrame, key: str, order: list[str], prev_cols: dict, next_col
     return j.drop("_rp", "_first", "_last", "_prev_tail", "_next_head")
 
 
+_NO_HOT = "none"
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int | None = DEFAULT_HOT_ROWS):
+    """Keys with more than ``hot_rows`` rows as a small DataFrame, or None.
+    At most rows/hot_rows keys qualify, so collecting the list is bounded.
+    Compute once and pass to several ``neighbours`` calls over the same keys."""
+    if hot_rows is None:
+        return None
+    lst = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > hot_rows).select(key).collect())
+    return df.sparkSession.createDataFrame(lst, df.select(key).schema) if lst else None
+
+
 def neighbours(df: DataFrame, key: str, order: list[str], prev_cols: dict | None = None,
                next_cols: dict | None = None, hot_rows: int | None = DEFAULT_HOT_ROWS,
-               n_parts: int | None = None) -> DataFrame:
+               n_parts: int | None = None, hot=_NO_HOT) -> DataFrame:
     """Add LAG (``prev_cols`` {src: alias}) and LEAD (``next_cols``) per key.
 
     ``hot_rows=None`` forces the plain window. Otherwise keys with more than
-    ``hot_rows`` rows (at most rows/hot_rows of them, so the hot-key list is a
-    size-bounded broadcast) take the range-partitioned path.
+    ``hot_rows`` rows (a size-bounded broadcast list, see ``hot_keys``; pass
+    ``hot`` to reuse one) take the range-partitioned path.
     """
     prev_cols, next_cols = prev_cols or {}, next_cols or {}
     if hot_rows is None:
         return _plain(df, key, order, prev_cols, next_cols)
     spark = df.sparkSession
     n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # hot keys: at most rows/hot_rows of them, so collecting the list is bounded
-    hot_rows_list = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-                     .where(F.col("_n") > hot_rows).select(key).collect())
-    if not hot_rows_list:
+    if isinstance(hot, str):
+        hot = hot_keys(df, key, hot_rows)
+    if hot is None:
         return _plain(df, key, order, prev_cols, next_cols)
-    hot = spark.createDataFrame(hot_rows_list, df.select(key).schema)
     cold_part = _plain(df.join(F.broadcast(hot), key, "left_anti"), key, order,
                        prev_cols, next_cols)
     hot_part = _ranged(df.join(F.broadcast(hot), key, "left_semi"), key, order,
@@ -142,13 +154,9 @@ def ntile_col(k: int) -> Column:
 def _hot_split(df: DataFrame, key: str, hot_rows: int | None):
     """(cold rows, hot rows or None): keys above ``hot_rows`` rows — at most
     rows/hot_rows of them, so the collected list is bounded."""
-    if hot_rows is None:
-        return df, None
-    lst = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > hot_rows).select(key).collect())
-    if not lst:
+    hot = hot_keys(df, key, hot_rows)
+    if hot is None:
         return df, None
-    hot = df.sparkSession.createDataFrame(lst, df.select(key).schema)
     return (df.join(F.broadcast(hot), key, "left_anti"), df.join(F.broadcast(hot), key, "left_semi"))
 
 
