@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paritylake.checks import CHECK_COLUMNS, check_row, parse_tolerance, union_checks
-from paritylake.functions.canon import (bucket_of, digest_aggs, with_row_hash)
+from paritylake.functions.canon import bucket_of, with_row_hash
 
 
 # ---------------------------------------------------------------- V1

@@ -6,9 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from paritylake.checks import CHECK_COLUMNS
-from paritylake.functions.canon import digest
 from paritylake.plans import derived as D
-from paritylake.plans.oracle import ORDERS_COLS, ORDERS_NAMES, ORDERS_TGT, digest_of
+from paritylake.plans.oracle import ORDERS_COLS, ORDERS_TGT, digest_of
 from paritylake.session import scratch_dir
 from paritylake.sources import files as FS
 from paritylake.sources.tables import table
@@ -283,7 +282,7 @@ def _egress_checks(spark, sf, lossy, label):
     src, path = _export(spark, sf, lossy=lossy)
     full = D.orders_target_snapshot(table(spark, sf, "orders"))
     back = FS.readback_json(spark, path, EXPORT_SCHEMA)
-    from paritylake.operators.parity import fingerprint_parity, rowcount_parity
+    from paritylake.operators.parity import fingerprint_parity
     from paritylake.operators.aggregates import control_total
     fp = fingerprint_parity(full, back, ["o_orderkey", "o_custkey", "amount"], f"{label}:rows")
     ct_a = control_total(full, "amount").withColumn("_s", F.lit(1))

@@ -14,7 +14,7 @@ from paritylake.operators import parity as P
 from paritylake.operators.windows import global_rank, neighbours, ntile_col, percent_rank_col
 from paritylake.plans import derived as D
 from paritylake.plans import marts as Q
-from paritylake.plans.oracle import (ORDERS_DELTA, ORDERS_EPOCH, ORDERS_TGT, ORDERS_COLS, ORDERS_NAMES,
+from paritylake.plans.oracle import (ORDERS_DELTA, ORDERS_EPOCH, ORDERS_TGT, ORDERS_NAMES,
                                      EVENTS_SCD2, EVENTS_SCD2_BROKEN)
 from paritylake.session import scratch_dir
 from paritylake.sources.tables import table

@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paritylake.functions.canon import digest, pushdown_digest, with_row_hash, digest_aggs
-from paritylake.functions.canon_sql import hash_cols_sql, bucket_sql
+from paritylake.functions.canon import digest, pushdown_digest, with_row_hash
+from paritylake.functions.canon_sql import bucket_sql
 from paritylake.operators import parity as P
 from paritylake.plans import derived as D
 from paritylake.plans.oracle import ORDERS_COLS, ORDERS_NAMES, ORDERS_TGT, hashed

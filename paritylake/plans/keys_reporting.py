@@ -10,12 +10,12 @@ from paritylake.checks import CHECK_COLUMNS, CHECKS_DDL
 from paritylake.functions.canon import digest
 from paritylake.operators import reporting as R
 from paritylake.operators.aggregates import run_stats_fold
-from paritylake.operators.encoding import SANE_YEARS, epoch_to_ts, year_bounds
+from paritylake.operators.encoding import epoch_to_ts
 from paritylake.operators.parity import fingerprint_parity, rowcount_counts
 from paritylake.operators.schema import ColumnSpec, logical_type, nested_signature, schema_conformance
 from paritylake.plans import derived as D
 from paritylake.plans.keys_parity import TABLE_COLS
-from paritylake.plans.oracle import ORDERS_COLS, ORDERS_EPOCH, ORDERS_TGT, digest_of, hashed
+from paritylake.plans.oracle import ORDERS_COLS, ORDERS_TGT, digest_of
 from paritylake.session import scratch_dir
 from paritylake.sources.tables import table
 
