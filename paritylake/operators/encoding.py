@@ -88,6 +88,21 @@ def epoch_conversion(src: DataFrame, tgt: DataFrame, key: str, src_col: str, tgt
     return bad, counts
 
 
+def audit_coverage(classes: DataFrame, audit: DataFrame, src_table: str, src_column: str) -> DataFrame:
+    """V6 option: the quarantine audit must hold at least one row per nulled
+    epoch of the column → one check row (expected = nulled, actual = audited)."""
+    nulled = classes.where(F.col("class") == NULLED_OK).select(F.lit(1).alias("_s"))
+    audited = (audit.where((F.col("src_table") == src_table) & (F.col("src_column") == src_column))
+               .select(F.lit(2).alias("_s")))
+    c = nulled.unionByName(audited).agg(F.count_if(F.col("_s") == 1).alias("nulled"),
+                                        F.count_if(F.col("_s") == 2).alias("audited"))
+    return c.select(F.lit("epoch_conversion").alias("pattern"),
+                    F.lit(f"{src_table}.{src_column}:audit").alias("target"),
+                    F.when(F.col("audited") >= F.col("nulled"), "PASS").otherwise("FAIL").alias("status"),
+                    F.col("nulled").cast("string").alias("expected"),
+                    F.col("audited").cast("string").alias("actual"), F.lit(False).alias("measurement"))
+
+
 def epoch_quarantine(df: DataFrame, col: str, unit: str, id_col: str, table_name: str,
                      out_col: str | None = None,
                      sane_years: tuple[int, int] = SANE_YEARS) -> tuple[DataFrame, DataFrame]:

@@ -150,3 +150,34 @@ def schema_conformance(spark: SparkSession, df: DataFrame, table_name: str,
         F.lit("schema_conformance").alias("pattern"), "c.target", "c.status", "c.expected", "c.actual",
         F.lit(False).alias("measurement"))
     return meta.unionByName(data)
+
+
+def table_metadata_checks(spark: SparkSession, table_name: str, partitions: list[str] | None = None,
+                          retention_days: float | None = None, labels: dict | None = None,
+                          must_not_be_external: bool = False) -> DataFrame:
+    """V13 catalog part: partition columns (exact, ordered), retention in days
+    (±0.5), label subset and the external flag, read from the catalog and
+    TBLPROPERTIES (metadata only — a handful of rows on the driver)."""
+    rows = []
+    cols = spark.catalog.listColumns(table_name)
+    if partitions is not None:
+        got = [c.name for c in cols if c.isPartition]
+        rows.append(("schema_conformance", f"{table_name}:partitions", "PASS" if got == partitions else "FAIL",
+                     ",".join(partitions), ",".join(got), False))
+    props = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {table_name}").collect()}
+    if retention_days is not None:
+        got = props.get("retention_days")
+        ok = got is not None and abs(float(got) - retention_days) <= 0.5
+        rows.append(("schema_conformance", f"{table_name}:retention_days", "PASS" if ok else "FAIL",
+                     str(retention_days), str(got), False))
+    if labels is not None:
+        have = dict(kv.split("=", 1) for kv in props.get("labels", "").split(",") if "=" in kv)
+        ok = all(have.get(k) == v for k, v in labels.items())
+        rows.append(("schema_conformance", f"{table_name}:labels", "PASS" if ok else "FAIL",
+                     ",".join(f"{k}={v}" for k, v in sorted(labels.items())),
+                     ",".join(f"{k}={v}" for k, v in sorted(have.items())), False))
+    if must_not_be_external:
+        kind = spark.catalog.getTable(table_name).tableType
+        rows.append(("schema_conformance", f"{table_name}:not_external", "FAIL" if kind == "EXTERNAL" else "PASS",
+                     "MANAGED", kind, False))
+    return spark.createDataFrame(rows, CHECKS_DDL)

@@ -313,14 +313,26 @@ def q_v15(spark, sf):
 
 @key("file_manifest_check", None)
 def q_x1(spark, sf):
-    """Manifest of the table files (sha-256 computed in the executors) joined
-    to the expected manifest; plus header drift of staged CSV files."""
+    """Sha-256 of every table file (content hashed in the executors)
+    against the expected manifest, and header drift of staged CSV exports
+    (a golden export and one whose header renamed a column)."""
     man = FS.file_manifest(spark, f"{sf.rstrip('/')}/*.parquet")
-    expected = FS.file_manifest(spark, f"{sf.rstrip('/')}/*.parquet").withColumnRenamed("sha256", "expected_sha256") \
-        .drop("size")
-    j = man.join(expected, "file_name", "full")
-    return j.select("file_name", "size", "sha256",
-                    F.when(F.col("sha256") == F.col("expected_sha256"), "PASS").otherwise("FAIL").alias("status"))
+    expected = FS.file_manifest(spark, f"{sf.rstrip('/')}/*.parquet").select(
+        "file_name", F.col("sha256").alias("expected_sha256"))
+    sha = man.join(expected, "file_name", "full").select(
+        "file_name", F.lit("sha256").alias("check"), F.col("sha256").alias("detail"),
+        F.when(F.col("sha256") == F.col("expected_sha256"), "PASS").otherwise("FAIL").alias("status"))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    header = ",".join(o.columns)
+    out = sha
+    for variant, df in (("golden", o), ("drifted", o.withColumnRenamed("o_custkey", "custkey"))):
+        path = scratch_dir(spark, f"orders_csv_{variant}")
+        df.write.mode("overwrite").option("header", "true").csv(path)
+        h = FS.header_drift(spark, path, header).select(
+            F.concat(F.lit(f"{variant}/"), "file_name").alias("file_name"),
+            F.lit("header").alias("check"), F.col("header").alias("detail"), "status")
+        out = out.unionByName(h)
+    return out
 
 
 @key("scan_bytes", None)

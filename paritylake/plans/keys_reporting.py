@@ -102,6 +102,35 @@ Q_["schema_conformance"] = q_v13
 O_["schema_conformance"] = _v13_sql()
 
 
+def q_v13_meta(spark, sf):
+    """V13 catalog part on a table built from ``orders`` (range-partitioned,
+    retention and labels in TBLPROPERTIES): golden expectations and a twin,
+    plus the landed row count against the source."""
+    from paritylake.operators.schema import table_metadata_checks
+    from paritylake.sources.tables import register_views
+    register_views(spark, sf, ["orders"])
+    loc = scratch_dir(spark, "orders_meta")
+    name = "paritylake_orders_meta"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"""CREATE TABLE {name} USING parquet PARTITIONED BY (key_range) LOCATION '{loc}'
+        TBLPROPERTIES ('retention_days' = '3650', 'labels' = 'domain=orders,tier=gold')
+        AS SELECT o_orderkey, o_custkey, o_totalprice, o_orderkey DIV 1000 AS key_range FROM orders""")
+    golden = table_metadata_checks(spark, name, partitions=["key_range"], retention_days=3650,
+                                   labels={"domain": "orders"})
+    twin = table_metadata_checks(spark, name, partitions=["order_month"], retention_days=30,
+                                 labels={"tier": "silver"}, must_not_be_external=True)
+    rc = rowcount_counts(table(spark, sf, "orders"), spark.table(name)).select(
+        F.lit("schema_conformance").alias("pattern"), F.lit(f"{name}:rows").alias("target"),
+        F.when(F.col("src_n") == F.col("tgt_n"), "PASS").otherwise("FAIL").alias("status"),
+        F.col("src_n").cast("string").alias("expected"), F.col("tgt_n").cast("string").alias("actual"),
+        F.lit(False).alias("measurement"))
+    return golden.withColumn("target", F.concat(F.lit("golden:"), "target")).unionByName(
+        twin.withColumn("target", F.concat(F.lit("twin:"), "target"))).unionByName(rc)
+
+
+Q_["table_metadata_conformance"] = q_v13_meta
+
+
 # ------------------------------------------------------------------ V18
 PERF_THRESHOLDS = [("click", "value", 400.0), ("view", "value", 300.0), ("purchase", "value", 350.0),
                    ("click", "bytes_scanned", 1e6)]

@@ -58,23 +58,39 @@ def load_formats(spark: SparkSession, df: DataFrame, name: str,
     return spark.createDataFrame(rows, "format string, expected bigint, landed bigint, status string")
 
 
-def skip_leading_rows(spark: SparkSession, path: str, n_skip: int, sep: str = CSV_SEP,
-                      schema: T.StructType | None = None) -> DataFrame:
-    """S3: CSV with ``n_skip`` leading lines per file (no reader option exists
-    for N>1): lines are read as text, the position of each line inside its
-    file is derived from the file split (block start 0) and the in-task read
-    order, and lines at positions < n_skip are dropped before parsing."""
+def lines_with_position(spark: SparkSession, path: str) -> DataFrame:
+    """Text lines with (_f file path, _pos line position inside the file for
+    lines of the file's first split; NULL further on). The position comes from
+    the split start (block 0) and the in-task read order; the per-file minimum
+    is one row per file."""
     lines = (spark.read.text(path)
              .select("value", F.col("_metadata.file_path").alias("_f"),
                      F.col("_metadata.file_block_start").alias("_blk"),
                      F.monotonically_increasing_id().alias("_id")))
     first = lines.where(F.col("_blk") == 0).groupBy("_f").agg(F.min("_id").alias("_min"))
-    pos = lines.join(first, "_f", "left").withColumn(
-        "_pos", F.when(F.col("_blk") == 0, F.col("_id") - F.col("_min")))
+    return lines.join(first, "_f", "left").select(
+        "value", "_f", F.when(F.col("_blk") == 0, F.col("_id") - F.col("_min")).alias("_pos"))
+
+
+def skip_leading_rows(spark: SparkSession, path: str, n_skip: int, sep: str = CSV_SEP,
+                      schema: T.StructType | None = None) -> DataFrame:
+    """S3: CSV with ``n_skip`` leading lines per file (no reader option exists
+    for N>1): lines at positions < n_skip of each file are dropped before
+    parsing with native ``from_csv``."""
+    pos = lines_with_position(spark, path)
     body = pos.where(F.col("_pos").isNull() | (F.col("_pos") >= n_skip)).select("value")
     return split_csv(body, schema, sep) if schema is not None else body
 
 
+def header_drift(spark: SparkSession, path: str, expected: str) -> DataFrame:
+    """First line of every file against the expected header → (file_name,
+    header, status)."""
+    pos = lines_with_position(spark, path).where(F.col("_pos") == 0)
+    return pos.select(F.element_at(F.split("_f", "/"), -1).alias("file_name"),
+                      F.col("value").alias("header"),
+                      F.when(F.col("value") == F.lit(expected), "PASS").otherwise("FAIL").alias("status"))
+
+
 def split_csv(lines: DataFrame, schema: T.StructType, sep: str = CSV_SEP) -> DataFrame:
     """Parse delimited text lines with native ``from_csv`` (no Python per row)."""
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

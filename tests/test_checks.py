@@ -35,6 +35,14 @@ def test_epoch_quarantine_edge_rows(spark):
         (2, "after_sane_range"), (3, "before_sane_range")]
 
 
+def test_epoch_audit_coverage(spark):
+    src = spark.createDataFrame([(1, 1704067200000), (2, 10 ** 17)], "id long, raw long")
+    clean, audit = E.epoch_quarantine(src, "raw", "millis", "id", "edge", out_col="ts")
+    classes = E.epoch_classes(src, clean, "id", "raw", "ts", "millis", (2000, 2030))
+    assert E.audit_coverage(classes, audit, "edge", "raw").first()["status"] == "PASS"
+    assert E.audit_coverage(classes, audit.limit(0), "edge", "raw").first()["status"] == "FAIL"
+
+
 def test_decimal_roundtrip(spark):
     s = spark.createDataFrame([(1, Decimal("1.50")), (2, Decimal("2.00")), (3, Decimal("3.00"))], "k long, a decimal(12,2)")
     t = spark.createDataFrame([(1, Decimal("1.5000")), (2, Decimal("2.0100"))], "k long, a decimal(12,4)")
