@@ -53,3 +53,19 @@ def test_scan_bytes_pruned_not_above_full(spark):
     full = FS.scan_bytes(part).first()
     pruned = FS.scan_bytes(part.where(F.col("s") == "s1")).first()
     assert 0 < pruned["bytes_scanned"] < full["bytes_scanned"] and pruned["files"] < full["files"]
+
+
+def test_header_drift(spark):
+    df = _orders(spark).select("k", "c")
+    good, bad = scratch_dir(spark, "hdr_good"), scratch_dir(spark, "hdr_bad")
+    df.write.mode("overwrite").option("header", "true").csv(good)
+    df.withColumnRenamed("c", "cc").write.mode("overwrite").option("header", "true").csv(bad)
+    assert {r["status"] for r in FS.header_drift(spark, good, "k,c").collect()} == {"PASS"}
+    assert {r["status"] for r in FS.header_drift(spark, bad, "k,c").collect()} == {"FAIL"}
+
+
+def test_table_metadata_golden_and_twin(spark, sf0001):
+    import __spark_entry__ as E
+    got = {r["target"]: r["status"] for r in E.queries()["table_metadata_conformance"](spark, sf0001).collect()}
+    assert {v for k, v in got.items() if k.startswith("golden:")} == {"PASS"}
+    assert {v for k, v in got.items() if k.startswith("twin:")} == {"FAIL"}
