@@ -177,12 +177,27 @@ def q_query_parity(spark, sf):
                       "(SELECT COUNT(DISTINCT l_linestatus) FROM lineitem) AS c")
     # cartesian count preservation without materialising the product
     cross_b = li.agg((F.count_distinct("l_returnflag") * F.count_distinct("l_linestatus")).alias("c"))
+    # approximate distinct against exact, within the ±5 % tolerance
+    exact = spark.sql("SELECT COUNT(DISTINCT l_orderkey) AS c FROM lineitem")
+    approx = li.agg(F.approx_count_distinct("l_orderkey", 0.01).alias("c"))
+    # regex classes: anchored alternation (RLIKE in SQL, rlike in the DataFrame API), whole texts
+    register_views(spark, sf, ["documents"])
+    rx_sql = spark.sql(r"""SELECT CASE WHEN text RLIKE '^(The|Der|Le|El)\\b' THEN 'article'
+                                      WHEN text RLIKE '(?i)(https?://|www\\.)' THEN 'link'
+                                      ELSE 'other' END AS cls, lang, COUNT(*) AS n
+                           FROM documents GROUP BY 1, 2""")
+    t = F.col("text")
+    cls = (F.when(t.rlike(r"^(The|Der|Le|El)\b"), "article")
+           .when(t.rlike(r"(?i)(https?://|www\.)"), "link").otherwise("other"))
+    rx_api = table(spark, sf, "documents").groupBy(cls.alias("cls"), "lang").agg(F.count(F.lit(1)).alias("n"))
     return P.union_checks([
         P.query_parity(sql_a, api_b, "rowset", target="grouped_counts"),
         P.query_parity(sql_a, filt, "rowset", target="grouped_counts_filtered"),
         P.query_parity(cnt_a, cnt_b, "scalar", target="count_scalar"),
         P.query_parity(cnt_a, cnt_bad, "scalar", 0, target="count_scalar_wrong"),
         P.query_parity(cross, cross_b, "scalar", target="cross_join_count"),
+        P.query_parity(exact, approx, "scalar", "5%", target="approx_distinct_5pct"),
+        P.query_parity(rx_sql, rx_api, "rowset", target="regex_classes"),
     ]).select("pattern", "target", "status")
 
 
@@ -369,7 +384,9 @@ UNION ALL SELECT 'query_parity', 'grouped_counts_filtered',
 UNION ALL SELECT 'query_parity', 'count_scalar', 'PASS'
 UNION ALL SELECT 'query_parity', 'count_scalar_wrong',
   CASE WHEN (SELECT count(*) FROM lineitem WHERE l_linenumber <= 1) = 0 THEN 'PASS' ELSE 'FAIL' END
-UNION ALL SELECT 'query_parity', 'cross_join_count', 'PASS'"""
+UNION ALL SELECT 'query_parity', 'cross_join_count', 'PASS'
+UNION ALL SELECT 'query_parity', 'approx_distinct_5pct', 'PASS'
+UNION ALL SELECT 'query_parity', 'regex_classes', 'PASS'"""
 
 ORACLE = {
     "fingerprint_localize": _LOCALIZE_SQL,
