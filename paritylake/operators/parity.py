@@ -143,12 +143,12 @@ def _side_digests(src: DataFrame, tgt: DataFrame, cols: list[str], key: str, n_b
     ``group``: grouping treats NULL keys as equal, partial aggregation absorbs
     hot keys and duplicates, and no join is needed."""
     def side(df, s):
-        h = with_row_hash(df, cols, keep=[key]).withColumn("b", bucket_of(F.col(key), n_buckets))
-        if bad is not None:
-            # bad-bucket list has at most n_buckets+1 rows: a size-bounded broadcast
-            h = h.join(F.broadcast(bad), "b", "left_semi")
-        return h.withColumn("_side", F.lit(s))
+        return (with_row_hash(df, cols, keep=[key]).withColumn("b", bucket_of(F.col(key), n_buckets))
+                .withColumn("_side", F.lit(s)))
     u = side(src, 1).unionByName(side(tgt, 2))
+    if bad is not None:
+        # bad-bucket list has at most n_buckets+1 rows: a size-bounded broadcast, joined once
+        u = u.join(F.broadcast(bad), "b", "left_semi")
     aggs = []
     z = F.lit(0).cast("decimal(38,0)")
     for s, p in ((1, "src_"), (2, "tgt_")):

@@ -12,9 +12,10 @@ Plan (deterministic, no dependence on physical partition ids):
    ``b = floor(epoch_seconds / bucket_seconds)``;
 2. a running count of data rows inside each (key, bucket) — a window whose
    groups hold one key's rows of one time bucket, so a hot key is spread
-   over as many groups as it has buckets;
-3. per-key bucket offsets from the (key, bucket) count table (one row per
-   non-empty bucket) with a cumulative window per key;
+   over as many groups as it has buckets — plus the bucket total, in the
+   same pass;
+3. per-key bucket offsets from the (key, bucket) totals (one row per bucket)
+   with a cumulative window per key;
 4. ``rc(probe) = offset + local count`` is the number of the key's data rows
    ≤ the probe time; a left row's match count is ``rc(hi) - rc(lo)``.
 """
@@ -50,16 +51,17 @@ def range_count(left: DataFrame, right: DataFrame, key: str, left_id: str, lo: s
                          F.lit(1).alias("_sign"))
     stream = data.unionByName(p_lo).unionByName(p_hi).withColumn("_b", bucket(F.col("_t")))
     is_data = F.when(F.col("_q") == 0, 1).otherwise(0)
-    w = (Window.partitionBy("_k", "_b").orderBy("_t", "_q")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = stream.withColumn("_lrc", F.sum(is_data).over(w)).where(F.col("_q") == 1)
-    # one row per (key, bucket) holding data or probes: every probe finds its
-    # bucket's offset by an equi join; a key's buckets are few, so the
-    # cumulative window per key is cheap even for a hot key
-    counts = stream.groupBy("_k", "_b").agg(F.sum(is_data).alias("_c"))
+    grp = Window.partitionBy("_k", "_b")
+    w = grp.orderBy("_t", "_q").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # one pass over the stream: running count and bucket total share the (key, bucket) partitioning
+    win = (stream.withColumn("_lrc", F.sum(is_data).over(w))
+           .withColumn("_tot", F.sum(is_data).over(grp)))
+    # one row per (key, bucket): every probe finds its bucket's offset by an equi
+    # join; a key's buckets are few, so the cumulative window per key is cheap
+    counts = win.groupBy("_k", "_b").agg(F.max("_tot").alias("_c"))
     wo = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("_k", "_b", F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_off"))
-    rc = local.join(offs, ["_k", "_b"]).select(
+    rc = win.where(F.col("_q") == 1).join(offs, ["_k", "_b"]).select(
         "_id", (F.col("_sign") * (F.col("_off") + F.col("_lrc"))).alias("_v"))
     per_id = rc.groupBy("_id").agg(F.sum("_v").cast("bigint").alias(out))
     res = left.join(per_id.withColumnRenamed("_id", left_id), left_id, "left")
