@@ -169,10 +169,10 @@ def links(fps: DataFrame, distance: int = 3, tile: int = 2048) -> DataFrame:
     """
     t = distance // 2
     rows = fps.select("fp").mapInArrow(lambda it: _anchor_rows(it, t), "anchor long, fp long, is_home boolean")
-    sizes = rows.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.col("is_home").cast("int")).alias("homes"))
-    # an anchor without a home row, or with one row only, has nothing to compare
-    sizes = sizes.where("n > 1 and homes > 0").select("anchor", F.ceil(F.col("n") / tile).cast("int").alias("k"))
-    tiled = rows.join(sizes, "anchor").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"))
+    hot = (rows.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > tile)
+           .select("anchor", F.ceil(F.col("n") / tile).cast("int").alias("tiles")))
+    tiled = rows.join(hot, "anchor", "left").withColumn("k", F.coalesce("tiles", F.lit(1)))
+    tiled = tiled.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
     work = (tiled.withColumn("other", other)
             .select("anchor", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "fp", "is_home"))
