@@ -97,9 +97,11 @@ def fit(df: DataFrame, lang_col: str = "lang", text_col: str = "text", key_col:
     """
     rows = df.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(key_col).alias("h"))
+    # the least hashes of each of 64 parts of a language first: no task sees all of a language
+    part = F.row_number().over(Window.partitionBy("lang", F.pmod("h", F.lit(64))).orderBy("h"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    last = (rows.select("lang", "h").withColumn("place", place).where(F.col("place") <= train_docs)
-            .groupBy("lang").agg(F.max("h").alias("last")))
+    last = (rows.select("lang", "h").withColumn("part", part).where(F.col("part") <= train_docs)
+            .withColumn("place", place).where(F.col("place") <= train_docs).groupBy("lang").agg(F.max("h").alias("last")))
     bounds = last.limit(max_langs + 1).collect()
     if len(bounds) > max_langs:
         raise ValueError(f"more than {max_langs} languages to learn")
