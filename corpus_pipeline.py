@@ -1,10 +1,15 @@
-"""Corpus preparation: quality rules, line dedup, SimHash near-dedup, mixing, packing."""
+"""Corpus preparation: quality rules, line dedup, SimHash near-dedup, mixing to target weights, packing.
+
+Each stage takes the rows its predecessor kept and all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paritylake.llm import quality, simhash
+from paritylake.llm import linededup, mixing, packing, quality, simhash
+from paritylake.llm.common import written
+from paritylake.llm.queries import tokenizer_path
 from paritylake.sources.tables import table
 
 
@@ -13,21 +18,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat or nearly repeat an earlier line go; ``n_chars`` follows the text; emptied documents go."""
+    out = linededup.dedup(docs, tau=2, min_chars=20)
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component (3-word shingles, 3 bits)."""
     return simhash.keep_one(docs, shingle=3, distance=3)
 
 
-STAGES = [("quality rules", quality_rules), ("simhash near-dedup", near_dedup)]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copies of each document by its source's target rate (square root of the source's bytes), globally shuffled."""
+    return mixing.mix(docs, power=0.5, epochs=1.0, seed=42)
+
 
-#: Python inside the stages (fingerprints, tokens) has no SQL form; tests compare with brute force.
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 2048 tokens, with their token ids."""
+    return packing.pack(docs, tokenizer_path(), end_id=1, window=2048)
+
+
+STAGES = [("quality rules", quality_rules), ("line dedup", line_dedup), ("simhash near-dedup", near_dedup),
+          ("mixing", mix_sources), ("packing", pack_sequences)]
+
+#: Fingerprints and tokens have no SQL form; the tests compare every stage with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
-    from paritylake.llm.common import written
-
+    """All stages over ``documents``, each but the last written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))

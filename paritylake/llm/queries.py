@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paritylake.llm import langid, quality, sharding, simhash
+from paritylake.llm import langid, linededup, mixing, packing, pii, quality, sharding, simhash, suffixdedup, topk
 from paritylake.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,12 +22,40 @@ def _query(name: str, sql: str | None = None):
     return add
 
 
+#: Tokenizer file of the packing query, by name in the installed tokenizer package.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@_query("op1_line_dedup")
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of at least 20 characters that repeat, or come within 2 edits of, an earlier line; counts and digest per document."""
+    return linededup.summarise(table(spark, sf_dir, "documents"), tau=2, min_chars=20)
+
+
+@_query("op2_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document covered by a 200-byte string that also starts elsewhere."""
+    return suffixdedup.remove_repeats(table(spark, sf_dir, "documents"), length=200, with_kept=False)
+
+
 @_query("op3_jump_shards")
 def jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 8 shards by jump consistent hashing of doc_id; grown_shard is the shard of 9."""
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 8)
 
 
+@_query("op4_topk", topk.ORACLE)
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products for every vector whose id is divisible by 50."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 @_query("op5_language")
 def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by rank-order profiles learned from the documents that are not held out."""
@@ -40,7 +68,27 @@ def repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"))
 
 
+@_query("op7_packing")
+def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1, window=2048, with_ids=False)
+
+
 @_query("op8_simhash")
 def simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints (3-word shingles) and components at 3 differing bits or fewer."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query("op9_personal_data")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: strict spans and those that confident patterns add."""
+    return pii.find(table(spark, sf_dir, "documents")).drop("n_found")
+
+
+@_query("op10_poisson_mix", mixing.ORACLE)
+def poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's copies in a mix of the sources by the square root of their bytes, globally shuffled."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    copies = mixing.replicate(docs, mixing.rates(docs))
+    return copies.select("doc.doc_id", "doc.source", "doc.text", "chunk", "copy", "shuffle_key")
