@@ -100,8 +100,8 @@ means AS (
   FROM sizes),
 cut AS (SELECT source, GREATEST(1, CEIL(rate / 16))::BIGINT AS chunks, rate / GREATEST(1, CEIL(rate / 16)) AS mean FROM means),
 terms AS (
-  SELECT source, chunks, k, exp(-mean) * pow(mean, k) / factorial(k::INTEGER)::DOUBLE AS p
-  FROM cut, range(0, 34) AS ks(k)),
+  SELECT source, chunks, k, exp(-mean + k * ln(mean) - lgamma(k + 1)) AS p
+  FROM cut, range(0, 100) AS ks(k)),
 cdf AS (SELECT source, chunks, SUM(p) OVER (PARTITION BY source ORDER BY k) AS cum FROM terms),
 tables AS (SELECT source, chunks, LIST(cum) AS cums FROM cdf GROUP BY source, chunks),
 parts AS (
@@ -110,7 +110,7 @@ parts AS (
 drawn AS (
   SELECT *, (('0x' || substr(md5(concat_ws(':', '42', doc_id, md5(text), chunk)), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
   FROM parts),
-counted AS (SELECT doc_id, source, text, chunk, len(list_filter(cums, c -> c <= u)) AS n FROM drawn),
+counted AS (SELECT doc_id, source, text, chunk, len(list_filter(cums, lambda c: c <= u)) AS n FROM drawn),
 copies AS (SELECT *, UNNEST(range(1, n + 1)) AS copy FROM counted WHERE n > 0)
 SELECT doc_id, source, text, chunk, copy::INTEGER AS copy,
        ('0x' || substr(md5(concat_ws(':', '42', doc_id, md5(text), chunk, copy, 'order')), 1, 15))::BIGINT AS shuffle_key

@@ -152,9 +152,9 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", eve
 #: The query's rows in DuckDB.
 ORACLE = """
 WITH ok AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS q
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
   FROM ok a JOIN ok b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
