@@ -20,68 +20,90 @@ sentence longer than a window may be cut anywhere, at the larger penalty.
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType
 
 from paritylake.llm.common import texts
 
-_BLANK = re.compile(r"[^\x20\x09-\x0D]+")
-_FILE_SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: The tokenizer file's pieces (fixed values): contractions, letters, single digits, runs of other signs.
+_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+#: The same for lower-case texts of the first 256 characters.
+_LATIN_PIECE = re.compile("[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|'(?:s|t|re|ve|m|ll|d)|"
+                          "[^\x20\x09-\x0d\x85\xa0a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: Spelling of bytes in byte-level vocabularies: printable ones as they are, the others from 256 on.
+_SPELLING = dict(zip(sorted(set(range(256)) - set(_PLAIN)), range(256, 512)))
 #: Cuts inside a gap without a sentence end: one in so many tokens.
 _STRIDE = 64
 
 
+def _is_latin(text: str) -> bool:
+    """Only characters below 256: composed already, and lower-cased one by one within that range."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class _Table(dict):
+    """Token ids of pieces met before, as bytes; a new piece is looked up in the model. Full at ``most`` entries."""
+
+    def __init__(self, model, most: int):
+        super().__init__()
+        self._tokenize, self._most = model.tokenize, most
+
+    def __missing__(self, piece: str) -> bytes:
+        spelled = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SPELLING)
+        ids = array("I", [t.id for t in self._tokenize(spelled)]).tobytes()
+        if len(self) < self._most:
+            self[piece] = ids
+        return ids
+
+
 class WordTokenizer:
-    """A tokenizer that drops white space, so that a text's ids are its words' ids in a row.
+    """A byte-pair tokenizer that lower-cases, drops white space and ends pieces at word ends.
 
-    Words met before are looked up in a table of at most ``words`` entries; new ones are encoded in batches.
+    A text's ids are its pieces' ids in a row, so the pieces are split by the tokenizer file's own pattern and each
+    different piece is run through the model once, as long as the table has room.
     """
 
-    def __init__(self, path: str, words: int = 1_000_000):
+    def __init__(self, path: str, pieces: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[str, bytes] = {}
-        self._words = words
+        self._ids_of = _Table(self._tokenizer.model, pieces).__getitem__
         vocabulary = self._tokenizer.get_vocab()
         ends = [i for t, i in vocabulary.items() if (w := t.removesuffix("</w>")) != t and set(w) <= set(".!?\"')") and set(w) & set(".!?")]
         self.sentence_end = np.zeros(max(vocabulary.values()) + 2, bool)
         self.sentence_end[ends] = True
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        got = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32).tobytes() for e in got]
-
-    def _learn(self, words: set[str]) -> None:
-        known, new = self._known, words
-        stems = {w: w[:-1] for w in new if w[-1] in ".," and w[:-1].isalpha()}
-        plain = list((new - stems.keys()) | {s for s in stems.values() if s not in known} | {".", ","})
-        known.update(zip(plain, self._encode(plain)))
-        # letters and the mark after them are separate words to the tokenizer
-        known.update((w, known[s] + known[w[-1]]) for w, s in stems.items())
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each text, without special tokens."""
-        split = []
-        for t in texts:
-            if t.isascii():  # case may change first only where nothing composes
-                t = t.lower()
-            split.append(_BLANK.findall(t) if any(c in t for c in _FILE_SEPARATORS) else t.split())
-        if len(self._known) > self._words:
-            self._known.clear()
-        new = set().union(*split) - self._known.keys()
-        if new:
-            self._learn(new)
-        get = self._known.__getitem__
-        for words in split:
-            yield np.frombuffer(b"".join(map(get, words)), np.uint32)
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text, without added special tokens."""
+        latin = _is_latin(text)
+        # a special token may be spelt, or a character be newer than this Python's tables: the tokenizer itself
+        if "<|" in text or not latin and any(unicodedata.category(c) == "Cn" for c in set(text)):
+            return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        if latin:
+            pieces = _LATIN_PIECE.findall(text.lower())
+        else:
+            text = unicodedata.normalize("NFC", text)
+            # one character at a time where lower-casing looks at the neighbours
+            text = "".join(map(str.lower, text)) if "\u03a3" in text else text.lower()
+            pieces = _PIECE.findall(text)
+        return np.frombuffer(b"".join(map(self._ids_of, pieces)), np.uint32)
 
 
 def choose_cuts(pos: list[int], penalty: list[int], window: int, powers: list[int], all_powers_from: int, per_window: int = 4) -> list[int]:
@@ -222,13 +244,11 @@ def pack(df: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, sen
         kind = None
         for b in batches:
             kind = b.schema.field(0).type
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                doc_ids = part.column(0).to_pylist()
-                for doc_id, ids in zip(doc_ids, tok.encode([t.as_py() or "" for t in part.column(1)])):
-                    for rows in stream.add(doc_id, np.concatenate([ids, end])):
-                        if rows:
-                            yield batch(rows, kind)
+            for doc_id, text in zip(b.column(0), b.column(1)):
+                ids = np.concatenate([tok.encode(text.as_py() or ""), end])
+                for rows in stream.add(doc_id.as_py(), ids):
+                    if rows:
+                        yield batch(rows, kind)
         rows = stream.cut(last=True)
         if rows:
             yield batch(rows, kind)
