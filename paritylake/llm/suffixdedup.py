@@ -33,18 +33,18 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from paritylake.llm.common import cut, written
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-#: Up to so many rows (a few longs each) a list of units is broadcast; beyond, it is joined by a shuffle.
-_BROADCAST_ROWS = 1_000_000
+#: Up to so many rows (one or two longs each, at most 64 MB) a list of keys is broadcast; beyond, it is joined by a shuffle.
+_BROADCAST_ROWS = 4_000_000
 #: Bytes of units that a task sorts at once; whole anchors only.
 _CHUNK = 1 << 21
 #: Bytes of a text hashed at once.
@@ -104,7 +104,7 @@ def stretches(raw: bytes | memoryview, length: int, gram: int) -> Iterator[tuple
 
 
 def _unit_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """``(anchor, unit, t1, t2, first, n, weight)`` of every stretch of the representative texts."""
+    """``(anchor, unit, doc_id, text_hash, first, n)`` of every stretch of every text."""
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
             b, out = whole.slice(at, 256), []
@@ -119,8 +119,8 @@ def _unit_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Ite
             anchor, unit, first, n, row = map(np.concatenate, zip(*out))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(anchor.view(np.int64)), pa.array(unit.view(np.int64)), b.column(1).take(pa.array(row)), b.column(2).take(pa.array(row)),
-                 pa.array(first.astype(np.int64)), pa.array(n.astype(np.int32)), b.column(3).take(pa.array(row))],
-                names=["anchor", "unit", "t1", "t2", "first", "n", "weight"])
+                 pa.array(first.astype(np.int64)), pa.array(n.astype(np.int32))],
+                names=["anchor", "unit", "doc_id", "text_hash", "first", "n"])
 
 
 # ---- suffix array of one task's units -------------------------------------------------------------------------
@@ -195,10 +195,11 @@ def repeated_starts(text: np.ndarray, is_start: np.ndarray, length: int) -> np.n
     return marked
 
 
-def _sorted_units(units: pd.DataFrame, length: int) -> pd.DataFrame:
-    """Runs of repeated starts ``(t1, t2, first, n)`` in units of weight 1."""
-    raw = b"".join(units["bytes"])
-    sizes = units["bytes"].map(len).to_numpy()
+def _sorted_units(units: pa.Table, length: int) -> pa.RecordBatch:
+    """Runs of repeated starts ``(doc_id, text_hash, first, n)`` in units of weight 1."""
+    pieces = units.column("bytes").to_pylist()
+    raw = b"".join(pieces)
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
     ends = np.cumsum(sizes)
     begin = ends - sizes
     edge = np.zeros(len(raw) + 1, np.int64)
@@ -207,63 +208,62 @@ def _sorted_units(units: pd.DataFrame, length: int) -> pd.DataFrame:
     marked = repeated_starts(np.frombuffer(raw, np.uint8), np.cumsum(edge[:-1]) > 0, length)
     step = np.diff(np.concatenate([[0], marked.astype(np.int8), [0]]))
     run, stop = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    which = np.searchsorted(ends, run, side="right")
     # two units' runs are never one: the last length - 1 bytes of a unit start nothing
-    one = (units["weight"].to_numpy() == 1)[which]
+    which = np.searchsorted(ends, run, side="right")
+    one = units.column("weight").to_numpy()[which] == 1
     run, stop, which = run[one], stop[one], which[one]
-    return pd.DataFrame({"t1": units["t1"].to_numpy()[which], "t2": units["t2"].to_numpy()[which],
-                         "first": units["first"].to_numpy()[which] + run - begin[which], "n": (stop - run).astype(np.int64)})
+    first = units.column("first").to_numpy()[which] + run - begin[which]
+    keys = units.select(["doc_id", "text_hash"]).take(pa.array(which)).combine_chunks()
+    return pa.RecordBatch.from_arrays(
+        [*(c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in keys.columns), pa.array(first), pa.array(stop - run)],
+        names=["doc_id", "text_hash", "first", "n"])
 
 
-def _chunks(frames: Iterator[pd.DataFrame], chunk: int) -> Iterator[pd.DataFrame]:
-    """Whole groups of equal ``part`` (rows come sorted by it) of about ``chunk`` bytes, without repeated units."""
-    held: list[pd.DataFrame] = []
+def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Table]:
+    """Whole groups of equal ``part`` (rows come sorted by it) of about ``chunk`` bytes."""
+    held: list[pa.RecordBatch] = []
     size = 0
-    for frame in frames:
-        if not len(frame):
+    for b in batches:
+        if not b.num_rows:
             continue
-        held.append(frame)
-        size += int(frame["bytes"].map(len).sum())
+        held.append(b)
+        size += b.column("bytes").nbytes
         if size >= chunk:
-            whole = pd.concat(held, ignore_index=True)
-            last = whole["part"] == whole["part"].iloc[-1]
-            if not last.all():
-                yield whole[~last]
-                held = [whole[last]]
-                size = int(held[0]["bytes"].map(len).sum())
-            else:
-                held = [whole]
+            whole = pa.Table.from_batches(held)
+            part = whole.column("part").to_numpy()
+            cut_at = int(np.searchsorted(part, part[-1]))  # the last group may go on
+            if cut_at:
+                yield whole.slice(0, cut_at)
+                rest = whole.slice(cut_at).combine_chunks()
+                held, size = rest.to_batches(), rest.column("bytes").nbytes
     if held:
-        yield pd.concat(held, ignore_index=True)
+        yield pa.Table.from_batches(held)
 
 
-def repeats(df: DataFrame, length: int = 200, gram: int = 64, text_col: str = "text", most_units: int = 4096) -> DataFrame:
-    """``(t1, t2, runs)``: for each distinct text with a repeat its runs ``(first, n)`` of repeated starts, in bytes.
+def repeats(df: DataFrame, length: int = 200, gram: int = 32, id_col: str = "doc_id", text_col: str = "text", most_units: int = 4096) -> DataFrame:
+    """``(doc_id, text_hash, runs)``: for each text with a repeat its runs ``(first, n)`` of repeated starts, in bytes.
 
-    ``t1, t2`` are the text's two hashes. ``most_units``: an anchor with more different units than this is split.
+    ``most_units``: an anchor with more different units than this is split.
     """
-    hashed = df.select(F.col(text_col).alias("text"), *_text_hashes(text_col)).where(F.octet_length("text") >= length)
-    counted = hashed.groupBy("t1", "t2").agg(F.count("*").alias("weight"))
-    reps = cut(counted.where("weight > 1"))
-    # texts that occur more than once stand for all their copies: one row of each, then the texts that occur once
-    once = hashed.join(_small(reps), ["t1", "t2"], "left_anti").withColumn("weight", F.lit(1).cast("long"))
-    more = hashed.join(_small(reps), ["t1", "t2"]).groupBy("t1", "t2", "weight").agg(F.min("text").alias("text"))
-    distinct = once.select("text", "t1", "t2", "weight").union(more.select("text", "t1", "t2", "weight"))
-    units = written(distinct.select(F.col("text").cast("binary").alias("text"), "t1", "t2", "weight").mapInArrow(
-        lambda it: _unit_rows(it, length, gram),
-        "anchor long, unit long, t1 long, t2 long, first long, n int, weight long"), "units")
-    met = cut(units.groupBy("anchor").agg(F.sum("weight").alias("all")).where("all > 1").select("anchor"))
+    docs = df.select(F.col(text_col).cast("binary").alias("text"), F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"))
+    docs = docs.where(F.octet_length("text") >= length)
+    keys = docs.select("doc_id", "text_hash").schema
+    units = written(docs.mapInArrow(lambda it: _unit_rows(it, length, gram), StructType(
+        [*StructType.fromDDL("anchor long, unit long"), *keys, *StructType.fromDDL("first long, n int")])), "units")
+    met = cut(units.groupBy("anchor").agg(F.count("*").alias("rows")).where("rows > 1").select("anchor"))
     some = units.join(_small(met), "anchor", "left_semi")
-    kinds = written(some.groupBy("anchor", "unit").agg(F.sum("weight").alias("total")), "unit-kinds")
+    # the different units, how often each occurs, and one of its places
+    kinds = written(some.groupBy("anchor", "unit").agg(
+        F.count("*").alias("total"), *(F.first(c).alias(c) for c in ("doc_id", "text_hash", "first", "n"))), "unit-kinds")
     # units that occur twice repeat from end to end
-    whole = some.join(kinds.where("total > 1").select("anchor", "unit"), ["anchor", "unit"], "left_semi").select("t1", "t2", "first", F.col("n").cast("long").alias("n"))
+    twice = kinds.where("total > 1").select("anchor", "unit")
+    whole = some.join(twice, ["anchor", "unit"], "left_semi").select("doc_id", "text_hash", "first", F.col("n").cast("long").alias("n"))
     several = kinds.groupBy("anchor").agg(F.count("*").alias("units"), F.min("total").alias("least")).where("units > 1 and least = 1")
-    # one place of each unit: the row with the least text hash; of a text's several places the first
-    place = some.join(kinds.join(several, "anchor").select("anchor", "unit", "total", "units"), ["anchor", "unit"])
-    at = (place.groupBy("anchor", "unit", "total", "units").agg(F.min(F.struct("t1", "t2", "first", "n")).alias("p"))
-          .select("anchor", "unit", "total", "units", "p.*"))
-    asked = cut(at.groupBy("t1", "t2").agg(F.collect_list(F.struct("anchor", "unit", "total", "units", "first", "n")).alias("asked")))
-    bodies = distinct.select("text", "t1", "t2").join(_small(asked), ["t1", "t2"])
+    asked = cut(kinds.join(several, "anchor").groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).agg(
+        F.collect_list(F.struct("anchor", "total", "units", "first", "n")).alias("asked")))
+    same_doc = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
+    # few documents hold such units: the others go before the texts are shuffled
+    bodies = docs.join(_small(asked.select("id", "hash")), same_doc, "left_semi").join(asked, same_doc)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -271,34 +271,32 @@ def repeats(df: DataFrame, length: int = 200, gram: int = 64, text_col: str = "t
                 b = whole.slice(at, 64)
                 rows: list[tuple] = []
                 for i in range(b.num_rows):
-                    raw, t1, t2 = b.column(0)[i].as_py(), b.column(1)[i].as_py(), b.column(2)[i].as_py()
+                    raw, doc_id, text_hash = (b.column(c)[i].as_py() for c in range(3))
                     for u in b.column(3)[i].as_py():
                         s, n = u["first"], u["n"]
                         if u["units"] <= most_units:
-                            rows.append((u["anchor"], t1, t2, s, u["total"], raw[s:s + n + length - 1]))
+                            rows.append((doc_id, u["anchor"], text_hash, s, u["total"], raw[s:s + n + length - 1]))
                             continue
                         for p in range(s, s + n):  # single starts, together with those that begin alike
                             own = raw[p:p + length]
                             alike = xxhash.xxh64_intdigest(own[:length // 2], u["anchor"] & 0xFFFFFFFF) - (1 << 63)
-                            rows.append((alike, t1, t2, p, u["total"], own))
+                            rows.append((doc_id, alike, text_hash, p, u["total"], own))
                 cols = list(zip(*rows)) or [()] * 6
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.binary())],
-                                                 names=["part", "t1", "t2", "first", "weight", "bytes"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cols[0], b.column(1).type), *(pa.array(c, pa.int64()) for c in cols[1:5]), pa.array(cols[5], pa.binary())],
+                    names=["doc_id", "part", "text_hash", "first", "weight", "bytes"])
 
-    fetched = (bodies.select(F.col("text").cast("binary").alias("text"), "t1", "t2", "asked").mapInArrow(
-        fetch, "part long, t1 long, t2 long, first long, weight long, bytes binary")
+    fetched = (bodies.select("text", "doc_id", "text_hash", "asked").mapInArrow(fetch, StructType(
+        [keys["doc_id"], *StructType.fromDDL("part long, text_hash long, first long, weight long, bytes binary")]))
         .repartition("part").sortWithinPartitions("part"))
+    out = StructType([*keys, *StructType.fromDDL("first long, n long")])
 
-    def sort(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for chunk in _chunks(frames, _CHUNK):
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches, _CHUNK):
             yield _sorted_units(chunk, length)
 
-    within = fetched.mapInPandas(sort, "t1 long, t2 long, first long, n long")
-    return whole.union(within).groupBy("t1", "t2").agg(F.collect_set(F.struct("first", "n")).alias("runs"))
-
-
-def _text_hashes(text_col: str) -> tuple:
-    return F.xxhash64(text_col).alias("t1"), F.xxhash64(F.lit(1), text_col).alias("t2")
+    within = fetched.mapInArrow(sort, out)
+    return whole.union(within).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "n")).alias("runs"))
 
 
 def _small(keys: DataFrame) -> DataFrame:
@@ -321,12 +319,12 @@ def _apply(raw: bytes, runs: list[dict] | None, length: int) -> tuple[int, int,
 
 
 def _with_runs(df: DataFrame, length: int, gram: int, id_col: str, text_col: str) -> DataFrame:
-    found = repeats(df, length, gram, text_col)
-    rows = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"), *_text_hashes(text_col))
-    return rows.join(found, ["t1", "t2"], "left").select("doc_id", "text", "runs")
+    found = repeats(df, length, gram, id_col, text_col).withColumnsRenamed({"doc_id": "id", "text_hash": "hash"})
+    rows = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    return rows.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")), "left").select("doc_id", "text", "runs")
 
 
-def remove_repeats(df: DataFrame, length: int = 200, gram: int = 64, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = True) -> DataFrame:
+def remove_repeats(df: DataFrame, length: int = 200, gram: int = 32, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = True) -> DataFrame:
     """Per row ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, if asked for, the remaining bytes ``kept``."""
     rows = _with_runs(df, length, gram, id_col, text_col)
     schema = rows.select("doc_id").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
