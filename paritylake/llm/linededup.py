@@ -37,8 +37,10 @@ _BROADCAST_KEYS = 2_000_000
 
 def occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
     """``(doc_id, text_hash, line_no, line, h)`` of every line that takes part."""
-    lines = F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"))
-    return (df.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), lines.alias("line_no", "line"))
+    # hash and split first: beside the generator they would be done for every line of a text
+    split = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
+                      F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("lines"))
+    return (split.select("doc_id", "text_hash", F.posexplode("lines").alias("line_no", "line"))
             .where(F.length("line") >= min_chars).withColumn("h", F.xxhash64("line")))
 
 
@@ -47,30 +49,30 @@ def _small(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= _BROADCAST_KEYS else keys
 
 
-def _key(length: Column, segment: int, start: Column, size: Column) -> Column:
-    return F.xxhash64(length, F.lit(segment), F.substring(F.col("line"), start + 1, size))
+def probes(tau: int) -> list[tuple[int, int, int]]:
+    """``(shorter, segment, shift)``: what a line looks up. For partners ``shorter`` characters shorter, the segment's place
+    in the partner moved by ``shift``: edits left of segment i number at most i, right of it at most tau - i.
 
-
-def segment_keys(tau: int) -> Column:
-    """Array of ``(key, is_index)``: the line's own segments, and its probes for partners of its length or shorter.
-
-    An own segment also probes for partners of equal length at the same place, so that probe is not repeated.
+    (0, i, 0) are the line's own segments, which it also enters in the index.
     """
-    m, out = tau + 1, []
-    n = F.length("line")
-    for shorter in range(tau + 1):
-        length = n - shorter
-        size, longer = F.floor(length / m).cast("int"), F.pmod(length, F.lit(m))
-        for i in range(m):
-            start = size * i + F.greatest(F.lit(0), i - (m - longer))
-            wide = size + (F.lit(i) >= m - longer).cast("int")
-            # edits to the left of segment i number at most i, to its right at most tau - i
-            for shift in range(max(-i, shorter - (tau - i)), min(i, shorter + tau - i) + 1):
-                own = shorter == 0 and shift == 0
-                at = start + shift
-                inside = (at >= 0) & (at + wide <= n)
-                out.append(F.when(inside, F.struct(_key(length, i, at, wide).alias("key"), F.lit(own).alias("is_index"))))
-    return F.array(*out)
+    return [(shorter, i, shift) for shorter in range(tau + 1) for i in range(tau + 1)
+            for shift in range(max(-i, shorter - (tau - i)), min(i, shorter + tau - i) + 1)]
+
+
+def segment_rows(lines: DataFrame, tau: int) -> DataFrame:
+    """``(h, key, is_index)`` of every line: a constant list of probes is exploded and each row cuts out its one segment."""
+    m = tau + 1
+    table = F.array(*(F.struct(F.lit(d).alias("shorter"), F.lit(i).alias("i"), F.lit(x).alias("shift")) for d, i, x in probes(tau)))
+    rows = (lines.select("h", "line", F.length("line").alias("n"))
+            .select("h", "line", "n", F.explode(table).alias("p")).select("h", "line", "n", "p.*")
+            .withColumn("length", F.col("n") - F.col("shorter")))
+    size, plain = F.call_function("div", F.col("length"), F.lit(m)).cast("int"), F.lit(m) - F.pmod("length", F.lit(m))
+    rows = rows.withColumn("size", size).withColumn("plain", plain)  # the first ``plain`` segments have ``size`` characters
+    start = F.col("size") * F.col("i") + F.greatest(F.lit(0), F.col("i") - F.col("plain")) + F.col("shift")
+    wide = F.col("size") + (F.col("i") >= F.col("plain")).cast("int")
+    rows = rows.withColumn("start", start).withColumn("wide", wide).where("start >= 0 and start + wide <= n and length >= 0")
+    key = F.xxhash64("length", "i", F.substring(F.col("line"), F.col("start") + 1, F.col("wide")))
+    return rows.select("h", key.alias("key"), ((F.col("shorter") == 0) & (F.col("shift") == 0)).alias("is_index"))
 
 
 def within(a: Column, b: Column, tau: int) -> Column:
@@ -80,11 +82,10 @@ def within(a: Column, b: Column, tau: int) -> Column:
     """
     width = 2 * tau + 1
     full = (1 << width) - 1
-    chars_a, chars_b = F.split(a, ""), F.split(b, "")
 
-    def equal(j: Column) -> Column:
-        c = F.get(chars_b, j)
-        bits = (F.when(F.get(chars_a, j - tau + k).eqNullSafe(c) & (j + k >= tau), 1 << k).otherwise(0) for k in range(width))
+    def equal(p: Column, j: Column) -> Column:
+        c = F.get(p["b"], j)
+        bits = (F.when(F.get(p["a"], j - tau + k).eqNullSafe(c) & (j + k >= tau), 1 << k).otherwise(0) for k in range(width))
         return reduce(lambda x, y: x.bitwiseOR(y), bits)
 
     def step(acc: Column, eq: Column) -> Column:
@@ -100,15 +101,21 @@ def within(a: Column, b: Column, tau: int) -> Column:
 
     start = F.struct(*(F.lit(((1 << (d + 1)) - 1) << tau).bitwiseAND(F.lit(full)).alias(f"r{d}") for d in range(tau + 1)))
     last = F.length(a) - F.length(b) + tau
-    columns = F.when(F.length(b) > 0, F.transform(F.sequence(F.lit(0), F.length(b) - 1), equal)).otherwise(F.array().cast("array<int>"))
-    end = F.aggregate(columns, start, step, lambda acc: acc[f"r{tau}"])
+
+    def end(p: Column) -> Column:
+        columns = F.when(F.size(p["b"]) > 0, F.transform(F.sequence(F.lit(0), F.size(p["b"]) - 1), lambda j: equal(p, j)))
+        return F.aggregate(F.coalesce(columns, F.array().cast("array<int>")), start, step, lambda acc: acc[f"r{tau}"])
+
+    # the characters are bound to a lambda variable: inside the loops they would be split anew at every step
+    chars = F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b"))
+    reached = F.get(F.transform(F.array(chars), end), F.lit(0))
     return F.when(F.abs(F.length(a) - F.length(b)) > tau, F.lit(False)).otherwise(
-        F.call_function("shiftright", end, last).bitwiseAND(F.lit(1)) == 1)
+        F.call_function("shiftright", reached, last).bitwiseAND(F.lit(1)) == 1)
 
 
 def candidate_pairs(lines: DataFrame, tau: int) -> DataFrame:
     """Distinct ``(a, b)`` of line hashes that share a segment key; ``a`` is the line whose segment it is."""
-    rows = lines.select("h", F.explode(segment_keys(tau)).alias("k")).where("k is not null").select("h", "k.key", "k.is_index")
+    rows = segment_rows(lines, tau)
     met = cut(rows.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("key"))
     again = cut(rows.join(_small(met), "key", "left_semi").distinct())
     index = again.where("is_index").select("key", F.col("h").alias("a"))
