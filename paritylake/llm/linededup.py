@@ -103,7 +103,7 @@ def within(a: Column, b: Column, tau: int) -> Column:
     last = F.length(a) - F.length(b) + tau
 
     def end(p: Column) -> Column:
-        columns = F.when(F.size(p["b"]) > 0, F.transform(F.sequence(F.lit(0), F.size(p["b"]) - 1), lambda j: equal(p, j)))
+        columns = F.when(F.length(b) > 0, F.transform(F.sequence(F.lit(0), F.length(b) - 1), lambda j: equal(p, j)))
         return F.aggregate(F.coalesce(columns, F.array().cast("array<int>")), start, step, lambda acc: acc[f"r{tau}"])
 
     # the characters are bound to a lambda variable: inside the loops they would be split anew at every step
