@@ -113,25 +113,33 @@ def within(a: Column, b: Column, tau: int) -> Column:
         F.call_function("shiftright", reached, last).bitwiseAND(F.lit(1)) == 1)
 
 
-def candidate_pairs(lines: DataFrame, tau: int) -> DataFrame:
-    """Distinct ``(a, b)`` of line hashes that share a segment key; ``a`` is the line whose segment it is."""
-    rows = segment_rows(lines, tau)
+def letter_parity(line: Column) -> Column:
+    """64 bits: the parity of the number of characters whose code point ends in 0, 1, ... 63. An edit changes two at most."""
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c).bitwiseAND(F.lit(63)))
+    return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), lambda acc, c: acc.bitwiseXOR(bit(c)))
+
+
+def candidates(lines: DataFrame, tau: int) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(key, h, is_index)`` of the segment keys that two different lines meet, and their lines ``(h, line, first, parity)``."""
+    rows = written(segment_rows(lines, tau), "line-segments")
     met = cut(rows.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("key"))
     again = cut(rows.join(_small(met), "key", "left_semi").distinct())
-    index = again.where("is_index").select("key", F.col("h").alias("a"))
-    probe = again.select("key", F.col("h").alias("b"))
-    return index.join(probe, "key").where("a <> b").select("a", "b").distinct()
+    asked = cut(again.select("h").distinct())
+    known = (lines.join(_small(asked), "h", "left_semi").groupBy("h")
+             .agg(F.min("line").alias("line"), F.min(F.struct("doc_id", "text_hash", "line_no")).alias("first")))
+    return again, cut(known.withColumn("parity", letter_parity(F.col("line"))))
 
 
 def line_links(df: DataFrame, tau: int = 2, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
     """``(a, b, first_a, first_b)``: every pair of different lines within ``tau`` edits, by line hash, with the first
     occurrence of each."""
-    lines = occurrences(df, id_col, text_col, min_chars)
-    pairs = cut(candidate_pairs(lines, tau))
-    asked = cut(pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct())
-    known = (lines.join(_small(asked), "h", "left_semi").groupBy("h")
-             .agg(F.min("line").alias("line"), F.min(F.struct("doc_id", "text_hash", "line_no")).alias("first")))
-    known = cut(known)
+    again, known = candidates(occurrences(df, id_col, text_col, min_chars), tau)
+    rows = again.join(known.select("h", "parity"), "h")
+    index = rows.where("is_index").select("key", F.col("h").alias("a"), F.col("parity").alias("pa"))
+    probe = rows.select("key", F.col("h").alias("b"), F.col("parity").alias("pb"))
+    # partners within tau edits differ in 2 tau parities at most: most lines that merely share a segment end here
+    alike = (F.col("a") != F.col("b")) & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 2 * tau)
+    pairs = index.join(probe, (index["key"] == probe["key"]) & alike).select("a", "b").distinct()
     left = known.select(F.col("h").alias("a"), F.col("line").alias("line_a"), F.col("first").alias("first_a"))
     right = known.select(F.col("h").alias("b"), F.col("line").alias("line_b"), F.col("first").alias("first_b"))
     both = pairs.join(left, "a").join(right, "b")
@@ -163,33 +171,40 @@ def _marked(df: DataFrame, verdicts: DataFrame, id_col: str, text_col: str) -> D
         F.sort_array(F.collect_set(F.struct("line_no", "is_copy", "is_near", "links"))).alias("_v"))
     rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_doc"), F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text"))
     both = rows.join(v, F.col("_id").eqNullSafe(F.col("_vid")) & (F.col("_text") == F.col("_vtext")), "left")
-    both = both.withColumn("_lines", F.split(F.coalesce(F.col("_doc").getField(text_col), F.lit("")), "\n"))
-    out = F.transform(F.filter(F.coalesce("_v", F.array().cast(v.schema["_v"].dataType)), lambda x: x["is_copy"] | x["is_near"]), lambda x: x["line_no"])
+    body = F.coalesce(F.col("_doc").getField(text_col), F.lit(""))
+    both = both.withColumn("_lines", F.when(F.col("_v").isNotNull(), F.split(body, "\n")))  # a text without verdicts stays whole
+    out = F.transform(F.filter("_v", lambda x: x["is_copy"] | x["is_near"]), lambda x: x["line_no"])
     # the stretches between dropped lines
     both = both.withColumn("_edges", F.concat(F.array(F.lit(-1)), out, F.array(F.size("_lines"))))
     kept = F.flatten(F.transform(F.sequence(F.lit(0), F.size("_edges") - 2), lambda t: F.slice(
         "_lines", F.get("_edges", t) + 2, F.get("_edges", t + 1) - F.get("_edges", t) - 1)))
-    return both.withColumn("_kept", kept)
+    return both.withColumn("_kept", F.when(F.col("_v").isNotNull(), kept))
 
 
 def summarise(df: DataFrame, tau: int = 2, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
     """Per row: ``doc_id, n_lines, n_copies, n_near, n_links, kept_sha256`` (of the remaining lines joined by newlines)."""
     slim = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     both = _marked(slim, line_verdicts(slim, tau, min_chars=min_chars), "doc_id", "text")
+    body = F.coalesce(F.col("_doc").getField("text"), F.lit(""))
 
     def n(which) -> Column:
         return F.coalesce(F.size(F.filter("_v", which)), F.lit(0)).cast("long")
 
     links = F.coalesce(F.aggregate("_v", F.lit(0).cast("long"), lambda acc, x: acc + x["links"]), F.lit(0)).cast("long")
+    n_lines = F.octet_length(body) - F.octet_length(F.replace(body, F.lit("\n"))) + 1
     return both.select(
-        F.col("_id").alias("doc_id"), F.size("_lines").cast("long").alias("n_lines"), n(lambda x: x["is_copy"]).alias("n_copies"),
-        n(lambda x: ~x["is_copy"] & x["is_near"]).alias("n_near"), links.alias("n_links"),
-        F.sha2(F.array_join("_kept", "\n").cast("binary"), 256).alias("kept_sha256"))
+        F.col("_id").alias("doc_id"), n_lines.cast("long").alias("n_lines"),
+        F.when(F.col("_v").isNull(), F.lit(0).cast("long")).otherwise(n(lambda x: x["is_copy"])).alias("n_copies"),
+        F.when(F.col("_v").isNull(), F.lit(0).cast("long")).otherwise(n(lambda x: ~x["is_copy"] & x["is_near"])).alias("n_near"),
+        links.alias("n_links"),
+        F.sha2(F.coalesce(F.array_join("_kept", "\n"), body).cast("binary"), 256).alias("kept_sha256"))
 
 
 def dedup(df: DataFrame, tau: int = 2, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
     """The rows with the dropped lines taken out of their text; other columns unchanged. Rows left without any line go."""
     both = _marked(df, line_verdicts(df, tau, id_col, text_col, min_chars), id_col, text_col)
-    whole = F.size("_kept") == F.size("_lines")
+    whole = F.col("_v").isNull() | (F.size("_kept") == F.size("_lines"))
     body = F.when(whole, F.col("_doc").getField(text_col)).otherwise(F.array_join("_kept", "\n"))
-    return both.where(F.size("_kept") > 0).select(F.col("_doc").withField(text_col, body).alias("_doc")).select("_doc.*")
+    # the number of kept lines is told from the edges, so that the filter does not build the lines again
+    some = F.col("_v").isNull() | (F.size("_lines") > F.size("_edges") - 2)
+    return both.where(some).select(F.col("_doc").withField(text_col, body).alias("_doc")).select("_doc.*")
