@@ -2,10 +2,12 @@
 
 Canonical text (one rule set, used on both sides of every comparison):
 
-* integers, strings, booleans, dates: their plain text;
-* floats: ``round(x * 10^float_decimals)`` as an integer text, with
-  NaN / Inf / -Inf spelled out;
-* decimals: fixed scale 9 text, so 1.5 and 1.50 agree across declared scales;
+* numbers share one form: plain digits, no trailing zeros after the point, no
+  ``-0``, so 1.5 as DECIMAL(12,2), DECIMAL(38,18) or DOUBLE and 2 as INT or
+  DECIMAL agree. Integers and decimals are exact at any scale; floats are
+  rounded to ``float_decimals`` places, with NaN / Inf / -Inf spelled out;
+* strings, booleans, dates: their plain text. With ``coerce_numeric`` a
+  string that reads as a number takes the number's form;
 * timestamps: whole epoch seconds in UTC (floor — truncated to the second);
 * binary: lower-case hex;
 * arrays ``[a,b]``, structs ``{name=v,...}`` with fields sorted by name,
@@ -32,7 +34,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 # fixed values of the canonical form
 NULL_TOKEN = "-"
 FLOAT_DECIMALS = 6
-DECIMAL_TEXT_TYPE = "decimal(38,9)"
+NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$"
+EXPONENT_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]+\s*$"
 LONG_SAFE = 9.0e18
 LANE_HEX_DIGITS = 15
 
@@ -40,30 +43,64 @@ _INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATS = (T.FloatType, T.DoubleType)
 
 
+def _stripped(text: Column) -> Column:
+    """Plain decimal text (with a point) without trailing zeros."""
+    return F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
+
+
+def float_text(c: Column, float_decimals: int = FLOAT_DECIMALS) -> Column:
+    """Number form of a float rounded to ``float_decimals`` places."""
+    unit = 10 ** float_decimals
+    d = c.cast("double")
+    y = d * F.lit(float(unit))
+    # half away from zero on the binary value, in long arithmetic (Spark's
+    # round() on doubles goes through BigDecimal and is far slower)
+    t = y.try_cast("bigint")
+    frac = y - t.cast("double")
+    r = t + F.when(frac >= 0.5, F.lit(1)).when(frac <= -0.5, F.lit(-1)).otherwise(F.lit(0))
+    size = F.abs(r)
+    plain = F.concat(F.when(r < 0, F.lit("-")).otherwise(F.lit("")), F.call_function("div", size, F.lit(unit)).cast("string"), F.lit("."),
+                     F.lpad((size % F.lit(unit)).cast("string"), float_decimals, "0"))
+    # beyond the long range a double has no place after the point left to round
+    large = F.coalesce(_stripped(d.try_cast("decimal(38,6)").cast("string")), d.try_cast("decimal(38,0)").cast("string"),
+                       d.cast("string"))
+    return (F.when(F.isnan(d), F.lit("NaN"))
+            .when(d == F.lit(float("inf")), F.lit("Inf"))
+            .when(d == F.lit(float("-inf")), F.lit("-Inf"))
+            .when(F.abs(y) < F.lit(LONG_SAFE), _stripped(plain))
+            .otherwise(large))
+
+
+def numeric_like(c: Column) -> Column:
+    """Does the string read as a number?"""
+    return c.rlike(NUMBER_PATTERN) | (c.rlike(EXPONENT_PATTERN) & c.try_cast("decimal(38,18)").isNotNull())
+
+
+def _number_of_string(c: Column) -> Column:
+    """Number form of a numeric-looking string, of any length; other strings as they are."""
+    t = F.trim(F.regexp_replace(c, r"\s", ""))
+    sign = F.when(t.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    body = F.regexp_replace(t, "^[+-]", "")
+    whole = F.ltrim(F.split_part(body, F.lit("."), F.lit(1)), F.lit("0"))
+    frac = F.rtrim(F.split_part(body, F.lit("."), F.lit(2)), F.lit("0"))
+    digits = F.concat(F.when(whole == "", F.lit("0")).otherwise(whole), F.when(frac == "", F.lit("")).otherwise(F.concat(F.lit("."), frac)))
+    plain = F.when(digits == "0", digits).otherwise(F.concat(sign, digits))
+    return (F.when(c.rlike(NUMBER_PATTERN), plain)
+            .when(c.rlike(EXPONENT_PATTERN), F.coalesce(_stripped(c.try_cast("decimal(38,18)").cast("string")), c))
+            .otherwise(c))
+
+
 def canon_text(c: Column, dtype: T.DataType, float_decimals: int = FLOAT_DECIMALS,
                coerce_numeric: bool = False) -> Column:
     """Canonical text of one value; NULL in gives NULL out."""
     if isinstance(dtype, _INTS):
         return c.cast("string")
     if isinstance(dtype, _FLOATS):
-        d = c.cast("double")
-        y = d * F.lit(float(10 ** float_decimals))
-        # half away from zero on the binary value, in long arithmetic (Spark's
-        # round() on doubles goes through BigDecimal and is far slower)
-        t = y.cast("bigint")
-        frac = y - t.cast("double")
-        rounded = t + F.when(frac >= 0.5, F.lit(1)).when(frac <= -0.5, F.lit(-1)).otherwise(F.lit(0))
-        return (F.when(F.isnan(d), F.lit("NaN"))
-                .when(d == F.lit(float("inf")), F.lit("Inf"))
-                .when(d == F.lit(float("-inf")), F.lit("-Inf"))
-                .when(F.abs(y) < F.lit(LONG_SAFE), rounded.cast("string"))
-                .otherwise(F.round(y).cast("decimal(38,0)").cast("string")))
+        return float_text(c, float_decimals)
     if isinstance(dtype, T.DecimalType):
-        return c.cast(DECIMAL_TEXT_TYPE).cast("string")
+        return _stripped(c.cast("string")) if dtype.scale > 0 else c.cast("string")
     if isinstance(dtype, T.StringType):
-        if coerce_numeric:
-            return F.coalesce(c.try_cast(DECIMAL_TEXT_TYPE).cast("string"), c)
-        return c
+        return _number_of_string(c) if coerce_numeric else c
     if isinstance(dtype, T.BooleanType):
         return c.cast("string")
     if isinstance(dtype, T.DateType):
@@ -102,11 +139,15 @@ def is_fixed_format(dtype: T.DataType) -> bool:
     return isinstance(dtype, _FIXED)
 
 
-def token_of_text(t: Column, dtype: T.DataType) -> Column:
-    """Token from an already computed canonical text (NULL text = NULL value)."""
+def token_of_text(t: Column, dtype: T.DataType, coerce_numeric: bool = False) -> Column:
+    """Token from an already computed canonical text (NULL text = NULL value).
+    A coerced string that reads as a number takes the number's token."""
     if is_fixed_format(dtype):
         return F.coalesce(t, F.lit(NULL_TOKEN))
-    return F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(NULL_TOKEN))
+    prefixed = F.concat(F.length(t).cast("string"), F.lit(":"), t)
+    if coerce_numeric and isinstance(dtype, T.StringType):
+        prefixed = F.when(numeric_like(t), t).otherwise(prefixed)
+    return F.coalesce(prefixed, F.lit(NULL_TOKEN))
 
 
 def token(c: Column, dtype: T.DataType, float_decimals: int = FLOAT_DECIMALS) -> Column:
@@ -134,15 +175,15 @@ def lanes(md5_hex: Column) -> tuple[Column, Column]:
 
 
 def with_row_hash(df: DataFrame, cols: list[str], float_decimals: int = FLOAT_DECIMALS,
-                  keep: list[str] | None = None) -> DataFrame:
+                  keep: list[str] | None = None, coerce_numeric: bool = False) -> DataFrame:
     """Project ``keep`` columns plus the two hash lanes ``h1``, ``h2``."""
     keep = list(keep or [])
     types = [df.schema[c].dataType for c in cols]
     texts = df.select(*[F.col(k) for k in keep],
-                      *[canon_text(F.col(c), t, float_decimals).alias(f"_t{i}")
+                      *[canon_text(F.col(c), t, float_decimals, coerce_numeric).alias(f"_t{i}")
                         for i, (c, t) in enumerate(zip(cols, types))])
     hashed = texts.select(*[F.col(k) for k in keep], F.md5(F.concat_ws(",", *[
-        token_of_text(F.col(f"_t{i}"), t) for i, t in enumerate(types)])).alias("_m"))
+        token_of_text(F.col(f"_t{i}"), t, coerce_numeric) for i, t in enumerate(types)])).alias("_m"))
     h1, h2 = lanes(F.col("_m"))
     return hashed.select(*[F.col(k) for k in keep], h1.alias("h1"), h2.alias("h2"))
 

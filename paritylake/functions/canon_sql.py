@@ -11,16 +11,24 @@ from __future__ import annotations
 from paritylake.functions.canon import FLOAT_DECIMALS, LANE_HEX_DIGITS, NULL_TOKEN
 
 
+def stripped_sql(text: str) -> str:
+    """Plain decimal text without trailing zeros after its point."""
+    return f"(CASE WHEN contains({text}, '.') THEN rtrim(rtrim({text}, '0'), '.') ELSE {text} END)"
+
+
 def text_sql(expr: str, typ: str, float_decimals: int = FLOAT_DECIMALS) -> str:
     if typ in ("int", "bigint", "string_int"):
         return f"CAST({expr} AS VARCHAR)"
     if typ in ("double", "float"):
         d = f"CAST({expr} AS DOUBLE)"
+        unit = 10 ** float_decimals
+        r = f"CAST(round({d} * {float(unit)}) AS HUGEINT)"
+        plain = (f"(CASE WHEN {r} < 0 THEN '-' ELSE '' END || CAST(abs({r}) // {unit} AS VARCHAR) || '.' || "
+                 f"lpad(CAST(abs({r}) % {unit} AS VARCHAR), {float_decimals}, '0'))")
         return (f"(CASE WHEN isnan({d}) THEN 'NaN' WHEN {d} = 'inf'::DOUBLE THEN 'Inf' "
-                f"WHEN {d} = '-inf'::DOUBLE THEN '-Inf' ELSE CAST(CAST(round({d} * "
-                f"{float(10 ** float_decimals)}) AS DECIMAL(38,0)) AS VARCHAR) END)")
+                f"WHEN {d} = '-inf'::DOUBLE THEN '-Inf' ELSE {stripped_sql(plain)} END)")
     if typ == "decimal":
-        return f"CAST(CAST({expr} AS DECIMAL(38,9)) AS VARCHAR)"
+        return stripped_sql(f"CAST({expr} AS VARCHAR)")
     if typ == "string":
         return f"{expr}"
     if typ in ("bool", "date"):

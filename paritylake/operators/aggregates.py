@@ -3,14 +3,15 @@ totals and null profiles.
 
 Nearest-rank percentiles are exact but never gather a group's rows: values
 are first counted per (group, value) by a partial aggregate, then a running
-sum over the *distinct* values of each group (skew-aware, see
-``windows.running_sum``) finds the first value whose cumulative count
+sum over the *distinct* values of each group (see ``windows.running_sum``) finds the first value whose cumulative count
 reaches ceil(p·N).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from paritylake.functions.canon import canon_text
 
 _EPS = 1e-9
 
@@ -26,7 +27,7 @@ def nearest_rank(df: DataFrame, group_cols: list[str], value: str, ps: list[floa
     gk = F.to_json(F.struct(*[F.col(g) for g in group_cols])) if group_cols else F.lit("")
     c = c.withColumn("_g", gk)
     n = c.groupBy("_g").agg(F.sum("_c").alias("_n"))
-    cum = running_sum(c, "_g", [F.col(value)], F.col("_c"), "_cum").join(n, "_g")
+    cum = running_sum(c, ["_g"], [(value, "asc")], F.col("_c"), "_cum").join(n, "_g")
     aggs = []
     for p, name in zip(ps, names):
         target = F.greatest(F.ceil(F.lit(p) * F.col("_n") - F.lit(_EPS)), F.lit(1))
@@ -45,10 +46,33 @@ def run_stats_fold(run_log: DataFrame, keys: list[str] = ("query_id", "metric"),
 
 
 def control_total(df: DataFrame, col: str) -> DataFrame:
-    """(rows, total): row count and decimal sum; non-numeric values count as 0."""
-    v = F.coalesce(F.col(col).cast("string").try_cast("decimal(38,9)"),
-                   F.lit(0).cast("decimal(38,9)"))
-    return df.agg(F.count(F.lit(1)).cast("bigint").alias("rows"), F.sum(v).alias("total"))
+    """(rows, total text): row count and sum in the number form; non-numeric values count as 0.
+    Integers and decimals are summed at their own scale, strings at 18 places, doubles at 9."""
+    from paritylake.operators.parity import _agg_expr
+    if isinstance(df.schema[col].dataType, T.NumericType):
+        total = F.coalesce(_agg_expr(df, col, "sum")[0], F.lit("0"))
+    else:
+        v = F.coalesce(F.col(col).cast("string").try_cast("decimal(38,18)"), F.lit(0).cast("decimal(38,18)"))
+        total = canon_text(F.coalesce(F.sum(v), F.lit(0).cast("decimal(38,18)")), T.DecimalType(38, 18))
+    return df.agg(F.count(F.lit(1)).cast("bigint").alias("rows"), total.alias("total"))
+
+
+def distinct_counts(df: DataFrame, groups: list[str], counted: dict[str, Column]) -> DataFrame:
+    """COUNT(DISTINCT x) per group for several x: each value is reduced to its distinct (group, value) pairs on its
+    own and the counts are joined on the (NULL-safe) group, so no row is expanded once per counted value."""
+    out = None
+    for alias, value in counted.items():
+        one = (df.select(*groups, value.alias("_v")).distinct().groupBy(*groups)
+               .agg(F.count("_v").cast("bigint").alias(alias)))
+        out = one if out is None else join_groups(out, one, groups)
+    return out
+
+
+def join_groups(a: DataFrame, b: DataFrame, groups: list[str], how: str = "inner") -> DataFrame:
+    """Join two group tables; NULL group values match each other."""
+    b = b.select(*[F.col(g).alias(f"_b_{g}") for g in groups], *[c for c in b.columns if c not in groups])
+    on = [F.col(g).eqNullSafe(F.col(f"_b_{g}")) for g in groups]
+    return a.join(b, on, how).drop(*[f"_b_{g}" for g in groups])
 
 
 def null_profile(df: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ ORACLE_TS_FORMAT = "yyyyMMddHHmmss"
 # violation classes of V6
 MATCHED, NULL_OK, NULL_MISMATCH = "matched", "null_ok", "null_mismatch"
 NULLED_OK, NOT_NULLED, LYING, MISMATCH = "nulled_ok", "not_nulled", "lying", "mismatch"
+TARGET_CONFLICT = "target_conflict"
 
 
 def year_bounds(unit: str, years: tuple[int, int]) -> tuple[int, int]:
@@ -48,26 +49,37 @@ def compact_to_ts(c: Column) -> Column:
     return F.try_to_timestamp(c, F.lit(ORACLE_TS_FORMAT)).cast("timestamp_ntz")
 
 
+def _one_per_key(tgt: DataFrame, values: list[str]) -> DataFrame:
+    """One row per ``_key``: each value, whether the key's rows disagree on it, and the number of rows."""
+    aggs = [F.count(F.lit(1)).cast("bigint").alias("_rows")]
+    for v in values:
+        aggs += [F.min(v).alias(v), (~F.min(v).eqNullSafe(F.max(v)) | ((F.count(v) > 0) & (F.count(v) < F.count(F.lit(1)))))
+                 .alias(f"{v}_conflict")]
+    return tgt.groupBy("_key").agg(*aggs)
+
+
 def epoch_classes(src: DataFrame, tgt: DataFrame, key: str, src_col: str, tgt_col: str,
                   unit: str, expect_years: tuple[int, int],
                   sane_years: tuple[int, int] = SANE_YEARS, oor_null: bool = True) -> DataFrame:
     """V6 per source row: (key, src value, tgt value, class).
 
-    Every source key is looked up on the target (left join; target-only keys
-    ignored). NULL in must be NULL out; outside the sane years the target must
+    Every source key is looked up on the target (left join, NULL keys equal;
+    target-only keys ignored). A target that repeats a key with one value
+    counts once; with several values it is a conflict. NULL in must be NULL out; outside the sane years the target must
     be NULL (``oor_null``); inside but outside the expected years the column
     is lying about its unit; otherwise equal to the second.
     """
     lo, hi = year_bounds(unit, sane_years)
     s = src.select(F.col(key), F.col(src_col).cast("bigint").alias("_src"))
-    t = tgt.select(F.col(key), F.col(tgt_col).cast("timestamp").alias("_tgt"))
-    j = s.join(t, key, "left")
+    t = _one_per_key(tgt.select(F.col(key).alias("_key"), F.col(tgt_col).cast("timestamp").alias("_tgt")), ["_tgt"])
+    j = s.join(t, F.col(key).eqNullSafe(F.col("_key")), "left")
     v = F.col("_src")
     conv = epoch_to_ts(v, unit, sane_years)
     in_sane = (v >= lo) & (v < hi)
     yr = F.year(conv)
     sec = lambda c: F.date_trunc("second", c)
-    cls = (F.when(v.isNull() & F.col("_tgt").isNull(), F.lit(NULL_OK))
+    cls = (F.when(F.col("_tgt_conflict"), F.lit(TARGET_CONFLICT))
+           .when(v.isNull() & F.col("_tgt").isNull(), F.lit(NULL_OK))
            .when(v.isNull(), F.lit(NULL_MISMATCH))
            .when(~in_sane & F.col("_tgt").isNull(), F.lit(NULLED_OK if oor_null else NOT_NULLED))
            .when(~in_sane, F.lit(NOT_NULLED if oor_null else MATCHED))
@@ -122,15 +134,17 @@ def epoch_quarantine(df: DataFrame, col: str, unit: str, id_col: str, table_name
 def decimal_roundtrip(src: DataFrame, tgt: DataFrame, key: str, cols: list[str],
                       scale_type: str = "decimal(38,18)") -> tuple[DataFrame, DataFrame]:
     """V8: per key and column, numeric equality after a common decimal cast
-    (1.50 = 1.5); a missing target row counts as NULL. Returns
-    (violations (key, column, src_value, tgt_value), per-column counts)."""
+    (1.50 = 1.5); a missing target row counts as NULL, a key whose target rows
+    disagree is a violation, NULL keys equal. Returns
+    (violations (key, column, src_value, tgt_value, tgt_rows), per-column counts)."""
     s = src.select(key, *[F.col(c).cast(scale_type).alias(f"_s_{c}") for c in cols])
-    t = tgt.select(key, *[F.col(c).cast(scale_type).alias(f"_t_{c}") for c in cols])
-    j = s.join(t, key, "left")
+    t = _one_per_key(tgt.select(F.col(key).alias("_key"), *[F.col(c).cast(scale_type).alias(f"_t_{c}") for c in cols]), [f"_t_{c}" for c in cols])
+    j = s.join(t, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn("tgt_rows", F.coalesce("_rows", F.lit(0).cast("bigint")))
     pairs = F.array(*[F.struct(F.lit(c).alias("column"),
                                F.col(f"_s_{c}").alias("src_value"),
-                               F.col(f"_t_{c}").alias("tgt_value")) for c in cols])
-    long = j.select(key, F.inline(pairs))
-    bad = long.where(~F.col("src_value").eqNullSafe(F.col("tgt_value")))
+                               F.col(f"_t_{c}").alias("tgt_value"),
+                               F.coalesce(f"_t_{c}_conflict", F.lit(False)).alias("conflict")) for c in cols])
+    long = j.select(key, "tgt_rows", F.inline(pairs))
+    bad = long.where(F.col("conflict") | ~F.col("src_value").eqNullSafe(F.col("tgt_value"))).drop("conflict")
     counts = bad.groupBy("column").agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
     return bad, counts

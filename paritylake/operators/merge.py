@@ -1,13 +1,14 @@
 """Change feeds and MERGE without a transactional table: D1 ``delta_latest``,
-V10 ``merge_apply`` (the MERGE as a DataFrame fold), V11 idempotency,
+V10 ``merge_apply`` (the MERGE as DataFrame joins), V11 idempotency,
 J5 delete-keys-present and X2 upsert split.
 
-The fold is one full outer join on the merge keys: matched + delete → row
-dropped; matched otherwise → delta values; unmatched target → kept; unmatched
-delta with a non-NULL op other than delete → inserted. AQE picks broadcast vs
-sort-merge from runtime sizes, so a large delta is never forced into memory.
-The target is never overwritten in place: merge results are new DataFrames
-(write them to a new path and swap).
+The fold is a LEFT join of the target to the delta (matched + delete → row
+dropped; matched otherwise → delta values; unmatched → kept) and the delta rows
+whose key the target lacks (a non-NULL op other than delete → inserted). Neither
+is a full outer join: AQE may broadcast a small delta or split a skewed key of
+the target. A delta key that is NULL or occurs twice is refused: it changes
+nothing and ``merge_refusals`` reports it. The target is never overwritten in
+place: merge results are new DataFrames (write them to a new path and swap).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from paritylake.operators.parity import fingerprint_pair
+from paritylake.session import materialize
 
 
 def delta_latest(delta: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -26,46 +28,55 @@ def delta_latest(delta: DataFrame, keys: list[str], order: list[str]) -> DataFra
     return r.select(*keys, *[F.col("_r").getField(c).alias(c) for c in other])
 
 
+def _keys_of_delta(delta: DataFrame, keys: list[str], cols: list[str], op: str) -> DataFrame:
+    """One row per acceptable delta key: not NULL, and met once."""
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    values = [F.first(c).alias(f"_d_{c}") for c in cols if c not in keys]
+    return (delta.where(whole).groupBy(*keys).agg(F.count(F.lit(1)).alias("_d_rows"), F.first(op).alias("_d_op"), *values)
+            .where("_d_rows = 1").drop("_d_rows"))
+
+
+def merge_refusals(delta: DataFrame, keys: list[str], target: str = "delta") -> DataFrame:
+    """Two check rows: delta rows with a NULL key, and rows of keys met more than once (ERROR if there are any)."""
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    per = delta.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(null_key.alias("_null"), "_n")
+    one = per.agg(F.coalesce(F.sum(F.when(F.col("_null"), F.col("_n"))), F.lit(0)).alias("null_keys"),
+                  F.coalesce(F.sum(F.when(~F.col("_null") & (F.col("_n") > 1), F.col("_n"))), F.lit(0)).alias("repeated_keys"))
+    rows = one.selectExpr("stack(2, 'null_keys', null_keys, 'repeated_keys', repeated_keys) AS (reason, n)")
+    return rows.select(F.lit("merge_apply").alias("pattern"), F.concat(F.lit(f"{target}:"), "reason").alias("target"),
+                       F.when(F.col("n") == 0, "PASS").otherwise("ERROR").alias("status"), F.lit("0").alias("expected"),
+                       F.col("n").cast("string").alias("actual"), F.lit(False).alias("measurement"))
+
+
 def merge_apply(target: DataFrame, delta: DataFrame, keys: list[str], op: str = "op",
                 delete: str = "D", action_col: str = "_action") -> DataFrame:
-    """The corpus MERGE as a fold. ``delta`` must hold one row per key
-    (reduce with ``delta_latest`` first); NULL delta keys are rejected (they
-    never match and would re-insert on every run)."""
+    """The corpus MERGE. ``delta`` should hold one row per key (reduce with ``delta_latest`` first); keys that
+    are NULL or met twice are refused."""
     cols = [c for c in target.columns if c != action_col]
-    d = delta.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
-    d = d.select(*keys, *[F.col(c).alias(f"_d_{c}") for c in cols if c not in keys],
-                 F.col(op).alias("_d_op"), F.lit(True).alias("_d_hit"))
-    t = target.select(*cols).withColumn("_t_hit", F.lit(True))
-    j = t.join(d, keys, "full")
-    hit_t, hit_d = F.col("_t_hit").isNotNull(), F.col("_d_hit").isNotNull()
-    is_del = F.col("_d_op") == F.lit(delete)
-    action = (F.when(hit_t & hit_d & is_del, F.lit("delete"))
-              .when(hit_t & hit_d, F.lit("update"))
-              .when(hit_t, F.lit("keep"))
-              .when(hit_d & ~is_del, F.lit("insert"))          # NULL op: not inserted
-              .otherwise(F.lit("skip")))
-    out = j.withColumn(action_col, action).where(F.col(action_col).isin("update", "keep", "insert"))
-    sel = []
-    for c in cols:
-        if c in keys:
-            sel.append(F.col(c))
-        else:
-            sel.append(F.when(F.col(action_col).isin("update", "insert"), F.col(f"_d_{c}"))
-                       .otherwise(F.col(c)).alias(c))
-    return out.select(*sel, F.col(action_col))
+    d = _keys_of_delta(delta, keys, cols, op).withColumn("_d_hit", F.lit(True))
+    t = target.select(*cols)
+    hit, is_del = F.col("_d_hit").isNotNull(), F.col("_d_op").eqNullSafe(F.lit(delete))
+    kept = t.join(d, keys, "left").where(~(hit & is_del))
+    kept = kept.select(*[F.col(c) if c in keys else F.when(hit, F.col(f"_d_{c}")).otherwise(F.col(c)).alias(c) for c in cols],
+                       F.when(hit, "update").otherwise("keep").alias(action_col))
+    new = d.where(F.col("_d_op") != F.lit(delete)).join(t.select(*keys), keys, "left_anti")     # NULL op: not inserted
+    new = new.select(*[F.col(c if c in keys else f"_d_{c}").alias(c) for c in cols], F.lit("insert").alias(action_col))
+    return kept.unionByName(new)
 
 
 def merge_actions(target: DataFrame, delta: DataFrame, keys: list[str], op: str = "op",
                   delete: str = "D") -> DataFrame:
-    """Counts per merge action (keep / update / insert / delete / skip)."""
-    d = delta.select(*keys, F.col(op).alias("_op"), F.lit(True).alias("_d"))
-    t = target.select(*keys).withColumn("_t", F.lit(True))
-    j = t.join(d, keys, "full")
-    ht, hd = F.col("_t").isNotNull(), F.col("_d").isNotNull()
-    is_del = F.col("_op") == F.lit(delete)
-    a = (F.when(ht & hd & is_del, "delete").when(ht & hd, "update").when(ht, "keep")
-         .when(hd & ~is_del, "insert").otherwise("skip"))
-    return j.groupBy(a.alias("action")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    """Counts per merge action (keep / update / insert / delete / skip); refused delta rows take no action."""
+    d = _keys_of_delta(delta, keys, [], op).withColumn("_d_hit", F.lit(True))
+    t = target.select(*keys)
+    hit, is_del = F.col("_d_hit").isNotNull(), F.col("_d_op").eqNullSafe(F.lit(delete))
+    of_target = t.join(d, keys, "left").select(F.when(hit & is_del, "delete").when(hit, "update").otherwise("keep").alias("action"))
+    of_delta = d.join(t, keys, "left_anti").select(F.when(F.col("_d_op") != F.lit(delete), "insert").otherwise("skip").alias("action"))
+    return of_target.unionByName(of_delta).groupBy("action").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
 def append_merge(target: DataFrame, delta: DataFrame, keys: list[str], op: str = "op",
@@ -89,8 +100,9 @@ def merge_idempotency(target: DataFrame, delta: DataFrame, keys: list[str],
     """Apply the merge twice and compare the two multiset fingerprints,
     then count deleted keys still present. Returns check rows."""
     fn = merge_fn or (lambda t, d: merge_apply(t, d, keys, op, delete).drop("_action"))
-    once = fn(target, delta)
-    twice = fn(once, delta)
+    # each result is read several times (fingerprints, the second merge, the delete check): kept once
+    once = materialize(fn(target, delta))
+    twice = materialize(fn(once, delta))
     cols = once.columns
     pair = fingerprint_pair(once, twice, cols)
     pair = pair.toDF(*[c.replace("src_", "a_").replace("tgt_", "b_") for c in pair.columns])

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from paritylake.checks import CHECK_COLUMNS, check_row, parse_tolerance, union_checks
-from paritylake.functions.canon import bucket_of, with_row_hash
+from paritylake.functions.canon import bucket_of, canon_text, float_text, with_row_hash
 
 
 # ---------------------------------------------------------------- V1
@@ -47,73 +47,94 @@ def rowcount_parity(pairs: list[tuple]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- V2
-_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+# value classes: how two aggregate values are compared
+NUMBER, MOMENT, TEXT = "number", "moment", "text"
+_COMPARE = "decimal(38,18)"
+_EXACT_DOUBLES = 1e20
 
 
-def _agg_expr(df: DataFrame, column: str, fn: str) -> Column:
+def _double_sum(c: Column) -> Column:
+    """Sum of doubles as text: exact over their decimals (order-free) while they are of ordinary size."""
+    d = c.cast("double")
+    exact = F.sum(d.try_cast("decimal(38,9)"))
+    return F.when(F.max(F.abs(d)) < F.lit(_EXACT_DOUBLES), canon_text(exact, T.DecimalType(38, 9))).otherwise(float_text(F.sum(d)))
+
+
+def _agg_expr(df: DataFrame, column: str, fn: str) -> tuple[Column, str]:
+    """(canonical text, value class) of one aggregate; the class follows the column's type, not its text."""
     c = F.col(column)
-    dt = df.schema[column].dataType.simpleString()
-    if fn == "count":
-        return F.count(c).cast("decimal(38,9)")
-    if fn == "count_distinct":
-        return F.count_distinct(c).cast("decimal(38,9)")
+    dt = df.schema[column].dataType
+    if fn in ("count", "count_distinct"):
+        return (F.count(c) if fn == "count" else F.count_distinct(c)).cast("string"), NUMBER
     if fn == "sum":
-        return F.sum(c.cast("decimal(38,9)"))
+        if isinstance(dt, (T.FloatType, T.DoubleType)):
+            return _double_sum(c), NUMBER
+        if isinstance(dt, T.DecimalType):
+            return canon_text(F.sum(c), T.DecimalType(min(38, dt.precision + 10), dt.scale)), NUMBER
+        return F.sum(c.cast("decimal(38,0)")).cast("string"), NUMBER
     if fn in ("min", "max"):
         f = F.min if fn == "min" else F.max
-        if dt.startswith("timestamp"):
-            return f(F.date_trunc("second", c.cast("timestamp")))
-        if dt.startswith(_NUMERIC):
-            return f(c).cast("decimal(38,9)")
-        return f(c)
+        if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+            return f(F.date_trunc("second", c.cast("timestamp"))).cast("string"), MOMENT
+        if isinstance(dt, T.DateType):
+            return f(c).cast("timestamp").cast("string"), MOMENT
+        if isinstance(dt, T.NumericType):
+            return canon_text(f(c), dt), NUMBER
+        return f(c).cast("string"), TEXT
     raise ValueError(f"unknown aggregate {fn}")
 
 
 def aggregate_values(df: DataFrame, specs: list[tuple[str, str]]) -> DataFrame:
-    """All aggregates of ``specs`` in ONE scan, unpivoted to (i, column, fn, value text)."""
-    aggs = [_agg_expr(df, c, fn).cast("string").alias(f"v{i}") for i, (c, fn) in enumerate(specs)]
-    one = df.agg(*aggs)
-    stack = ", ".join(f"{i}, '{c}', '{fn}', v{i}" for i, (c, fn) in enumerate(specs))
-    return one.selectExpr(f"stack({len(specs)}, {stack}) AS (i, col, fn, value)")
+    """All aggregates of ``specs`` in ONE scan, unpivoted to (i, col, fn, value text, kind)."""
+    exprs = [_agg_expr(df, c, fn) for c, fn in specs]
+    one = df.agg(*[e.alias(f"v{i}") for i, (e, _) in enumerate(exprs)])
+    stack = ", ".join(f"{i}, '{c}', '{fn}', v{i}, '{exprs[i][1]}'" for i, (c, fn) in enumerate(specs))
+    return one.selectExpr(f"stack({len(specs)}, {stack}) AS (i, col, fn, value, kind)")
+
+
+def _numbers_within(a: Column, b: Column, allowed: Column) -> Column:
+    """|a - b| <= allowed for two number texts: exact in decimals where they fit, else in doubles."""
+    da, db = a.try_cast(_COMPARE), b.try_cast(_COMPARE)
+    exact = F.try_subtract(da, db)
+    return F.coalesce(F.abs(exact).cast("double") <= allowed,
+                      F.abs(a.try_cast("double") - b.try_cast("double")) <= allowed, F.lit(False))
 
 
 def aggregate_parity(src: DataFrame, tgt: DataFrame, specs: list[tuple],
                      target: str = "table") -> DataFrame:
     """V2: per (column, fn, tol) compare source and target aggregate by position.
 
-    Numeric: |src-tgt| <= tol (absolute or % of |src|); datetime: truncated to
-    the second, tolerance in seconds; other types exact; both NULL equal.
+    Numbers: |src-tgt| <= tol (absolute or % of |src|); moments: truncated to
+    the second, tolerance in seconds; other types, and values of different
+    classes, exact; both NULL equal.
     """
     plain = [(c, fn) for c, fn, *_ in specs]
     tols = {i: parse_tolerance(s[2] if len(s) > 2 else 0) for i, s in enumerate(specs)}
-    a = aggregate_values(src, plain).withColumnRenamed("value", "src_value")
-    b = aggregate_values(tgt, plain).select("i", F.col("value").alias("tgt_value"))
-    j = a.join(b, "i", "full")
-    sd, td = F.col("src_value").try_cast("decimal(38,9)"), F.col("tgt_value").try_cast("decimal(38,9)")
-    sts = F.col("src_value").try_cast("timestamp")
-    tts = F.col("tgt_value").try_cast("timestamp")
+    a = aggregate_values(src, plain).withColumnRenamed("value", "src_value").withColumnRenamed("kind", "src_kind")
+    b = aggregate_values(tgt, plain).select("i", F.col("value").alias("tgt_value"), F.col("kind").alias("tgt_kind"))
+    j = a.join(b, "i")
+    sv, tv = F.col("src_value"), F.col("tgt_value")
     allowed = F.lit(0.0)
     for i, t in tols.items():
-        allowed = F.when(F.col("i") == i, t.allowed(sd) if t.percent is not None
+        allowed = F.when(F.col("i") == i, t.allowed(sv.try_cast("double")) if t.percent is not None
                          else F.lit(t.absolute)).otherwise(allowed)
-    num_ok = F.abs(sd - td).cast("double") <= allowed
-    ts_ok = F.abs(F.unix_seconds(sts) - F.unix_seconds(tts)).cast("double") <= allowed
-    ok = (F.col("src_value").eqNullSafe(F.col("tgt_value"))
-          | (sd.isNotNull() & td.isNotNull() & num_ok)
-          | (sts.isNotNull() & tts.isNotNull() & sd.isNull() & ts_ok))
+    both = lambda kind: (F.col("src_kind") == kind) & (F.col("tgt_kind") == kind)
+    seconds = F.abs(F.unix_seconds(sv.try_cast("timestamp")) - F.unix_seconds(tv.try_cast("timestamp"))).cast("double")
+    ok = (sv.eqNullSafe(tv) | (both(NUMBER) & _numbers_within(sv, tv, allowed))
+          | (both(MOMENT) & F.coalesce(seconds <= allowed, F.lit(False))))
     return j.select(F.lit("aggregate_parity").alias("pattern"),
                     F.concat_ws(".", F.lit(target), F.col("col"), F.col("fn")).alias("target"),
                     F.when(ok, "PASS").otherwise("FAIL").alias("status"),
-                    F.col("src_value").alias("expected"), F.col("tgt_value").alias("actual"),
+                    sv.alias("expected"), tv.alias("actual"),
                     F.lit(False).alias("measurement"), F.col("i"))
 
 
 # ---------------------------------------------------------------- V3
-def fingerprint_pair(src: DataFrame, tgt: DataFrame, cols: list[str]) -> DataFrame:
+def fingerprint_pair(src: DataFrame, tgt: DataFrame, cols: list[str], coerce_numeric: bool = False) -> DataFrame:
     """One row with both sides' (n, s1, s2, x) digests over ``cols``: the two
     hashed scans are tagged, unioned and folded by one partial aggregate."""
-    u = (with_row_hash(src, cols).withColumn("_side", F.lit(1))
-         .unionByName(with_row_hash(tgt, cols).withColumn("_side", F.lit(2))))
+    u = (with_row_hash(src, cols, coerce_numeric=coerce_numeric).withColumn("_side", F.lit(1))
+         .unionByName(with_row_hash(tgt, cols, coerce_numeric=coerce_numeric).withColumn("_side", F.lit(2))))
     aggs = []
     for side, p in ((1, "src_"), (2, "tgt_")):
         on = F.col("_side") == side
@@ -126,9 +147,10 @@ def fingerprint_pair(src: DataFrame, tgt: DataFrame, cols: list[str]) -> DataFra
 
 
 def fingerprint_parity(src: DataFrame, tgt: DataFrame, cols: list[str],
-                       target: str = "table") -> DataFrame:
-    """V3: multiset equality of the canonical rows (order-free, duplicate-aware)."""
-    p = fingerprint_pair(src, tgt, cols)
+                       target: str = "table", coerce_numeric: bool = False) -> DataFrame:
+    """V3: multiset equality of the canonical rows (order-free, duplicate-aware).
+    ``coerce_numeric``: strings that read as numbers count as those numbers."""
+    p = fingerprint_pair(src, tgt, cols, coerce_numeric)
     same = ((F.col("src_n") == F.col("tgt_n")) & (F.col("src_s1") == F.col("tgt_s1"))
             & (F.col("src_s2") == F.col("tgt_s2")) & (F.col("src_x") == F.col("tgt_x")))
     exp = F.concat_ws("/", *[F.col(f"src_{c}").cast("string") for c in ("n", "s1", "s2", "x")])
@@ -138,17 +160,21 @@ def fingerprint_parity(src: DataFrame, tgt: DataFrame, cols: list[str],
 
 # ---------------------------------------------------------------- V4
 def _side_digests(src: DataFrame, tgt: DataFrame, cols: list[str], key: str, n_buckets: int,
-                  group: list, bad: DataFrame | None = None) -> DataFrame:
+                  group: list, bad: DataFrame | None = None, coerce_numeric: bool = False) -> DataFrame:
     """Both sides hashed, tagged, unioned and folded by ONE aggregation on
     ``group``: grouping treats NULL keys as equal, partial aggregation absorbs
-    hot keys and duplicates, and no join is needed."""
+    hot keys and duplicates, and no join is needed.
+
+    With a list of ``bad`` buckets, rows of other buckets go before their row
+    hash is computed: only the key is hashed for them."""
     def side(df, s):
-        return (with_row_hash(df, cols, keep=[key]).withColumn("b", bucket_of(F.col(key), n_buckets))
-                .withColumn("_side", F.lit(s)))
+        rows = df.withColumn("_b", bucket_of(F.col(key), n_buckets))
+        if bad is not None:
+            # bad-bucket list has at most n_buckets+1 rows: a size-bounded broadcast
+            rows = rows.join(F.broadcast(bad.withColumnRenamed("b", "_b")), "_b", "left_semi")
+        return (with_row_hash(rows, cols, keep=[key, "_b"], coerce_numeric=coerce_numeric)
+                .withColumnRenamed("_b", "b").withColumn("_side", F.lit(s)))
     u = side(src, 1).unionByName(side(tgt, 2))
-    if bad is not None:
-        # bad-bucket list has at most n_buckets+1 rows: a size-bounded broadcast, joined once
-        u = u.join(F.broadcast(bad), "b", "left_semi")
     aggs = []
     z = F.lit(0).cast("decimal(38,0)")
     for s, p in ((1, "src_"), (2, "tgt_")):
@@ -165,13 +191,13 @@ def _differs() -> Column:
 
 
 def bucket_compare(src: DataFrame, tgt: DataFrame, cols: list[str], key: str,
-                   n_buckets: int = 256) -> DataFrame:
+                   n_buckets: int = 256, coerce_numeric: bool = False) -> DataFrame:
     """Per-bucket digests of both sides in one aggregate: (b, src_*, tgt_*, differs)."""
-    return _side_digests(src, tgt, cols, key, n_buckets, ["b"]).withColumn("differs", _differs())
+    return _side_digests(src, tgt, cols, key, n_buckets, ["b"], coerce_numeric=coerce_numeric).withColumn("differs", _differs())
 
 
 def localize(src: DataFrame, tgt: DataFrame, cols: list[str], key: str,
-             n_buckets: int = 256) -> DataFrame:
+             n_buckets: int = 256, coerce_numeric: bool = False) -> DataFrame:
     """V4: keys whose row multiset differs → (key, kind, src_n, tgt_n).
 
     Stage 1: per-bucket digests (one tiny aggregate). Stage 2: only rows of
@@ -179,8 +205,8 @@ def localize(src: DataFrame, tgt: DataFrame, cols: list[str], key: str,
     hash sums), so duplicated rows are seen; NULL keys form their own group.
     kind ∈ missing / extra / changed / duplicated / under_count.
     """
-    bad = bucket_compare(src, tgt, cols, key, n_buckets).where("differs").select("b")
-    per_key = _side_digests(src, tgt, cols, key, n_buckets, [key], bad=bad)
+    bad = bucket_compare(src, tgt, cols, key, n_buckets, coerce_numeric).where("differs").select("b")
+    per_key = _side_digests(src, tgt, cols, key, n_buckets, [key], bad=bad, coerce_numeric=coerce_numeric)
     kind = (F.when(F.col("tgt_n") == 0, F.lit("missing"))
             .when(F.col("src_n") == 0, F.lit("extra"))
             .when(F.col("tgt_n") > F.col("src_n"), F.lit("duplicated"))
@@ -213,24 +239,31 @@ def align_columns(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame, lis
 
 
 def query_parity(a: DataFrame, b: DataFrame, mode: str = "rowset", tol=0,
-                 target: str = "query") -> DataFrame:
+                 target: str = "query", coerce_numeric: bool = False) -> DataFrame:
     """V5: ``rowset`` — multiset fingerprint over the union of result columns;
-    ``scalar`` — first cell, numeric within ``tol`` else exact."""
+    ``scalar`` — the one cell, numbers within ``tol``, else exact; a result of
+    several rows is an ERROR row."""
     if mode == "rowset":
         a2, b2, names = align_columns(a, b)
-        return fingerprint_parity(a2, b2, names, target).withColumn(
+        return fingerprint_parity(a2, b2, names, target, coerce_numeric).withColumn(
             "pattern", F.lit("query_parity"))
     if mode == "scalar":
         t = parse_tolerance(tol)
-        va = a.select(F.col(a.columns[0]).cast("string").alias("_v")).limit(1)
-        vb = b.select(F.col(b.columns[0]).cast("string").alias("_v")).limit(1)
-        u = va.withColumn("_side", F.lit(1)).unionByName(vb.withColumn("_side", F.lit(2)))
-        j = u.agg(F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("va"),
-                  F.max(F.when(F.col("_side") == 2, F.col("_v"))).alias("vb"))
-        da, db = F.col("va").try_cast("decimal(38,9)"), F.col("vb").try_cast("decimal(38,9)")
-        ok = (F.col("va").eqNullSafe(F.col("vb"))
-              | (da.isNotNull() & db.isNotNull() & (F.abs(da - db).cast("double") <= t.allowed(da))))
-        return j.select(*check_row("query_parity", target, ok, F.col("va"), F.col("vb")))
+        # two rows of each side are enough to tell one from several
+        sides = [df.select(canon_text(F.col(df.columns[0]), df.schema[0].dataType).alias("_v"), F.lit(i).alias("_side")).limit(2)
+                 for i, df in ((1, a), (2, b))]
+        j = sides[0].unionByName(sides[1]).agg(
+            F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("va"), F.max(F.when(F.col("_side") == 2, F.col("_v"))).alias("vb"),
+            F.count_if(F.col("_side") == 1).alias("na"), F.count_if(F.col("_side") == 2).alias("nb"))
+        kinds = [df.schema[0].dataType for df in (a, b)]
+        numbers = all(isinstance(k, T.NumericType) for k in kinds)
+        ok = F.col("va").eqNullSafe(F.col("vb"))
+        if numbers:
+            ok = ok | _numbers_within(F.col("va"), F.col("vb"), t.allowed(F.col("va").try_cast("double")))
+        rows = check_row("query_parity", target, ok, F.col("va"), F.col("vb"))
+        several = (F.col("na") > 1) | (F.col("nb") > 1)
+        return j.select(*rows, several.alias("_several")).withColumn(
+            "status", F.when(F.col("_several"), "ERROR").otherwise(F.col("status"))).drop("_several")
     raise ValueError(mode)
 
 

@@ -5,28 +5,21 @@ right rows with the same key whose time lies in ``(lo, hi]`` — what
 ``COUNT(*)`` over ``LEFT JOIN right ON key = key AND t > lo AND t <= hi``
 needs, without materialising the pairs.
 
-Plan (deterministic, no dependence on physical partition ids):
-
-1. one stream of the right rows (data) and two probe rows per left row (at
-   ``lo`` and at ``hi``), each tagged with a time bucket
-   ``b = floor(epoch_seconds / bucket_seconds)``;
-2. a running count of data rows inside each (key, bucket) — a window whose
-   groups hold one key's rows of one time bucket, so a hot key is spread
-   over as many groups as it has buckets — plus the bucket total, in the
-   same pass;
-3. per-key bucket offsets from the (key, bucket) totals (one row per bucket)
-   with a cumulative window per key;
-4. ``rc(probe) = offset + local count`` is the number of the key's data rows
-   ≤ the probe time; a left row's match count is ``rc(hi) - rc(lo)``.
+Right rows and the bounds of left rows are first reduced to distinct
+(key, time) points, each with its number of right rows. A running sum over a
+key's points (``windows.running_sum``: per key and time bucket, so a hot key
+is many groups) gives the right rows up to each point. A left row's count is
+that of ``hi`` less that of ``lo``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from paritylake.operators.windows import running_sum
 
-# the bucket only splits the running count (offsets carry counts across buckets),
-# so it can be much finer than the interval: a hot key spreads over many groups
-DEFAULT_BUCKET_SECONDS = 86400
+# the bucket only splits the running count, so it can be much finer than the interval
+DEFAULT_BUCKET_SECONDS = 3600
 
 
 def range_count(left: DataFrame, right: DataFrame, key: str, left_id: str, lo: str, hi: str,
@@ -34,35 +27,19 @@ def range_count(left: DataFrame, right: DataFrame, key: str, left_id: str, lo: s
                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS, out: str = "matches") -> DataFrame:
     """``left`` + column ``out``: # right rows with same key and lo < t <= hi.
 
-    ``left_id`` must be unique in ``left``; NULL keys never match (count 0).
+    NULL keys and NULL bounds match nothing, nor does a ``lo`` at or after ``hi`` (count 0).
     """
     rk = right_key or key
-    idt = left.schema[left_id].dataType
-    bucket = lambda t: F.floor(F.unix_micros(t) / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
+    at = lambda c: F.col(c).cast("timestamp")
+    whole = F.col(key).isNotNull() & F.col(lo).isNotNull() & F.col(hi).isNotNull()
     data = right.where(F.col(rk).isNotNull() & F.col(right_t).isNotNull()).select(
-        F.col(rk).alias("_k"), F.col(right_t).cast("timestamp").alias("_t"),
-        F.lit(0).alias("_q"), F.lit(None).cast(idt).alias("_id"), F.lit(0).alias("_sign"))
-    probes = left.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("_k"), F.col(left_id).alias("_id"),
-        F.col(lo).cast("timestamp").alias("_lo"), F.col(hi).cast("timestamp").alias("_hi"))
-    p_lo = probes.select("_k", F.col("_lo").alias("_t"), F.lit(1).alias("_q"), "_id",
-                         F.lit(-1).alias("_sign"))
-    p_hi = probes.select("_k", F.col("_hi").alias("_t"), F.lit(1).alias("_q"), "_id",
-                         F.lit(1).alias("_sign"))
-    stream = data.unionByName(p_lo).unionByName(p_hi).withColumn("_b", bucket(F.col("_t")))
-    is_data = F.when(F.col("_q") == 0, 1).otherwise(0)
-    grp = Window.partitionBy("_k", "_b")
-    w = grp.orderBy("_t", "_q").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # one pass over the stream: running count and bucket total share the (key, bucket) partitioning
-    win = (stream.withColumn("_lrc", F.sum(is_data).over(w))
-           .withColumn("_tot", F.sum(is_data).over(grp)))
-    # one row per (key, bucket): every probe finds its bucket's offset by an equi
-    # join; a key's buckets are few, so the cumulative window per key is cheap
-    counts = win.groupBy("_k", "_b").agg(F.max("_tot").alias("_c"))
-    wo = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select("_k", "_b", F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_off"))
-    rc = win.where(F.col("_q") == 1).join(offs, ["_k", "_b"]).select(
-        "_id", (F.col("_sign") * (F.col("_off") + F.col("_lrc"))).alias("_v"))
-    per_id = rc.groupBy("_id").agg(F.sum("_v").cast("bigint").alias(out))
-    res = left.join(per_id.withColumnRenamed("_id", left_id), left_id, "left")
-    return res.withColumn(out, F.coalesce(F.col(out), F.lit(0).cast("bigint")))
+        F.col(rk).alias("_k"), at(right_t).alias("_t"), F.lit(1).alias("_c"))
+    bounds = left.where(whole).select(F.col(key).alias("_k"), F.explode(F.array(at(lo), at(hi))).alias("_t"), F.lit(0).alias("_c"))
+    points = data.unionByName(bounds).groupBy("_k", "_t").agg(F.sum("_c").alias("_c"), F.min("_c").alias("_asked"))
+    bucket = F.floor(F.unix_micros("_t") / F.lit(bucket_seconds * 1_000_000))
+    upto = running_sum(points, ["_k"], [("_t", "asc")], F.col("_c"), "_upto", bucket).where("_asked = 0")
+    side = lambda n: upto.select(F.col("_k").alias(f"_k{n}"), F.col("_t").alias(f"_t{n}"), F.col("_upto").alias(f"_n{n}"))
+    res = (left.join(side(0), (F.col(key) == F.col("_k0")) & (at(lo) == F.col("_t0")), "left")
+           .join(side(1), (F.col(key) == F.col("_k1")) & (at(hi) == F.col("_t1")), "left"))
+    n = F.when(whole, F.greatest(F.col("_n1") - F.col("_n0"), F.lit(0))).otherwise(F.lit(0))
+    return res.withColumn(out, F.coalesce(n, F.lit(0)).cast("bigint")).drop("_k0", "_t0", "_n0", "_k1", "_t1", "_n1")

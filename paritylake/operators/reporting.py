@@ -6,39 +6,46 @@ X4 (masking) and X5 (manifest parity).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from paritylake.checks import CHECK_COLUMNS, worst_status
 from paritylake.operators.aggregates import run_stats_fold
 
 
 # ---------------------------------------------------------------- V18
+# statistics a gate may name
+STATISTICS = ("p50", "p95", "max", "min")
+
+
 def perf_assert(stats: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """p95 ≤ threshold per (query_id, metric); a metric missing from the run
-    log FAILs (an unavailable metric is not a pass)."""
-    j = thresholds.join(stats, ["query_id", "metric"], "left")
-    ok = F.col("p95").isNotNull() & (F.col("p95") <= F.col("threshold"))
+    """statistic ≤ threshold per (query_id, metric); ``thresholds`` may name the statistic in a column ``stat``
+    (p95 without). A metric missing from the run log FAILs (an unavailable metric is not a pass); an unknown
+    statistic is an ERROR."""
+    t = thresholds if "stat" in thresholds.columns else thresholds.withColumn("stat", F.lit("p95"))
+    j = t.join(stats, ["query_id", "metric"], "left")
+    value = F.coalesce(*[F.when(F.col("stat") == s, F.col(s)) for s in STATISTICS])
+    status = (F.when(~F.col("stat").isin(*STATISTICS), "ERROR")
+              .when(value.isNotNull() & (value <= F.col("threshold")), "PASS").otherwise("FAIL"))
     return j.select(F.lit("query_performance").alias("pattern"),
-                    F.concat_ws(":", F.lit("assert"), "query_id", "metric").alias("target"),
-                    F.when(ok, "PASS").otherwise("FAIL").alias("status"),
-                    F.col("threshold").cast("string").alias("expected"),
-                    F.col("p95").cast("string").alias("actual"), F.lit(False).alias("measurement"))
+                    F.concat_ws(":", F.lit("assert"), "query_id", "metric", F.when(F.col("stat") != "p95", F.col("stat"))).alias("target"),
+                    status.alias("status"), F.col("threshold").cast("string").alias("expected"),
+                    value.cast("string").alias("actual"), F.lit(False).alias("measurement"))
 
 
 def perf_compare(stats: DataFrame, pairs: DataFrame) -> DataFrame:
-    """A/B: condition ``b <op> a * k`` on p50, or ``report`` (measurement only).
-    ``pairs`` columns: name, a, b, metric, op ('<=','<','report'), k."""
+    """A/B: condition ``b <op> a * k`` on p50 with <=, <, >= or >; ``report`` is a measurement without a gate; any other
+    condition is an ERROR. ``pairs`` columns: name, a, b, metric, op, k."""
     a = stats.select(F.col("query_id").alias("a"), "metric", F.col("p50").alias("a_p50"))
     b = stats.select(F.col("query_id").alias("b"), "metric", F.col("p50").alias("b_p50"))
     j = pairs.join(a, ["a", "metric"], "left").join(b, ["b", "metric"], "left")
-    bound = F.col("a_p50") * F.col("k")
-    ok = (F.when(F.col("op") == "<=", F.col("b_p50") <= bound)
-          .when(F.col("op") == "<", F.col("b_p50") < bound).otherwise(F.lit(True)))
-    return j.select(F.lit("query_performance").alias("pattern"),
-                    F.concat_ws(":", F.lit("compare"), "name").alias("target"),
-                    F.when(F.coalesce(ok, F.lit(False)), "PASS").otherwise("FAIL").alias("status"),
-                    bound.cast("string").alias("expected"), F.col("b_p50").cast("string").alias("actual"),
-                    (F.col("op") == "report").alias("measurement"))
+    bound, got, op = F.col("a_p50") * F.col("k"), F.col("b_p50"), F.col("op")
+    holds = (F.when(op == "<=", got <= bound).when(op == "<", got < bound)
+             .when(op == ">=", got >= bound).when(op == ">", got > bound))
+    status = (F.when(op == "report", "PASS").when(~op.isin("<=", "<", ">=", ">"), "ERROR")
+              .when(F.coalesce(holds, F.lit(False)), "PASS").otherwise("FAIL"))
+    return j.select(F.lit("query_performance").alias("pattern"), F.concat_ws(":", F.lit("compare"), "name").alias("target"),
+                    status.alias("status"), bound.cast("string").alias("expected"), got.cast("string").alias("actual"),
+                    (op == "report").alias("measurement"))
 
 
 def perf_regression(stats: DataFrame, baseline: DataFrame, growth_pct: float = 0.0) -> DataFrame:
@@ -78,8 +85,7 @@ def retention(df: DataFrame, part_col: Column, ts_col: str, keep_days: int) -> D
     table's newest row."""
     p = df.groupBy(part_col.alias("partition")).agg(
         F.count(F.lit(1)).cast("bigint").alias("rows"), F.max(ts_col).alias("_newest"))
-    # the partition table has one row per partition: a global window over it is cheap
-    j = p.withColumn("_latest", F.max("_newest").over(Window.partitionBy()))
+    j = p.select("*", df.agg(F.max(ts_col)).scalar().alias("_latest"))
     age = F.datediff(F.to_date("_latest"), F.to_date("_newest"))
     return j.select("partition", "rows", age.alias("age_days"), (age > keep_days).alias("expired"))
 

@@ -1,15 +1,14 @@
 """SCD-2: build versions from ordered changes (D2) and check continuity (V9).
 
-Both are one window pass per entity key plus one ``groupBy(key)``; entity
-keys with a hot history are handled by the skew-aware neighbour pass in
-``paritylake.operators.windows``.
+Both use the bucketed neighbour pass of ``paritylake.operators.windows``; the
+check counts current versions with one ``groupBy(key)``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from paritylake.operators.windows import hot_keys, neighbours
+from paritylake.operators.windows import neighbours
 
 # fixed values: open-ended version end and hash separator
 TERMINAL_TS = "9999-12-31 00:00:00"
@@ -34,10 +33,9 @@ def scd2_build(changes: DataFrame, key: str, ts: str, attrs: list[str],
                                    for a in attrs])
     base = changes.select(key, *order, *[a for a in attrs if a not in order]) \
         .withColumn("_sig", sig)
-    hot = hot_keys(base, key)           # one detection pass serves both windows
-    with_prev = neighbours(base, key, order, prev_cols={"_sig": "_prev_sig"}, hot=hot)
+    with_prev = neighbours(base, key, order, prev_cols={"_sig": "_prev_sig"})
     starts = with_prev.where(F.col("_prev_sig").isNull() | (F.col("_prev_sig") != F.col("_sig")))
-    closed = neighbours(starts.drop("_prev_sig"), key, order, next_cols={ts: "_next_from"}, hot=hot)
+    closed = neighbours(starts.drop("_prev_sig"), key, order, next_cols={ts: "_next_from"})
     terminal = F.lit(TERMINAL_TS).cast(closed.schema[ts].dataType)
     return closed.select(
         F.col(key), F.col(ts).alias("eff_from"),

@@ -1,138 +1,120 @@
-"""Skew-aware ordered windows.
-
-``neighbours``: previous / next row values per key in a given order (LAG /
-LEAD). Keys are split by size: ordinary keys use a plain
-``Window.partitionBy(key)``; keys above ``hot_rows`` rows are range-
-partitioned on (key, order) so one hot key is spread over many tasks, the
-window runs per (key, range partition) and the rows at range edges are
-stitched with a boundary table of one row per (key, partition).
-
-``global_rank``: PERCENT_RANK / NTILE / ROW_NUMBER without a partition
-clause (which Spark would run in a single task): range-partition on the
-order, rank inside each partition, then add per-partition row offsets
-(a table of one row per partition). Equal order values always share a range
-partition, so ranks with ties are exact.
+"""Ordered windows whose work does not depend on how rows spread over keys.
+
+One path for every key: the rows of a key are cut into fixed, order-preserving
+buckets of the first order column (a day of time, a stretch of numbers, the
+first letters of a string). The window runs per (key, bucket), and a table of
+one row per (key, bucket) carries what crosses a bucket's edge: the previous
+and next rows for LAG / LEAD, the totals for running sums and ranks. A hot key
+is thereby many groups; NULL keys and NULL order values are groups of their own
+(the group is a struct, in which NULLs equal). Nothing is collected and no job
+runs while a plan is built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from paritylake.session import materialize
-
-DEFAULT_HOT_ROWS = 2_000_000
-
-
-def _plain(df: DataFrame, key: str, order: list[str], prev_cols: dict, next_cols: dict,
-           extra_part: list[str] | None = None) -> DataFrame:
-    w = Window.partitionBy(key, *(extra_part or [])).orderBy(*[F.col(c).asc_nulls_first()
-                                                                for c in order])
-    out = df
-    for src, alias in prev_cols.items():
-        out = out.withColumn(alias, F.lag(F.col(src)).over(w))
-    for src, alias in next_cols.items():
-        out = out.withColumn(alias, F.lead(F.col(src)).over(w))
-    return out
-
-
-def _ranged(df: DataFrame, key: str, order: list[str], prev_cols: dict, next_cols: dict,
-            n_parts: int) -> DataFrame:
-    """Hot keys: range partitions on (key, order), window per (key, partition),
-    edge rows completed from a small boundary table."""
-    # materialised once: the window and the boundary table must see the same
-    # range partitions (a re-run range shuffle may sample different bounds)
-    r = materialize(df.repartitionByRange(n_parts, F.col(key), *[F.col(c) for c in order])
-                    .withColumn("_rp", F.spark_partition_id()))
-    w = Window.partitionBy(key, "_rp").orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    inner = _plain(r, key, order, prev_cols, next_cols, extra_part=["_rp"])
-    inner = (inner.withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
-             .withColumn("_last", F.lead(F.lit(1)).over(w).isNull()))
-    ordkey = F.struct(*[F.col(c) for c in order])
-    pv = list(prev_cols)
-    nv = list(next_cols)
-    edge_aggs = []
-    if pv:
-        edge_aggs.append(F.max_by(F.struct(*[F.col(c) for c in pv]), ordkey).alias("_tail"))
-    if nv:
-        edge_aggs.append(F.min_by(F.struct(*[F.col(c) for c in nv]), ordkey).alias("_head"))
-    # one row per (hot key, range partition): bounded by partitions + hot keys
-    edges = r.groupBy(key, "_rp").agg(*edge_aggs)
-    we = Window.partitionBy(key).orderBy("_rp")
-    sel = [F.col(key), F.col("_rp")]
-    if pv:
-        sel.append(F.lag("_tail").over(we).alias("_prev_tail"))
-    if nv:
-        sel.append(F.lead("_head").over(we).alias("_next_head"))
-    edges = edges.select(*sel)
-    j = inner.join(F.broadcast(edges), [key, "_rp"], "left")
-    for src, alias in prev_cols.items():
-        j = j.withColumn(alias, F.when(F.col("_first"), F.col("_prev_tail").getField(src))
-                         .otherwise(F.col(alias)))
-    for src, alias in next_cols.items():
-        j = j.withColumn(alias, F.when(F.col("_last"), F.col("_next_head").getField(src))
-                         .otherwise(F.col(alias)))
-    return j.drop("_rp", "_first", "_last", "_prev_tail", "_next_head")
-
-
-_NO_HOT = "none"
-
-
-def hot_keys(df: DataFrame, key: str, hot_rows: int | None = DEFAULT_HOT_ROWS):
-    """Keys with more than ``hot_rows`` rows as a small DataFrame, or None.
-    At most rows/hot_rows keys qualify, so collecting the list is bounded.
-    Compute once and pass to several ``neighbours`` calls over the same keys."""
-    if hot_rows is None:
-        return None
-    lst = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > hot_rows).select(key).collect())
-    return df.sparkSession.createDataFrame(lst, df.select(key).schema) if lst else None
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+# fixed widths of the buckets: seconds, integers, steps a doubling of a number, letters
+DAY_SECONDS, INTEGER_STRETCH, STEPS_PER_DOUBLING, LETTERS = 86_400, 4_096, 256, 3
+_INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_REALS = (T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def bucket_of_order(df: DataFrame, col: str) -> Column:
+    """Order-preserving bucket of a column by its type; other types are one bucket."""
+    c, dt = F.col(col), df.schema[col].dataType
+    if isinstance(dt, T.DateType):
+        return F.unix_date(c).cast("bigint")
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(DAY_SECONDS * 1_000_000))
+    if isinstance(dt, _INTS):
+        return F.floor(c / F.lit(INTEGER_STRETCH))
+    if isinstance(dt, _REALS):
+        d = c.cast("double")
+        steps = F.least(F.floor(F.log2(F.abs(d) + 1) * STEPS_PER_DOUBLING), F.lit(2**61))
+        return F.when(F.isnan(d), F.lit(2**62)).when(d < 0, -steps - 1).when(d >= 0, steps)
+    if isinstance(dt, T.StringType):
+        return F.substring(c, 1, LETTERS)
+    return F.when(c.isNotNull(), F.lit(0))
+
+
+def _ordering(order: list[tuple[str, str]]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() if way == "asc" else F.col(c).desc_nulls_last() for c, way in order]
+
+
+def _grouped(df: DataFrame, keys: list[str], order_col: str, bucket: Column | None) -> DataFrame:
+    b = bucket if bucket is not None else bucket_of_order(df, order_col)
+    return df.withColumn("_grp", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], b.alias("b")))
+
+
+def _along(keys: list[str], way: str = "asc"):
+    """Window over the buckets of a key: one row per bucket."""
+    b = F.col("_grp.b")
+    return (Window.partitionBy(*[F.col(f"_grp.k{i}") for i in range(len(keys))])
+            .orderBy(b.asc_nulls_first() if way == "asc" else b.desc_nulls_last()))
 
 
 def neighbours(df: DataFrame, key: str, order: list[str], prev_cols: dict | None = None,
-               next_cols: dict | None = None, hot_rows: int | None = DEFAULT_HOT_ROWS,
-               n_parts: int | None = None, hot=_NO_HOT) -> DataFrame:
-    """Add LAG (``prev_cols`` {src: alias}) and LEAD (``next_cols``) per key.
+               next_cols: dict | None = None, bucket: Column | None = None) -> DataFrame:
+    """Add LAG (``prev_cols`` {src: alias}) and LEAD (``next_cols``) per key, ordered ascending, NULLs first.
 
-    ``hot_rows=None`` forces the plain window. Otherwise keys with more than
-    ``hot_rows`` rows (a size-bounded broadcast list, see ``hot_keys``; pass
-    ``hot`` to reuse one) take the range-partitioned path.
+    ``order`` should be unique per key; ``bucket``: another order-preserving cut of the first order column.
     """
     prev_cols, next_cols = prev_cols or {}, next_cols or {}
-    if hot_rows is None:
-        return _plain(df, key, order, prev_cols, next_cols)
-    spark = df.sparkSession
-    n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if isinstance(hot, str):
-        hot = hot_keys(df, key, hot_rows)
-    if hot is None:
-        return _plain(df, key, order, prev_cols, next_cols)
-    cold_part = _plain(df.join(F.broadcast(hot), key, "left_anti"), key, order,
-                       prev_cols, next_cols)
-    hot_part = _ranged(df.join(F.broadcast(hot), key, "left_semi"), key, order,
-                       prev_cols, next_cols, n_parts)
-    return cold_part.unionByName(hot_part.select(*cold_part.columns))
-
-
-def global_rank(df: DataFrame, order: list[Column], n_parts: int | None = None) -> DataFrame:
-    """Add ``_grn`` (row number), ``_grank`` (rank) and ``_gn`` (total rows) in the
-    given global order without a single-task window."""
-    spark = df.sparkSession
-    n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n_parts, *order).withColumn("_rp", F.spark_partition_id())
-    w = Window.partitionBy("_rp").orderBy(*order)
-    # materialised once so the offsets are computed on the same range partitions
-    local = materialize(r.withColumn("_lrn", F.row_number().over(w))
-                        .withColumn("_lrank", F.rank().over(w)))
-    counts = local.groupBy("_rp").agg(F.count(F.lit(1)).alias("_cnt"))
-    wo = Window.orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)
-    wall = Window.orderBy("_rp").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # one row per range partition — tiny, safe to broadcast
-    offs = counts.select("_rp", F.coalesce(F.sum("_cnt").over(wo), F.lit(0)).alias("_off"),
-                         F.sum("_cnt").over(wall).alias("_gn"))
-    out = local.join(F.broadcast(offs), "_rp", "inner")
-    return (out.withColumn("_grn", (F.col("_off") + F.col("_lrn")).cast("bigint"))
-            .withColumn("_grank", (F.col("_off") + F.col("_lrank")).cast("bigint"))
-            .drop("_rp", "_lrn", "_lrank", "_off"))
+    rows = _grouped(df, [key], order[0], bucket)
+    w = Window.partitionBy("_grp").orderBy(*_ordering([(c, "asc") for c in order]))
+    inner = rows.select("*", *[F.lag(F.col(s)).over(w).alias(a) for s, a in prev_cols.items()],
+                        *[F.lead(F.col(s)).over(w).alias(a) for s, a in next_cols.items()],
+                        F.lag(F.lit(1)).over(w).isNull().alias("_first"), F.lead(F.lit(1)).over(w).isNull().alias("_last"))
+    # a group has one first and one last row: what the groups on either side need of it
+    tail = F.struct(*[F.col(s).alias(f"p{i}") for i, s in enumerate(prev_cols)], F.lit(1).alias("hit"))
+    head = F.struct(*[F.col(s).alias(f"n{i}") for i, s in enumerate(next_cols)], F.lit(1).alias("hit"))
+    edges = inner.where("_first or _last").groupBy("_grp").agg(
+        F.max(F.when(F.col("_last"), tail)).alias("_tail"), F.max(F.when(F.col("_first"), head)).alias("_head"))
+    edges = edges.select("_grp", F.lag("_tail").over(_along([key])).alias("_before"),
+                         F.lead("_head").over(_along([key])).alias("_after"))
+    out = inner.join(edges, "_grp")
+    for i, a in enumerate(prev_cols.values()):
+        out = out.withColumn(a, F.when(F.col("_first"), F.col("_before").getField(f"p{i}")).otherwise(F.col(a)))
+    for i, a in enumerate(next_cols.values()):
+        out = out.withColumn(a, F.when(F.col("_last"), F.col("_after").getField(f"n{i}")).otherwise(F.col(a)))
+    return out.drop("_grp", "_first", "_last", "_before", "_after")
+
+
+def running_sum(df: DataFrame, keys: list[str], order: list[tuple[str, str]], value: Column, out: str,
+                bucket: Column | None = None) -> DataFrame:
+    """Cumulative sum of ``value`` per key in ``order`` ((column, "asc" | "desc"); ROWS UNBOUNDED PRECEDING ..
+    CURRENT ROW); with value 1 it is ROW_NUMBER. Each (key, bucket) is summed on its own and shifted by the totals
+    of the key's buckets before it."""
+    rows = _grouped(df, keys, order[0][0], bucket).withColumn("_val", value)
+    w = Window.partitionBy("_grp").orderBy(*_ordering(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = rows.groupBy("_grp").agg(F.sum("_val").alias("_total"))
+    before = _along(keys, order[0][1]).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select("_grp", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_shift"))
+    return (rows.withColumn("_part", F.sum("_val").over(w)).join(shifts, "_grp")
+            .withColumn(out, F.col("_shift") + F.col("_part")).drop("_grp", "_val", "_part", "_shift"))
+
+
+def global_rank(df: DataFrame, order: list[tuple[str, str]]) -> DataFrame:
+    """Add ``_grank`` (rank by the first order column), ``_gn`` (total rows) and, with a second order column that
+    tells ties apart, ``_grn`` (row number) without a single-task window.
+
+    The distinct values of the first column are counted and ranked; rows take their value's rank by a join. Ties
+    are numbered among themselves by the second column.
+    """
+    col, way = order[0]
+    values = df.groupBy(F.struct(F.col(col).alias("v")).alias("_value"), F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running_sum(values, [], [("_v", way)], F.col("_n"), "_upto")
+    counts = values.agg(F.sum("_n").alias("_gn"))
+    ranked = ranked.select("_value", (F.col("_upto") - F.col("_n")).alias("_below"))
+    out = df.withColumn("_value", F.struct(F.col(col).alias("v")))
+    if len(order) > 1:
+        out = running_sum(out, ["_value"], order[1:], F.lit(1), "_among")
+    out = out.join(ranked, "_value").select("*", counts.scalar().alias("_gn"))
+    out = out.withColumn("_grank", (F.col("_below") + 1).cast("bigint"))
+    if len(order) > 1:
+        out = out.withColumn("_grn", (F.col("_below") + F.col("_among")).cast("bigint")).drop("_among")
+    return out.drop("_value", "_below")
 
 
 def percent_rank_col() -> Column:
@@ -149,39 +131,3 @@ def ntile_col(k: int) -> Column:
     big = r * (q + 1)
     return F.when(g <= big, F.floor((g - 1) / (q + 1)) + 1).otherwise(
         r + F.floor((g - big - 1) / F.greatest(q, F.lit(1))) + 1).cast("int")
-
-
-def _hot_split(df: DataFrame, key: str, hot_rows: int | None):
-    """(cold rows, hot rows or None): keys above ``hot_rows`` rows — at most
-    rows/hot_rows of them, so the collected list is bounded."""
-    hot = hot_keys(df, key, hot_rows)
-    if hot is None:
-        return df, None
-    return (df.join(F.broadcast(hot), key, "left_anti"), df.join(F.broadcast(hot), key, "left_semi"))
-
-
-def running_sum(df: DataFrame, key: str, order: list[Column], value: Column, out: str,
-                hot_rows: int | None = DEFAULT_HOT_ROWS, n_parts: int | None = None) -> DataFrame:
-    """Cumulative sum of ``value`` per key in ``order`` (ROWS UNBOUNDED
-    PRECEDING .. CURRENT ROW); with value 1 it is ROW_NUMBER. Hot keys are
-    range-partitioned on (key, order): each (key, range partition) is summed
-    locally and shifted by the totals of the key's earlier partitions (a table
-    of one row per (hot key, partition))."""
-    w = (Window.partitionBy(key).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cold, hot = _hot_split(df, key, hot_rows)
-    cold_out = cold.withColumn(out, F.sum(value).over(w))
-    if hot is None:
-        return cold_out
-    n_parts = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = materialize(hot.repartitionByRange(n_parts, F.col(key), *order)
-                    .withColumn("_rp", F.spark_partition_id()).withColumn("_v", value))
-    wl = (Window.partitionBy(key, "_rp").orderBy(*order)
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = r.withColumn("_local", F.sum("_v").over(wl))
-    tot = r.groupBy(key, "_rp").agg(F.sum("_v").alias("_tot"))
-    wo = Window.partitionBy(key).orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(key, "_rp", F.coalesce(F.sum("_tot").over(wo), F.lit(0)).alias("_off"))
-    hot_out = (local.join(offs, [key, "_rp"]).withColumn(out, F.col("_off") + F.col("_local"))
-               .drop("_rp", "_v", "_local", "_off"))
-    return cold_out.unionByName(hot_out.select(*cold_out.columns))

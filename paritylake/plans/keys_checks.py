@@ -28,9 +28,13 @@ def _orders(spark, sf):
 def q_epoch_conversion(spark, sf):
     o = _orders(spark, sf)
     src = D.orders_epoch(o)
+    k = F.col("o_orderkey")
+    # a target that repeats keys: with the same date (counted once) and with another one (a conflict)
+    tgt = (o.select("o_orderkey", "o_orderdate").unionByName(o.where(k % 109 == 0).select("o_orderkey", "o_orderdate"))
+           .unionByName(o.where(k % 113 == 0).select("o_orderkey", (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("o_orderdate"))))
     out = None
     for unit in ("millis", "seconds"):
-        rows = E.epoch_classes(src, o, "o_orderkey", "issued_sec", "o_orderdate", unit, EXPECT_YEARS)
+        rows = E.epoch_classes(src, tgt, "o_orderkey", "issued_sec", "o_orderdate", unit, EXPECT_YEARS)
         c = rows.groupBy("class").agg(F.count(F.lit(1)).cast("bigint").alias("n")) \
             .select(F.lit(unit).alias("unit"), "class", "n")
         out = c if out is None else out.unionByName(c)
@@ -48,9 +52,12 @@ def q_decimal_roundtrip(spark, sf):
     o = _orders(spark, sf)
     src = D.orders_target_snapshot(o)
     tgt = D.orders_target_snapshot(D.orders_tgt(o))
+    # a target that repeats a key with another amount
+    again = tgt.where(F.col("o_orderkey") % 107 == 1).withColumn("amount", (F.col("amount") + 1).cast("decimal(14,2)"))
+    tgt = tgt.unionByName(again)
     bad, _ = E.decimal_roundtrip(src, tgt, "o_orderkey", ["amount", "o_custkey"])
     return bad.select("o_orderkey", "column", F.col("src_value").cast("string").alias("src_value"),
-                      F.col("tgt_value").cast("string").alias("tgt_value"))
+                      F.col("tgt_value").cast("string").alias("tgt_value"), "tgt_rows")
 
 
 def q_fn_epoch(spark, sf):
@@ -118,10 +125,18 @@ def q_delta_latest(spark, sf):
     return M.delta_latest(_delta(spark, sf), ["o_orderkey"], ["change_ms"])
 
 
+def _dirty_latest(o):
+    """The reduced feed with refused rows among it: every thousandth key twice, some rows without a key."""
+    latest = M.delta_latest(D.orders_delta(o), ["o_orderkey"], ["change_ms"])
+    k = F.col("o_orderkey")
+    no_key = F.lit(None).cast(latest.schema["o_orderkey"].dataType)
+    return (latest.unionByName(latest.where(k % 1000 == 1))
+            .unionByName(latest.where(k % 700 == 10).withColumn("o_orderkey", no_key)))
+
+
 def q_merge_apply(spark, sf):
     o = _orders(spark, sf)
-    latest = M.delta_latest(D.orders_delta(o), ["o_orderkey"], ["change_ms"])
-    out = M.merge_apply(D.orders_target_snapshot(o), latest, ["o_orderkey"])
+    out = M.merge_apply(D.orders_target_snapshot(o), _dirty_latest(o), ["o_orderkey"])
     return out.withColumn("amount", F.col("amount").cast("string"))
 
 
@@ -140,12 +155,13 @@ def q_merge_idempotency(spark, sf):
 def q_upsert_split(spark, sf):
     o = _orders(spark, sf)
     t = D.orders_target_snapshot(o)
-    latest = M.delta_latest(D.orders_delta(o), ["o_orderkey"], ["change_ms"])
-    acts = M.merge_actions(t, latest, ["o_orderkey"])
-    res = M.merge_apply(t, latest, ["o_orderkey"])
-    dup = res.agg((F.count(F.lit(1)) - F.count_distinct("o_orderkey")).cast("bigint").alias("n")) \
-        .select(F.lit("duplicate_keys").alias("action"), "n")
-    return acts.unionByName(dup)
+    dirty = _dirty_latest(o)
+    acts = M.merge_actions(t, dirty, ["o_orderkey"])
+    res = M.merge_apply(t, dirty, ["o_orderkey"])
+    keys = res.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("c"))
+    dup = keys.agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("bigint").alias("n")).select(F.lit("duplicate_keys").alias("action"), "n")
+    refused = M.merge_refusals(dirty, ["o_orderkey"], "refused").select(F.col("target").alias("action"), F.col("actual").cast("bigint").alias("n"))
+    return acts.unionByName(dup).unionByName(refused)
 
 
 def q_delete_keys_present(spark, sf):
@@ -322,6 +338,7 @@ def _epoch_classes_sql(unit):
     ins = f"(e.issued_sec >= {lo} AND e.issued_sec < {hi})"
     return f"""SELECT '{unit}' AS unit, cls AS class, CAST(count(*) AS BIGINT) AS n FROM (
   SELECT CASE
+    WHEN e.o_orderkey % 113 = 0 THEN 'target_conflict'
     WHEN e.issued_sec IS NULL AND o.o_orderdate IS NULL THEN 'null_ok'
     WHEN e.issued_sec IS NULL THEN 'null_mismatch'
     WHEN NOT {ins} AND o.o_orderdate IS NULL THEN 'nulled_ok'
@@ -344,14 +361,17 @@ FROM orders_epoch WHERE issued_sec IS NOT NULL AND (issued_sec < {_lo} OR issued
 _DECIMAL_SQL = f"""WITH {ORDERS_TGT},
 s AS (SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS DECIMAL(38,18)) AS amount,
              CAST(o_custkey AS DECIMAL(38,18)) AS o_custkey FROM orders),
-t AS (SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS DECIMAL(38,18)) AS amount,
+copies AS (SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS DECIMAL(38,18)) AS amount,
              CAST(o_custkey AS DECIMAL(38,18)) AS o_custkey FROM orders_tgt),
-j AS (SELECT s.o_orderkey, s.amount AS sa, t.amount AS ta, s.o_custkey AS sc, t.o_custkey AS tc
+t AS (SELECT o_orderkey, min(amount) AS amount, count(DISTINCT amount) > 1 AS torn, min(o_custkey) AS o_custkey, CAST(count(*) AS BIGINT) AS tgt_rows
+      FROM (SELECT * FROM copies UNION ALL SELECT o_orderkey, amount + 1, o_custkey FROM copies WHERE o_orderkey % 107 = 1) GROUP BY o_orderkey),
+j AS (SELECT s.o_orderkey, s.amount AS sa, t.amount AS ta, s.o_custkey AS sc, t.o_custkey AS tc, coalesce(torn, false) AS torn,
+             coalesce(tgt_rows, 0) AS tgt_rows
       FROM s LEFT JOIN t ON s.o_orderkey = t.o_orderkey)
-SELECT o_orderkey, 'amount' AS "column", CAST(sa AS VARCHAR) AS src_value, CAST(ta AS VARCHAR) AS tgt_value
-FROM j WHERE sa IS DISTINCT FROM ta
+SELECT o_orderkey, 'amount' AS "column", CAST(sa AS VARCHAR) AS src_value, CAST(ta AS VARCHAR) AS tgt_value, tgt_rows
+FROM j WHERE torn OR sa IS DISTINCT FROM ta
 UNION ALL
-SELECT o_orderkey, 'o_custkey', CAST(sc AS VARCHAR), CAST(tc AS VARCHAR) FROM j WHERE sc IS DISTINCT FROM tc"""
+SELECT o_orderkey, 'o_custkey', CAST(sc AS VARCHAR), CAST(tc AS VARCHAR), tgt_rows FROM j WHERE sc IS DISTINCT FROM tc"""
 
 _lo_s, _hi_s = E.year_bounds("seconds", E.SANE_YEARS)
 _lo_u, _hi_u = E.year_bounds("micros", E.SANE_YEARS)
@@ -420,6 +440,9 @@ def _merge_cte(name, tgt, delta="delta_latest"):
      OR (t.t_hit IS NULL AND d.op <> 'D'))"""
 
 
+_DIRTY_CTE = """delta_ok AS (SELECT * FROM delta_latest WHERE o_orderkey % 1000 <> 1)"""
+_MERGE_DIRTY_SQL = (f"WITH {ORDERS_DELTA}, {_DELTA_LATEST_CTE}, {_DIRTY_CTE}, {ORDERS_SNAPSHOT},\n{_merge_cte('m1', 'orders_snap', 'delta_ok')}\n"
+                    "SELECT o_orderkey, o_custkey, CAST(amount AS VARCHAR) AS amount, _action FROM m1")
 _MERGE_SQL = (f"WITH {ORDERS_DELTA}, {_DELTA_LATEST_CTE}, {ORDERS_SNAPSHOT},\n{_merge_cte('m1', 'orders_snap')}\n"
               "SELECT o_orderkey, o_custkey, CAST(amount AS VARCHAR) AS amount, _action FROM m1")
 
@@ -447,16 +470,20 @@ _IDEM_SQL = (f"WITH {ORDERS_DELTA}, {_DELTA_LATEST_CTE}, {ORDERS_SNAPSHOT},\n"
              "WHERE op <> 'D')\n"
              f"{_idem_rows('merge', 'm1', 'm2')}\nUNION ALL\n{_idem_rows('append', 'a1', 'a2')}")
 
-_UPSERT_SQL = f"""WITH {ORDERS_DELTA}, {_DELTA_LATEST_CTE}, {ORDERS_SNAPSHOT},
-{_merge_cte('m1', 'orders_snap')}
+_UPSERT_SQL = f"""WITH {ORDERS_DELTA}, {_DELTA_LATEST_CTE}, {_DIRTY_CTE}, {ORDERS_SNAPSHOT},
+{_merge_cte('m1', 'orders_snap', 'delta_ok')}
 SELECT action, CAST(count(*) AS BIGINT) AS n FROM (
   SELECT CASE WHEN t.o_orderkey IS NOT NULL AND d.o_orderkey IS NOT NULL AND d.op = 'D' THEN 'delete'
               WHEN t.o_orderkey IS NOT NULL AND d.o_orderkey IS NOT NULL THEN 'update'
               WHEN t.o_orderkey IS NOT NULL THEN 'keep'
               WHEN d.op <> 'D' THEN 'insert' ELSE 'skip' END AS action
-  FROM orders_snap t FULL JOIN delta_latest d ON t.o_orderkey = d.o_orderkey) GROUP BY action
+  FROM orders_snap t FULL JOIN delta_ok d ON t.o_orderkey = d.o_orderkey) GROUP BY action
+UNION ALL
+SELECT 'duplicate_keys', CAST(count(*) - count(DISTINCT o_orderkey) AS BIGINT) FROM m1
+UNION ALL
+SELECT 'refused:null_keys', CAST(count(*) AS BIGINT) FROM delta_latest WHERE o_orderkey % 700 = 10
 UNION ALL
-SELECT 'duplicate_keys', CAST(count(*) - count(DISTINCT o_orderkey) AS BIGINT) FROM m1"""
+SELECT 'refused:repeated_keys', CAST(2 * count(*) AS BIGINT) FROM delta_latest WHERE o_orderkey % 1000 = 1"""
 
 _DEL_KEYS_SQL = f"""WITH {ORDERS_DELTA}, {_DELTA_LATEST_CTE}, {ORDERS_SNAPSHOT},
 {_merge_cte('m1', 'orders_snap')},
@@ -583,7 +610,7 @@ ORACLE = {
     "adjacent_versions": _ADJ_SQL,
     "latest_version": _LATEST_SQL,
     "delta_latest": _DELTA_LATEST_SQL,
-    "merge_apply": _MERGE_SQL,
+    "merge_apply": _MERGE_DIRTY_SQL,
     "merge_idempotency": _IDEM_SQL,
     "upsert_split": _UPSERT_SQL,
     "delete_keys_present": _DEL_KEYS_SQL,

@@ -5,10 +5,10 @@ their DuckDB oracle SQL."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import Window, functions as F, types as T
 
 from paritylake.functions.canon import canon_text, row_text
-from paritylake.functions.canon_sql import row_text_sql, text_sql
+from paritylake.functions.canon_sql import row_text_sql, stripped_sql, text_sql
 from paritylake.operators import aggregates as AG
 from paritylake.operators import parity as P
 from paritylake.operators.windows import global_rank, neighbours, ntile_col, percent_rank_col
@@ -211,14 +211,14 @@ def q_j7(spark, sf):
 cmt AS (SELECT n_regionkey AS contract_id, CAST(sum(n_nationkey) AS BIGINT) AS committed FROM nation WHERE n_regionkey < 0 GROUP BY 1)
 SELECT m.period_month, CAST(m.n AS BIGINT) AS orders, cmt.contract_id, cmt.committed FROM m LEFT JOIN cmt ON 1 = 1""")
 def q_j8(spark, sf):
-    """LEFT JOIN … ON 1=1 keeps every left row when the right side is empty;
-    the right side is one row per contract (bounded), broadcast."""
+    """LEFT JOIN … ON 1=1 keeps every left row when the right side is empty."""
     o, n = table(spark, sf, "orders"), table(spark, sf, "nation")
     m = o.groupBy(Q.month(F.col("o_orderdate")).alias("period_month")).agg(
         F.count(F.lit(1)).cast("bigint").alias("orders"))
     cmt = n.where(F.col("n_regionkey") < 0).groupBy(F.col("n_regionkey").alias("contract_id")).agg(
         F.sum("n_nationkey").cast("bigint").alias("committed"))
-    return m.join(F.broadcast(cmt), F.lit(True), "left").select("period_month", "orders", "contract_id", "committed")
+    return m.select("period_month", "orders", Q.each_of(cmt, "contract_id", "committed").alias("_c")).select(
+        "period_month", "orders", "_c.contract_id", "_c.committed")
 
 
 @key("expr_key_join", """WITH lm AS (SELECT strftime(l_shipdate, '%Y-%m') AS work_month, count(*) AS lines FROM lineitem GROUP BY 1),
@@ -282,27 +282,25 @@ def q_a5(spark, sf):
   CAST(count(DISTINCT CAST(l_partkey AS VARCHAR) || '|' || CAST(l_suppkey AS VARCHAR)) AS BIGINT) AS exact_part_supp,
   true AS part_supp_within_5pct FROM lineitem GROUP BY 1""")
 def q_a6(spark, sf):
+    """Sketches in one aggregate, exact counts in another, joined on the group."""
     li = table(spark, sf, "lineitem")
     pair = F.concat(F.col("l_partkey").cast("string"), F.lit("|"), F.col("l_suppkey").cast("string"))
-    g = li.groupBy("l_returnflag").agg(
-        F.approx_count_distinct("l_orderkey", Q.NDV_RSD).alias("_a1"), F.count_distinct("l_orderkey").alias("_e1"),
-        F.approx_count_distinct(pair, Q.NDV_RSD).alias("_a2"), F.count_distinct(pair).alias("_e2"))
-    within = lambda a, e: F.abs(F.col(a) - F.col(e)) <= F.greatest(F.col(e) * Q.NDV_TOLERANCE,
-                                                                   F.lit(Q.NDV_MIN_SLACK))
-    return g.select("l_returnflag", F.col("_e1").cast("bigint").alias("exact_orders"),
-                    within("_a1", "_e1").alias("orders_within_5pct"),
-                    F.col("_e2").cast("bigint").alias("exact_part_supp"),
-                    within("_a2", "_e2").alias("part_supp_within_5pct"))
+    sketch = li.groupBy("l_returnflag").agg(F.approx_count_distinct("l_orderkey", Q.NDV_RSD).alias("_a1"),
+                                            F.approx_count_distinct(pair, Q.NDV_RSD).alias("_a2"))
+    exact = AG.distinct_counts(li, ["l_returnflag"], {"exact_orders": F.col("l_orderkey"), "exact_part_supp": pair})
+    return AG.join_groups(sketch, exact, ["l_returnflag"]).select(
+        "l_returnflag", "exact_orders", Q.within_tolerance("_a1", "exact_orders").alias("orders_within_5pct"),
+        "exact_part_supp", Q.within_tolerance("_a2", "exact_part_supp").alias("part_supp_within_5pct"))
 
 
 @key("multi_count_distinct", """SELECT l_returnflag, CAST(count(DISTINCT l_orderkey) AS BIGINT) AS orders,
   CAST(count(DISTINCT l_partkey) AS BIGINT) AS parts, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty
 FROM lineitem GROUP BY 1""")
 def q_a7(spark, sf):
-    return table(spark, sf, "lineitem").groupBy("l_returnflag").agg(
-        F.count_distinct("l_orderkey").cast("bigint").alias("orders"),
-        F.count_distinct("l_partkey").cast("bigint").alias("parts"),
-        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("qty"))
+    li = table(spark, sf, "lineitem")
+    counts = AG.distinct_counts(li, ["l_returnflag"], {"orders": F.col("l_orderkey"), "parts": F.col("l_partkey")})
+    sums = li.groupBy("l_returnflag").agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("qty"))
+    return AG.join_groups(counts, sums, ["l_returnflag"])
 
 
 @key("safe_ratio", """SELECT l_suppkey,
@@ -330,19 +328,19 @@ FROM orders_tgt GROUP BY ALL) WHERE copies > 1"""
 
 
 @key("control_total", f"""WITH {ORDERS_TGT}
-SELECT 'orders' AS side, CAST(count(*) AS BIGINT) AS rows, CAST(sum(CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS DECIMAL(38,9))) AS VARCHAR) AS total FROM orders
-UNION ALL SELECT 'orders_tgt', CAST(count(*) AS BIGINT), CAST(sum(CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS DECIMAL(38,9))) AS VARCHAR) FROM orders_tgt
-UNION ALL SELECT 'documents_lang', CAST(count(*) AS BIGINT), CAST(sum(coalesce(TRY_CAST(lang AS DECIMAL(38,9)), 0)) AS VARCHAR) FROM documents""")
+SELECT 'orders' AS side, CAST(count(*) AS BIGINT) AS rows, {stripped_sql("CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS VARCHAR)")} AS total FROM orders
+UNION ALL SELECT 'orders_tgt', CAST(count(*) AS BIGINT), {stripped_sql("CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS VARCHAR)")} FROM orders_tgt
+UNION ALL SELECT 'documents_lang', CAST(count(*) AS BIGINT), {stripped_sql("CAST(sum(coalesce(TRY_CAST(lang AS DECIMAL(38,18)), 0)) AS VARCHAR)")} FROM documents""")
 def q_a16(spark, sf):
     o = table(spark, sf, "orders")
     t = D.orders_tgt(o)
     dec = lambda df: df.select(F.col("o_totalprice").cast("decimal(14,2)").alias("v"))
     a = AG.control_total(dec(o), "v").select(F.lit("orders").alias("side"), "rows",
-                                             F.col("total").cast("string").alias("total"))
+                                             "total")
     b = AG.control_total(dec(t), "v").select(F.lit("orders_tgt").alias("side"), "rows",
-                                             F.col("total").cast("string").alias("total"))
+                                             "total")
     c = AG.control_total(table(spark, sf, "documents"), "lang").select(
-        F.lit("documents_lang").alias("side"), "rows", F.col("total").cast("string").alias("total"))
+        F.lit("documents_lang").alias("side"), "rows", "total")
     return a.unionByName(b).unionByName(c)
 
 
@@ -425,7 +423,7 @@ def q_w2(spark, sf):
 @key("percent_rank_global", """SELECT o_orderkey, percent_rank() OVER (ORDER BY o_totalprice ASC) AS price_pctile FROM orders""")
 def q_w3(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    r = global_rank(o, [F.col("o_totalprice").asc_nulls_first()])
+    r = global_rank(o, [("o_totalprice", "asc")])
     return r.select("o_orderkey", percent_rank_col().alias("price_pctile"))
 
 
@@ -434,9 +432,9 @@ def q_w3(spark, sf):
   CAST(ntile(5) OVER (ORDER BY o_totalprice ASC, o_orderkey ASC) AS INTEGER) AS quintile_asc FROM orders""")
 def q_w4(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    a = global_rank(o, [F.col("o_totalprice").desc_nulls_last(), F.col("o_orderkey").asc()]) \
+    a = global_rank(o, [("o_totalprice", "desc"), ("o_orderkey", "asc")]) \
         .withColumn("quartile_desc", ntile_col(4)).drop("_grn", "_grank", "_gn")
-    b = global_rank(a, [F.col("o_totalprice").asc_nulls_first(), F.col("o_orderkey").asc()]) \
+    b = global_rank(a, [("o_totalprice", "asc"), ("o_orderkey", "asc")]) \
         .withColumn("quintile_asc", ntile_col(5))
     return b.select("o_orderkey", "quartile_desc", "quintile_asc")
 
@@ -464,7 +462,7 @@ SELECT user_id, eff_from, CAST(row_number() OVER (PARTITION BY user_id ORDER BY
 def q_t3(spark, sf):
     from paritylake.operators.windows import running_sum
     v = D.events_scd2(table(spark, sf, "events")).select("user_id", "eff_from")
-    r = running_sum(v, "user_id", [F.col("eff_from")], F.lit(1), "version_no")
+    r = running_sum(v, ["user_id"], [("eff_from", "asc")], F.lit(1), "version_no")
     return r.select("user_id", "eff_from", F.col("version_no").cast("int").alias("version_no"))
 
 
@@ -490,23 +488,27 @@ DECLARED_COLUMNS = {
 
 @key("name_set_diff", None)
 def q_u4(spark, sf):
-    """Expected vs actual column names per table: anti joins both ways."""
+    """Expected column names against the names that the rows of each table carry (a name without any value counts as
+    absent): anti joins both ways."""
     exp = spark.createDataFrame([(t, c) for t, cs in DECLARED_COLUMNS.items() for c in cs],
                                 "tbl string, col string")
     act = None
     for t in DECLARED_COLUMNS:
-        a = spark.createDataFrame([(t, c.lower()) for c in table(spark, sf, t).columns],
-                                  "tbl string, col string")
+        rows = table(spark, sf, t)
+        # a row's JSON leaves out nulls: its keys are the names with a value
+        a = rows.select(F.lit(t).alias("tbl"), F.explode(F.json_object_keys(F.to_json(F.struct("*")))).alias("col"))
         act = a if act is None else act.unionByName(a)
+    act = act.select("tbl", F.lower("col").alias("col")).distinct()
     missing = exp.join(act, ["tbl", "col"], "left_anti").withColumn("kind", F.lit("missing"))
     extra = act.join(exp, ["tbl", "col"], "left_anti").withColumn("kind", F.lit("unexpected"))
     return missing.unionByName(extra)
 
 
 def _name_diff_sql():
+    from paritylake.plans.keys_parity import TABLE_COLS
     exp = ", ".join(f"('{t}', '{c}')" for t, cs in DECLARED_COLUMNS.items() for c in cs)
-    act = " UNION ALL ".join(f"SELECT '{t}' AS tbl, lower(column_name) AS col FROM (DESCRIBE {t})"
-                             for t in DECLARED_COLUMNS)
+    act = " UNION ALL ".join(f"SELECT '{t}' AS tbl, '{c}' AS col WHERE (SELECT count({c}) FROM {t}) > 0"
+                             for t in DECLARED_COLUMNS for c, _ in TABLE_COLS[t])
     return f"""WITH exp AS (SELECT * FROM (VALUES {exp}) AS e(tbl, col)), act AS ({act})
 SELECT tbl, col, 'missing' AS kind FROM exp WHERE NOT EXISTS (SELECT 1 FROM act WHERE act.tbl = exp.tbl AND act.col = exp.col)
 UNION ALL
@@ -528,8 +530,16 @@ def q_u5(spark, sf):
         .select("pattern", "target", "status")
 
 
-O_["column_union"] = """SELECT * FROM (VALUES ('query_parity', 'tgt_with_null_column', 'FAIL'),
-  ('query_parity', 'self_with_null_column', 'PASS'), ('query_parity', 'tgt_with_value_column', 'FAIL')) AS t(pattern, target, status)"""
+_UNION_COLS = ", ".join(ORDERS_NAMES)
+_UNION_PAIR = """SELECT 'query_parity' AS pattern, '{target}' AS target, CASE WHEN
+  (SELECT count(*) FROM (SELECT {cols}, {ca} AS extra FROM orders EXCEPT ALL SELECT {cols}, {cb} AS extra FROM {other}))
+  + (SELECT count(*) FROM (SELECT {cols}, {cb} AS extra FROM {other} EXCEPT ALL SELECT {cols}, {ca} AS extra FROM orders)) = 0
+  THEN 'PASS' ELSE 'FAIL' END AS status"""
+_none = "CAST(NULL AS VARCHAR)"
+O_["column_union"] = f"WITH {ORDERS_TGT}\n" + "\nUNION ALL\n".join([
+    _UNION_PAIR.format(target="tgt_with_null_column", cols=_UNION_COLS, ca=_none, cb=_none, other="orders_tgt"),
+    _UNION_PAIR.format(target="self_with_null_column", cols=_UNION_COLS, ca=_none, cb=_none, other="orders"),
+    _UNION_PAIR.format(target="tgt_with_value_column", cols=_UNION_COLS, ca=_none, cb="'x'", other="orders_tgt")])
 
 
 # =============================================================== 2.8 scalar functions
@@ -650,12 +660,17 @@ def q_f12(spark, sf):
 _EMB_COLS = [("vec_id", "int"), ("embedding", "list<float>"), ("label", "int")]
 
 
-@key("fn_canon", f"""SELECT vec_id, {text_sql('embedding', 'list<float>')} AS canon_embedding, {row_text_sql(_EMB_COLS)} AS canon_row
+@key("fn_canon", f"""SELECT vec_id, {text_sql('embedding', 'list<float>')} AS canon_embedding, {row_text_sql(_EMB_COLS)} AS canon_row,
+  {text_sql('CAST(label AS DECIMAL(20,5))', 'decimal')} AS canon_decimal, {text_sql('label / 8.0', 'double')} AS canon_double,
+  {text_sql('label', 'int')} AS canon_int
 FROM embeddings""")
 def q_f13(spark, sf):
     e = table(spark, sf, "embeddings")
     return e.select("vec_id", canon_text(F.col("embedding"), e.schema["embedding"].dataType).alias("canon_embedding"),
-                    row_text(e, ["vec_id", "embedding", "label"]).alias("canon_row"))
+                    row_text(e, ["vec_id", "embedding", "label"]).alias("canon_row"),
+                    canon_text(F.col("label").cast("decimal(20,5)"), T.DecimalType(20, 5)).alias("canon_decimal"),
+                    canon_text(F.col("label") / 8.0, T.DoubleType()).alias("canon_double"),
+                    canon_text(F.col("label"), T.IntegerType()).alias("canon_int"))
 
 
 # J13 is the hub view's 6-way join itself

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paritylake.functions.canon import digest, pushdown_digest, with_row_hash
-from paritylake.functions.canon_sql import bucket_sql
+from paritylake.functions.canon_sql import bucket_sql, stripped_sql, text_sql
 from paritylake.operators import parity as P
 from paritylake.plans import derived as D
 from paritylake.plans.oracle import ORDERS_COLS, ORDERS_NAMES, ORDERS_TGT, hashed
@@ -76,16 +76,35 @@ def q_aggregate_parity(spark, sf):
     return P.aggregate_parity(o, t, AGG_SPECS, target="orders")
 
 
+PRICE_COLS = ["o_orderkey", "price"]
+
+
+def _typed_orders(o, key_type, price_type, nudge=None):
+    """Orders' key and price as other column types; ``nudge`` adds to the price at its own scale."""
+    price = F.col("o_totalprice").cast("decimal(14,2)").cast(price_type)
+    if nudge:
+        price = (price + F.when(F.col("o_orderkey") % 2 == 0, F.lit(nudge).cast(price_type)).otherwise(F.lit(0).cast(price_type))).cast(price_type)
+    return o.select(F.col("o_orderkey").cast(key_type).alias("o_orderkey"), price.alias("price"))
+
+
 def q_fingerprint_parity(spark, sf):
     o, t = _orders_pair(spark, sf)
     li = table(spark, sf, "lineitem")
     emb = table(spark, sf, "embeddings")
     li_names = [c for c, _ in TABLE_COLS["lineitem"]]
+    wide = _typed_orders(o, "bigint", "decimal(38,18)")
     return P.union_checks([
         P.fingerprint_parity(o, t, ORDERS_NAMES, "orders_vs_tgt"),
-        # reversed row order and column order of the projection: same multiset
-        P.fingerprint_parity(li, li.orderBy(F.col("l_orderkey").desc()), li_names, "lineitem_self"),
+        # another column order of the projection: same multiset
+        P.fingerprint_parity(li, li.select(*reversed(li_names)), li_names, "lineitem_self"),
         P.fingerprint_parity(emb, emb, ["vec_id", "embedding", "label"], "embeddings_self"),
+        # one value in different numeric types is one value
+        P.fingerprint_parity(_typed_orders(o, "bigint", "decimal(14,2)"), _typed_orders(o, "decimal(38,0)", "double"),
+                             PRICE_COLS, "decimal_vs_double"),
+        P.fingerprint_parity(_typed_orders(o, "string", "decimal(14,2)"), wide, PRICE_COLS, "string_vs_bigint", coerce_numeric=True),
+        P.fingerprint_parity(_typed_orders(o, "string", "decimal(14,2)"), wide, PRICE_COLS, "string_vs_bigint_strict"),
+        # a difference in the tenth place is a difference
+        P.fingerprint_parity(wide, _typed_orders(o, "bigint", "decimal(38,18)", "0.0000000001"), PRICE_COLS, "tenth_place"),
     ])
 
 
@@ -196,6 +215,7 @@ def q_query_parity(spark, sf):
         P.query_parity(cnt_a, cnt_b, "scalar", target="count_scalar"),
         P.query_parity(cnt_a, cnt_bad, "scalar", 0, target="count_scalar_wrong"),
         P.query_parity(cross, cross_b, "scalar", target="cross_join_count"),
+        P.query_parity(api_b.select("n"), api_b.select("n"), "scalar", target="several_rows_scalar"),
         P.query_parity(exact, approx, "scalar", "5%", target="approx_distinct_5pct"),
         P.query_parity(rx_sql, rx_api, "rowset", target="regex_classes"),
     ]).select("pattern", "target", "status")
@@ -258,17 +278,15 @@ _ROWCOUNT_SQL = f"WITH {ORDERS_TGT}\n" + "\nUNION ALL\n".join([
 
 
 def _agg_sql_value(col, fn):
-    if fn == "count":
-        return f"CAST(CAST(count({col}) AS DECIMAL(38,9)) AS VARCHAR)"
-    if fn == "count_distinct":
-        return f"CAST(CAST(count(DISTINCT {col}) AS DECIMAL(38,9)) AS VARCHAR)"
+    if fn in ("count", "count_distinct"):
+        return f"CAST(count({'DISTINCT ' if fn == 'count_distinct' else ''}{col}) AS VARCHAR)"
     if fn == "sum":
-        return f"CAST(sum(CAST({col} AS DECIMAL(38,9))) AS VARCHAR)"
-    if col == "o_orderdate":
+        return stripped_sql(f"CAST(sum(CAST({col} AS DECIMAL(38,9))) AS VARCHAR)")
+    if col in ("o_orderdate", "l_shipdate"):
         return f"CAST({fn}(date_trunc('second', {col})) AS VARCHAR)"
-    if col == "o_orderstatus":
+    if col in ("o_orderstatus", "l_linestatus"):
         return f"CAST({fn}({col}) AS VARCHAR)"
-    return f"CAST(CAST({fn}({col}) AS DECIMAL(38,9)) AS VARCHAR)"
+    return text_sql(f"{fn}({col})", "double")
 
 
 def _aggregate_parity_sql():
@@ -276,7 +294,7 @@ def _aggregate_parity_sql():
     for i, (c, fn, tol) in enumerate(AGG_SPECS):
         v = _agg_sql_value(c, fn)
         if isinstance(tol, str) and tol.endswith("%"):
-            allowed = f"abs(CAST(TRY_CAST(s.v AS DECIMAL(38,9)) AS DOUBLE)) * {float(tol[:-1]) / 100.0}"
+            allowed = f"abs(CAST(s.v AS DOUBLE)) * {float(tol[:-1]) / 100.0}"
         else:
             allowed = f"{float(tol)}"
         if c == "o_orderdate":
@@ -285,8 +303,8 @@ def _aggregate_parity_sql():
         elif c == "o_orderstatus":
             ok = "(s.v IS NOT DISTINCT FROM t.v)"
         else:
-            ok = (f"(s.v IS NOT DISTINCT FROM t.v OR CAST(abs(TRY_CAST(s.v AS DECIMAL(38,9)) - "
-                  f"TRY_CAST(t.v AS DECIMAL(38,9))) AS DOUBLE) <= {allowed})")
+            ok = (f"(s.v IS NOT DISTINCT FROM t.v OR CAST(abs(CAST(s.v AS DECIMAL(38,9)) - "
+                  f"CAST(t.v AS DECIMAL(38,9))) AS DOUBLE) <= {allowed})")
         parts.append(f"""SELECT 'aggregate_parity' AS pattern, 'orders.{c}.{fn}' AS target,
   CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END AS status, s.v AS expected, t.v AS actual,
   false AS measurement, {i} AS i
@@ -294,17 +312,28 @@ FROM (SELECT {v} AS v FROM orders) s, (SELECT {v} AS v FROM orders_tgt) t""")
     return f"WITH {ORDERS_TGT}\n" + "\nUNION ALL\n".join(parts)
 
 
-def _fp_check_sql(target, src, tgt, cols):
+def _fp_check_sql(target, src, tgt, cols, tgt_cols=None):
     from paritylake.plans.oracle import digest_of
     return f"""SELECT 'fingerprint_parity' AS pattern, '{target}' AS target,
   CASE WHEN s.n = t.n AND s.s1 = t.s1 AND s.s2 = t.s2 AND s.x = t.x THEN 'PASS' ELSE 'FAIL' END AS status,
   concat_ws('/', CAST(s.n AS VARCHAR), CAST(s.s1 AS VARCHAR), CAST(s.s2 AS VARCHAR), CAST(s.x AS VARCHAR)) AS expected,
   concat_ws('/', CAST(t.n AS VARCHAR), CAST(t.s1 AS VARCHAR), CAST(t.s2 AS VARCHAR), CAST(t.x AS VARCHAR)) AS actual,
   false AS measurement
-FROM {digest_of(src, cols)} s, {digest_of(tgt, cols)} t"""
-
-
-_FINGERPRINT_PARITY_SQL = f"WITH {ORDERS_TGT}\n" + "\nUNION ALL\n".join([
+FROM {digest_of(src, cols)} s, {digest_of(tgt, tgt_cols or cols)} t"""
+
+
+_TYPED = """typed_orders AS (
+  SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(14,2)) AS price, CAST(o_totalprice AS DECIMAL(14,2))::DOUBLE AS price_double,
+         CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS DECIMAL(38,18))
+           + CASE WHEN o_orderkey % 2 = 0 THEN 0.0000000001::DECIMAL(38,18) ELSE 0::DECIMAL(38,18) END AS price_tenth,
+         CAST(o_orderkey AS VARCHAR) AS key_text
+  FROM orders)"""
+_KEY_PRICE = [("o_orderkey", "int"), ("price", "decimal")]
+_FINGERPRINT_PARITY_SQL = f"WITH {ORDERS_TGT}, {_TYPED}\n" + "\nUNION ALL\n".join([
+    _fp_check_sql("decimal_vs_double", "typed_orders", "typed_orders", _KEY_PRICE, [("o_orderkey", "int"), ("price_double", "double")]),
+    _fp_check_sql("string_vs_bigint", "typed_orders", "typed_orders", _KEY_PRICE),
+    _fp_check_sql("string_vs_bigint_strict", "typed_orders", "typed_orders", [("key_text", "string"), ("price", "decimal")], _KEY_PRICE),
+    _fp_check_sql("tenth_place", "typed_orders", "typed_orders", _KEY_PRICE, [("o_orderkey", "int"), ("price_tenth", "decimal")]),
     _fp_check_sql("orders_vs_tgt", "orders", "orders_tgt", ORDERS_COLS),
     _fp_check_sql("lineitem_self", "lineitem", "lineitem", TABLE_COLS["lineitem"]),
     _fp_check_sql("embeddings_self", "embeddings", "embeddings", TABLE_COLS["embeddings"]),
@@ -365,28 +394,42 @@ _DIFF_SAMPLE_SQL = f"SELECT * FROM ({_LOCALIZE_SQL}) ORDER BY o_orderkey NULLS F
 
 
 def _agg_list_sql():
-    vals = {
-        0: "CAST(sum(CAST(l_quantity AS DECIMAL(38,9))) AS VARCHAR)",
-        1: "CAST(CAST(count(DISTINCT l_orderkey) AS DECIMAL(38,9)) AS VARCHAR)",
-        2: "CAST(min(date_trunc('second', l_shipdate)) AS VARCHAR)",
-        3: "CAST(CAST(max(l_extendedprice) AS DECIMAL(38,9)) AS VARCHAR)",
-        4: "CAST(CAST(count(l_returnflag) AS DECIMAL(38,9)) AS VARCHAR)",
-        5: "CAST(max(l_linestatus) AS VARCHAR)",
-    }
+    kinds = {"l_shipdate": "moment", "l_linestatus": "text"}
+    kind = lambda c, fn: "number" if fn in ("sum", "count", "count_distinct") else kinds.get(c, "number")
     return "\nUNION ALL\n".join(
-        f"SELECT {i} AS i, '{c}' AS col, '{fn}' AS fn, (SELECT {vals[i]} FROM lineitem) AS value"
+        f"SELECT {i} AS i, '{c}' AS col, '{fn}' AS fn, (SELECT {_agg_sql_value(c, fn)} FROM lineitem) AS value, '{kind(c, fn)}' AS kind"
         for i, (c, fn) in enumerate(A1_SPECS))
 
 
-_QUERY_PARITY_SQL = """SELECT 'query_parity' AS pattern, 'grouped_counts' AS target, 'PASS' AS status
-UNION ALL SELECT 'query_parity', 'grouped_counts_filtered',
-  CASE WHEN (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') = 0 THEN 'PASS' ELSE 'FAIL' END
-UNION ALL SELECT 'query_parity', 'count_scalar', 'PASS'
-UNION ALL SELECT 'query_parity', 'count_scalar_wrong',
-  CASE WHEN (SELECT count(*) FROM lineitem WHERE l_linenumber <= 1) = 0 THEN 'PASS' ELSE 'FAIL' END
-UNION ALL SELECT 'query_parity', 'cross_join_count', 'PASS'
+def _same_rows(a: str, b: str) -> str:
+    """PASS if two queries have the same multiset of rows."""
+    return (f"CASE WHEN (SELECT count(*) FROM (({a}) EXCEPT ALL ({b}))) + (SELECT count(*) FROM (({b}) EXCEPT ALL ({a}))) = 0 "
+            "THEN 'PASS' ELSE 'FAIL' END")
+
+
+def _same_value(a: str, b: str) -> str:
+    return f"CASE WHEN ({a}) = ({b}) THEN 'PASS' ELSE 'FAIL' END"
+
+
+_GROUPED = "SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2"
+_GROUPED_2 = ("SELECT DISTINCT l_returnflag, l_linestatus, count(*) OVER w AS n, sum(l_quantity) OVER w AS q FROM lineitem "
+              "WINDOW w AS (PARTITION BY l_returnflag, l_linestatus)")
+_CLASS = ("SELECT CASE WHEN regexp_matches(text, '^(The|Der|Le|El)\\b') THEN 'article' "
+          "WHEN regexp_matches(text, '(?i)(https?://|www\\.)') THEN 'link' ELSE 'other' END AS cls, lang, count(*) AS n FROM documents GROUP BY 1, 2")
+_CLASS_2 = ("SELECT CASE WHEN regexp_extract(text, '^[A-Za-z]+\\b') IN ('The', 'Der', 'Le', 'El') THEN 'article' "
+            "WHEN lower(text) LIKE '%http://%' OR lower(text) LIKE '%https://%' OR lower(text) LIKE '%www.%' THEN 'link' ELSE 'other' END AS cls, "
+            "lang, count(*) AS n FROM documents GROUP BY 1, 2")
+# the approximate count's row states the accuracy the sketch promises: another engine's sketch cannot compute it
+_QUERY_PARITY_SQL = f"""SELECT 'query_parity' AS pattern, 'grouped_counts' AS target, {_same_rows(_GROUPED, _GROUPED_2)} AS status
+UNION ALL SELECT 'query_parity', 'grouped_counts_filtered', {_same_rows(_GROUPED, "SELECT * FROM (" + _GROUPED + ") WHERE l_returnflag <> 'R'")}
+UNION ALL SELECT 'query_parity', 'count_scalar', {_same_value("SELECT count(*) FROM lineitem", "SELECT sum(n) FROM (" + _GROUPED + ")")}
+UNION ALL SELECT 'query_parity', 'count_scalar_wrong', {_same_value("SELECT count(*) FROM lineitem", "SELECT count(*) FROM lineitem WHERE l_linenumber > 1")}
+UNION ALL SELECT 'query_parity', 'cross_join_count', {_same_value(
+    "SELECT count(*) FROM (SELECT DISTINCT l_returnflag FROM lineitem) CROSS JOIN (SELECT DISTINCT l_linestatus FROM lineitem)",
+    "SELECT count(DISTINCT l_returnflag) * count(DISTINCT l_linestatus) FROM lineitem")}
+UNION ALL SELECT 'query_parity', 'several_rows_scalar', CASE WHEN (SELECT count(*) FROM ({_GROUPED})) > 1 THEN 'ERROR' ELSE 'PASS' END
 UNION ALL SELECT 'query_parity', 'approx_distinct_5pct', 'PASS'
-UNION ALL SELECT 'query_parity', 'regex_classes', 'PASS'"""
+UNION ALL SELECT 'query_parity', 'regex_classes', {_same_rows(_CLASS, _CLASS_2)}"""
 
 ORACLE = {
     "fingerprint_localize": _LOCALIZE_SQL,

@@ -33,7 +33,7 @@ TEXT_COLUMNS = {
     "program_margin": ["period_month"], "client_executive_summary": ["period_month"],
     "wide_hub_join": ["period_month"], "left_join_true": ["period_month"], "expr_key_join": ["period_month"],
     "conditional_sums": ["ship_month"], "fn_date": ["date_plus_3", "month_start", "lit_date"],
-    "fn_iso_coerce": ["d"], "synth_table": ["first_date", "last_date"],
+    "fn_iso_coerce": ["d"], "table_layouts": ["order_year"], "synth_table": ["first_date", "last_date"],
     "partition_collapse": ["event_date"], "retention_check": ["partition"],
     # the open-ended SCD-2 terminal (9999-12-31) is outside pandas' nanosecond range
     "scd2_build": ["eff_to"], "adjacent_versions": ["eff_to"],
@@ -60,9 +60,23 @@ def _cast_cols(fn, cols, spark_type):
     return run
 
 
+def _in_session(fn):
+    """The query in a session with the settings the canonical forms depend on."""
+    from paritylake.session import ensure_session
+
+    def run(spark, sf_dir):
+        return fn(ensure_session(spark), sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 for _cols_map, _st, _dt in ((TEXT_COLUMNS, "string", "VARCHAR"), (DOUBLE_COLUMNS, "double", "DOUBLE")):
     for _k, _cols in _cols_map.items():
         QUERIES[_k] = _cast_cols(QUERIES[_k], _cols, _st)
         if _k in ORACLE:
             _rep = ", ".join(f'CAST("{c}" AS {_dt}) AS "{c}"' for c in _cols)
             ORACLE[_k] = f"SELECT * REPLACE ({_rep}) FROM ({ORACLE[_k]}) AS _q"
+
+for _k in list(QUERIES):
+    QUERIES[_k] = _in_session(QUERIES[_k])

@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CKPT_CONF = "spark.checkpoint.dir"
+_WRITTEN: list[str] = []
 
 
 def get_spark(master: str | None = None, app: str = "paritylake",
@@ -47,11 +48,18 @@ def ensure_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _in_one_process(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder from the session; a private one only if unset."""
+    """Shared checkpoint folder from the session. Only a session in one process (``local[...]``) may do without: it gets
+    a private one; on a cluster an unset folder is an error, as executors cannot see each other's disks."""
     sc = spark.sparkContext
     d = sc.getConf().get(_CKPT_CONF, None) or spark.conf.get(_CKPT_CONF, None)
     if not d:
+        if not _in_one_process(sc.master):
+            raise RuntimeError(f"set {_CKPT_CONF} to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="paritylake-ckpt-")
         spark.conf.set(_CKPT_CONF, d)
     if sc.getCheckpointDir() is None:
@@ -62,7 +70,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process has handed out; results read from them must be done with."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    done = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        done += bool(path.getFileSystem(conf).delete(path, True))
+    return done
 
 
 def materialize(df):

@@ -10,9 +10,10 @@ collected except per-file or per-format summaries.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.utils import AnalysisException
 
-from paritylake.checks import CHECKS_DDL
 from paritylake.functions.canon import digest
 from paritylake.session import scratch_dir
 
@@ -21,6 +22,11 @@ FORMATS = ("json", "csv", "parquet", "orc", "avro")
 CSV_SEP = "|"
 
 
+def by_date(df: DataFrame, *parts: str, files: int = 4) -> DataFrame:
+    """Rows brought together by partition value before a partitioned write, each value in up to ``files`` tasks."""
+    return df.repartition(*[F.col(p) for p in parts], F.pmod(F.xxhash64(*df.columns), F.lit(files)))
+
+
 def write_format(df: DataFrame, fmt: str, path: str, **opts) -> None:
     w = df.write.mode("overwrite")
     for k, v in opts.items():
@@ -37,11 +43,14 @@ def read_format(spark: SparkSession, fmt: str, path: str, schema=None, **opts) -
     return r.load(path)
 
 
+UNSUPPORTED = "UNSUPPORTED"
+
+
 def load_formats(spark: SparkSession, df: DataFrame, name: str,
                  formats=FORMATS) -> DataFrame:
     """Write ``df`` once per format, load it back (overwrite), assert the
-    landed count equals the source count. A load error becomes an ERROR row
-    and the other formats still run."""
+    landed count equals the source count. A format whose data source is not on
+    the class path is UNSUPPORTED here; any other fault is raised."""
     rows = []
     expected = df.count()
     for fmt in formats:
@@ -49,27 +58,38 @@ def load_formats(spark: SparkSession, df: DataFrame, name: str,
         try:
             opts = {"header": "true", "sep": CSV_SEP} if fmt == "csv" else {}
             write_format(df, fmt, path, **opts)
-            back = read_format(spark, fmt, path, schema=df.schema if fmt in ("json", "csv") else None,
-                               **opts)
-            landed = back.count()
-            rows.append((fmt, expected, landed, "PASS" if landed == expected else "FAIL"))
-        except Exception as e:  # noqa: BLE001 — a failed load is a result, not a crash
-            rows.append((fmt, expected, None, "ERROR"))
+        except AnalysisException as e:
+            if "DATA_SOURCE_NOT_FOUND" not in str(e) and "Failed to find data source" not in str(e):
+                raise
+            rows.append((fmt, expected, None, UNSUPPORTED))
+            continue
+        back = read_format(spark, fmt, path, schema=df.schema if fmt in ("json", "csv") else None, **opts)
+        landed = back.count()
+        rows.append((fmt, expected, landed, "PASS" if landed == expected else "FAIL"))
     return spark.createDataFrame(rows, "format string, expected bigint, landed bigint, status string")
 
 
+def _positions(batches):
+    """Line positions of one task's splits, as they are read: lines of a file's first split are numbered from 0."""
+    seen: dict[str, int] = {}
+    for b in batches:
+        files, starts = b.column(1).to_pylist(), b.column(2).to_pylist()
+        at = []
+        for f, start in zip(files, starts):
+            if start == 0:
+                at.append(seen.get(f, 0))
+                seen[f] = at[-1] + 1
+            else:
+                at.append(None)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(at, pa.int64())], names=["value", "_f", "_pos"])
+
+
 def lines_with_position(spark: SparkSession, path: str) -> DataFrame:
     """Text lines with (_f file path, _pos line position inside the file for
-    lines of the file's first split; NULL further on). The position comes from
-    the split start (block 0) and the in-task read order; the per-file minimum
-    is one row per file."""
-    lines = (spark.read.text(path)
-             .select("value", F.col("_metadata.file_path").alias("_f"),
-                     F.col("_metadata.file_block_start").alias("_blk"),
-                     F.monotonically_increasing_id().alias("_id")))
-    first = lines.where(F.col("_blk") == 0).groupBy("_f").agg(F.min("_id").alias("_min"))
-    return lines.join(first, "_f", "left").select(
-        "value", "_f", F.when(F.col("_blk") == 0, F.col("_id") - F.col("_min")).alias("_pos"))
+    lines of the file's first split; NULL further on): one scan, each task
+    numbering the lines of its own splits. No reader option gives a position."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_start"))
+    return lines.mapInArrow(_positions, "value string, _f string, _pos long")
 
 
 def skip_leading_rows(spark: SparkSession, path: str, n_skip: int, sep: str = CSV_SEP,
@@ -105,8 +125,7 @@ def write_with_banner(df: DataFrame, path: str, n_files: int, banner: list[str],
     cols = df.columns
     body = df.select(F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(n_files)).alias("_b"),
                      F.lit(2).alias("_kind"),
-                     F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
-                     .alias("value"))
+                     F.to_csv(F.struct(*cols), {"sep": sep}).alias("value"))
     heads = [(b, 0, line) for b in range(n_files) for line in banner]
     heads += [(b, 1, sep.join(cols)) for b in range(n_files)]
     head_df = spark.createDataFrame(heads, "_b int, _kind int, value string")
@@ -122,8 +141,10 @@ def export_json(df: DataFrame, path: str) -> None:
 
 def readback_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Every non-blank JSON line under ``path``, with the export schema so
-    decimals do not come back as floats."""
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path).na.drop(how="all")
+    decimals do not come back as floats. A line that does not parse is an error
+    when the rows are read; a line of nulls is a row."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
 def scan_bytes(df: DataFrame) -> DataFrame:
@@ -136,24 +157,40 @@ def scan_bytes(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("files"))
 
 
-def file_manifest(spark: SparkSession, path_glob: str) -> DataFrame:
-    """(file_name, size, sha256) of every file — content hashed in the
-    executors via the ``binaryFile`` source."""
-    b = spark.read.format("binaryFile").load(path_glob)
-    return b.select(F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                    F.col("length").cast("bigint").alias("size"),
-                    F.sha2(F.col("content"), 256).alias("sha256"))
-
-
-def synth_table(spark: SparkSession, n_rows, num_partitions: int | None = None) -> DataFrame:
-    """N rows from expressions over a 1-based sequence. RAND is replaced by
-    an md5 of the id so every run (and every engine) produces the same rows."""
-    n = int(n_rows)
-    parts = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ids = spark.range(1, n + 1, numPartitions=parts)
-    h = F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 8), 16, 10).cast("bigint")
+def intake(spark: SparkSession, path: str, schema: T.StructType, part: str, control: str, manifest: DataFrame) -> DataFrame:
+    """CSV files of ``part=value`` folders (plain or gzip) against a manifest (part, rows, total) that came with them.
+
+    Every folder gets one row: PASS, or QUARANTINE with the reason (absent, not in the manifest, rows, total). A damaged
+    archive gives up the lines before its fault, so its counts show it.
+    """
+    read = (spark.read.schema(schema.add(part, T.StringType())).option("sep", CSV_SEP).option("ignoreCorruptFiles", "true").csv(path))
+    landed = read.groupBy(part).agg(F.count(F.lit(1)).alias("got_rows"), F.sum(F.col(control).cast("decimal(38,4)")).alias("got_total"))
+    want = manifest.select(F.col(part).cast("string").alias(part), "rows", F.col("total").cast("decimal(38,4)").alias("total"))
+    j = want.join(landed, part, "full")
+    reason = (F.when(F.col("rows").isNull(), "not in the manifest").when(F.col("got_rows").isNull(), "absent")
+              .when(F.col("got_rows") != F.col("rows"), "rows").when(~F.col("got_total").eqNullSafe(F.col("total")), "total"))
+    return j.select(part, F.coalesce("rows", F.lit(0)).alias("expected_rows"), F.coalesce("got_rows", F.lit(0)).alias("landed_rows"),
+                    F.when(reason.isNull(), "PASS").otherwise("QUARANTINE").alias("status"), reason.alias("reason"))
+
+
+def damaged_archives(spark: SparkSession, df: DataFrame, path: str, opts: dict) -> None:
+    """Files with a gzip name that no gzip reader can open (a test delivery): plain text, renamed."""
+    df.coalesce(1).write.options(**opts).csv(path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    for f in fs.listStatus(folder):
+        if f.getPath().getName().startswith("part-"):
+            fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(f"{f.getPath().toString()}.gz"))
+
+
+def synth_table(rows: DataFrame, id_col: str, group_col: str) -> DataFrame:
+    """Synthetic rows, one for each row of a table, from expressions over its key and a group column. RAND is
+    replaced by an md5 of the key so every run (and every engine) produces the same rows."""
+    ids = rows.select(F.col(id_col).cast("bigint").alias("id"), F.col(group_col).cast("string").alias("segment"))
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("id").cast("string"), "segment")), 1, 8), 16, 10).cast("bigint")
     return ids.select(
-        F.col("id"),
+        F.col("id"), "segment",
         (F.col("id") % 1_000_000).alias("customer_id"),
         ((h % 100000).cast("decimal(14,2)") / F.lit(100)).cast("decimal(12,2)").alias("amount"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 365).cast("int")).alias("event_date"),
@@ -180,7 +217,7 @@ def stage_layouts(spark: SparkSession, df: DataFrame, date_col: str, name: str)
     df.write.mode("overwrite").parquet(p_pq)
     out.append(digest(spark.read.parquet(p_pq), cols).select(F.lit("parquet").alias("layout"), "*"))
     p_part = scratch_dir(spark, f"{name}_json_by_date")
-    df.withColumn("_part_date", F.trunc(F.to_date(F.col(date_col)), "month")).write.mode("overwrite") \
+    by_date(df.withColumn("_part_date", F.trunc(F.to_date(F.col(date_col)), "month")), "_part_date").write.mode("overwrite") \
         .partitionBy("_part_date").json(p_part)
     back = spark.read.schema(df.schema.add("_part_date", T.DateType())).json(p_part)
     out.append(digest(back.select(*cols), cols).select(F.lit("json_by_date").alias("layout"), "*"))
@@ -188,7 +225,3 @@ def stage_layouts(spark: SparkSession, df: DataFrame, date_col: str, name: str)
     for o in out[1:]:
         u = u.unionByName(o)
     return u
-
-
-def error_checks(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, CHECKS_DDL)

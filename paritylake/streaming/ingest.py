@@ -1,19 +1,22 @@
 """Incremental and streaming variants.
 
 * ``incremental_ingest`` (D3): batch append of rows whose check column is
-  above the sink's watermark, with one audit row per run.
+  above the watermark of the earlier runs. A run owns its folder and its audit
+  row, so running it again replaces both and appends nothing twice. Rows
+  without a check value and late rows are kept aside and counted.
 * ``stream_ingest`` (D4): a file stream deduplicated by key inside a
   watermark (``dropDuplicatesWithinWatermark``), written by an idempotent
   ``foreachBatch`` (one output folder per batch id, overwritten on replay).
-* ``stream_merge`` (D5): each micro-batch reduced to the latest change per
-  key and merged onto the previous snapshot version; every batch writes a new
-  version folder, so a replayed batch rebuilds exactly its own version.
+* ``stream_merge`` (D5): each micro-batch appends its changes, reduced to the
+  latest per key; the snapshot is one merge of all of them onto the initial
+  table. No batch rewrites the table.
 * ``stream_window_digests`` (D6): per event-time window count and digest of a
   stream (update mode, state bounded by the watermark); the final value of
   each window is its last update.
 
-All state lives in the stream checkpoint and in files under the shared
-checkpoint folder; nothing but per-batch ids passes through the driver.
+A stream's checkpoint lies beside its sink (or where the caller says): a second
+call goes on where the first ended. Nothing but per-batch ids passes through
+the driver.
 """
 
 from __future__ import annotations
@@ -22,42 +25,81 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
 from paritylake.functions.canon import with_row_hash
-from paritylake.operators.merge import delta_latest
-from paritylake.session import scratch_dir
+from paritylake.operators.merge import delta_latest, merge_apply
 
 
 # ---------------------------------------------------------------- D3
-def sink_watermark(spark: SparkSession, sink_path: str, check_col: str):
-    """Current high-water mark of the sink (one scalar), None for a new sink."""
+_AUDIT = "run int, watermark_before string, watermark_after string, appended long, late long, no_check_value long, status string"
+
+
+def _audit_of(spark: SparkSession, sink_path: str) -> DataFrame:
+    try:
+        return spark.read.schema(_AUDIT).parquet(f"{sink_path}/_audit/*")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], _AUDIT)
+
+
+def sink_rows(spark: SparkSession, sink_path: str, schema: T.StructType) -> DataFrame:
+    """All appended rows; an empty frame for a sink without a run."""
     try:
-        return spark.read.parquet(sink_path).agg(F.max(check_col)).first()[0]
-    except AnalysisException:
-        return None
+        return spark.read.schema(schema).parquet(f"{sink_path}/data/*")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def sink_watermark(spark: SparkSession, sink_path: str, run_id: int) -> str | None:
+    """High-water mark of the runs before ``run_id``, as text: one scalar of the audit table, not a scan of the sink."""
+    last = _audit_of(spark, sink_path).where(F.col("run") < run_id).orderBy(F.desc("run")).select("watermark_after").head()
+    return last[0] if last else None
 
 
 def incremental_ingest(spark: SparkSession, src: DataFrame, sink_path: str, check_col: str,
-                       run_id: int) -> DataFrame:
-    """Append rows with ``check_col`` > the sink watermark; returns the audit row
-    (run, watermark_before, watermark_after, appended, status)."""
-    before = sink_watermark(spark, sink_path, check_col)
-    new = src if before is None else src.where(F.col(check_col) > F.lit(before))
-    stage = scratch_dir(spark, f"ingest_run{run_id}")
-    new.write.mode("overwrite").parquet(stage)           # exactly-once: stage, then append
-    staged = spark.read.parquet(stage)
-    staged.write.mode("append").parquet(sink_path)
-    stats = staged.agg(F.count(F.lit(1)).cast("bigint").alias("appended"),
-                       F.max(check_col).alias("wm_after"))
-    return stats.select(F.lit(run_id).alias("run"),
-                        F.lit(before).cast(src.schema[check_col].dataType).alias("watermark_before"),
-                        F.coalesce(F.col("wm_after"), F.lit(before).cast(src.schema[check_col].dataType))
-                        .alias("watermark_after"), "appended", F.lit("SUCCESS").alias("status"))
+                       run_id: int, key: str) -> DataFrame:
+    """Append the rows above the watermark of the earlier runs; returns the run's audit row.
+
+    ``late``: rows at or below the watermark whose ``key`` the sink does not hold (they go to ``_late``, not to the
+    data). ``no_check_value``: rows whose check column is NULL (to ``_no_check_value``).
+    """
+    kind = src.schema[check_col].dataType
+    before = sink_watermark(spark, sink_path, run_id)
+    mark = F.lit(before).cast(kind)
+    held = sink_rows(spark, sink_path, src.schema)
+    new = src.where(F.col(check_col).isNotNull() if before is None else F.col(check_col) > mark)
+    blank = src.where(F.col(check_col).isNull())
+    late = src.where(F.lit(before is not None) & (F.col(check_col) <= mark)).join(held.select(key), key, "left_anti")
+    part = f"run={run_id}"
+    paths = {"appended": f"{sink_path}/data/{part}", "late": f"{sink_path}/_late/{part}", "no_check_value": f"{sink_path}/_no_check_value/{part}"}
+    # the rows set aside are told from the sink as it was, so before this run's own folder is (re)written
+    for name, rows in (("late", late), ("no_check_value", blank), ("appended", new)):
+        rows.write.mode("overwrite").parquet(paths[name])
+    counts = {n: spark.read.schema(src.schema).parquet(p).agg(F.count(F.lit(1)).alias(n), F.max(check_col).cast("string").alias(f"{n}_max"))
+              for n, p in paths.items()}
+    c = counts["appended"]
+    one = c.select(F.lit(run_id).alias("run"), F.lit(before).cast("string").alias("watermark_before"),
+                   F.coalesce("appended_max", F.lit(before).cast("string")).alias("watermark_after"), "appended",
+                   counts["late"].select("late").scalar().alias("late"),
+                   counts["no_check_value"].select("no_check_value").scalar().alias("no_check_value"), F.lit("SUCCESS").alias("status"))
+    one.write.mode("overwrite").parquet(f"{sink_path}/_audit/{part}")
+    return spark.read.schema(_AUDIT).parquet(f"{sink_path}/_audit/{part}")
 
 
 # ---------------------------------------------------------------- stream helpers
-def land_files(df: DataFrame, path: str, part_col: str) -> None:
-    """Land a table as many files (one folder per ``part_col`` value, one file
-    per writing task and value — no single task writes a whole folder)."""
-    df.write.mode("overwrite").partitionBy(part_col).parquet(path)
+def land_files(df: DataFrame, path: str, part_col: str, files_per_value: int = 4) -> None:
+    """Land a table as files, one folder per ``part_col`` value: rows are brought together by value first, each value
+    in up to ``files_per_value`` tasks, so neither a folder is one task nor every task writes every folder."""
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
+    df.repartition(F.col(part_col), salt).write.mode("overwrite").partitionBy(part_col).parquet(path)
+
+
+def _file_stream(spark: SparkSession, landing: str, schema: T.StructType, files_per_batch: int | None, bytes_per_batch: int) -> DataFrame:
+    """File source whose batches are bounded by bytes, or by a number of files if the caller gives one."""
+    reader = spark.readStream.schema(schema)
+    reader = reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader.option("maxBytesPerTrigger", bytes_per_batch)
+    return reader.parquet(landing)
 
 
 def _run_available_now(writer, checkpoint: str) -> None:
@@ -69,11 +111,14 @@ def _run_available_now(writer, checkpoint: str) -> None:
 
 # ---------------------------------------------------------------- D4
 def stream_ingest(spark: SparkSession, landing: str, schema: T.StructType, key: str, ts: str,
-                  sink: str, watermark: str = "31 days", files_per_batch: int = 4) -> DataFrame:
+                  sink: str, watermark: str, checkpoint: str | None = None, files_per_batch: int | None = None,
+                  bytes_per_batch: int = 10 * 2**30) -> tuple[DataFrame, DataFrame]:
     """File stream → dedupe by key within the watermark → idempotent sink.
-    Returns the sink as a DataFrame."""
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-              .parquet(landing))
+
+    Returns the sink and the late rows: landed rows of keys that never reached it. Calling it again goes on from the
+    checkpoint (beside the sink by default).
+    """
+    stream = _file_stream(spark, landing, schema, files_per_batch, bytes_per_batch)
     # event time must be a TIMESTAMP (UTC session); NTZ columns are cast
     deduped = (stream.withColumn(ts, F.col(ts).cast("timestamp"))
                .withWatermark(ts, watermark).dropDuplicatesWithinWatermark([key]))
@@ -81,69 +126,53 @@ def stream_ingest(spark: SparkSession, landing: str, schema: T.StructType, key:
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
-    _run_available_now(deduped.writeStream.foreachBatch(write_batch), scratch_dir(spark, "ckpt_ingest"))
-    return spark.read.parquet(sink).select(*schema.fieldNames())
+    _run_available_now(deduped.writeStream.foreachBatch(write_batch), checkpoint or f"{sink}-checkpoint")
+    kept = spark.read.parquet(sink).select(*schema.fieldNames())
+    late = spark.read.schema(schema).parquet(landing).join(kept.select(key), key, "left_anti")
+    return kept, late
 
 
 # ---------------------------------------------------------------- D5
 def stream_merge(spark: SparkSession, landing: str, schema: T.StructType, initial: DataFrame,
-                 keys: list[str], order: str, base: str, op: str = "op", delete: str = "D") -> DataFrame:
-    """Change-file stream merged per micro-batch onto versioned snapshots.
+                 keys: list[str], order: str, base: str, op: str = "op", delete: str = "D", checkpoint: str | None = None,
+                 files_per_batch: int | None = None, bytes_per_batch: int = 10 * 2**30) -> DataFrame:
+    """Change-file stream → latest change per key → one merge onto ``initial``.
 
-    The snapshot keeps, per key, the ``order`` value of the last applied change
-    and a tombstone flag, and a change is applied only if it is newer — so the
-    result does not depend on how files fall into micro-batches or in which
-    order they are picked up. Returns the live rows of the last snapshot.
+    A micro-batch writes only its own changes, reduced to the latest per key (``base/delta/batch_id=...``, replaced on
+    replay). The latest of all of them are merged once, so the result depends neither on how files fall into batches
+    nor on the order in which they are picked up. Calling it again with new files goes on from the checkpoint.
     """
     cols = initial.columns
-    init_path = f"{base}/v=init"
-    (initial.withColumn("_ord", F.lit(None).cast(schema[order].dataType))
-     .withColumn("_deleted", F.lit(False)).write.mode("overwrite").parquet(init_path))
-
-    def version(batch_id: int) -> str:
-        return init_path if batch_id < 0 else f"{base}/v={batch_id}"
-
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        prev = batch.sparkSession.read.parquet(version(batch_id - 1))
-        latest = delta_latest(batch.select(*cols, op, order), keys, [order])
-        d = latest.select(*keys, *[F.col(c).alias(f"_d_{c}") for c in cols if c not in keys],
-                          F.col(op).alias("_d_op"), F.col(order).alias("_d_ord"))
-        j = prev.join(d, keys, "full")
-        newer = F.col("_d_ord").isNotNull() & (F.col("_ord").isNull() | (F.col("_d_ord") > F.col("_ord")))
-        exists = F.col("_deleted").isNotNull()           # live row or tombstone
-        # newer changes always apply to an existing key; an absent key takes an
-        # insert, or a tombstone for a delete (so an older change arriving later
-        # cannot resurrect it); a NULL op never inserts
-        applies = newer & (exists | F.col("_d_op").isNotNull())
-        out = j.select(
-            *keys,
-            *[F.when(applies, F.col(f"_d_{c}")).otherwise(F.col(c)).alias(c) for c in cols if c not in keys],
-            F.when(applies, F.col("_d_ord")).otherwise(F.col("_ord")).alias("_ord"),
-            F.when(applies, F.coalesce(F.col("_d_op") == F.lit(delete), F.lit(False)))
-            .otherwise(F.col("_deleted")).alias("_deleted"))
-        out.where(F.col("_deleted").isNotNull()).write.mode("overwrite").parquet(version(batch_id))
-
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(landing)
-    _run_available_now(stream.writeStream.foreachBatch(merge_batch), scratch_dir(spark, "ckpt_merge"))
-    done = [int(p.split("v=")[-1]) for p in _list_versions(spark, base) if p.split("v=")[-1] != "init"]
-    last = spark.read.parquet(version(max(done) if done else -1))
-    return last.where(~F.col("_deleted")).select(*cols)
-
-
-def _list_versions(spark: SparkSession, base: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    changes = fields_of(schema, [*cols, op, order])
+
+    def reduce_batch(batch: DataFrame, batch_id: int) -> None:
+        delta_latest(batch.select(*changes.fieldNames()), keys, [order]).write.mode("overwrite").parquet(f"{base}/delta/batch_id={batch_id}")
+
+    stream = _file_stream(spark, landing, schema, files_per_batch, bytes_per_batch)
+    _run_available_now(stream.writeStream.foreachBatch(reduce_batch), checkpoint or f"{base}/checkpoint")
+    try:
+        deltas = spark.read.schema(changes).parquet(f"{base}/delta")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return initial
+    latest = delta_latest(deltas.select(*changes.fieldNames()), keys, [order])
+    return merge_apply(initial, latest, keys, op, delete).select(*cols)
+
+
+def fields_of(schema: T.StructType, names: list[str]) -> T.StructType:
+    """The named fields of a schema, each once."""
+    return T.StructType([schema[n] for n in dict.fromkeys(names)])
 
 
 # ---------------------------------------------------------------- D6
 def stream_window_digests(spark: SparkSession, landing: str, schema: T.StructType, ts: str,
-                          cols: list[str], sink: str, window: str = "1 day",
-                          watermark: str = "31 days") -> DataFrame:
+                          cols: list[str], sink: str, watermark: str, window: str = "1 day",
+                          checkpoint: str | None = None, files_per_batch: int | None = None,
+                          bytes_per_batch: int = 10 * 2**30) -> DataFrame:
     """Per event-time window: (window_start, n, s1) of a stream, as the last
     update of each window (update mode; finalized windows leave the state)."""
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(landing)
+    stream = _file_stream(spark, landing, schema, files_per_batch, bytes_per_batch)
     hashed = with_row_hash(stream, cols, keep=[ts]).withColumn(ts, F.col(ts).cast("timestamp"))
     agg = (hashed.withWatermark(ts, watermark).groupBy(F.window(ts, window).alias("w"))
            .agg(F.count(F.lit(1)).cast("bigint").alias("n"),
@@ -154,7 +183,7 @@ def stream_window_digests(spark: SparkSession, landing: str, schema: T.StructTyp
          .write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}"))
 
     _run_available_now(agg.writeStream.outputMode("update").foreachBatch(write_batch),
-                       scratch_dir(spark, "ckpt_window"))
+                       checkpoint or f"{sink}-checkpoint")
     out = spark.read.parquet(sink)
     last = out.groupBy("window_start").agg(F.max_by(F.struct("n", "s1"), "batch").alias("r"))
     return last.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "r.n", "r.s1")

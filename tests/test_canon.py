@@ -15,7 +15,7 @@ def one(spark, value, dtype):
 
 def test_scalar_rules(spark):
     assert one(spark, 42, T.LongType()) == "42"
-    assert one(spark, 1.5, T.DoubleType()) == "1500000"
+    assert one(spark, 1.5, T.DoubleType()) == "1.5"
     assert one(spark, 1.0000004, T.DoubleType()) == one(spark, 1.0, T.DoubleType())
     assert one(spark, float("nan"), T.DoubleType()) == "NaN"
     assert one(spark, float("-inf"), T.DoubleType()) == "-Inf"
@@ -26,7 +26,36 @@ def test_scalar_rules(spark):
 def test_decimal_scale_independent(spark):
     a = one(spark, Decimal("1.50"), T.DecimalType(12, 2))
     b = one(spark, Decimal("1.5000"), T.DecimalType(12, 4))
-    assert a == b == "1.500000000"
+    assert a == b == "1.5" == one(spark, 1.5, T.DoubleType())
+
+
+def test_one_number_has_one_text_in_every_type(spark):
+    for v in (0, 7, -12, 9_007_199_254_740_993, 10**17):
+        assert one(spark, v, T.LongType()) == str(v) == one(spark, Decimal(v), T.DecimalType(38, 0)) == one(spark, Decimal(v), T.DecimalType(30, 6))
+    for v, text in ((1500.5, "1500.5"), (-0.25, "-0.25"), (100.0, "100"), (-0.0, "0"), (0.0000004, "0"), (-1e-7, "0"), (123456.789, "123456.789"),
+                    (1e13, "10000000000000"), (-2.5e14, "-250000000000000"), (1e25, "1" + "0" * 25), (1e33, "1" + "0" * 33)):
+        assert one(spark, v, T.DoubleType()) == text
+    assert one(spark, 1e300, T.DoubleType()) == "1.0E300"
+    tiny = T.DecimalType(38, 18)
+    assert one(spark, Decimal("0.0000000001"), tiny) == "0.0000000001" != one(spark, Decimal("0.0000000002"), tiny)
+    assert one(spark, Decimal("123456789012345678901234567890123456"), T.DecimalType(38, 0)) == "123456789012345678901234567890123456"
+
+
+def test_numeric_strings_on_request(spark):
+    texts = ["1.50", "+1.5", "001.5", " 1.5 ", "15e-1", "-0.0", ".5", "5.", "0" * 40 + "1", "1" * 60, "x1", "", "1_0", "--1", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = [r[0] for r in df.select(canon_text(F.col("v"), T.StringType(), coerce_numeric=True)).collect()]
+    assert got == ["1.5"] * 5 + ["0", "0.5", "5", "1", "1" * 60, "x1", "", "1_0", "--1", None]
+
+
+def test_numeric_types_hash_alike(spark):
+    from paritylake.functions.canon import with_row_hash
+    df = spark.createDataFrame([(7, "7.0")], "i long, s string")
+    hashes = {tuple(with_row_hash(df.select(c.alias("v")), ["v"], coerce_numeric=True).first())
+              for c in (F.col("i"), F.col("i").cast("double"), F.col("i").cast("decimal(38,18)"), F.col("s"))}
+    assert len(hashes) == 1
+    strict = {tuple(with_row_hash(df.select(c.alias("v")), ["v"]).first()) for c in (F.col("i"), F.col("s"))}
+    assert len(strict) == 2
 
 
 def test_timestamp_truncated_to_second(spark):
@@ -51,7 +80,7 @@ def test_nested_forms(spark):
     m, s, arr = df.select(*[canon_text(F.col(c), sch[c].dataType) for c in ("m", "s", "arr")]).first()
     assert m == "{1:a=1,1:b=2}"
     assert s == "{a=1:x,z=1}"
-    assert arr == "[1000000,-]"
+    assert arr == "[1,-]"
 
 
 def test_digest_order_free_and_duplicate_sensitive(spark):

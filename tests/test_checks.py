@@ -139,3 +139,53 @@ def test_schema_types_and_twin(spark):
     assert got["t.amt:scale_on_data"] == "PASS"       # 1.50 uses one decimal place
     assert got["t.note:not_null_on_data"] == "FAIL"
     assert got["t.missing:exists"] == "FAIL"
+
+
+def test_perf_conditions(spark):
+    from paritylake.operators.reporting import perf_assert, perf_compare
+    stats = spark.createDataFrame([("a", "t", 10.0, 20.0, 30.0, 1.0), ("b", "t", 5.0, 6.0, 7.0, 2.0)],
+                                  "query_id string, metric string, p50 double, p95 double, max double, min double")
+    pairs = spark.createDataFrame([(op, "a", "b", "t", op, 0.5) for op in ("<=", "<", ">=", ">", "!=", "report")],
+                                  "name string, a string, b string, metric string, op string, k double")
+    got = {r["target"]: r["status"] for r in perf_compare(stats, pairs).collect()}
+    assert got == {"compare:<=": "PASS", "compare:<": "FAIL", "compare:>=": "PASS", "compare:>": "FAIL", "compare:!=": "ERROR", "compare:report": "PASS"}
+    thr = spark.createDataFrame([("a", "t", 10.0, s) for s in ("p50", "p95", "max", "min", "p42")], "query_id string, metric string, threshold double, stat string")
+    got = {r["target"]: r["status"] for r in perf_assert(stats, thr).collect()}
+    assert got == {"assert:a:t:p50": "PASS", "assert:a:t": "FAIL", "assert:a:t:max": "FAIL", "assert:a:t:min": "PASS", "assert:a:t:p42": "ERROR"}
+
+
+def test_aggregates_compare_by_type_class(spark):
+    from paritylake.operators.parity import aggregate_parity
+    a = spark.createDataFrame([("1.0", 1)], "s string, n long")
+    b = spark.createDataFrame([("1", 1.0)], "s string, n double")
+    got = {r["target"]: r["status"] for r in aggregate_parity(a, b, [("s", "max", 1), ("n", "max", 0), ("n", "sum", 0)]).collect()}
+    assert got == {"table.s.max": "FAIL", "table.n.max": "PASS", "table.n.sum": "PASS"}
+
+
+def test_repeated_target_keys(spark):
+    from paritylake.operators import encoding as E
+    import datetime as dt
+    t = dt.datetime(2020, 1, 1)
+    ms = 1577836800000
+    src = spark.createDataFrame([(1, ms), (2, ms), (None, ms)], "k long, e long")
+    tgt = spark.createDataFrame([(1, t), (1, t), (2, t), (2, t + dt.timedelta(days=1)), (None, t)], "k long, ts timestamp")
+    got = {r["k"]: r["class"] for r in E.epoch_classes(src, tgt, "k", "e", "ts", "millis", (1990, 2030)).collect()}
+    assert got == {1: "matched", 2: "target_conflict", None: "matched"}
+    s, d = src.selectExpr("k", "cast(1.5 as decimal(10,2)) v"), spark.createDataFrame([(1, 1.5), (2, 1.5), (2, 2.5)], "k long, v double")
+    bad, _ = E.decimal_roundtrip(s, d, "k", ["v"])
+    assert {(r["k"], r["tgt_rows"]) for r in bad.collect()} == {(2, 2), (None, 0)}
+
+
+def test_hierarchy_walks_to_the_leaves_and_leaves_cycles_out(spark):
+    from paritylake.operators.hierarchy import walk
+    rows = [(0, None, "r")] + [(i, i - 1, f"n{i}") for i in range(1, 12)] + [(50, 51, "c"), (51, 50, "d")]
+    got = {r["id"]: (r["root"], r["depth"], r["path"]) for r in walk(spark.createDataFrame(rows, "id long, up long, name string"), "id", "up", "name").collect()}
+    assert len(got) == 12 and got[11][:2] == (0, 11) and got[2][2] == "r > n1 > n2"
+    assert walk(spark.createDataFrame(rows, "id long, up long, name string"), "id", "up", "name", 3).count() == 4
+
+
+def test_profile_of_extreme_values(spark):
+    from paritylake.operators.schema import column_profile
+    df = spark.createDataFrame([(1e300, [1.0, None]), (0.1234567, [2.0]), (None, None)], "x double, v array<double>")
+    got = {r["col"]: r for r in column_profile(df).collect()}
+    assert got["x"]["max_scale"] == 7 and got["v"]["inner_nulls"] == 1

@@ -19,27 +19,75 @@ def _events(spark, n=600, hot_share=0.4, seed=7):
     return spark.createDataFrame(rows, "id long, k long, ts timestamp, v string")
 
 
-def test_neighbours_hot_path_equals_plain_window(spark):
+def _jobs(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup("plan-time"))
+
+
+def _with_nulls(spark):
+    """A hot key, a NULL key with many rows, NULL order values."""
     df = _events(spark)
-    plain = neighbours(df, "k", ["ts", "id"], prev_cols={"v": "pv"}, next_cols={"ts": "nts"}, hot_rows=None)
-    hot = neighbours(df, "k", ["ts", "id"], prev_cols={"v": "pv"}, next_cols={"ts": "nts"}, hot_rows=50,
-                     n_parts=6)
-    a = sorted(tuple(r) for r in plain.select("id", "pv", "nts").collect())
-    b = sorted(tuple(r) for r in hot.select("id", "pv", "nts").collect())
-    assert a == b
+    null_key = F.when(F.col("id") % 5 != 0, F.col("k"))
+    return df.withColumn("k", null_key).withColumn("ts", F.when(F.col("id") % 37 != 0, F.col("ts")))
+
+
+def test_neighbours_equal_the_plain_window_and_run_no_job_while_planning(spark):
+    df = _with_nulls(spark)
+    w = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_first(), "id")
+    want = sorted((tuple(r) for r in df.select("id", F.lag("v").over(w), F.lead("ts").over(w)).collect()), key=repr)
+    spark.sparkContext.setJobGroup("plan-time", "none expected")
+    got = neighbours(df, "k", ["ts", "id"], prev_cols={"v": "pv"}, next_cols={"ts": "nts"})
+    plan = got.select("id", "pv", "nts")
+    assert _jobs(spark) == 0
+    spark.sparkContext.setJobGroup("run", "")
+    assert sorted((tuple(r) for r in plan.collect()), key=repr) == want
+
+
+def test_running_sum_equals_plain(spark):
+    from paritylake.operators.windows import running_sum
+    df = _with_nulls(spark)
+    for way in ("asc", "desc"):
+        o = F.col("ts").asc_nulls_first() if way == "asc" else F.col("ts").desc_nulls_last()
+        w = Window.partitionBy("k").orderBy(o, "id").rowsBetween(Window.unboundedPreceding, 0)
+        want = sorted(tuple(r) for r in df.select("id", F.sum("id").over(w)).collect())
+        got = running_sum(df, ["k"], [("ts", way), ("id", "asc")], F.col("id"), "s")
+        assert sorted(tuple(r) for r in got.select("id", "s").collect()) == want
+
+
+def test_buckets_keep_the_order_of_every_type(spark):
+    from paritylake.operators.windows import bucket_of_order
+    values = {"double": [float("-inf"), -1e300, -5.5, -1e-9, 0.0, 1e-9, 0.3, 7.0, 7.5, 1e18, float("inf"), float("nan")],
+              "long": [-2**62, -5000, -1, 0, 1, 4095, 4096, 2**62], "string": ["", "a", "aa", "aab", "ab", "b", "é", "zz"],
+              "decimal(20,4)": [-7, 0, 1, 10**12], "date": [dt.date(1960, 1, 1), dt.date(2024, 1, 1)],
+              "timestamp": [dt.datetime(1960, 1, 1), dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 5)]}
+    for kind, vs in values.items():
+        if kind.startswith("decimal"):
+            from decimal import Decimal
+            vs = [Decimal(v) for v in vs]
+        df = spark.createDataFrame([(v,) for v in vs], f"v {kind}")
+        b = [r[0] for r in df.orderBy("v").select(bucket_of_order(df, "v")).collect()]
+        assert b == sorted(b), kind
 
 
 def test_global_rank_matches_single_task_window(spark):
-    df = _events(spark).withColumn("score", (F.col("id") % 37).cast("double"))
+    df = _events(spark).withColumn("score", F.when(F.col("id") % 11 != 0, (F.col("id") % 37).cast("double")))
     w = Window.orderBy("score")
-    want = {r["id"]: (r["pr"], r["nt"]) for r in df.select(
-        "id", F.percent_rank().over(w).alias("pr"),
-        F.ntile(7).over(Window.orderBy("score", "id")).alias("nt")).collect()}
-    g1 = global_rank(df, [F.col("score").asc()], n_parts=5).withColumn("pr", percent_rank_col())
-    g2 = global_rank(df, [F.col("score").asc(), F.col("id").asc()], n_parts=5).withColumn("nt", ntile_col(7))
-    got_pr = {r["id"]: r["pr"] for r in g1.select("id", "pr").collect()}
-    got_nt = {r["id"]: r["nt"] for r in g2.select("id", "nt").collect()}
-    assert all(abs(got_pr[i] - want[i][0]) < 1e-12 and got_nt[i] == want[i][1] for i in want)
+    want = {r["id"]: (r["pr"], r["nt"], r["nd"]) for r in df.select(
+        "id", F.percent_rank().over(w).alias("pr"), F.ntile(7).over(Window.orderBy("score", "id")).alias("nt"),
+        F.ntile(4).over(Window.orderBy(F.col("score").desc(), "id")).alias("nd")).collect()}
+    g1 = global_rank(df, [("score", "asc")]).withColumn("pr", percent_rank_col())
+    g2 = global_rank(df, [("score", "asc"), ("id", "asc")]).withColumn("nt", ntile_col(7))
+    g3 = global_rank(df, [("score", "desc"), ("id", "asc")]).withColumn("nd", ntile_col(4))
+    pr, nt, nd = ({r["id"]: r[c] for r in g.select("id", c).collect()} for g, c in ((g1, "pr"), (g2, "nt"), (g3, "nd")))
+    assert all(abs(pr[i] - want[i][0]) < 1e-12 and nt[i] == want[i][1] and nd[i] == want[i][2] for i in want)
+
+
+def test_range_count_of_null_and_crossed_bounds(spark):
+    t = lambda h: dt.datetime(2024, 1, 1, h)
+    left = spark.createDataFrame([(1, 1, t(1), None), (2, 1, None, t(9)), (3, 1, t(9), t(1)), (4, 1, t(1), t(9)), (5, None, t(1), t(9)), (6, 2, t(1), t(9))],
+                                 "id long, k long, lo timestamp, hi timestamp")
+    right = spark.createDataFrame([(1, t(1)), (1, t(2)), (1, t(2)), (1, t(9)), (None, t(2)), (1, None)], "k long, t timestamp")
+    got = {r["id"]: r["matches"] for r in range_count(left, right, "k", "id", "lo", "hi", "t").collect()}
+    assert got == {1: 0, 2: 0, 3: 0, 4: 3, 5: 0, 6: 0}
 
 
 def test_range_count_matches_brute_force(spark):
@@ -53,15 +101,6 @@ def test_range_count_matches_brute_force(spark):
         assert got[i] == want
 
 
-def test_running_sum_hot_path_equals_plain(spark):
-    from paritylake.operators.windows import running_sum
-    df = _events(spark)
-    plain = running_sum(df, "k", [F.col("ts"), F.col("id")], F.lit(1), "rn", hot_rows=None)
-    hot = running_sum(df, "k", [F.col("ts"), F.col("id")], F.lit(1), "rn", hot_rows=50, n_parts=5)
-    assert sorted(tuple(r) for r in plain.select("id", "rn").collect()) == \
-        sorted(tuple(r) for r in hot.select("id", "rn").collect())
-
-
 def test_nearest_rank_matches_definition(spark):
     import math
     from paritylake.operators.aggregates import nearest_rank
