@@ -1,9 +1,10 @@
 """Quality rules by repetition coverage.
 
 Every text is measured whole: words become exact per-text numbers, rolling
-64-bit hashes of several n-gram lengths mark the words inside duplicated
-n-grams, and the characters of those words (and of repeated lines) are set
-against all word characters.
+64-bit hashes of several n-gram lengths mark the words inside n-grams that
+occurred before in the text, and the characters of those words (and of repeated
+lines) are set against all word characters. The first occurrence of an n-gram or
+a line is no repetition: one sentence said twice covers its length once.
 
 Defined cases: null and empty texts have no words, fail the base check
 (fewer than 50 words) and are not kept; equal rows get equal verdicts; an empty
@@ -33,7 +34,7 @@ _SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_li
 @dataclass(frozen=True)
 class Rules:
     """Largest shares of word characters a kept text may have: in its most frequent n-gram (by length),
-    in duplicated n-grams (by length) and in repeated lines. Published fixed values for web text."""
+    in n-grams that occurred before (by length) and in lines that did. Published fixed values for web text."""
 
     top: dict[int, float] = field(default_factory=lambda: {2: 0.20, 3: 0.18, 4: 0.16})
     dup: dict[int, float] = field(default_factory=lambda: {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10})
@@ -50,14 +51,16 @@ def _mixed(ids: np.ndarray) -> np.ndarray:
 
 
 def _repeated(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each window: does its code occur twice or more; and its number of occurrences."""
+    """For each window: has its code occurred before; and its number of occurrences."""
     order = np.argsort(codes, kind="stable")
     ordered = codes[order]
     starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     counts = np.diff(np.append(starts, len(codes)))
     n = np.empty(len(codes), np.int64)
     n[order] = np.repeat(counts, counts)
-    return n > 1, n
+    again = np.ones(len(codes), bool)
+    again[order[starts]] = False  # the sort is stable: each code's first window
+    return again, n
 
 
 def _covered(marked: np.ndarray, width: int, n_words: int) -> np.ndarray:
@@ -92,7 +95,7 @@ def measure(text: str | None, rules: Rules = Rules()) -> tuple:
         # exact: pair numbers first, then (pair, word) numbers, each below n_words
         pairs = np.unique(ids[:-1] * len(number) + ids[1:], return_inverse=True)[1]
         triples = pairs[:-1] * len(number) + ids[2:]
-        n_repeat = int(_covered(_repeated(triples)[0], 3, n_words).sum())
+        n_repeat = int(_covered(_repeated(triples)[1] > 1, 3, n_words).sum())
     base_failed = n_words < rules.min_words or 100 * n_repeat > rules.repeat_percent * n_words
     line_frac = dup_line_chars / chars if chars else 0.0
     top_frac = dup_frac = 0.0

@@ -71,8 +71,7 @@ def base(text):
 
 def dup_share(words, n):
     grams = [tuple(words[i:i + n]) for i in range(len(words) - n + 1)]
-    c = Counter(grams)
-    hit = {i + j for i, g in enumerate(grams) if c[g] > 1 for j in range(n)}
+    hit = {i + j for i, g in enumerate(grams) if grams.index(g) < i for j in range(n)}
     return sum(len(words[i]) for i in hit) / max(1, sum(map(len, words)))
 
 
