@@ -59,20 +59,31 @@ def probes(tau: int) -> list[tuple[int, int, int]]:
             for shift in range(max(-i, shorter - (tau - i)), min(i, shorter + tau - i) + 1)]
 
 
-def segment_rows(lines: DataFrame, tau: int) -> DataFrame:
-    """``(h, key, is_index)`` of every line: a constant list of probes is exploded and each row cuts out its one segment."""
+def with_keys(lines: DataFrame, tau: int) -> DataFrame:
+    """``lines`` with ``keys``: one hash for each entry of ``probes``, null where the line is too short for it."""
     m = tau + 1
     table = F.array(*(F.struct(F.lit(d).alias("shorter"), F.lit(i).alias("i"), F.lit(x).alias("shift")) for d, i, x in probes(tau)))
-    rows = (lines.select("h", "line", F.length("line").alias("n"))
-            .select("h", "line", "n", F.explode(table).alias("p")).select("h", "line", "n", "p.*")
-            .withColumn("length", F.col("n") - F.col("shorter")))
-    size, plain = F.call_function("div", F.col("length"), F.lit(m)).cast("int"), F.lit(m) - F.pmod("length", F.lit(m))
-    rows = rows.withColumn("size", size).withColumn("plain", plain)  # the first ``plain`` segments have ``size`` characters
-    start = F.col("size") * F.col("i") + F.greatest(F.lit(0), F.col("i") - F.col("plain")) + F.col("shift")
-    wide = F.col("size") + (F.col("i") >= F.col("plain")).cast("int")
-    rows = rows.withColumn("start", start).withColumn("wide", wide).where("start >= 0 and start + wide <= n and length >= 0")
-    key = F.xxhash64("length", "i", F.substring(F.col("line"), F.col("start") + 1, F.col("wide")))
-    return rows.select("h", key.alias("key"), ((F.col("shorter") == 0) & (F.col("shift") == 0)).alias("is_index"))
+    n = F.length("line")
+    # by length of the partner: characters of its first segments, and how many segments have no more
+    sizes = F.array(*(F.call_function("div", n - d, F.lit(m)).cast("int") for d in range(m)))
+    plain = F.array(*(F.lit(m) - F.pmod(n - d, F.lit(m)) for d in range(m)))
+    lines = lines.withColumn("_n", n).withColumn("_sizes", sizes).withColumn("_plain", plain)
+
+    def key(p: Column) -> Column:
+        size, even, i = F.get("_sizes", p["shorter"]), F.get("_plain", p["shorter"]), p["i"]
+        start = size * i + F.greatest(F.lit(0), i - even) + p["shift"]
+        wide = size + (i >= even).cast("int")
+        inside = (start >= 0) & (start + wide <= F.col("_n")) & (F.col("_n") >= p["shorter"])
+        return F.when(inside, F.xxhash64(F.col("_n") - p["shorter"], i, F.substring(F.col("line"), start + 1, wide)))
+
+    return lines.withColumn("keys", F.transform(table, key)).drop("_n", "_sizes", "_plain")
+
+
+def segment_rows(keyed: DataFrame, tau: int) -> DataFrame:
+    """``(h, key, is_index)`` of every line's keys."""
+    own = [at for at, (d, i, x) in enumerate(probes(tau)) if d == 0 and x == 0]
+    rows = keyed.select("h", F.posexplode("keys").alias("at", "key")).where("key is not null")
+    return rows.select("h", "key", F.col("at").isin(own).alias("is_index"))
 
 
 def within(a: Column, b: Column, tau: int) -> Column:
@@ -119,9 +130,9 @@ def letter_parity(line: Column) -> Column:
     return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), lambda acc, c: acc.bitwiseXOR(bit(c)))
 
 
-def candidates(lines: DataFrame, tau: int) -> tuple[DataFrame, DataFrame]:
+def candidates(lines: DataFrame, keyed: DataFrame, tau: int) -> tuple[DataFrame, DataFrame]:
     """Rows ``(key, h, is_index)`` of the segment keys that two different lines meet, and their lines ``(h, line, first, parity)``."""
-    rows = written(segment_rows(lines, tau), "line-segments")
+    rows = segment_rows(keyed, tau)
     met = cut(rows.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("key"))
     again = cut(rows.join(_small(met), "key", "left_semi").distinct())
     asked = cut(again.select("h").distinct())
@@ -130,10 +141,15 @@ def candidates(lines: DataFrame, tau: int) -> tuple[DataFrame, DataFrame]:
     return again, cut(known.withColumn("parity", letter_parity(F.col("line"))))
 
 
-def line_links(df: DataFrame, tau: int = 2, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
+def keyed_occurrences(lines: DataFrame, tau: int) -> DataFrame:
+    """The lines without their text: place, two hashes and segment keys, written once for all later steps."""
+    return written(with_keys(lines.withColumn("g", F.xxhash64(F.lit(1), "line")), tau).drop("line"), "line-occurrences")
+
+
+def line_links(lines: DataFrame, keyed: DataFrame, tau: int = 2) -> DataFrame:
     """``(a, b, first_a, first_b)``: every pair of different lines within ``tau`` edits, by line hash, with the first
-    occurrence of each."""
-    again, known = candidates(occurrences(df, id_col, text_col, min_chars), tau)
+    occurrence of each; from ``occurrences`` and their ``keyed_occurrences``."""
+    again, known = candidates(lines, keyed, tau)
     rows = again.join(known.select("h", "parity"), "h")
     index = rows.where("is_index").select("key", F.col("h").alias("a"), F.col("parity").alias("pa"))
     probe = rows.select("key", F.col("h").alias("b"), F.col("parity").alias("pb"))
@@ -151,11 +167,12 @@ def line_links(df: DataFrame, tau: int = 2, id_col: str = "doc_id", text_col: st
 
 def line_verdicts(df: DataFrame, tau: int = 2, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
     """``(doc_id, text_hash, line_no, is_copy, is_near, links)`` of the lines with an earlier equal line or with links."""
-    occ = occurrences(df, id_col, text_col, min_chars).withColumn("g", F.xxhash64(F.lit(1), "line")).drop("line")
-    occ = written(occ, "line-occurrences")
+    lines = occurrences(df, id_col, text_col, min_chars)
+    keyed = keyed_occurrences(lines, tau)
+    occ = keyed.drop("keys")
     here = F.struct("doc_id", "text_hash", "line_no")
     firsts = occ.groupBy("h", "g").agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    links = line_links(df, tau, id_col, text_col, min_chars)
+    links = line_links(lines, keyed, tau)
     sides = links.select(F.col("a").alias("h"), (F.col("first_b") < F.col("first_a")).alias("later")).union(
         links.select(F.col("b"), F.col("first_a") < F.col("first_b")))
     near = sides.groupBy("h").agg(F.max("later").alias("is_near"), F.count("*").alias("links"))
