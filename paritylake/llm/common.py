@@ -21,7 +21,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared checkpoint folder and read it back."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)  # read a few times by the same job: size matters more than time
     return spark.read.schema(df.schema).parquet(path)
 
 

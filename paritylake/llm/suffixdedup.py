@@ -119,7 +119,7 @@ def _unit_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Ite
             anchor, unit, first, n, row = map(np.concatenate, zip(*out))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(anchor.view(np.int64)), pa.array(unit.view(np.int64)), b.column(1).take(pa.array(row)), b.column(2).take(pa.array(row)),
-                 pa.array(first.astype(np.int64)), pa.array(n.astype(np.int32))],
+                 pa.array(first.astype(np.int32)), pa.array(n.astype(np.int16))],
                 names=["anchor", "unit", "doc_id", "text_hash", "first", "n"])
 
 
@@ -240,7 +240,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Table]
         yield pa.Table.from_batches(held)
 
 
-def repeats(df: DataFrame, length: int = 200, gram: int = 32, id_col: str = "doc_id", text_col: str = "text", most_units: int = 4096) -> DataFrame:
+def repeats(df: DataFrame, length: int = 200, gram: int = 64, id_col: str = "doc_id", text_col: str = "text", most_units: int = 4096) -> DataFrame:
     """``(doc_id, text_hash, runs)``: for each text with a repeat its runs ``(first, n)`` of repeated starts, in bytes.
 
     ``most_units``: an anchor with more different units than this is split.
@@ -249,7 +249,7 @@ def repeats(df: DataFrame, length: int = 200, gram: int = 32, id_col: str = "doc
     docs = docs.where(F.octet_length("text") >= length)
     keys = docs.select("doc_id", "text_hash").schema
     units = written(docs.mapInArrow(lambda it: _unit_rows(it, length, gram), StructType(
-        [*StructType.fromDDL("anchor long, unit long"), *keys, *StructType.fromDDL("first long, n int")])), "units")
+        [*StructType.fromDDL("anchor long, unit long"), *keys, *StructType.fromDDL("first int, n short")])), "units")
     met = cut(units.groupBy("anchor").agg(F.count("*").alias("rows")).where("rows > 1").select("anchor"))
     some = units.join(_small(met), "anchor", "left_semi")
     # the different units, how often each occurs, and one of its places
@@ -257,7 +257,7 @@ def repeats(df: DataFrame, length: int = 200, gram: int = 32, id_col: str = "doc
         F.count("*").alias("total"), *(F.first(c).alias(c) for c in ("doc_id", "text_hash", "first", "n"))), "unit-kinds")
     # units that occur twice repeat from end to end
     twice = kinds.where("total > 1").select("anchor", "unit")
-    whole = some.join(twice, ["anchor", "unit"], "left_semi").select("doc_id", "text_hash", "first", F.col("n").cast("long").alias("n"))
+    whole = some.join(twice, ["anchor", "unit"], "left_semi").select("doc_id", "text_hash", F.col("first").cast("long").alias("first"), F.col("n").cast("long").alias("n"))
     several = kinds.groupBy("anchor").agg(F.count("*").alias("units"), F.min("total").alias("least")).where("units > 1 and least = 1")
     asked = cut(kinds.join(several, "anchor").groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).agg(
         F.collect_list(F.struct("anchor", "total", "units", "first", "n")).alias("asked")))
@@ -324,7 +324,7 @@ def _with_runs(df: DataFrame, length: int, gram: int, id_col: str, text_col: str
     return rows.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")), "left").select("doc_id", "text", "runs")
 
 
-def remove_repeats(df: DataFrame, length: int = 200, gram: int = 32, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = True) -> DataFrame:
+def remove_repeats(df: DataFrame, length: int = 200, gram: int = 64, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = True) -> DataFrame:
     """Per row ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, if asked for, the remaining bytes ``kept``."""
     rows = _with_runs(df, length, gram, id_col, text_col)
     schema = rows.select("doc_id").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
