@@ -119,7 +119,7 @@ def _unit_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Ite
             anchor, unit, first, n, row = map(np.concatenate, zip(*out))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(anchor.view(np.int64)), pa.array(unit.view(np.int64)), b.column(1).take(pa.array(row)), b.column(2).take(pa.array(row)),
-                 pa.array(first.astype(np.int32)), pa.array(n.astype(np.int16))],
+                 pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32))],
                 names=["anchor", "unit", "doc_id", "text_hash", "first", "n"])
 
 
@@ -249,7 +249,7 @@ def repeats(df: DataFrame, length: int = 200, gram: int = 64, id_col: str = "doc
     docs = docs.where(F.octet_length("text") >= length)
     keys = docs.select("doc_id", "text_hash").schema
     units = written(docs.mapInArrow(lambda it: _unit_rows(it, length, gram), StructType(
-        [*StructType.fromDDL("anchor long, unit long"), *keys, *StructType.fromDDL("first int, n short")])), "units")
+        [*StructType.fromDDL("anchor long, unit long"), *keys, *StructType.fromDDL("first int, n int")])), "units")
     met = cut(units.groupBy("anchor").agg(F.count("*").alias("rows")).where("rows > 1").select("anchor"))
     some = units.join(_small(met), "anchor", "left_semi")
     # the different units, how often each occurs, and one of its places
