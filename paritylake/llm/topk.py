@@ -11,8 +11,10 @@ upper bound reaches the k-th best lower bound. Processing ends only when the
 possible members of every query are few, which the bounds then prove, or when no
 segment is left. Possible members are rescored exactly from their own components.
 
-Blocks and query blocks meet in pairs of bounded size; the best k of each block
-are merged per query.
+Blocks and query blocks meet in pairs of bounded size (65,536 rows and 4,096
+queries at most, worked off 256 queries at a time); the best k of each block are
+merged per query. Large blocks keep the copies few: a block is sent once for each
+query block, a query once for each block.
 
 Defined cases: null vectors and vectors with a null or non-finite component take
 no part; a component missing in a shorter vector counts as 0; ties go to the
@@ -51,9 +53,14 @@ def _dense(vectors: pd.Series) -> np.ndarray:
     return out
 
 
-def build_index(vectors: DataFrame, block_rows: int = 8192) -> DataFrame:
-    """Posting segments of ``(vec_id, q)`` rows: one row per block and impact level."""
-    n_blocks = max(1, -(-vectors.count() // block_rows))
+def build_index(vectors: DataFrame, block_rows: int = 65_536, least_rows: int = 8192) -> DataFrame:
+    """Posting segments of ``(vec_id, q)`` rows: one row per block and impact level.
+
+    Blocks have up to ``block_rows`` rows; a small table is cut further, down to ``least_rows``, to occupy the cluster.
+    """
+    n = vectors.count()
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_blocks = max(1, -(-n // block_rows), min(tasks, -(-n // least_rows)))
     blocked = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id", "q"), F.lit(n_blocks)))
 
     def build(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
@@ -68,7 +75,7 @@ def build_index(vectors: DataFrame, block_rows: int = 8192) -> DataFrame:
             at = np.flatnonzero(impact == level)
             at = at[np.lexsort((rows[at], dims[at]))]
             out.append((int(key[0]), level, rows[at].astype(np.int32).tobytes(), dims[at].astype(np.int32).tobytes(),
-                        vals[at].tobytes(), len(x), x.shape[1], ids if level == 0 else b""))
+                        vals[at].astype(np.int32).tobytes(), len(x), x.shape[1], ids if level == 0 else b""))
         return pd.DataFrame(out, columns=[c.split(" ")[0] for c in _SEGMENT.split(", ")])
 
     return blocked.groupBy("block").applyInPandas(build, _SEGMENT)
@@ -81,9 +88,14 @@ def _best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> list[tuple[i
     return list(zip(ids[order].tolist(), scores[order].tolist()))
 
 
-def search_block(segments: pd.DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: int, few: int) -> list[tuple[int, int, int]]:
+def search_block(segments: pd.DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: int, few: int, slice_rows: int = 256) -> list[tuple[int, int, int]]:
     """Best ``k`` rows of one block for each query: ``(query_id, vec_id, score)``."""
     segments = segments.sort_values("impact", ascending=False)
+    return [x for at in range(0, len(queries), slice_rows)
+            for x in _search_slice(segments, query_ids[at:at + slice_rows], queries[at:at + slice_rows], k, few)]
+
+
+def _search_slice(segments: pd.DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: int, few: int) -> list[tuple[int, int, int]]:
     n, width = int(segments["n_rows"].iloc[0]), int(segments["n_dims"].iloc[0])
     ids = np.frombuffer(b"".join(segments["ids"]), np.int64)
     q = np.zeros((len(queries), width), np.int64)
@@ -97,7 +109,7 @@ def search_block(segments: pd.DataFrame, query_ids: np.ndarray, queries: np.ndar
     stopped = False
     for place, seg in enumerate(segments.itertuples()):
         rows, dims = np.frombuffer(seg.rows, np.int32), np.frombuffer(seg.dims, np.int32)
-        vals = np.frombuffer(seg.vals, np.int64)
+        vals = np.frombuffer(seg.vals, np.int32)
         whole[rows, dims] = vals
         if stopped or not len(vals):
             continue  # accumulators are final; the postings are still needed to rescore
@@ -119,7 +131,7 @@ def search_block(segments: pd.DataFrame, query_ids: np.ndarray, queries: np.ndar
     return out
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = 5, query_rows: int = 256, few: int = 64) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int = 5, query_rows: int = 4096, few: int = 64) -> DataFrame:
     """``query_id, rank, vec_id, score`` from a built index and ``(vec_id, q)`` query rows."""
     n_blocks = max(1, -(-queries.count() // query_rows))
     asked = queries.select("vec_id", "q", F.pmod(F.xxhash64("vec_id", "q"), F.lit(n_blocks)).alias("part"))

@@ -42,7 +42,7 @@ def test_top_k_over_many_blocks_and_edges(spark):
     exact = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
     want = plain_top([(i, v) for i, v in exact], 50, 5)
     ints = df.where(topk.usable("embedding")).select("vec_id", topk.quantised("embedding").alias("q"))
-    index = topk.build_index(ints, block_rows=64)
+    index = topk.build_index(ints, block_rows=64, least_rows=64)
     got = topk.search(index, ints.where("vec_id % 50 = 0"), 5, query_rows=2, few=12)
     assert {tuple(r) for r in got.collect()} == want
     assert topk.top_k(df.where("vec_id < 0")).collect() == []
@@ -58,11 +58,11 @@ def test_search_stops_on_proof_only():
     impact = np.frexp(np.abs(x).astype(float))[1]
     for level in sorted(set(impact.ravel().tolist()) | {0}, reverse=True):
         r, d = np.nonzero((impact == level) & (x != 0))
-        rows.append((0, level, r.astype(np.int32).tobytes(), d.astype(np.int32).tobytes(), x[r, d].tobytes(), 400, 16,
+        rows.append((0, level, r.astype(np.int32).tobytes(), d.astype(np.int32).tobytes(), x[r, d].astype(np.int32).tobytes(), 400, 16,
                      np.arange(400).tobytes() if level == 0 else b""))
     seg = pd.DataFrame(rows, columns=[c.split(" ")[0] for c in topk._SEGMENT.split(", ")])
     for few in (1, 20, 399):
-        got = topk.search_block(seg, np.arange(0, 400, 50), x[::50], 5, few)
+        got = topk.search_block(seg, np.arange(0, 400, 50), x[::50], 5, few, slice_rows=3)
         for q in range(0, 400, 50):
             s = sorted((-int(x[q] @ x[j]), j) for j in range(400) if j != q)[:5]
             assert [(v, sc) for i, v, sc in got if i == q] == [(j, -v) for v, j in s]
