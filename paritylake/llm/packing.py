@@ -93,8 +93,9 @@ class WordTokenizer:
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text, without added special tokens."""
         latin = _is_latin(text)
-        # a special token may be spelt, or a character be newer than this Python's tables: the tokenizer itself
-        if "<|" in text or not latin and any(unicodedata.category(c) == "Cn" for c in set(text)):
+        # a special token may be spelt, marks may have to be reordered, or a character be newer than this Python's
+        # tables: the tokenizer itself
+        if "<|" in text or not latin and any(unicodedata.combining(c) or unicodedata.category(c) == "Cn" for c in set(text)):
             return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         if latin:
             pieces = _LATIN_PIECE.findall(text.lower())

@@ -47,7 +47,7 @@ def shard_of(n: int, *key_cols: str) -> Column:
     return jump(F.xxhash64(*key_cols))
 
 
-def with_slots(df: DataFrame, shard_col: str, order_cols: list[str], spread: int = 64) -> DataFrame:
+def with_slots(df: DataFrame, shard_col: str, order_cols: list[str], spread: int = 1024) -> DataFrame:
     """Number the rows of each shard from 0 without a gap (column ``slot``).
 
     A shard is cut into ``spread`` parts by a hash of the order columns; rows are numbered within a part and
