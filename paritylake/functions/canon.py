@@ -29,6 +29,8 @@ the md5 are computed once per row.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # fixed values of the canonical form
@@ -48,27 +50,38 @@ def _stripped(text: Column) -> Column:
     return F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
 
 
-def float_text(c: Column, float_decimals: int = FLOAT_DECIMALS) -> Column:
-    """Number form of a float rounded to ``float_decimals`` places."""
-    unit = 10 ** float_decimals
-    d = c.cast("double")
-    y = d * F.lit(float(unit))
-    # half away from zero on the binary value, in long arithmetic (Spark's
-    # round() on doubles goes through BigDecimal and is far slower)
+def _scaled_text(r: Column, places: int) -> Column:
+    """Number form of the integer ``r`` divided by 10^places: a decimal's text, which takes little generated code."""
+    return _stripped((r.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-places))).cast("string"))
+
+
+def _bound(value: Column, body) -> Column:
+    """``body(v)`` with ``value`` computed once: inside a lambda, Spark computes a repeated expression each time."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def float_rounded(c: Column, float_decimals: int = FLOAT_DECIMALS) -> Column:
+    """A float times 10^float_decimals as an integer, half away from zero on the binary value; NULL outside the long range."""
+    y = c.cast("double") * F.lit(float(10 ** float_decimals))
+    # in long arithmetic: Spark's round() on doubles goes through BigDecimal and is far slower
     t = y.try_cast("bigint")
     frac = y - t.cast("double")
     r = t + F.when(frac >= 0.5, F.lit(1)).when(frac <= -0.5, F.lit(-1)).otherwise(F.lit(0))
-    size = F.abs(r)
-    plain = F.concat(F.when(r < 0, F.lit("-")).otherwise(F.lit("")), F.call_function("div", size, F.lit(unit)).cast("string"), F.lit("."),
-                     F.lpad((size % F.lit(unit)).cast("string"), float_decimals, "0"))
-    # beyond the long range a double has no place after the point left to round
-    large = F.coalesce(_stripped(d.try_cast("decimal(38,6)").cast("string")), d.try_cast("decimal(38,0)").cast("string"),
-                       d.cast("string"))
-    return (F.when(F.isnan(d), F.lit("NaN"))
-            .when(d == F.lit(float("inf")), F.lit("Inf"))
-            .when(d == F.lit(float("-inf")), F.lit("-Inf"))
-            .when(F.abs(y) < F.lit(LONG_SAFE), _stripped(plain))
-            .otherwise(large))
+    return F.when(F.abs(y) < F.lit(LONG_SAFE), r)
+
+
+def float_text_of(c: Column, rounded: Column, float_decimals: int = FLOAT_DECIMALS) -> Column:
+    """Number form of a float from its ``float_rounded`` value."""
+    # outside the long range: plain digits while they fit, else the shortest form; Infinity is spelled Inf
+    other = F.coalesce(_stripped(c.try_cast("decimal(38,4)").cast("string")), F.replace(c.cast("string"), F.lit("inity")))
+    return F.coalesce(_scaled_text(rounded, float_decimals), other)
+
+
+def float_text(c: Column, float_decimals: int = FLOAT_DECIMALS, nested: bool = False) -> Column:
+    """Number form of a float rounded to ``float_decimals`` places. ``nested``: the column is a lambda's variable."""
+    if nested:
+        return _bound(float_rounded(c, float_decimals), lambda r: float_text_of(c, r, float_decimals))
+    return float_text_of(c, float_rounded(c, float_decimals), float_decimals)
 
 
 def numeric_like(c: Column) -> Column:
@@ -91,12 +104,12 @@ def _number_of_string(c: Column) -> Column:
 
 
 def canon_text(c: Column, dtype: T.DataType, float_decimals: int = FLOAT_DECIMALS,
-               coerce_numeric: bool = False) -> Column:
-    """Canonical text of one value; NULL in gives NULL out."""
+               coerce_numeric: bool = False, nested: bool = False) -> Column:
+    """Canonical text of one value; NULL in gives NULL out. ``nested``: ``c`` is a lambda's variable."""
     if isinstance(dtype, _INTS):
         return c.cast("string")
     if isinstance(dtype, _FLOATS):
-        return float_text(c, float_decimals)
+        return float_text(c, float_decimals, nested)
     if isinstance(dtype, T.DecimalType):
         return _stripped(c.cast("string")) if dtype.scale > 0 else c.cast("string")
     if isinstance(dtype, T.StringType):
@@ -113,7 +126,7 @@ def canon_text(c: Column, dtype: T.DataType, float_decimals: int = FLOAT_DECIMAL
         return F.lower(F.hex(c))
     if isinstance(dtype, T.ArrayType):
         et = dtype.elementType
-        inner = F.transform(c, lambda x: token(x, et, float_decimals))
+        inner = F.transform(c, lambda x: token(x, et, float_decimals, nested=True))
         return F.concat(F.lit("["), F.array_join(inner, ","), F.lit("]"))
     if isinstance(dtype, T.StructType):
         parts = []
@@ -143,16 +156,16 @@ def token_of_text(t: Column, dtype: T.DataType, coerce_numeric: bool = False) ->
     """Token from an already computed canonical text (NULL text = NULL value).
     A coerced string that reads as a number takes the number's token."""
     if is_fixed_format(dtype):
-        return F.coalesce(t, F.lit(NULL_TOKEN))
+        return F.when(t.isNull(), F.lit(NULL_TOKEN)).otherwise(t)   # two uses keep the text a projection of its own
     prefixed = F.concat(F.length(t).cast("string"), F.lit(":"), t)
     if coerce_numeric and isinstance(dtype, T.StringType):
         prefixed = F.when(numeric_like(t), t).otherwise(prefixed)
     return F.coalesce(prefixed, F.lit(NULL_TOKEN))
 
 
-def token(c: Column, dtype: T.DataType, float_decimals: int = FLOAT_DECIMALS) -> Column:
+def token(c: Column, dtype: T.DataType, float_decimals: int = FLOAT_DECIMALS, nested: bool = False) -> Column:
     """Canonical token of one value; NULL becomes the NULL token."""
-    return token_of_text(canon_text(c, dtype, float_decimals), dtype)
+    return token_of_text(canon_text(c, dtype, float_decimals, nested=nested), dtype)
 
 
 def canon_col(df: DataFrame, name: str, float_decimals: int = FLOAT_DECIMALS,
@@ -179,9 +192,13 @@ def with_row_hash(df: DataFrame, cols: list[str], float_decimals: int = FLOAT_DE
     """Project ``keep`` columns plus the two hash lanes ``h1``, ``h2``."""
     keep = list(keep or [])
     types = [df.schema[c].dataType for c in cols]
-    texts = df.select(*[F.col(k) for k in keep],
-                      *[canon_text(F.col(c), t, float_decimals, coerce_numeric).alias(f"_t{i}")
-                        for i, (c, t) in enumerate(zip(cols, types))])
+    floats = [isinstance(t, _FLOATS) for t in types]
+    # floats are rounded in a projection of their own: the text needs the value twice
+    kept, at = [F.col(k) for k in keep], [i for i, f in enumerate(floats) if f]
+    values = df.select(*kept, *[F.col(c).alias(f"_c{i}") for i, c in enumerate(cols)], *[float_rounded(F.col(cols[i]), float_decimals).alias(f"_r{i}") for i in at])
+    texts = values.select(*kept, *[
+        (float_text_of(F.col(f"_c{i}"), F.col(f"_r{i}"), float_decimals) if floats[i]
+         else canon_text(F.col(f"_c{i}"), t, float_decimals, coerce_numeric)).alias(f"_t{i}") for i, t in enumerate(types)])
     hashed = texts.select(*[F.col(k) for k in keep], F.md5(F.concat_ws(",", *[
         token_of_text(F.col(f"_t{i}"), t, coerce_numeric) for i, t in enumerate(types)])).alias("_m"))
     h1, h2 = lanes(F.col("_m"))

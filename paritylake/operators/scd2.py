@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from paritylake.operators.windows import neighbours
+from paritylake.session import materialize
 
 # fixed values: open-ended version end and hash separator
 TERMINAL_TS = "9999-12-31 00:00:00"
@@ -34,7 +35,8 @@ def scd2_build(changes: DataFrame, key: str, ts: str, attrs: list[str],
     base = changes.select(key, *order, *[a for a in attrs if a not in order]) \
         .withColumn("_sig", sig)
     with_prev = neighbours(base, key, order, prev_cols={"_sig": "_prev_sig"})
-    starts = with_prev.where(F.col("_prev_sig").isNull() | (F.col("_prev_sig") != F.col("_sig")))
+    # kept once: the second pass reads the version starts twice, each reading would repeat the first pass
+    starts = materialize(with_prev.where(F.col("_prev_sig").isNull() | (F.col("_prev_sig") != F.col("_sig"))))
     closed = neighbours(starts.drop("_prev_sig"), key, order, next_cols={ts: "_next_from"})
     terminal = F.lit(TERMINAL_TS).cast(closed.schema[ts].dataType)
     return closed.select(

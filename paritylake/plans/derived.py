@@ -76,19 +76,19 @@ def orders_target_snapshot(orders: DataFrame) -> DataFrame:
                          F.col("o_totalprice").cast("decimal(14,2)").alias("amount"))
 
 
-def events_scd2(events: DataFrame, broken: bool = False) -> DataFrame:
+def events_scd2(events: DataFrame) -> DataFrame:
     """SCD-2 versions of ``event_type`` per ``user_id`` built from events.
 
     Ordered by (ts, event_id); equal neighbours collapse into one version;
     eff_to = next version's eff_from, the last one open until the terminal.
-    ``broken`` shifts eff_to by one hour for user_id%7=0 and flips
-    is_current for user_id%11=0 (the negative twin).
     """
     from paritylake.operators.scd2 import scd2_build
-    v = scd2_build(events.select("user_id", "ts", "event_id", "event_type"),
-                   key="user_id", ts="ts", tie="event_id", attrs=["event_type"])
-    if not broken:
-        return v
+    return scd2_build(events.select("user_id", "ts", "event_id", "event_type"),
+                      key="user_id", ts="ts", tie="event_id", attrs=["event_type"])
+
+
+def broken_scd2(v: DataFrame) -> DataFrame:
+    """The negative twin of a history: eff_to shifted by one hour for user_id%7=0, is_current flipped for user_id%11=0."""
     u = F.col("user_id")
     return (v.withColumn("eff_to", F.when(u % SCD_SHIFT_MOD == 0,
                                           F.col("eff_to") + F.expr("INTERVAL 1 HOUR"))

@@ -15,6 +15,7 @@ from paritylake.plans import derived as D
 from paritylake.plans.oracle import (ORDERS_DELTA, ORDERS_EPOCH, ORDERS_SNAPSHOT, ORDERS_TGT,
                                      EVENTS_SCD2, EVENTS_SCD2_BROKEN, hashed)
 from paritylake.functions.canon_sql import digest_aggs_sql
+from paritylake.session import materialize
 from paritylake.sources.tables import table, register_views
 
 EXPECT_YEARS = (1990, 2030)
@@ -87,10 +88,9 @@ def q_scd2_build(spark, sf):
 
 
 def q_scd2_continuity(spark, sf):
-    ev = table(spark, sf, "events")
+    built = materialize(D.events_scd2(table(spark, sf, "events")))     # one build for both variants and all rules
     out = None
-    for variant, broken in (("golden", False), ("broken", True)):
-        v = D.events_scd2(ev, broken=broken)
+    for variant, v in (("golden", built), ("broken", D.broken_scd2(built))):
         _, counts = S.scd2_continuity(v, "user_id", hash_col="row_hash",
                                       hash_cols=["user_id", "event_type"])
         c = counts.select(F.lit(variant).alias("variant"), "rule", "violations")
@@ -100,7 +100,7 @@ def q_scd2_continuity(spark, sf):
 
 def q_adjacent_versions(spark, sf):
     """Each version's eff_to next to the following eff_from (broken twin)."""
-    v = D.events_scd2(table(spark, sf, "events"), broken=True)
+    v = D.broken_scd2(D.events_scd2(table(spark, sf, "events")))
     from paritylake.operators.windows import neighbours
     n = neighbours(v, "user_id", ["eff_from"], next_cols={"eff_from": "next_from"})
     return n.select("user_id", "eff_from", "eff_to", "next_from",

@@ -103,7 +103,7 @@ def q_p5(spark, sf):
 @key("bool_flag_filter", f"""WITH {EVENTS_SCD2_BROKEN}
 SELECT user_id, eff_from, event_type FROM events_scd2_broken WHERE is_current = TRUE AND event_type <> 'error'""")
 def q_p6(spark, sf):
-    v = D.events_scd2(table(spark, sf, "events"), broken=True)
+    v = D.broken_scd2(D.events_scd2(table(spark, sf, "events")))
     return v.where((F.col("is_current") == F.lit(True)) & (F.col("event_type") != "error")).select(
         "user_id", "eff_from", "event_type")
 
