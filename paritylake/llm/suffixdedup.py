@@ -19,8 +19,11 @@ names until all differ, sort the remaining third by first symbol and the rank
 after it, merge. Adjacent suffixes that start a string are then compared over
 ``length`` bytes: equal neighbours are repeats.
 
-Anchors with very many different units are split by start and by the bytes
-there, so that no task grows with one passage.
+Anchors with very many different units do not go there: a passage with other
+text around every copy gives a different unit each time. Their starts become rows
+with a 128-bit hash of the string; hashes are counted with partial aggregation,
+and those met twice are repeats. Nothing is left to tell apart among the others,
+and no task grows with one passage.
 
 Defined cases: null texts are empty; texts below ``length`` bytes lose nothing;
 rows with equal texts are separate documents whose strings repeat each other;
@@ -123,6 +126,27 @@ def _unit_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Ite
                 names=["anchor", "unit", "doc_id", "text_hash", "first", "n"])
 
 
+def _start_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """``(doc_id, text_hash, first, weight, lo, hi)`` of every start of the asked units: ``lo`` and ``hi`` hash its string."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 64):
+            b = whole.slice(at, 64)
+            row, first, weight, digests = [], [], [], []
+            for i in range(b.num_rows):
+                raw = memoryview(b.column(0)[i].as_buffer())
+                for u in b.column(3)[i].as_py():
+                    places = range(u["first"], u["first"] + u["n"])
+                    row += [i] * u["n"]
+                    first += places
+                    weight += [u["total"]] * u["n"]
+                    digests += [xxhash.xxh3_128_digest(raw[p:p + length]) for p in places]
+            both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            take = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(1).take(take), b.column(2).take(take), pa.array(first, pa.int64()), pa.array(weight, pa.int64()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())],
+                names=["doc_id", "text_hash", "first", "weight", "lo", "hi"])
+
+
 # ---- suffix array of one task's units -------------------------------------------------------------------------
 
 
@@ -243,7 +267,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Table]
 def repeats(df: DataFrame, length: int = 200, gram: int = 64, id_col: str = "doc_id", text_col: str = "text", most_units: int = 4096) -> DataFrame:
     """``(doc_id, text_hash, runs)``: for each text with a repeat its runs ``(first, n)`` of repeated starts, in bytes.
 
-    ``most_units``: an anchor with more different units than this is split.
+    ``most_units``: an anchor with more different units than this is decided start by start.
     """
     docs = df.select(F.col(text_col).cast("binary").alias("text"), F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"))
     docs = docs.where(F.octet_length("text") >= length)
@@ -258,12 +282,16 @@ def repeats(df: DataFrame, length: int = 200, gram: int = 64, id_col: str = "doc
     # units that occur twice repeat from end to end
     twice = kinds.where("total > 1").select("anchor", "unit")
     whole = some.join(twice, ["anchor", "unit"], "left_semi").select("doc_id", "text_hash", F.col("first").cast("long").alias("first"), F.col("n").cast("long").alias("n"))
-    several = kinds.groupBy("anchor").agg(F.count("*").alias("units"), F.min("total").alias("least")).where("units > 1 and least = 1")
-    asked = cut(kinds.join(several, "anchor").groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).agg(
-        F.collect_list(F.struct("anchor", "total", "units", "first", "n")).alias("asked")))
-    same_doc = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
-    # few documents hold such units: the others go before the texts are shuffled
-    bodies = docs.join(_small(asked.select("id", "hash")), same_doc, "left_semi").join(asked, same_doc)
+    several = cut(kinds.groupBy("anchor").agg(F.count("*").alias("units"), F.min("total").alias("least"))
+                  .where("units > 1 and least = 1").select("anchor", "units"))
+
+    def bodies(anchors: DataFrame) -> DataFrame:
+        """The texts with units of these anchors, and those units."""
+        asked = cut(kinds.join(_small(anchors.select("anchor")), "anchor").groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).agg(
+            F.collect_list(F.struct("anchor", "total", "first", "n")).alias("asked")))
+        same_doc = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
+        # few documents hold such units: the others go before the texts are shuffled
+        return docs.join(_small(asked.select("id", "hash")), same_doc, "left_semi").join(asked, same_doc).select("text", "doc_id", "text_hash", "asked")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -274,19 +302,13 @@ def repeats(df: DataFrame, length: int = 200, gram: int = 64, id_col: str = "doc
                     raw, doc_id, text_hash = (b.column(c)[i].as_py() for c in range(3))
                     for u in b.column(3)[i].as_py():
                         s, n = u["first"], u["n"]
-                        if u["units"] <= most_units:
-                            rows.append((doc_id, u["anchor"], text_hash, s, u["total"], raw[s:s + n + length - 1]))
-                            continue
-                        for p in range(s, s + n):  # single starts, together with those that begin alike
-                            own = raw[p:p + length]
-                            alike = xxhash.xxh64_intdigest(own[:length // 2], u["anchor"] & 0xFFFFFFFF) - (1 << 63)
-                            rows.append((doc_id, alike, text_hash, p, u["total"], own))
+                        rows.append((doc_id, u["anchor"], text_hash, s, u["total"], raw[s:s + n + length - 1]))
                 cols = list(zip(*rows)) or [()] * 6
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[0], b.column(1).type), *(pa.array(c, pa.int64()) for c in cols[1:5]), pa.array(cols[5], pa.binary())],
                     names=["doc_id", "part", "text_hash", "first", "weight", "bytes"])
 
-    fetched = (bodies.select("text", "doc_id", "text_hash", "asked").mapInArrow(fetch, StructType(
+    fetched = (bodies(several.where(F.col("units") <= most_units)).mapInArrow(fetch, StructType(
         [keys["doc_id"], *StructType.fromDDL("part long, text_hash long, first long, weight long, bytes binary")]))
         .repartition("part").sortWithinPartitions("part"))
     out = StructType([*keys, *StructType.fromDDL("first long, n long")])
@@ -296,7 +318,15 @@ def repeats(df: DataFrame, length: int = 200, gram: int = 64, id_col: str = "doc
             yield _sorted_units(chunk, length)
 
     within = fetched.mapInArrow(sort, out)
-    return whole.union(within).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "n")).alias("runs"))
+    found = whole.union(within)
+    many = several.where(F.col("units") > most_units)
+    if not many.isEmpty():
+        starts = written(bodies(many).mapInArrow(lambda it: _start_rows(it, length), StructType(
+            [*keys, *StructType.fromDDL("first long, weight long, lo long, hi long")])), "starts")
+        met = cut(starts.groupBy("lo", "hi").agg(F.count("*").alias("rows")).where("rows > 1").select("lo", "hi"))
+        # units of a greater weight are marked as a whole
+        found = found.union(starts.where("weight = 1").join(_small(met), ["lo", "hi"], "left_semi").select("doc_id", "text_hash", "first", F.lit(1).cast("long").alias("n")))
+    return found.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "n")).alias("runs"))
 
 
 def _small(keys: DataFrame) -> DataFrame:

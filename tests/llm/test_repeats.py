@@ -174,6 +174,23 @@ def test_repeats_match_brute_force(spark, monkeypatch):
         assert [got[i] for i in range(len(texts))] == want
 
 
+def test_copies_of_one_passage_do_not_meet_in_one_task(spark, monkeypatch):
+    rnd = random.Random(12)
+    noise = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = noise(280)
+    texts = [noise(rnd.randrange(40, 90)) + passage + noise(rnd.randrange(40, 90)) for _ in range(60)]
+    texts += [noise(300), texts[0], passage[:230] + noise(50), None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    dealt, plain = [], type(df).repartition
+    monkeypatch.setattr(type(df), "repartition", lambda self, *a: dealt.append(self) or plain(self, *a))
+    found = suffixdedup.repeats(df, most_units=20)
+    monkeypatch.setattr(suffixdedup, "repeats", lambda *a, **k: found)
+    got = {r["doc_id"]: tuple(r)[1:5] for r in suffixdedup.remove_repeats(df).collect()}
+    assert [got[i] for i in range(len(texts))] == plain_repeats(texts, 200)
+    # a part must not hold a row for every copy of the passage
+    assert len(dealt) == 1 and (dealt[0].groupBy("part").count().agg(F.max("count")).first()[0] or 0) <= 20
+
+
 def test_repeats_in_small_strips_and_chunks(monkeypatch):
     texts = [t for t in repeat_fixture() if t]
     monkeypatch.setattr(suffixdedup, "_STRIP", 64)
