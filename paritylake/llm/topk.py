@@ -102,6 +102,8 @@ def _search_slice(segments: pd.DataFrame, query_ids: np.ndarray, queries: np.nda
     q[:, :min(width, queries.shape[1])] = queries[:, :width]
     reach = np.abs(q).sum(axis=1)
     acc = np.zeros((len(q), n))
+    # a row with the query's own id is no candidate: it must not raise the k-th best bound, however often the id occurs
+    acc[np.nonzero(query_ids[:, None] == ids[None, :])] = -np.inf
     whole = np.zeros((n, width), np.int64)
     levels = segments["impact"].tolist()
     exact = float(np.abs(q).max(initial=0)) * width * 2.0 ** max([*levels, 0]) < 2.0**52
@@ -117,10 +119,9 @@ def _search_slice(segments: pd.DataFrame, query_ids: np.ndarray, queries: np.nda
         part[rows, dims] = vals
         acc += q.astype(np.float64) @ part.T
         rest = reach * max([2.0**level - 1 for level in levels[place + 1:] if level > 0], default=0.0)
-        slack = 0.0 if exact else np.abs(acc).max() * 2.0**-40
-        if n > k + 1:
-            # k + 1: the query's own row may be among the best
-            kth = np.partition(acc, n - k - 1, axis=1)[:, n - k - 1] - rest - slack
+        slack = 0.0 if exact else np.abs(acc).max(initial=0.0, where=np.isfinite(acc)) * 2.0**-40
+        if n > k:
+            kth = np.partition(acc, n - k, axis=1)[:, n - k] - rest - slack
             members = [np.flatnonzero(a >= t) for a, t in zip(acc, kth - rest - slack)]
             stopped = max(map(len, members)) <= few
     out = []

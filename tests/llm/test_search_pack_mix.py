@@ -49,6 +49,20 @@ def test_top_k_over_many_blocks_and_edges(spark):
     assert {tuple(r) for r in topk.top_k(df.where("vec_id in (0, 1, 2)")).collect()} == plain_top(exact[:3], 50, 5)
 
 
+def test_top_k_of_a_query_id_repeated_ten_times(spark):
+    rnd = random.Random(4)
+    rows = [(i, [float(rnd.randrange(-8, 9)) for _ in range(8)]) for i in range(1, 200)]
+    rows += [(0, [20.0] * 8)] * 10 + [(50, [-30.0, 30.0] * 4)] * 3
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    q = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    want = []
+    for own in (0, 50, 100, 150):
+        # every pair of rows, as the oracle's join has them
+        scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for i, v in q if i == own for j, w in q if j != own)[:5]
+        want += [(own, r, j, -s) for r, (s, j) in enumerate(scores, 1)]
+    assert sorted(tuple(r) for r in topk.top_k(df).collect()) == want
+
+
 def test_search_stops_on_proof_only():
     rng = np.random.default_rng(1)
     import pandas as pd
