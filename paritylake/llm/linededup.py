@@ -1,9 +1,12 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
 Lines are the parts of a text between newlines; lines of at least ``min_chars``
-characters take part. A line is dropped if an equal line, or a different line
-within ``tau`` edits, occurs earlier (by document id, then text hash, then line
-number). The rule looks at the input lines alone, so the answer does not depend
+characters take part, and with ``short`` also every shorter line with a letter or
+digit. A line is dropped if an equal line, or a different line within ``tau``
+edits, occurs earlier (by document id, then text hash, then line number). ``tau``
+is one number for all lines of ``min_chars`` or more, or steps (least length,
+edits) as in ``EDITS``: then the shorter line of a pair sets the edits, and lines
+below the first step have equal copies only. The rule looks at the input lines alone, so the answer does not depend
 on an order of work.
 
 The join. A line is cut into tau + 1 segments of nearly equal length. If two
@@ -19,7 +22,7 @@ documents costs one row a task. Texts of lines are fetched only for candidates;
 documents are shuffled once, to take the lines out.
 
 Defined cases: null texts count as empty; an empty or short line is never
-dropped; null ids come first in the order; rows equal in id and text share one
+dropped (with ``short``: one without letter or digit); null ids come first in the order; rows equal in id and text share one
 answer; an empty table gives an empty result. Other columns pass through.
 """
 
@@ -33,15 +36,32 @@ from paritylake.llm.common import cut, written
 
 #: Up to so many keys (two longs each) a list of keys is broadcast; beyond, it is joined by a shuffle.
 _BROADCAST_KEYS = 2_000_000
+#: Edits within which two lines are near copies, by the least length of the shorter one.
+EDITS = ((8, 1), (20, 2), (100, 3), (200, 4))
 
+Steps = tuple[tuple[int, int], ...]
 
-def occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
+
+def as_steps(tau: int | Steps, min_chars: int) -> Steps:
+    return ((min_chars, tau),) if isinstance(tau, int) else tau
+
+
+def edits_at(n: int, steps: Steps) -> int:
+    """Edits allowed if the shorter line has ``n`` characters."""
+    return max((tau for least, tau in steps if n >= least), default=0)
+
+
+def edits_of(n: Column, steps: Steps) -> Column:
+    return F.greatest(F.lit(0), *(F.when(n >= least, tau) for least, tau in steps))
+
+
+def occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, short: bool = False) -> DataFrame:
     """``(doc_id, text_hash, line_no, line, h)`` of every line that takes part."""
     # hash and split first: beside the generator they would be done for every line of a text
     split = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                       F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("lines"))
     return (split.select("doc_id", "text_hash", F.posexplode("lines").alias("line_no", "line"))
-            .where(F.length("line") >= min_chars).withColumn("h", F.xxhash64("line")))
+            .where((F.length("line") >= min_chars) | (F.lit(short) & F.col("line").rlike(r"[\p{L}\p{N}]"))).withColumn("h", F.xxhash64("line")))
 
 
 def _small(keys: DataFrame) -> DataFrame:
@@ -59,15 +79,26 @@ def probes(tau: int) -> list[tuple[int, int, int]]:
             for shift in range(max(-i, shorter - (tau - i)), min(i, shorter + tau - i) + 1)]
 
 
-def with_keys(lines: DataFrame, tau: int) -> DataFrame:
-    """``lines`` with ``keys``: one hash for each entry of ``probes``, null where the line is too short for it."""
-    m = tau + 1
-    table = F.array(*(F.struct(F.lit(d).alias("shorter"), F.lit(i).alias("i"), F.lit(x).alias("shift")) for d, i, x in probes(tau)))
-    n = F.length("line")
+def probe_tables(steps: Steps) -> list[tuple[int, list[tuple[int, int, int]]]]:
+    """``(least length, probes)``: what lines of that length up to the next one look up, their own segments first."""
+    reach = max(tau for _, tau in steps)
+    return [(n, sorted(((d, i, x) for d in range(reach + 1) if edits_at(n - d, steps)
+                        for e, i, x in probes(edits_at(n - d, steps)) if e == d), key=lambda p: p[0] > 0 or p[2] != 0))
+            for n in sorted({least + more for least, _ in steps for more in range(reach + 1)})]
+
+
+def with_keys(lines: DataFrame, steps: Steps) -> DataFrame:
+    """``lines`` with ``keys``: one hash for each probe of their length, null where the line is too short for it; the first
+    ``own`` are the line's own segments."""
+    n, table = F.length("line"), F.lit(None)
+    for least, entries in probe_tables(steps):
+        row = F.array(*(F.struct(F.lit(d).alias("shorter"), F.lit(i).alias("i"), F.lit(x).alias("shift")) for d, i, x in entries))
+        table = F.when(n >= least, row).otherwise(table) if entries else table
     # by length of the partner: characters of its first segments, and how many segments have no more
-    sizes = F.array(*(F.call_function("div", n - d, F.lit(m)).cast("int") for d in range(m)))
-    plain = F.array(*(F.lit(m) - F.pmod(n - d, F.lit(m)) for d in range(m)))
-    lines = lines.withColumn("_n", n).withColumn("_sizes", sizes).withColumn("_plain", plain)
+    pieces = [(n - d, edits_of(n - d, steps) + 1) for d in range(max(tau for _, tau in steps) + 1)]
+    sizes = F.array(*(F.call_function("div", k, m).cast("int") for k, m in pieces))
+    plain = F.array(*(m - F.pmod(k, m) for k, m in pieces))
+    lines = lines.withColumn("own", edits_of(n, steps) + 1).withColumn("_n", n).withColumn("_sizes", sizes).withColumn("_plain", plain).withColumn("_table", table)
 
     def key(p: Column) -> Column:
         size, even, i = F.get("_sizes", p["shorter"]), F.get("_plain", p["shorter"]), p["i"]
@@ -76,14 +107,13 @@ def with_keys(lines: DataFrame, tau: int) -> DataFrame:
         inside = (start >= 0) & (start + wide <= F.col("_n")) & (F.col("_n") >= p["shorter"])
         return F.when(inside, F.xxhash64(F.col("_n") - p["shorter"], i, F.substring(F.col("line"), start + 1, wide)))
 
-    return lines.withColumn("keys", F.transform(table, key)).drop("_n", "_sizes", "_plain")
+    return lines.withColumn("keys", F.transform("_table", key)).drop("_n", "_sizes", "_plain", "_table")
 
 
-def segment_rows(keyed: DataFrame, tau: int) -> DataFrame:
+def segment_rows(keyed: DataFrame) -> DataFrame:
     """``(h, key, is_index)`` of every line's keys."""
-    own = [at for at, (d, i, x) in enumerate(probes(tau)) if d == 0 and x == 0]
-    rows = keyed.select("h", F.posexplode("keys").alias("at", "key")).where("key is not null")
-    return rows.select("h", "key", F.col("at").isin(own).alias("is_index"))
+    rows = keyed.select("h", "own", F.posexplode("keys").alias("at", "key")).where("key is not null")
+    return rows.select("h", "key", (F.col("at") < F.col("own")).alias("is_index"))
 
 
 def within(a: Column, b: Column, tau: int) -> Column:
@@ -124,55 +154,61 @@ def within(a: Column, b: Column, tau: int) -> Column:
         F.call_function("shiftright", reached, last).bitwiseAND(F.lit(1)) == 1)
 
 
+def within_steps(a: Column, b: Column, edits: Column, steps: Steps) -> Column:
+    """Are the strings within ``edits``, one of the steps' numbers?"""
+    return reduce(lambda rest, tau: F.when(edits == tau, within(a, b, tau)).otherwise(rest), sorted({tau for _, tau in steps}), F.lit(False))
+
+
 def letter_parity(line: Column) -> Column:
     """64 bits: the parity of the number of characters whose code point ends in 0, 1, ... 63. An edit changes two at most."""
     bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c).bitwiseAND(F.lit(63)))
     return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), lambda acc, c: acc.bitwiseXOR(bit(c)))
 
 
-def candidates(lines: DataFrame, keyed: DataFrame, tau: int) -> tuple[DataFrame, DataFrame]:
-    """Rows ``(key, h, is_index)`` of the segment keys that two different lines meet, and their lines ``(h, line, first, parity)``."""
-    rows = segment_rows(keyed, tau)
+def candidates(lines: DataFrame, keyed: DataFrame, steps: Steps) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(key, h, is_index)`` of the segment keys that two different lines meet, and their lines ``(h, line, first, parity, edits)``."""
+    rows = segment_rows(keyed)
     met = cut(rows.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("key"))
     again = cut(rows.join(_small(met), "key", "left_semi").distinct())
     asked = cut(again.select("h").distinct())
     known = (lines.join(_small(asked), "h", "left_semi").groupBy("h")
              .agg(F.min("line").alias("line"), F.min(F.struct("doc_id", "text_hash", "line_no")).alias("first")))
-    return again, cut(known.withColumn("parity", letter_parity(F.col("line"))))
+    return again, cut(known.withColumn("parity", letter_parity(F.col("line"))).withColumn("edits", edits_of(F.length("line"), steps)))
 
 
-def keyed_occurrences(lines: DataFrame, tau: int) -> DataFrame:
+def keyed_occurrences(lines: DataFrame, steps: Steps) -> DataFrame:
     """The lines without their text: place, two hashes and segment keys, written once for all later steps."""
-    return written(with_keys(lines.withColumn("g", F.xxhash64(F.lit(1), "line")), tau).drop("line"), "line-occurrences")
+    return written(with_keys(lines.withColumn("g", F.xxhash64(F.lit(1), "line")), steps).drop("line"), "line-occurrences")
 
 
-def line_links(lines: DataFrame, keyed: DataFrame, tau: int = 2) -> DataFrame:
-    """``(a, b, first_a, first_b)``: every pair of different lines within ``tau`` edits, by line hash, with the first
+def line_links(lines: DataFrame, keyed: DataFrame, steps: Steps) -> DataFrame:
+    """``(a, b, first_a, first_b)``: every pair of different lines within the steps' edits, by line hash, with the first
     occurrence of each; from ``occurrences`` and their ``keyed_occurrences``."""
-    again, known = candidates(lines, keyed, tau)
-    rows = again.join(known.select("h", "parity"), "h")
-    index = rows.where("is_index").select("key", F.col("h").alias("a"), F.col("parity").alias("pa"))
+    again, known = candidates(lines, keyed, steps)
+    rows = again.join(known.select("h", "parity", "edits"), "h")
+    index = rows.where("is_index").select("key", F.col("h").alias("a"), F.col("parity").alias("pa"), "edits")
     probe = rows.select("key", F.col("h").alias("b"), F.col("parity").alias("pb"))
-    # partners within tau edits differ in 2 tau parities at most: most lines that merely share a segment end here
-    alike = (F.col("a") != F.col("b")) & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 2 * tau)
+    # the index side is never the longer line; partners within its edits differ in twice as many parities at most: most lines that merely share a segment end here
+    alike = (F.col("a") != F.col("b")) & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 2 * F.col("edits"))
     pairs = index.join(probe, (index["key"] == probe["key"]) & alike).select("a", "b").distinct()
-    left = known.select(F.col("h").alias("a"), F.col("line").alias("line_a"), F.col("first").alias("first_a"))
+    left = known.select(F.col("h").alias("a"), F.col("line").alias("line_a"), F.col("first").alias("first_a"), "edits")
     right = known.select(F.col("h").alias("b"), F.col("line").alias("line_b"), F.col("first").alias("first_b"))
     both = pairs.join(left, "a").join(right, "b")
-    return cut(both.where(within(F.col("line_a"), F.col("line_b"), tau)).select(
+    return cut(both.where(within_steps(F.col("line_a"), F.col("line_b"), F.col("edits"), steps)).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
         F.when(F.col("a") < F.col("b"), F.col("first_a")).otherwise(F.col("first_b")).alias("first_a"),
         F.when(F.col("a") < F.col("b"), F.col("first_b")).otherwise(F.col("first_a")).alias("first_b")).distinct())
 
 
-def line_verdicts(df: DataFrame, tau: int = 2, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
+def line_verdicts(df: DataFrame, tau: int | Steps = 2, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, short: bool = False) -> DataFrame:
     """``(doc_id, text_hash, line_no, is_copy, is_near, links)`` of the lines with an earlier equal line or with links."""
-    lines = occurrences(df, id_col, text_col, min_chars)
-    keyed = keyed_occurrences(lines, tau)
-    occ = keyed.drop("keys")
+    steps = as_steps(tau, min_chars)
+    lines = occurrences(df, id_col, text_col, min_chars, short)
+    keyed = keyed_occurrences(lines, steps)
+    occ = keyed.drop("keys", "own")
     here = F.struct("doc_id", "text_hash", "line_no")
     firsts = occ.groupBy("h", "g").agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    links = line_links(lines, keyed, tau)
+    links = line_links(lines, keyed, steps)
     sides = links.select(F.col("a").alias("h"), (F.col("first_b") < F.col("first_a")).alias("later")).union(
         links.select(F.col("b"), F.col("first_a") < F.col("first_b")))
     near = sides.groupBy("h").agg(F.max("later").alias("is_near"), F.count("*").alias("links"))
@@ -198,10 +234,10 @@ def _marked(df: DataFrame, verdicts: DataFrame, id_col: str, text_col: str) -> D
     return both.withColumn("_kept", F.when(F.col("_v").isNotNull(), kept))
 
 
-def summarise(df: DataFrame, tau: int = 2, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
+def summarise(df: DataFrame, tau: int | Steps = 2, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, short: bool = False) -> DataFrame:
     """Per row: ``doc_id, n_lines, n_copies, n_near, n_links, kept_sha256`` (of the remaining lines joined by newlines)."""
     slim = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    both = _marked(slim, line_verdicts(slim, tau, min_chars=min_chars), "doc_id", "text")
+    both = _marked(slim, line_verdicts(slim, tau, min_chars=min_chars, short=short), "doc_id", "text")
     body = F.coalesce(F.col("_doc").getField("text"), F.lit(""))
 
     def n(which) -> Column:
@@ -217,9 +253,9 @@ def summarise(df: DataFrame, tau: int = 2, id_col: str = "doc_id", text_col: str
         F.sha2(F.coalesce(F.array_join("_kept", "\n"), body).cast("binary"), 256).alias("kept_sha256"))
 
 
-def dedup(df: DataFrame, tau: int = 2, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
+def dedup(df: DataFrame, tau: int | Steps = 2, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, short: bool = False) -> DataFrame:
     """The rows with the dropped lines taken out of their text; other columns unchanged. Rows left without any line go."""
-    both = _marked(df, line_verdicts(df, tau, id_col, text_col, min_chars), id_col, text_col)
+    both = _marked(df, line_verdicts(df, tau, id_col, text_col, min_chars, short), id_col, text_col)
     whole = F.col("_v").isNull() | (F.size("_kept") == F.size("_lines"))
     body = F.when(whole, F.col("_doc").getField(text_col)).otherwise(F.array_join("_kept", "\n"))
     # the number of kept lines is told from the edges, so that the filter does not build the lines again

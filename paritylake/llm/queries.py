@@ -34,8 +34,8 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 @_query("op1_line_dedup")
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of at least 20 characters that repeat, or come within 2 edits of, an earlier line; counts and digest per document."""
-    return linededup.summarise(table(spark, sf_dir, "documents"), tau=2, min_chars=20)
+    """Lines that repeat an earlier line or come within 1 to 4 edits of one, by length; counts and digest per document."""
+    return linededup.summarise(table(spark, sf_dir, "documents"), tau=linededup.EDITS, min_chars=20, short=True)
 
 
 @_query("op2_suffix_dedup")

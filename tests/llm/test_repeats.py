@@ -98,6 +98,60 @@ def test_line_dedup_matches_brute_force(spark):
         assert got == {i: want[i][3] for i, _ in docs if want[i][4]}
 
 
+def plain_steps_dedup(docs, steps, min_chars):
+    """id -> (copies, nears, links, kept): every line with a letter or digit, edits by the shorter line's length."""
+    part = lambda s: len(s) >= min_chars or any(c.isalnum() for c in s)
+    first = {}
+    for i, t in sorted(docs):
+        for n, s in enumerate(t.split("\n")):
+            if part(s):
+                first.setdefault(s, (i, n))
+    kinds, links, near = list(first), Counter(), set()
+    for x, a in enumerate(kinds):
+        for b in kinds[:x]:
+            tau = max((t for least, t in steps if min(len(a), len(b)) >= least), default=0)
+            if abs(len(a) - len(b)) <= tau and edits(a, b) <= tau:
+                links[a] += 1
+                links[b] += 1
+                near.add(max(a, b, key=first.get))
+    out = {}
+    for i, t in docs:
+        lines = t.split("\n")
+        copies = [part(s) and first[s] != (i, n) for n, s in enumerate(lines)]
+        kept = [s for s, c in zip(lines, copies) if not (c or s in near)]
+        out[i] = (sum(copies), sum(s in near and not c for s, c in zip(lines, copies)), sum(links[s] for s in lines), "\n".join(kept))
+    return out
+
+
+def test_short_lines_and_edits_by_length(spark):
+    rnd = random.Random(9)
+    steps = ((8, 1), (20, 2), (40, 3), (60, 4))  # near each border, with short lines so that brute force is quick
+    base = ["".join(rnd.choice("abcdé z") for _ in range(n)) for n in (4, 7, 8, 9, 12, 19, 20, 21, 22, 39, 40, 42, 59, 60, 61, 64, 70)]
+    lines = ["Read more", "阅读全文，分享到朋友圈", "----", "", "Posted 2024-01-15"]
+    for s in base:
+        for much in (0, 0, 1, 1, 2, 3, 4, 5):
+            t = list(s)
+            for _ in range(much):
+                at = rnd.randrange(len(t))
+                t[at:at + rnd.randrange(2)] = rnd.choice(["", "x", "y"])
+            lines.append("".join(t))
+    docs = [(i, "\n".join(rnd.choices(lines, k=7) + ["Read more", "----"])) for i in range(45)]
+    want = plain_steps_dedup(docs, steps, 20)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for r in linededup.summarise(df, steps, short=True).collect():
+        c, n, links, kept = want[r["doc_id"]]
+        assert (r["n_copies"], r["n_near"], r["n_links"]) == (c, n, links)
+        assert r["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
+
+
+def test_line_query_takes_short_lines_and_dates_in_long_ones(spark, tmp_path):
+    from paritylake.llm.queries import QUERIES
+    long = "".join(random.Random(3).choice("abcdefgh ") for _ in range(290))
+    spark.createDataFrame([(1, f"Read more\n{long}2024-01-15"), (2, f"Read more\n{long}2023-02-25\n--")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_copies"], r["n_near"]) for r in QUERIES["op1_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: (0, 0), 2: (1, 1)}
+
+
 def test_line_dedup_runs_no_python(spark, sf0001):
     plan = linededup.summarise(spark.read.parquet(f"{sf0001}/documents.parquet"))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
