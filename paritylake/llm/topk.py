@@ -20,7 +20,7 @@ Defined cases: null vectors and vectors with a null or non-finite component take
 no part; a component missing in a shorter vector counts as 0; ties go to the
 smaller id; rows with equal ids are separate candidates but never their own
 query's; fewer candidates than k give fewer rows; an empty table gives none.
-Component values must stay below 2^26 after quantisation (sums then fit 64 bits).
+Quantised components are longs; an inner product that can pass 64 bits is an error.
 """
 
 from __future__ import annotations
@@ -75,7 +75,7 @@ def build_index(vectors: DataFrame, block_rows: int = 65_536, least_rows: int =
             at = np.flatnonzero(impact == level)
             at = at[np.lexsort((rows[at], dims[at]))]
             out.append((int(key[0]), level, rows[at].astype(np.int32).tobytes(), dims[at].astype(np.int32).tobytes(),
-                        vals[at].astype(np.int32).tobytes(), len(x), x.shape[1], ids if level == 0 else b""))
+                        vals[at].astype(np.int32 if level <= 31 else np.int64).tobytes(), len(x), x.shape[1], ids if level == 0 else b""))
         return pd.DataFrame(out, columns=[c.split(" ")[0] for c in _SEGMENT.split(", ")])
 
     return blocked.groupBy("block").applyInPandas(build, _SEGMENT)
@@ -100,18 +100,22 @@ def _search_slice(segments: pd.DataFrame, query_ids: np.ndarray, queries: np.nda
     ids = np.frombuffer(b"".join(segments["ids"]), np.int64)
     q = np.zeros((len(queries), width), np.int64)
     q[:, :min(width, queries.shape[1])] = queries[:, :width]
-    reach = np.abs(q).sum(axis=1)
+    reach = np.abs(q.astype(np.float64)).sum(axis=1)
     acc = np.zeros((len(q), n))
     # a row with the query's own id is no candidate: it must not raise the k-th best bound, however often the id occurs
     acc[np.nonzero(query_ids[:, None] == ids[None, :])] = -np.inf
     whole = np.zeros((n, width), np.int64)
     levels = segments["impact"].tolist()
-    exact = float(np.abs(q).max(initial=0)) * width * 2.0 ** max([*levels, 0]) < 2.0**52
+    # the levels bound the components: 2^level is above each
+    most = reach.max(initial=0.0) * 2.0 ** max([*levels, 0])
+    if most >= 2.0**63:
+        raise OverflowError("an inner product of the quantised components can pass 64 bits")
+    exact = most < 2.0**52
     members = [np.arange(n)] * len(q)
     stopped = False
     for place, seg in enumerate(segments.itertuples()):
         rows, dims = np.frombuffer(seg.rows, np.int32), np.frombuffer(seg.dims, np.int32)
-        vals = np.frombuffer(seg.vals, np.int32)
+        vals = np.frombuffer(seg.vals, np.int32 if len(seg.vals) == len(seg.rows) else np.int64)
         whole[rows, dims] = vals
         if stopped or not len(vals):
             continue  # accumulators are final; the postings are still needed to rescore
@@ -119,7 +123,7 @@ def _search_slice(segments: pd.DataFrame, query_ids: np.ndarray, queries: np.nda
         part[rows, dims] = vals
         acc += q.astype(np.float64) @ part.T
         rest = reach * max([2.0**level - 1 for level in levels[place + 1:] if level > 0], default=0.0)
-        slack = 0.0 if exact else np.abs(acc).max(initial=0.0, where=np.isfinite(acc)) * 2.0**-40
+        slack = 0.0 if exact else most * 2.0**-40
         if n > k:
             kth = np.partition(acc, n - k, axis=1)[:, n - k] - rest - slack
             members = [np.flatnonzero(a >= t) for a, t in zip(acc, kth - rest - slack)]

@@ -63,6 +63,24 @@ def test_top_k_of_a_query_id_repeated_ten_times(spark):
     assert sorted(tuple(r) for r in topk.top_k(df).collect()) == want
 
 
+def test_top_k_of_components_beyond_32_bits(spark):
+    rnd = random.Random(7)
+    rows = [(i, [rnd.uniform(-1, 1) * 2.0**rnd.choice([0, 5, 22, 24]) for _ in range(4)]) for i in range(1, 120)]
+    rows += [(0, [0.25, -0.5, 1.0, 0.0]), (200, [float(2**23), 1.0, -float(2**24), 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ints = df.select("vec_id", topk.quantised("embedding").alias("q"))
+    got = topk.search(topk.build_index(ints), ints.where("vec_id in (0, 50)"), 5)
+    want = {x for x in plain_top(rows, 50, 5) if x[0] in (0, 50)}
+    assert {tuple(r) for r in got.collect()} == want
+    huge = df.where("vec_id in (0, 200)").union(spark.createDataFrame([(1, [1e10] * 4), (50, [1e10] * 4)], df.schema))
+    try:
+        topk.top_k(huge).collect()
+    except Exception as e:
+        assert "can pass 64 bits" in str(e)
+    else:
+        raise AssertionError("no error")
+
+
 def test_search_stops_on_proof_only():
     rng = np.random.default_rng(1)
     import pandas as pd
