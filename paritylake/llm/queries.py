@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paritylake.llm import langid, linededup, mixing, packing, pii, quality, sharding, simhash, suffixdedup, topk
+from paritylake.llm import exactdedup, langid, linededup, mixing, packing, pii, quality, sharding, simhash, suffixdedup, topk
 from paritylake.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,9 @@ def poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     copies = mixing.replicate(docs, mixing.rates(docs))
     return copies.select("doc.doc_id", "doc.source", "doc.text", "chunk", "copy", "shuffle_key")
+
+
+@_query("op13_exact_dedup", exactdedup.ORACLE)
+def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the document that stays of those equal to it after white space runs become one space."""
+    return exactdedup.group_copies(table(spark, sf_dir, "documents"))
