@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paritylake.llm import exactdedup, langid, linededup, mixing, packing, pii, quality, sharding, simhash, suffixdedup, topk
+from paritylake.llm import exactdedup, hardneg, langid, linededup, mixing, packing, pii, prefixtrie, quality, sharding, simhash, suffixdedup, topk
 from paritylake.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,19 @@ def poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.select("doc.doc_id", "doc.source", "doc.text", "chunk", "copy", "shuffle_key")
 
 
+@_query("op11_hard_negatives", hardneg.ORACLE)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of five positives of every vector whose id is divisible by 50."""
+    rows = hardneg.integer_rows(table(spark, sf_dir, "embeddings"))
+    return hardneg.mine(hardneg.relabelled(rows), every=50, positives=5, negatives=3, least=50, most=95)
+
+
+@_query("op12_prefix_trie", prefixtrie.ORACLE)
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 @_query("op13_exact_dedup", exactdedup.ORACLE)
 def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document that stays of those equal to it after white space runs become one space."""
