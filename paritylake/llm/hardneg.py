@@ -24,6 +24,8 @@ gives none. Products are 64-bit integers; a hundredfold score that can pass 64 b
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
@@ -37,22 +39,25 @@ _POSITIVE = f"{_ANCHOR}, positive_id long, positive_score long"
 _NEGATIVE = f"{_ANCHOR}, positive_rank int, negative_id long, negative_score long"
 
 
+@functools.cache
 def _signs(width: int, turn: int) -> np.ndarray:
     """Signs of one turn of the rotation, the same on every machine."""
-    return 1.0 - 2.0 * (np.random.Generator(np.random.PCG64(1000 + turn)).integers(0, 2, width))
+    return 1.0 - 2.0 * np.random.Generator(np.random.PCG64(1000 + turn)).integers(0, 2, width)
 
 
 def rotated(x: np.ndarray, first: int = 0) -> np.ndarray:
     """Rows of ``x`` (a power of two wide), rotated."""
-    width = x.shape[1]
+    n, width = x.shape
     for turn in range(first, first + 3):
         x = x * _signs(width, turn)
         step = 1
         while step < width:
-            pairs = x.reshape(len(x), -1, 2, step)
-            x = np.stack([pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]], axis=2).reshape(len(x), width)
+            pairs = x.reshape(n, width // (2 * step), 2, step)
+            x = np.empty_like(pairs)
+            np.add(pairs[:, :, 0], pairs[:, :, 1], out=x[:, :, 0])
+            np.subtract(pairs[:, :, 0], pairs[:, :, 1], out=x[:, :, 1])
             step *= 2
-        x = x / np.sqrt(width)
+        x = x.reshape(n, width) / np.sqrt(width)
     return x
 
 
@@ -88,31 +93,40 @@ def encode(x: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return np.stack(codes), np.stack(along), np.stack(left)
 
 
+def anchors_of(q: np.ndarray, levels: int) -> list[Anchor]:
+    """Anchors of integer vectors, turned and rounded together."""
+    turned, out = q.astype(np.float64), [Anchor(x) for x in q]
+    for level in range(levels):
+        turned = rotated(turned, 3 * level)
+        low = turned.min(axis=1, initial=np.inf)
+        step = np.maximum((turned.max(axis=1, initial=-np.inf) - low) / (2**_PLANES - 1), 1e-300)
+        u = np.clip(np.rint((turned - low[:, None]) / step[:, None]), 0, 2**_PLANES - 1).astype(np.uint8)
+        off = np.sqrt(((turned - (low[:, None] + step[:, None] * u)) ** 2).sum(axis=1))
+        planes = _packed(np.unpackbits(u[:, :, None], axis=2, bitorder="little").transpose(0, 2, 1).copy())
+        totals = u.sum(axis=1, dtype=np.int64)
+        for i, anchor in enumerate(out):
+            anchor.levels.append((planes[i], float(low[i]), float(step[i]), int(totals[i]), float(off[i])))
+    return out
+
+
 class Anchor:
-    """One anchor's bit planes and rounding at every level of the codes."""
-
-    def __init__(self, q: np.ndarray, levels: int):
-        turned, self.levels = q.astype(np.float64)[None, :], []
-        self.q, self.norm = q, float(np.sqrt((turned**2).sum()))
-        for level in range(levels):
-            turned = rotated(turned, 3 * level)
-            y = turned[0]
-            low = float(y.min())
-            step = max((float(y.max()) - low) / (2**_PLANES - 1), 1e-300)
-            u = np.clip(np.rint((y - low) / step), 0, 2**_PLANES - 1).astype(np.uint8)
-            planes = _packed(np.unpackbits(u[:, None], axis=1, bitorder="little").T.copy())
-            off = float(np.sqrt(((y - (low + step * u)) ** 2).sum()))
-            self.levels.append((planes, low, step, int(u.sum(dtype=np.int64)), off))
-
-    def along(self, level: int, codes: np.ndarray) -> tuple[np.ndarray, float]:
-        """The anchor's length along each code vector by popcounts, and the most that rounding can change it."""
+    """One anchor's integers, and its bit planes and rounding at every level of the codes."""
+
+    def __init__(self, q: np.ndarray):
+        self.q, self.norm, self.levels = q, float(np.sqrt((q.astype(np.float64) ** 2).sum())), []
+
+    def along(self, level: int, words: list[np.ndarray], ones: np.ndarray) -> tuple[np.ndarray, float]:
+        """The anchor's length along each code vector by popcounts, and the most that rounding can change it.
+
+        ``words``: the codes word by word; ``ones``: how many of a code's bits are set.
+        """
         planes, low, step, total, off = self.levels[level]
-        width = 64 * codes.shape[1]
-        ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
-        hits = np.zeros(len(codes), np.int64)
+        width = 64 * len(words)
+        hits = np.zeros(len(ones), np.int32)
         for j, plane in enumerate(planes):
-            hits += np.bitwise_count(codes & plane).sum(axis=1, dtype=np.int64) << j
-        return (low * (2 * ones - width) + step * (2 * hits - total)) / np.sqrt(width), off
+            for word, bits in zip(words, plane):
+                hits += np.left_shift(np.bitwise_count(word & bits), j, dtype=np.int32)
+        return (2.0 * low * ones + 2.0 * step * hits - (low * width + step * total)) / np.sqrt(width), off
 
 
 class Block:
@@ -122,26 +136,29 @@ class Block:
         n, width, levels = int(index["n_rows"]), int(index["width"]), int(index["levels"])
         as_rows = lambda name, kind: np.frombuffer(index[name], kind)
         self.ids, self.labels = as_rows("ids", np.int64), as_rows("labels", np.int64)
-        self.codes = as_rows("codes", np.uint64).reshape(levels, n, width // 64)
+        codes = as_rows("codes", np.uint64).reshape(levels, n, width // 64)
+        self.words = [[np.ascontiguousarray(codes[level, :, w]) for w in range(width // 64)] for level in range(levels)]
+        self.ones = np.bitwise_count(codes).sum(axis=2, dtype=np.int32)
         self.along, self.left = as_rows("along", np.float64).reshape(levels, n), as_rows("rest", np.float64).reshape(levels, n)
         self.norm, self.x = as_rows("norm", np.float64), as_rows("x", np.dtype(index["kind"])).reshape(n, width)
 
     def survivors(self, anchor: Anchor, rows: np.ndarray, narrowed) -> np.ndarray:
         """``rows`` that stay after each level's intervals; ``narrowed(low, high)`` says which intervals stay."""
-        known = np.zeros(len(rows))
-        slip = np.zeros(len(rows))
-        for level in range(len(self.codes)):
+        known, slip = np.zeros(len(rows)), np.zeros(len(rows))
+        blur = 1e-9 * anchor.norm * self.norm[rows] + 1e-6  # of the floating-point arithmetic itself
+        for level in range(len(self.words)):
             if not len(rows):
                 break
-            beta, off = anchor.along(level, self.codes[level, rows])
-            a, r = self.along[level, rows], self.left[level, rows]
-            known = known + a * beta
-            slip = slip + a * off  # rounding of the anchor, level by level
+            beta, off = anchor.along(level, [w[rows] for w in self.words[level]], self.ones[level, rows])
+            a = self.along[level, rows]
+            known += a * beta
+            slip += a * off  # rounding of the anchor, level by level
             # the residual is orthogonal to its code vector: only the anchor's part off that vector meets it
             beside = np.sqrt(np.maximum(anchor.norm**2 - np.maximum(np.abs(beta) - off, 0.0) ** 2, 0.0))
-            width = beside * r + slip + 1e-9 * anchor.norm * self.norm[rows] + 1e-6
+            width = beside * self.left[level, rows] + slip + blur
             keep = narrowed(known - width, known + width)
-            rows, known, slip = rows[keep], known[keep], slip[keep]
+            if not keep.all():
+                rows, known, slip, blur = rows[keep], known[keep], slip[keep], blur[keep]
         return rows
 
     def scores(self, anchor: Anchor, rows: np.ndarray) -> np.ndarray:
@@ -168,13 +185,18 @@ def best_positives(block: Block, anchor_id: int, label: int, anchor: Anchor, k:
 def best_negatives(block: Block, label: int, anchor: Anchor, wanted: list[tuple[int, int]], least: int, most: int, k: int) -> list[tuple[int, int, int]]:
     """For each ``(rank, positive_score)`` the block's first ``k`` rows of other labels inside the window."""
     windows = [(p * least / 100.0, p * most / 100.0) for _, p in wanted]
+    lowest, highest, n = min(a for a, _ in windows) - 1e-6, max(b for _, b in windows) + 1e-6, len(block.ids)
 
     def narrowed(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        keep = np.zeros(len(low), bool)
+        keep = (high >= lowest) & (low <= highest)
+        if 4 * np.count_nonzero(keep) > n:
+            return keep  # the proof by the best few costs more than it saves while the intervals are wide
+        at = np.flatnonzero(keep)
+        low, high, stays = low[at], high[at], np.zeros(len(at), bool)
         for a, b in windows:
-            may = (high >= a - 1e-6) & (low <= b + 1e-6)
             sure = (low >= a + 1e-6) & (high <= b - 1e-6)
-            keep |= may & (high >= _kth(low[sure], k))
+            stays |= (high >= max(a - 1e-6, _kth(low[sure], k))) & (low <= b + 1e-6)
+        keep[at] = stays
         return keep
 
     rows = block.survivors(anchor, np.flatnonzero(block.labels != label), narrowed)
@@ -225,10 +247,12 @@ def _against_blocks(index: DataFrame, anchors: DataFrame, anchor_rows: int, sear
         got = []
         if len(rows) and len(asked):
             block = Block(rows.iloc[0])
-            levels, width = len(block.codes), block.x.shape[1]
-            for a in asked.itertuples():
-                anchor = Anchor(dense([a.q], width)[0], levels)
-                got += [(a.anchor_id, a.anchor_key, *r) for r in search(block, a, anchor)]
+            levels, width = len(block.words), block.x.shape[1]
+            asked = asked.reset_index(drop=True)
+            for at in range(0, len(asked), 256):
+                some = asked.iloc[at:at + 256]
+                for a, anchor in zip(some.itertuples(), anchors_of(dense(some["q"], width), levels)):
+                    got += [(a.anchor_id, a.anchor_key, *r) for r in search(block, a, anchor)]
         return pd.DataFrame(got, columns=names).astype(np.int64)
 
     return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(run, schema)

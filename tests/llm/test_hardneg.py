@@ -76,7 +76,7 @@ def test_intervals_hold_the_scores_and_narrow():
             "n_rows": 300, "width": width, "levels": 6, "kind": "int64", "ids": ids.tobytes(), "labels": ids.tobytes(), "codes": codes.tobytes(),
             "along": along.tobytes(), "rest": rest.tobytes(), "norm": np.sqrt((x.astype(float) ** 2).sum(axis=1)).tobytes(), "x": x.tobytes()}))
         widths = []
-        for q in x[:5]:
+        for q, anchor in zip(x[:5], hardneg.anchors_of(x[:5], 6)):
             scores = x @ q
 
             def holds(low, high):
@@ -84,7 +84,7 @@ def test_intervals_hold_the_scores_and_narrow():
                 widths.append((high - low).mean())
                 return np.ones(len(low), bool)
 
-            assert len(block.survivors(hardneg.Anchor(q, 6), np.arange(300), holds)) == 300
+            assert len(block.survivors(anchor, np.arange(300), holds)) == 300
         assert widths[5] < widths[0] / 5
 
 
