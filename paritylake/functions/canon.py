@@ -228,13 +228,14 @@ def pushdown_digest(df: DataFrame, cols: list[str]) -> DataFrame:
                             F.lit(0).cast("decimal(38,0)")).alias("s1"))
 
 
-def bucket_of(key: Column, n_buckets: int) -> Column:
-    """Bucket of a key by the first lane of its canonical md5; NULL keys → -1."""
-    kh = F.conv(F.substring(F.md5(key.cast("string")), 1, LANE_HEX_DIGITS), 16, 10).cast("bigint")
-    return F.when(key.isNull(), F.lit(-1)).otherwise(F.pmod(kh, F.lit(n_buckets))).cast("int")
+def bucket_of(key_text: Column, n_buckets: int) -> Column:
+    """Bucket of a key by the first lane of the md5 of its canonical text; NULL keys → -1."""
+    kh = F.conv(F.substring(F.md5(key_text), 1, LANE_HEX_DIGITS), 16, 10).cast("bigint")
+    return F.when(key_text.isNull(), F.lit(-1)).otherwise(F.pmod(kh, F.lit(n_buckets))).cast("int")
 
 
 def bucket_digest(df: DataFrame, cols: list[str], key: str, n_buckets: int = 256) -> DataFrame:
     """Per-bucket (b, n, s1, s2): one partial aggregate, at most n+1 rows."""
-    h = with_row_hash(df, cols, keep=[key]).withColumn("b", bucket_of(F.col(key), n_buckets))
+    h = with_row_hash(df, cols, keep=[key])
+    h = h.withColumn("b", bucket_of(canon_col(h, key), n_buckets))
     return h.groupBy("b").agg(*digest_aggs()[:3])

@@ -9,9 +9,9 @@ reaches ceil(p·N).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
-from paritylake.functions.canon import canon_text
+from paritylake.functions.exactsum import exact_totals, is_summable
 
 _EPS = 1e-9
 
@@ -42,19 +42,17 @@ def run_stats_fold(run_log: DataFrame, keys: list[str] = ("query_id", "metric"),
     pct = nearest_rank(run_log, keys, value, [0.5, 0.95], ["p50", "p95"])
     mm = run_log.groupBy(*keys).agg(F.max(value).alias("max"), F.min(value).alias("min"),
                                      F.count(F.lit(1)).cast("bigint").alias("runs"))
-    return pct.join(mm, keys)
+    # a group may have a NULL in its key, or no value to rank
+    out = join_groups(mm, pct, keys, "left")
+    return out.select(*keys, "p50", "p95", "max", "min", "runs")
 
 
 def control_total(df: DataFrame, col: str) -> DataFrame:
-    """(rows, total text): row count and sum in the number form; non-numeric values count as 0.
-    Integers and decimals are summed at their own scale, strings at 18 places, doubles at 9."""
-    from paritylake.operators.parity import _agg_expr
-    if isinstance(df.schema[col].dataType, T.NumericType):
-        total = F.coalesce(_agg_expr(df, col, "sum")[0], F.lit("0"))
-    else:
-        v = F.coalesce(F.col(col).cast("string").try_cast("decimal(38,18)"), F.lit(0).cast("decimal(38,18)"))
-        total = canon_text(F.coalesce(F.sum(v), F.lit(0).cast("decimal(38,18)")), T.DecimalType(38, 18))
-    return df.agg(F.count(F.lit(1)).cast("bigint").alias("rows"), total.alias("total"))
+    """(rows, total text): row count and exact sum in the number form, at any number of digits; values that are no numbers
+    count as 0."""
+    typed = df if is_summable(df.schema[col].dataType) else df.withColumn(col, F.col(col).cast("string"))
+    one = exact_totals(typed, [col], [F.count(F.lit(1)).cast("bigint").alias("rows")])
+    return one.select("rows", F.coalesce("t0", F.lit("0")).alias("total"))
 
 
 def distinct_counts(df: DataFrame, groups: list[str], counted: dict[str, Column]) -> DataFrame:

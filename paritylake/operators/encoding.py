@@ -11,6 +11,8 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from paritylake.functions.canon import canon_col
+
 # fixed values: epoch units, default sane year range, compact timestamp format
 UNIT_PER_SECOND = {"seconds": 1, "millis": 1_000, "micros": 1_000_000}
 SANE_YEARS = (1970, 2100)
@@ -131,14 +133,14 @@ def epoch_quarantine(df: DataFrame, col: str, unit: str, id_col: str, table_name
     return clean, audit
 
 
-def decimal_roundtrip(src: DataFrame, tgt: DataFrame, key: str, cols: list[str],
-                      scale_type: str = "decimal(38,18)") -> tuple[DataFrame, DataFrame]:
-    """V8: per key and column, numeric equality after a common decimal cast
-    (1.50 = 1.5); a missing target row counts as NULL, a key whose target rows
+def decimal_roundtrip(src: DataFrame, tgt: DataFrame, key: str, cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """V8: per key and column, numeric equality of the canonical number texts (1.50 = 1.5, whatever the types, at any
+    number of digits); a missing target row counts as NULL, a key whose target rows
     disagree is a violation, NULL keys equal. Returns
     (violations (key, column, src_value, tgt_value, tgt_rows), per-column counts)."""
-    s = src.select(key, *[F.col(c).cast(scale_type).alias(f"_s_{c}") for c in cols])
-    t = _one_per_key(tgt.select(F.col(key).alias("_key"), *[F.col(c).cast(scale_type).alias(f"_t_{c}") for c in cols]), [f"_t_{c}" for c in cols])
+    text = lambda df, c: canon_col(df, c, coerce_numeric=True)
+    s = src.select(key, *[text(src, c).alias(f"_s_{c}") for c in cols])
+    t = _one_per_key(tgt.select(F.col(key).alias("_key"), *[text(tgt, c).alias(f"_t_{c}") for c in cols]), [f"_t_{c}" for c in cols])
     j = s.join(t, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn("tgt_rows", F.coalesce("_rows", F.lit(0).cast("bigint")))
     pairs = F.array(*[F.struct(F.lit(c).alias("column"),
                                F.col(f"_s_{c}").alias("src_value"),

@@ -3,8 +3,7 @@ localisation of differing keys, and query-result parity.
 
 Plans are built for size: every table is scanned once per stage, hashes are
 native expressions inside whole-stage codegen, aggregates are partial
-(map-side) so hot keys never reach one task, and the only broadcast is the
-bad-bucket list whose size is bounded by the bucket count.
+(map-side) so hot keys never reach one task, and nothing is broadcast by hand.
 """
 
 from __future__ import annotations
@@ -14,7 +13,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from paritylake.checks import CHECK_COLUMNS, check_row, parse_tolerance, union_checks
-from paritylake.functions.canon import bucket_of, canon_text, float_text, with_row_hash
+from paritylake.functions.canon import bucket_of, canon_col, canon_text, with_row_hash
+from paritylake.functions.exactsum import exact_totals
+from paritylake.operators import digesttree
+from paritylake.operators.digesttree import LEAF_ROWS
 
 
 # ---------------------------------------------------------------- V1
@@ -50,28 +52,16 @@ def rowcount_parity(pairs: list[tuple]) -> DataFrame:
 # value classes: how two aggregate values are compared
 NUMBER, MOMENT, TEXT = "number", "moment", "text"
 _COMPARE = "decimal(38,18)"
-_EXACT_DOUBLES = 1e20
-
-
-def _double_sum(c: Column) -> Column:
-    """Sum of doubles as text: exact over their decimals (order-free) while they are of ordinary size."""
-    d = c.cast("double")
-    exact = F.sum(d.try_cast("decimal(38,9)"))
-    return F.when(F.max(F.abs(d)) < F.lit(_EXACT_DOUBLES), canon_text(exact, T.DecimalType(38, 9))).otherwise(float_text(F.sum(d)))
+#: Places at which a double counts in a sum.
+SUM_PLACES = 9
 
 
 def _agg_expr(df: DataFrame, column: str, fn: str) -> tuple[Column, str]:
-    """(canonical text, value class) of one aggregate; the class follows the column's type, not its text."""
+    """(canonical text, value class) of one aggregate but a sum; the class follows the column's type, not its text."""
     c = F.col(column)
     dt = df.schema[column].dataType
     if fn in ("count", "count_distinct"):
         return (F.count(c) if fn == "count" else F.count_distinct(c)).cast("string"), NUMBER
-    if fn == "sum":
-        if isinstance(dt, (T.FloatType, T.DoubleType)):
-            return _double_sum(c), NUMBER
-        if isinstance(dt, T.DecimalType):
-            return canon_text(F.sum(c), T.DecimalType(min(38, dt.precision + 10), dt.scale)), NUMBER
-        return F.sum(c.cast("decimal(38,0)")).cast("string"), NUMBER
     if fn in ("min", "max"):
         f = F.min if fn == "min" else F.max
         if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
@@ -84,20 +74,25 @@ def _agg_expr(df: DataFrame, column: str, fn: str) -> tuple[Column, str]:
     raise ValueError(f"unknown aggregate {fn}")
 
 
-def aggregate_values(df: DataFrame, specs: list[tuple[str, str]]) -> DataFrame:
-    """All aggregates of ``specs`` in ONE scan, unpivoted to (i, col, fn, value text, kind)."""
-    exprs = [_agg_expr(df, c, fn) for c, fn in specs]
-    one = df.agg(*[e.alias(f"v{i}") for i, (e, _) in enumerate(exprs)])
-    stack = ", ".join(f"{i}, '{c}', '{fn}', v{i}, '{exprs[i][1]}'" for i, (c, fn) in enumerate(specs))
+def aggregate_values(df: DataFrame, specs: list[tuple[str, str]], float_places: int | None = SUM_PLACES) -> DataFrame:
+    """All aggregates of ``specs``, unpivoted to (i, col, fn, value text, kind), in ONE scan; sums are exact at any size (of
+    doubles: at ``float_places`` places each, or as they stand with None), for which columns that may hold numbers beyond
+    ``decimal(38,18)`` are looked through once more for just those."""
+    plain = {i: _agg_expr(df, c, fn) for i, (c, fn) in enumerate(specs) if fn != "sum"}
+    summed = [i for i, (_, fn) in enumerate(specs) if fn == "sum"]
+    one = exact_totals(df, [specs[i][0] for i in summed], [e.alias(f"v{i}") for i, (e, _) in plain.items()], float_places)
+    names = {i: f"t{n}" for n, i in enumerate(summed)} | {i: f"v{i}" for i in plain}
+    stack = ", ".join(f"{i}, '{c}', '{fn}', {names[i]}, '{plain[i][1] if i in plain else NUMBER}'" for i, (c, fn) in enumerate(specs))
     return one.selectExpr(f"stack({len(specs)}, {stack}) AS (i, col, fn, value, kind)")
 
 
 def _numbers_within(a: Column, b: Column, allowed: Column) -> Column:
-    """|a - b| <= allowed for two number texts: exact in decimals where they fit, else in doubles."""
+    """|a - b| <= allowed for two number texts that are not equal: exact in decimals where they fit, else in doubles; with
+    nothing allowed, no two texts are within it."""
     da, db = a.try_cast(_COMPARE), b.try_cast(_COMPARE)
     exact = F.try_subtract(da, db)
-    return F.coalesce(F.abs(exact).cast("double") <= allowed,
-                      F.abs(a.try_cast("double") - b.try_cast("double")) <= allowed, F.lit(False))
+    near = F.coalesce(F.abs(exact).cast("double") <= allowed, F.abs(a.try_cast("double") - b.try_cast("double")) <= allowed, F.lit(False))
+    return (allowed > 0) & near
 
 
 def aggregate_parity(src: DataFrame, tgt: DataFrame, specs: list[tuple],
@@ -160,18 +155,12 @@ def fingerprint_parity(src: DataFrame, tgt: DataFrame, cols: list[str],
 
 # ---------------------------------------------------------------- V4
 def _side_digests(src: DataFrame, tgt: DataFrame, cols: list[str], key: str, n_buckets: int,
-                  group: list, bad: DataFrame | None = None, coerce_numeric: bool = False) -> DataFrame:
+                  group: list, coerce_numeric: bool = False) -> DataFrame:
     """Both sides hashed, tagged, unioned and folded by ONE aggregation on
     ``group``: grouping treats NULL keys as equal, partial aggregation absorbs
-    hot keys and duplicates, and no join is needed.
-
-    With a list of ``bad`` buckets, rows of other buckets go before their row
-    hash is computed: only the key is hashed for them."""
+    hot keys and duplicates, and no join is needed."""
     def side(df, s):
-        rows = df.withColumn("_b", bucket_of(F.col(key), n_buckets))
-        if bad is not None:
-            # bad-bucket list has at most n_buckets+1 rows: a size-bounded broadcast
-            rows = rows.join(F.broadcast(bad.withColumnRenamed("b", "_b")), "_b", "left_semi")
+        rows = df.withColumn("_b", bucket_of(canon_col(df, key, coerce_numeric=coerce_numeric), n_buckets))
         return (with_row_hash(rows, cols, keep=[key, "_b"], coerce_numeric=coerce_numeric)
                 .withColumnRenamed("_b", "b").withColumn("_side", F.lit(s)))
     u = side(src, 1).unionByName(side(tgt, 2))
@@ -196,23 +185,13 @@ def bucket_compare(src: DataFrame, tgt: DataFrame, cols: list[str], key: str,
     return _side_digests(src, tgt, cols, key, n_buckets, ["b"], coerce_numeric=coerce_numeric).withColumn("differs", _differs())
 
 
-def localize(src: DataFrame, tgt: DataFrame, cols: list[str], key: str,
-             n_buckets: int = 256, coerce_numeric: bool = False) -> DataFrame:
-    """V4: keys whose row multiset differs → (key, kind, src_n, tgt_n).
+def localize(src: DataFrame, tgt: DataFrame, cols: list[str], key: str, leaf_rows: int = LEAF_ROWS, coerce_numeric: bool = False) -> DataFrame:
+    """V4: keys whose row multiset differs → (key, kind, src_n, tgt_n), by digest trees (``digesttree``).
 
-    Stage 1: per-bucket digests (one tiny aggregate). Stage 2: only rows of
-    the differing buckets are hashed per key — each key's multiset (count and
-    hash sums), so duplicated rows are seen; NULL keys form their own group.
-    kind ∈ missing / extra / changed / duplicated / under_count.
+    Each side is hashed once; only key digests below differing leaves are compared. Duplicated rows are seen; NULL keys
+    form their own group. kind ∈ missing / extra / changed / duplicated / under_count.
     """
-    bad = bucket_compare(src, tgt, cols, key, n_buckets, coerce_numeric).where("differs").select("b")
-    per_key = _side_digests(src, tgt, cols, key, n_buckets, [key], bad=bad, coerce_numeric=coerce_numeric)
-    kind = (F.when(F.col("tgt_n") == 0, F.lit("missing"))
-            .when(F.col("src_n") == 0, F.lit("extra"))
-            .when(F.col("tgt_n") > F.col("src_n"), F.lit("duplicated"))
-            .when(F.col("tgt_n") < F.col("src_n"), F.lit("under_count"))
-            .otherwise(F.lit("changed")))
-    return per_key.where(_differs()).select(key, kind.alias("kind"), "src_n", "tgt_n")
+    return digesttree.localize(src, tgt, cols, key, leaf_rows, coerce_numeric)
 
 
 def localize_summary(diffs: DataFrame) -> DataFrame:

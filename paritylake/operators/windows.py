@@ -1,21 +1,26 @@
 """Ordered windows whose work does not depend on how rows spread over keys.
 
-One path for every key: the rows of a key are cut into fixed, order-preserving
-buckets of the first order column (a day of time, a stretch of numbers, the
-first letters of a string). The window runs per (key, bucket), and a table of
-one row per (key, bucket) carries what crosses a bucket's edge: the previous
-and next rows for LAG / LEAD, the totals for running sums and ranks. A hot key
-is thereby many groups; NULL keys and NULL order values are groups of their own
-(the group is a struct, in which NULLs equal). Nothing is collected and no job
-runs while a plan is built.
+One path for every key: the rows of a key are cut into order-preserving groups. A fixed cut of the first order column (a day
+of time, a stretch of numbers, the first letters of a string) does for most; a piece of it that holds more than a task's
+rows is cut again by a sample of its order tuples, inside the plan (``splitters.split_heavy``), so a busy key's one day,
+or one value that many rows share, is many groups. The window runs per (key, group), and a table of one row per (key, group)
+carries what crosses a group's edge: the previous and next rows for LAG / LEAD, the totals for running sums and ranks.
+Totals of a whole table go up and down a tree of stretches of stretches, so that no task sees more than ``FAN_OUT`` of them.
+NULL keys and NULL order values are groups too (the group is a struct, in which NULLs equal). Nothing is
+collected; LAG, LEAD and running sums run no job while a plan is built, ranks keep their distinct values once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from paritylake.operators.splitters import split_heavy
+from paritylake.session import materialize
+
 # fixed widths of the buckets: seconds, integers, steps a doubling of a number, letters
 DAY_SECONDS, INTEGER_STRETCH, STEPS_PER_DOUBLING, LETTERS = 86_400, 4_096, 256, 3
+#: Groups, or stretches of groups, that a step of the tree of totals brings together.
+FAN_OUT = 4_096
 _INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _REALS = (T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -42,26 +47,51 @@ def _ordering(order: list[tuple[str, str]]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if way == "asc" else F.col(c).desc_nulls_last() for c, way in order]
 
 
-def _grouped(df: DataFrame, keys: list[str], order_col: str, bucket: Column | None) -> DataFrame:
-    b = bucket if bucket is not None else bucket_of_order(df, order_col)
-    return df.withColumn("_grp", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], b.alias("b")))
+def _grouped(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None, **kw) -> DataFrame:
+    """``df`` with the struct ``_grp`` of the keys and the group's place in their order."""
+    rows = df.withColumn("_d1", bucket if bucket is not None else bucket_of_order(df, order[0]))
+    rows = split_heavy(rows, "_d1", order, "_d2", **kw) if bucket is None else rows.withColumn("_d2", F.lit(0))
+    return rows.withColumn("_grp", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], "_d1", "_d2")).drop("_d1", "_d2")
+
+
+def _places(way: str = "asc", of: str = "_grp.") -> list[Column]:
+    return [c.asc_nulls_first() if way == "asc" else c.desc_nulls_last() for c in (F.col(f"{of}_d1"), F.col(f"{of}_d2"))]
 
 
 def _along(keys: list[str], way: str = "asc"):
-    """Window over the buckets of a key: one row per bucket."""
-    b = F.col("_grp.b")
-    return (Window.partitionBy(*[F.col(f"_grp.k{i}") for i in range(len(keys))])
-            .orderBy(b.asc_nulls_first() if way == "asc" else b.desc_nulls_last()))
+    """Window over the groups of a key: one row per group."""
+    return Window.partitionBy(*[F.col(f"_grp.k{i}") for i in range(len(keys))]).orderBy(*_places(way))
+
+
+def _before_all(totals: DataFrame, way: str, levels: int = 4) -> DataFrame:
+    """``_grp, _shift`` of a whole table's groups (``_grp, _total``, the first place a number): what the groups before add up to.
+
+    Groups are brought together by stretches of ``FAN_OUT`` places, stretches again, and so on; each task orders one stretch.
+    """
+    ends = lambda w: w.orderBy(*_places(way, "")).rowsBetween(Window.unboundedPreceding, -1)
+    level = totals.select("_grp", "_total", F.col("_grp._d1").alias("_d1"), F.col("_grp._d2").alias("_d2"))
+    below, steps = level, []
+    for _ in range(levels):
+        steps.append(below.withColumn("_up", F.floor(F.col("_d1") / FAN_OUT)))
+        below = steps[-1].groupBy(F.struct(F.col("_up").alias("u")).alias("_key"), F.col("_up").alias("_d1")).agg(
+            F.sum("_total").alias("_total")).withColumn("_d2", F.lit(0))
+    shift = below.select("_key", F.coalesce(F.sum("_total").over(ends(Window.partitionBy(F.lit(0)))), F.lit(0)).alias("_over"))
+    for n in range(levels - 1, -1, -1):
+        here = steps[n].withColumn("_in", F.coalesce(F.sum("_total").over(ends(Window.partitionBy("_up"))), F.lit(0)))
+        here = here.drop("_key").withColumn("_key", F.struct(F.col("_up").alias("u"))).join(shift, "_key")
+        total = (F.col("_over") + F.col("_in")).alias("_shift" if n == 0 else "_over")
+        shift = here.select("_grp", total) if n == 0 else here.select(F.struct(F.col("_d1").alias("u")).alias("_key"), total)
+    return shift
 
 
 def neighbours(df: DataFrame, key: str, order: list[str], prev_cols: dict | None = None,
-               next_cols: dict | None = None, bucket: Column | None = None) -> DataFrame:
+               next_cols: dict | None = None, bucket: Column | None = None, **kw) -> DataFrame:
     """Add LAG (``prev_cols`` {src: alias}) and LEAD (``next_cols``) per key, ordered ascending, NULLs first.
 
-    ``order`` should be unique per key; ``bucket``: another order-preserving cut of the first order column.
+    ``order`` should be unique per key; ``bucket``: a fixed order-preserving cut of the first order column.
     """
     prev_cols, next_cols = prev_cols or {}, next_cols or {}
-    rows = _grouped(df, [key], order[0], bucket)
+    rows = _grouped(df, [key], order, bucket, **kw)
     w = Window.partitionBy("_grp").orderBy(*_ordering([(c, "asc") for c in order]))
     inner = rows.select("*", *[F.lag(F.col(s)).over(w).alias(a) for s, a in prev_cols.items()],
                         *[F.lead(F.col(s)).over(w).alias(a) for s, a in next_cols.items()],
@@ -82,15 +112,21 @@ def neighbours(df: DataFrame, key: str, order: list[str], prev_cols: dict | None
 
 
 def running_sum(df: DataFrame, keys: list[str], order: list[tuple[str, str]], value: Column, out: str,
-                bucket: Column | None = None) -> DataFrame:
+                bucket: Column | None = None, **kw) -> DataFrame:
     """Cumulative sum of ``value`` per key in ``order`` ((column, "asc" | "desc"); ROWS UNBOUNDED PRECEDING ..
-    CURRENT ROW); with value 1 it is ROW_NUMBER. Each (key, bucket) is summed on its own and shifted by the totals
-    of the key's buckets before it."""
-    rows = _grouped(df, keys, order[0][0], bucket).withColumn("_val", value)
+    CURRENT ROW); with value 1 it is ROW_NUMBER. Each (key, group) is summed on its own and shifted by the totals
+    of the key's groups before it."""
+    # columns of one direction make a group: a column that runs the other way orders rows within it
+    ways = [way for _, way in order]
+    along = [c for i, (c, _) in enumerate(order) if ways[:i + 1] == ways[:1] * (i + 1)]
+    rows = _grouped(df, keys, along, bucket, **kw).withColumn("_val", value)
     w = Window.partitionBy("_grp").orderBy(*_ordering(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = rows.groupBy("_grp").agg(F.sum("_val").alias("_total"))
-    before = _along(keys, order[0][1]).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = totals.select("_grp", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_shift"))
+    if not keys and isinstance(df.schema[order[0][0]].dataType, _INTS) and bucket is None:
+        shifts = _before_all(totals, order[0][1])  # a number's range, and so its stretches, has no bound
+    else:
+        before = _along(keys, order[0][1]).rowsBetween(Window.unboundedPreceding, -1)
+        shifts = totals.select("_grp", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_shift"))
     return (rows.withColumn("_part", F.sum("_val").over(w)).join(shifts, "_grp")
             .withColumn(out, F.col("_shift") + F.col("_part")).drop("_grp", "_val", "_part", "_shift"))
 
@@ -103,7 +139,8 @@ def global_rank(df: DataFrame, order: list[tuple[str, str]]) -> DataFrame:
     are numbered among themselves by the second column.
     """
     col, way = order[0]
-    values = df.groupBy(F.struct(F.col(col).alias("v")).alias("_value"), F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    # kept: the groups' boundaries, their totals and the rows read it, and each reading would count again
+    values = materialize(df.groupBy(F.struct(F.col(col).alias("v")).alias("_value"), F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
     ranked = running_sum(values, [], [("_v", way)], F.col("_n"), "_upto")
     counts = values.agg(F.sum("_n").alias("_gn"))
     ranked = ranked.select("_value", (F.col("_upto") - F.col("_n")).alias("_below"))

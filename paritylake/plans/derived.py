@@ -83,8 +83,10 @@ def events_scd2(events: DataFrame) -> DataFrame:
     eff_to = next version's eff_from, the last one open until the terminal.
     """
     from paritylake.operators.scd2 import scd2_build
-    return scd2_build(events.select("user_id", "ts", "event_id", "event_type"),
-                      key="user_id", ts="ts", tie="event_id", attrs=["event_type"])
+    from paritylake.session import materialize
+    # kept: its readers go over it several times
+    return materialize(scd2_build(events.select("user_id", "ts", "event_id", "event_type"),
+                                  key="user_id", ts="ts", tie="event_id", attrs=["event_type"]))
 
 
 def broken_scd2(v: DataFrame) -> DataFrame:

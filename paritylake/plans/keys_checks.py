@@ -14,7 +14,7 @@ from paritylake.operators import transform as TR
 from paritylake.plans import derived as D
 from paritylake.plans.oracle import (ORDERS_DELTA, ORDERS_EPOCH, ORDERS_SNAPSHOT, ORDERS_TGT,
                                      EVENTS_SCD2, EVENTS_SCD2_BROKEN, hashed)
-from paritylake.functions.canon_sql import digest_aggs_sql
+from paritylake.functions.canon_sql import stripped_sql, digest_aggs_sql
 from paritylake.session import materialize
 from paritylake.sources.tables import table, register_views
 
@@ -57,8 +57,17 @@ def q_decimal_roundtrip(spark, sf):
     again = tgt.where(F.col("o_orderkey") % 107 == 1).withColumn("amount", (F.col("amount") + 1).cast("decimal(14,2)"))
     tgt = tgt.unionByName(again)
     bad, _ = E.decimal_roundtrip(src, tgt, "o_orderkey", ["amount", "o_custkey"])
-    return bad.select("o_orderkey", "column", F.col("src_value").cast("string").alias("src_value"),
-                      F.col("tgt_value").cast("string").alias("tgt_value"), "tgt_rows")
+    plain = lambda c: F.col(c).cast("decimal(38,18)").cast("string").alias(c)
+    # twins that differ in the 20th place, and in the last of 25 digits; one side as text
+    k = F.col("o_orderkey")
+    deep = o.select("o_orderkey", F.col("o_totalprice").cast("decimal(14,2)").cast("decimal(38,20)").alias("place_20"),
+                    (F.lit(str(10**24)).cast("decimal(38,0)") + k).cast("decimal(38,0)").alias("digits_25"))
+    # in the target's text, as decimal arithmetic would round it away
+    tail = F.when(k % 113 == 0, F.lit("0" * 17 + "1")).otherwise(F.lit("0" * 18))
+    twin = o.select("o_orderkey", F.concat(F.col("o_totalprice").cast("decimal(14,2)").cast("string"), tail).cast("decimal(38,20)").alias("place_20"),
+                    (F.lit(str(10**24)).cast("decimal(38,0)") + k + F.when(k % 127 == 0, 1).otherwise(0)).cast("decimal(38,0)").cast("string").alias("digits_25"))
+    more, _ = E.decimal_roundtrip(deep, twin, "o_orderkey", ["place_20", "digits_25"])
+    return bad.select("o_orderkey", "column", plain("src_value"), plain("tgt_value"), "tgt_rows").unionByName(more)
 
 
 def q_fn_epoch(spark, sf):
@@ -88,7 +97,7 @@ def q_scd2_build(spark, sf):
 
 
 def q_scd2_continuity(spark, sf):
-    built = materialize(D.events_scd2(table(spark, sf, "events")))     # one build for both variants and all rules
+    built = D.events_scd2(table(spark, sf, "events"))     # one build, kept, for both variants and all rules
     out = None
     for variant, v in (("golden", built), ("broken", D.broken_scd2(built))):
         _, counts = S.scd2_continuity(v, "user_id", hash_col="row_hash",
@@ -371,7 +380,14 @@ j AS (SELECT s.o_orderkey, s.amount AS sa, t.amount AS ta, s.o_custkey AS sc, t.
 SELECT o_orderkey, 'amount' AS "column", CAST(sa AS VARCHAR) AS src_value, CAST(ta AS VARCHAR) AS tgt_value, tgt_rows
 FROM j WHERE torn OR sa IS DISTINCT FROM ta
 UNION ALL
-SELECT o_orderkey, 'o_custkey', CAST(sc AS VARCHAR), CAST(tc AS VARCHAR), tgt_rows FROM j WHERE sc IS DISTINCT FROM tc"""
+SELECT o_orderkey, 'o_custkey', CAST(sc AS VARCHAR), CAST(tc AS VARCHAR), tgt_rows FROM j WHERE sc IS DISTINCT FROM tc
+UNION ALL
+SELECT o_orderkey, 'place_20', {stripped_sql("CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS VARCHAR)")},
+       CAST(CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS DECIMAL(38,20)) + CAST('0.00000000000000000001' AS DECIMAL(38,20)) AS VARCHAR), 1
+FROM orders WHERE o_orderkey % 113 = 0
+UNION ALL
+SELECT o_orderkey, 'digits_25', CAST(CAST('1000000000000000000000000' AS HUGEINT) + o_orderkey AS VARCHAR),
+       CAST(CAST('1000000000000000000000000' AS HUGEINT) + o_orderkey + 1 AS VARCHAR), 1 FROM orders WHERE o_orderkey % 127 = 0"""
 
 _lo_s, _hi_s = E.year_bounds("seconds", E.SANE_YEARS)
 _lo_u, _hi_u = E.year_bounds("micros", E.SANE_YEARS)

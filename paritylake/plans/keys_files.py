@@ -201,7 +201,7 @@ def q_s12(spark, sf):
     CTAS copy partitioned by integer range (a fixed number of ranges at any size), and a view over it that is read back.
     Table names are new each time; their files lie in the scratch folder."""
     o = table(spark, sf, "orders")
-    width = (o.agg(F.max("o_orderkey")).first()[0] + RANGES) // RANGES
+    width = ((o.agg(F.max("o_orderkey")).first()[0] or 0) + RANGES) // RANGES
     loc, ctas = scratch_dir(spark, "orders_dated"), scratch_dir(spark, "orders_ranged")
     dated, ranged = f"paritylake_{loc[-12:]}", f"paritylake_{ctas[-12:]}"
     o.select("o_orderkey", "o_custkey", "o_totalprice", F.trunc(F.to_date("o_orderdate"), "year").alias("order_year")) \

@@ -330,7 +330,8 @@ FROM orders_tgt GROUP BY ALL) WHERE copies > 1"""
 @key("control_total", f"""WITH {ORDERS_TGT}
 SELECT 'orders' AS side, CAST(count(*) AS BIGINT) AS rows, {stripped_sql("CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS VARCHAR)")} AS total FROM orders
 UNION ALL SELECT 'orders_tgt', CAST(count(*) AS BIGINT), {stripped_sql("CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS VARCHAR)")} FROM orders_tgt
-UNION ALL SELECT 'documents_lang', CAST(count(*) AS BIGINT), {stripped_sql("CAST(sum(coalesce(TRY_CAST(lang AS DECIMAL(38,18)), 0)) AS VARCHAR)")} FROM documents""")
+UNION ALL SELECT 'documents_lang', CAST(count(*) AS BIGINT), {stripped_sql("CAST(sum(coalesce(TRY_CAST(lang AS DECIMAL(38,18)), 0)) AS VARCHAR)")} FROM documents
+UNION ALL SELECT 'long_texts', CAST(count(*) AS BIGINT), rtrim(CAST(sum(o_orderkey + 1) AS VARCHAR) || repeat('0', 23) || '.' || lpad(CAST(count(*) AS VARCHAR), 24, '0'), '0') FROM orders""")
 def q_a16(spark, sf):
     o = table(spark, sf, "orders")
     t = D.orders_tgt(o)
@@ -341,7 +342,10 @@ def q_a16(spark, sf):
                                              "total")
     c = AG.control_total(table(spark, sf, "documents"), "lang").select(
         F.lit("documents_lang").alias("side"), "rows", "total")
-    return a.unionByName(b).unionByName(c)
+    # texts with more digits on either side of the point than any decimal type holds
+    long = o.select(F.concat((F.col("o_orderkey") + 1).cast("string"), F.lit("0" * 23 + "." + "0" * 23 + "1")).alias("v"))
+    d = AG.control_total(long, "v").select(F.lit("long_texts").alias("side"), "rows", "total")
+    return a.unionByName(b).unionByName(c).unionByName(d)
 
 
 def _nearest_rank_sql(tbl, group, value, ps_names, where=""):
@@ -359,16 +363,16 @@ def q_a17(spark, sf):
     return AG.nearest_rank(table(spark, sf, "lineitem"), ["l_returnflag"], "l_quantity", [0.5, 0.95])
 
 
-@key("run_stats_fold", f"""WITH run_log AS (SELECT event_type AS query_id, 'value' AS metric, value FROM events),
+@key("run_stats_fold", f"""WITH run_log AS (SELECT nullif(event_type, 'error') AS query_id, 'value' AS metric, value FROM events),
 pct AS {_nearest_rank_sql('run_log', 'query_id, metric', 'value', [(0.5, 'p50'), (0.95, 'p95')])}
 SELECT pct.query_id, pct.metric, p50, p95, mx AS max, mn AS min, runs FROM pct JOIN (
   SELECT query_id, metric, max(value) AS mx, min(value) AS mn, CAST(count(*) AS BIGINT) AS runs FROM run_log GROUP BY 1, 2) m
-USING (query_id, metric)""")
+ON pct.query_id IS NOT DISTINCT FROM m.query_id AND pct.metric IS NOT DISTINCT FROM m.metric""")
 def q_a18(spark, sf):
     """Run log in long form (query_id, run, metric, value) read from ``events``:
-    each event is one run of its event type's query, ``value`` its metric."""
+    each event is one run of its event type's query, ``value`` its metric; runs of one type have no query id."""
     ev = table(spark, sf, "events")
-    log = ev.select(F.col("event_type").alias("query_id"), F.col("event_id").alias("run"),
+    log = ev.select(F.nullif("event_type", F.lit("error")).alias("query_id"), F.col("event_id").alias("run"),
                     F.lit("value").alias("metric"), "value")
     return AG.run_stats_fold(log)
 
@@ -488,31 +492,33 @@ DECLARED_COLUMNS = {
 
 @key("name_set_diff", None)
 def q_u4(spark, sf):
-    """Expected column names against the names that the rows of each table carry (a name without any value counts as
-    absent): anti joins both ways."""
+    """Expected column names against each table's own, both ways, and names under which no row has a value (one aggregate
+    a table, a flag per column)."""
     exp = spark.createDataFrame([(t, c) for t, cs in DECLARED_COLUMNS.items() for c in cs],
                                 "tbl string, col string")
     act = None
     for t in DECLARED_COLUMNS:
         rows = table(spark, sf, t)
-        # a row's JSON leaves out nulls: its keys are the names with a value
-        a = rows.select(F.lit(t).alias("tbl"), F.explode(F.json_object_keys(F.to_json(F.struct("*")))).alias("col"))
+        flags = rows.agg(*[F.coalesce(F.max(F.col(c).isNotNull()), F.lit(False)).alias(c) for c in rows.columns])
+        stack = ", ".join(f"'{t}', '{c.lower()}', `{c}`" for c in rows.columns)
+        a = flags.selectExpr(f"stack({len(rows.columns)}, {stack}) AS (tbl, col, has_value)")
         act = a if act is None else act.unionByName(a)
-    act = act.select("tbl", F.lower("col").alias("col")).distinct()
     missing = exp.join(act, ["tbl", "col"], "left_anti").withColumn("kind", F.lit("missing"))
-    extra = act.join(exp, ["tbl", "col"], "left_anti").withColumn("kind", F.lit("unexpected"))
-    return missing.unionByName(extra)
+    extra = act.drop("has_value").join(exp, ["tbl", "col"], "left_anti").withColumn("kind", F.lit("unexpected"))
+    empty = act.where("NOT has_value").drop("has_value").withColumn("kind", F.lit("no value"))
+    return missing.unionByName(extra).unionByName(empty)
 
 
 def _name_diff_sql():
     from paritylake.plans.keys_parity import TABLE_COLS
     exp = ", ".join(f"('{t}', '{c}')" for t, cs in DECLARED_COLUMNS.items() for c in cs)
-    act = " UNION ALL ".join(f"SELECT '{t}' AS tbl, '{c}' AS col WHERE (SELECT count({c}) FROM {t}) > 0"
+    act = " UNION ALL ".join(f"SELECT '{t}' AS tbl, '{c}' AS col, (SELECT count({c}) FROM {t}) AS n"
                              for t in DECLARED_COLUMNS for c, _ in TABLE_COLS[t])
     return f"""WITH exp AS (SELECT * FROM (VALUES {exp}) AS e(tbl, col)), act AS ({act})
 SELECT tbl, col, 'missing' AS kind FROM exp WHERE NOT EXISTS (SELECT 1 FROM act WHERE act.tbl = exp.tbl AND act.col = exp.col)
 UNION ALL
-SELECT tbl, col, 'unexpected' FROM act WHERE NOT EXISTS (SELECT 1 FROM exp WHERE act.tbl = exp.tbl AND act.col = exp.col)"""
+SELECT tbl, col, 'unexpected' FROM act WHERE NOT EXISTS (SELECT 1 FROM exp WHERE act.tbl = exp.tbl AND act.col = exp.col)
+UNION ALL SELECT tbl, col, 'no value' FROM act WHERE n = 0"""
 
 
 O_["name_set_diff"] = _name_diff_sql()

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from paritylake.functions.canon import digest, pushdown_digest, with_row_hash
 from paritylake.functions.canon_sql import bucket_sql, stripped_sql, text_sql
-from paritylake.operators import parity as P
+from paritylake.operators import digesttree, parity as P
 from paritylake.plans import derived as D
 from paritylake.plans.oracle import ORDERS_COLS, ORDERS_NAMES, ORDERS_TGT, hashed
+from paritylake.session import scratch_dir
 from paritylake.sources.tables import table
 
 # column lists (name, oracle type) of every driver table, for whole-table digests
@@ -49,7 +50,15 @@ def _orders_pair(spark, sf):
 # ------------------------------------------------------------------ queries
 def q_fingerprint_localize(spark, sf):
     src, tgt = _orders_pair(spark, sf)
-    return P.localize(src, tgt, ORDERS_NAMES, "o_orderkey", 256)
+    return P.localize(src, tgt, ORDERS_NAMES, "o_orderkey")
+
+
+def q_stored_tree(spark, sf):
+    """Localisation against a stored digest tree of the source: only the target's rows are read, and of both key levels only
+    what lies below differing nodes."""
+    src, tgt = _orders_pair(spark, sf)
+    stored = digesttree.store_tree(src, ORDERS_NAMES, "o_orderkey", scratch_dir(spark, "orders-tree"))
+    return digesttree.localize_against(digesttree.open_tree(spark, stored.path), tgt)
 
 
 def q_rowcount_parity(spark, sf):
@@ -177,7 +186,11 @@ A1_SPECS = [("l_quantity", "sum"), ("l_orderkey", "count_distinct"), ("l_shipdat
 
 
 def q_agg_list(spark, sf):
-    return P.aggregate_values(table(spark, sf, "lineitem"), A1_SPECS)
+    li = table(spark, sf, "lineitem")
+    # doubles whose sum no decimal type holds: 6e28 on first lines, a thousandth elsewhere
+    wide = li.select(F.when(F.col("l_linenumber") == 1, F.lit(6e28)).otherwise(F.lit(0.001)).alias("wide"))
+    return P.aggregate_values(li, A1_SPECS).unionByName(
+        P.aggregate_values(wide, [("wide", "sum")]).withColumn("i", F.lit(len(A1_SPECS))))
 
 
 def q_query_parity(spark, sf):
@@ -223,6 +236,7 @@ def q_query_parity(spark, sf):
 
 QUERIES = {
     "fingerprint_localize": q_fingerprint_localize,
+    "fingerprint_localize_stored": q_stored_tree,
     "rowcount_parity": q_rowcount_parity,
     "aggregate_parity": q_aggregate_parity,
     "fingerprint_parity": q_fingerprint_parity,
@@ -396,9 +410,13 @@ _DIFF_SAMPLE_SQL = f"SELECT * FROM ({_LOCALIZE_SQL}) ORDER BY o_orderkey NULLS F
 def _agg_list_sql():
     kinds = {"l_shipdate": "moment", "l_linestatus": "text"}
     kind = lambda c, fn: "number" if fn in ("sum", "count", "count_distinct") else kinds.get(c, "number")
-    return "\nUNION ALL\n".join(
-        f"SELECT {i} AS i, '{c}' AS col, '{fn}' AS fn, (SELECT {_agg_sql_value(c, fn)} FROM lineitem) AS value, '{kind(c, fn)}' AS kind"
-        for i, (c, fn) in enumerate(A1_SPECS))
+    rows = [f"SELECT {i} AS i, '{c}' AS col, '{fn}' AS fn, (SELECT {_agg_sql_value(c, fn)} FROM lineitem) AS value, '{kind(c, fn)}' AS kind"
+            for i, (c, fn) in enumerate(A1_SPECS)]
+    firsts, others = "count(*) FILTER (WHERE l_linenumber = 1)", "count(*) FILTER (WHERE l_linenumber IS DISTINCT FROM 1)"
+    wide = (f"CAST(6 * {firsts} AS VARCHAR) || lpad(CAST({others} // 1000 AS VARCHAR), 28, '0') || '.' || "
+            f"lpad(CAST({others} % 1000 AS VARCHAR), 3, '0')")
+    rows.append(f"SELECT {len(A1_SPECS)}, 'wide', 'sum', rtrim(rtrim((SELECT {wide} FROM lineitem), '0'), '.'), 'number'")
+    return "\nUNION ALL\n".join(rows)
 
 
 def _same_rows(a: str, b: str) -> str:
@@ -433,6 +451,7 @@ UNION ALL SELECT 'query_parity', 'regex_classes', {_same_rows(_CLASS, _CLASS_2)}
 
 ORACLE = {
     "fingerprint_localize": _LOCALIZE_SQL,
+    "fingerprint_localize_stored": _LOCALIZE_SQL,
     "rowcount_parity": _ROWCOUNT_SQL,
     "aggregate_parity": _aggregate_parity_sql(),
     "fingerprint_parity": _FINGERPRINT_PARITY_SQL,

@@ -139,7 +139,7 @@ def q_v13_meta(spark, sf):
     the landed row count against the source."""
     from paritylake.operators.schema import table_count, table_metadata_checks
     o = table(spark, sf, "orders")
-    width = (o.agg(F.max("o_orderkey")).first()[0] + META_RANGES) // META_RANGES
+    width = ((o.agg(F.max("o_orderkey")).first()[0] or 0) + META_RANGES) // META_RANGES
     loc = scratch_dir(spark, "orders_meta")
     name = f"paritylake_meta_{loc[-12:]}"
     o.select("o_orderkey", "o_custkey", "o_totalprice", F.call_function("div", F.col("o_orderkey"), F.lit(width)).alias("key_range")) \

@@ -221,8 +221,7 @@ def agent_scorecard(spark, sf):
                  F.when(F.col("s_acctbal") >= 5000, "senior").otherwise("junior").alias("job_grade"))
     # one row per agent, read by two ranks: kept, so that the facts are read once
     j = materialize(a.join(perf, "agent_sk"))
-    r1 = global_rank(j, [("aht", "asc")]).withColumn("aht_pctile", percent_rank_col()) \
-        .drop("_grank", "_gn")
+    r1 = materialize(global_rank(j, [("aht", "asc")]).withColumn("aht_pctile", percent_rank_col()).drop("_grank", "_gn"))
     r2 = global_rank(r1, [("avg_qa_pct", "desc"), ("agent_sk", "asc")]) \
         .withColumn("qa_quartile", ntile_col(4)).drop("_grn", "_grank", "_gn")
     return r2.select("agent_sk", "full_name", "site_code", "job_grade", "aht", "adherence", "volume",

@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 
 _CKPT_CONF = "spark.checkpoint.dir"
 _WRITTEN: list[str] = []
+_OWN: dict[str, str] = {}
 
 
 def get_spark(master: str | None = None, app: str = "paritylake",
@@ -31,6 +32,9 @@ def get_spark(master: str | None = None, app: str = "paritylake",
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+         # call sites of every column expression: costs more than planning itself where a query has hundreds
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .config("spark.driver.memory", os.environ.get("PARITYLAKE_DRIVER_MEM", "16g")))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -56,12 +60,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder from the session. Only a session in one process (``local[...]``) may do without: it gets
     a private one; on a cluster an unset folder is an error, as executors cannot see each other's disks."""
     sc = spark.sparkContext
-    d = sc.getConf().get(_CKPT_CONF, None) or spark.conf.get(_CKPT_CONF, None)
+    d = sc.getConf().get(_CKPT_CONF, None) or spark.conf.get(_CKPT_CONF, None) or _OWN.get(sc.applicationId)
     if not d:
         if not _in_one_process(sc.master):
             raise RuntimeError(f"set {_CKPT_CONF} to a folder that the driver and all executors share")
-        d = tempfile.mkdtemp(prefix="paritylake-ckpt-")
-        spark.conf.set(_CKPT_CONF, d)
+        d = _OWN[sc.applicationId] = tempfile.mkdtemp(prefix="paritylake-ckpt-")  # a running session's setting cannot be changed
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
@@ -76,12 +79,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def clear_scratch(spark: SparkSession) -> int:
-    """Delete the scratch folders this process has handed out; results read from them must be done with."""
+    """Delete the scratch folders this process has handed out and its checkpoints; results read from them must be done with."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     done = 0
     while _WRITTEN:
         path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
         done += bool(path.getFileSystem(conf).delete(path, True))
+    own = spark.sparkContext.getCheckpointDir()  # Spark's own sub-folder of the shared one, this application's alone
+    if own:
+        top = jvm.org.apache.hadoop.fs.Path(own)
+        fs = top.getFileSystem(conf)
+        if fs.exists(top):
+            for f in fs.listStatus(top):
+                done += bool(fs.delete(f.getPath(), True))
     return done
 
 

@@ -1,18 +1,18 @@
 """Incremental and streaming variants.
 
-* ``incremental_ingest`` (D3): batch append of rows whose check column is
-  above the watermark of the earlier runs. A run owns its folder and its audit
-  row, so running it again replaces both and appends nothing twice. Rows
-  without a check value and late rows are kept aside and counted.
+* ``incremental_ingest`` (D3, in ``ledger``): batch append of rows above the
+  watermark pair of the earlier runs, with a ledger of what was seen.
 * ``stream_ingest`` (D4): a file stream deduplicated by key inside a
   watermark (``dropDuplicatesWithinWatermark``), written by an idempotent
   ``foreachBatch`` (one output folder per batch id, overwritten on replay).
+  Rows without a key are no duplicates of each other: they pass.
 * ``stream_merge`` (D5): each micro-batch appends its changes, reduced to the
-  latest per key; the snapshot is one merge of all of them onto the initial
-  table. No batch rewrites the table.
+  latest per key, to levelled runs under a manifest (``compaction``); the
+  snapshot is one merge of the live runs onto the initial table. No batch
+  rewrites the table; changes without a key are kept aside and reported.
 * ``stream_window_digests`` (D6): per event-time window count and digest of a
   stream (update mode, state bounded by the watermark); the final value of
-  each window is its last update.
+  each window is its last update. Both sides at once: ``paritywindow``.
 
 A stream's checkpoint lies beside its sink (or where the caller says): a second
 call goes on where the first ended. Nothing but per-batch ids passes through
@@ -22,69 +22,13 @@ the driver.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.utils import AnalysisException
 
 from paritylake.functions.canon import with_row_hash
 from paritylake.operators.merge import delta_latest, merge_apply
+from paritylake.streaming.compaction import add_batch, live_runs, read_runs
+from paritylake.streaming.ledger import incremental_ingest, read_or_empty, sink_rows
 
-
-# ---------------------------------------------------------------- D3
-_AUDIT = "run int, watermark_before string, watermark_after string, appended long, late long, no_check_value long, status string"
-
-
-def _audit_of(spark: SparkSession, sink_path: str) -> DataFrame:
-    try:
-        return spark.read.schema(_AUDIT).parquet(f"{sink_path}/_audit/*")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], _AUDIT)
-
-
-def sink_rows(spark: SparkSession, sink_path: str, schema: T.StructType) -> DataFrame:
-    """All appended rows; an empty frame for a sink without a run."""
-    try:
-        return spark.read.schema(schema).parquet(f"{sink_path}/data/*")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def sink_watermark(spark: SparkSession, sink_path: str, run_id: int) -> str | None:
-    """High-water mark of the runs before ``run_id``, as text: one scalar of the audit table, not a scan of the sink."""
-    last = _audit_of(spark, sink_path).where(F.col("run") < run_id).orderBy(F.desc("run")).select("watermark_after").head()
-    return last[0] if last else None
-
-
-def incremental_ingest(spark: SparkSession, src: DataFrame, sink_path: str, check_col: str,
-                       run_id: int, key: str) -> DataFrame:
-    """Append the rows above the watermark of the earlier runs; returns the run's audit row.
-
-    ``late``: rows at or below the watermark whose ``key`` the sink does not hold (they go to ``_late``, not to the
-    data). ``no_check_value``: rows whose check column is NULL (to ``_no_check_value``).
-    """
-    kind = src.schema[check_col].dataType
-    before = sink_watermark(spark, sink_path, run_id)
-    mark = F.lit(before).cast(kind)
-    held = sink_rows(spark, sink_path, src.schema)
-    new = src.where(F.col(check_col).isNotNull() if before is None else F.col(check_col) > mark)
-    blank = src.where(F.col(check_col).isNull())
-    late = src.where(F.lit(before is not None) & (F.col(check_col) <= mark)).join(held.select(key), key, "left_anti")
-    part = f"run={run_id}"
-    paths = {"appended": f"{sink_path}/data/{part}", "late": f"{sink_path}/_late/{part}", "no_check_value": f"{sink_path}/_no_check_value/{part}"}
-    # the rows set aside are told from the sink as it was, so before this run's own folder is (re)written
-    for name, rows in (("late", late), ("no_check_value", blank), ("appended", new)):
-        rows.write.mode("overwrite").parquet(paths[name])
-    counts = {n: spark.read.schema(src.schema).parquet(p).agg(F.count(F.lit(1)).alias(n), F.max(check_col).cast("string").alias(f"{n}_max"))
-              for n, p in paths.items()}
-    c = counts["appended"]
-    one = c.select(F.lit(run_id).alias("run"), F.lit(before).cast("string").alias("watermark_before"),
-                   F.coalesce("appended_max", F.lit(before).cast("string")).alias("watermark_after"), "appended",
-                   counts["late"].select("late").scalar().alias("late"),
-                   counts["no_check_value"].select("no_check_value").scalar().alias("no_check_value"), F.lit("SUCCESS").alias("status"))
-    one.write.mode("overwrite").parquet(f"{sink_path}/_audit/{part}")
-    return spark.read.schema(_AUDIT).parquet(f"{sink_path}/_audit/{part}")
+__all__ = ["incremental_ingest", "sink_rows", "land_files", "stream_ingest", "stream_merge", "refused_changes", "stream_window_digests"]
 
 
 # ---------------------------------------------------------------- stream helpers
@@ -115,20 +59,21 @@ def stream_ingest(spark: SparkSession, landing: str, schema: T.StructType, key:
                   bytes_per_batch: int = 10 * 2**30) -> tuple[DataFrame, DataFrame]:
     """File stream → dedupe by key within the watermark → idempotent sink.
 
-    Returns the sink and the late rows: landed rows of keys that never reached it. Calling it again goes on from the
-    checkpoint (beside the sink by default).
+    Returns the sink and the late rows: landed rows of keys that never reached it. Rows with a NULL key are all in the
+    sink. Calling it again goes on from the checkpoint (beside the sink by default).
     """
     stream = _file_stream(spark, landing, schema, files_per_batch, bytes_per_batch)
     # event time must be a TIMESTAMP (UTC session); NTZ columns are cast
-    deduped = (stream.withColumn(ts, F.col(ts).cast("timestamp"))
-               .withWatermark(ts, watermark).dropDuplicatesWithinWatermark([key]))
+    timed = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    deduped = (timed.where(F.col(key).isNotNull()).withWatermark(ts, watermark).dropDuplicatesWithinWatermark([key])
+               .unionByName(timed.where(F.col(key).isNull())))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     _run_available_now(deduped.writeStream.foreachBatch(write_batch), checkpoint or f"{sink}-checkpoint")
     kept = spark.read.parquet(sink).select(*schema.fieldNames())
-    late = spark.read.schema(schema).parquet(landing).join(kept.select(key), key, "left_anti")
+    late = spark.read.schema(schema).parquet(landing).where(F.col(key).isNotNull()).join(kept.select(key), key, "left_anti")
     return kept, late
 
 
@@ -138,26 +83,36 @@ def stream_merge(spark: SparkSession, landing: str, schema: T.StructType, initia
                  files_per_batch: int | None = None, bytes_per_batch: int = 10 * 2**30) -> DataFrame:
     """Change-file stream → latest change per key → one merge onto ``initial``.
 
-    A micro-batch writes only its own changes, reduced to the latest per key (``base/delta/batch_id=...``, replaced on
-    replay). The latest of all of them are merged once, so the result depends neither on how files fall into batches
-    nor on the order in which they are picked up. Calling it again with new files goes on from the checkpoint.
+    A micro-batch writes only its own changes, reduced to the latest per key, as a run of level 0; full levels are merged, and
+    the manifest of live runs is swapped by one rename. The live runs are merged once, so the result depends neither on how
+    files fall into batches nor on the order in which they are picked up, and a call reads a logarithmic number of runs.
+    Calling it again with new files goes on from the checkpoint. Changes without a key: ``refused_changes``.
     """
     cols = initial.columns
     changes = fields_of(schema, [*cols, op, order])
+    some_key_missing = F.expr(" OR ".join(f"`{k}` IS NULL" for k in keys))
+    latest = lambda df: delta_latest(df.select(*changes.fieldNames()), keys, [order])
 
     def reduce_batch(batch: DataFrame, batch_id: int) -> None:
-        delta_latest(batch.select(*changes.fieldNames()), keys, [order]).write.mode("overwrite").parquet(f"{base}/delta/batch_id={batch_id}")
+        rows = batch.select(*changes.fieldNames())
+        rows.where(some_key_missing).write.mode("overwrite").parquet(f"{base}/refused/batch_id={batch_id}")
+        add_batch(spark, base, batch_id, rows.where(~some_key_missing), changes, latest)
 
     stream = _file_stream(spark, landing, schema, files_per_batch, bytes_per_batch)
     _run_available_now(stream.writeStream.foreachBatch(reduce_batch), checkpoint or f"{base}/checkpoint")
-    try:
-        deltas = spark.read.schema(changes).parquet(f"{base}/delta")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    runs = live_runs(spark, base)
+    if not runs:
         return initial
-    latest = delta_latest(deltas.select(*changes.fieldNames()), keys, [order])
-    return merge_apply(initial, latest, keys, op, delete).select(*cols)
+    return merge_apply(initial, latest(read_runs(spark, base, changes, runs)), keys, op, delete).select(*cols)
+
+
+def refused_changes(spark: SparkSession, base: str, schema: T.StructType, keys: list[str], cols: list[str], order: str, op: str = "op") -> DataFrame:
+    """Check rows of the changes that a merge refused: those without a key (ERROR with their number, PASS without any)."""
+    changes = fields_of(schema, [*cols, op, order])
+    rows = read_or_empty(spark, f"{base}/refused", changes)
+    n = F.count(F.lit(1))
+    return rows.agg(F.lit("stream_merge").alias("pattern"), F.lit("delta:null_keys").alias("target"),
+                    F.when(n > 0, "ERROR").otherwise("PASS").alias("status"), F.lit("0").alias("expected"), n.cast("string").alias("actual"))
 
 
 def fields_of(schema: T.StructType, names: list[str]) -> T.StructType:

@@ -110,3 +110,33 @@ def test_nearest_rank_matches_definition(spark):
     for g, n in (("a", 20), ("b", 7)):
         vals = list(range(1, n + 1))
         assert got[g] == (vals[math.ceil(0.5 * n) - 1], vals[math.ceil(0.95 * n) - 1])
+
+
+def test_one_key_with_all_rows_on_one_day_is_many_groups(spark):
+    from paritylake.operators.windows import _grouped, running_sum
+    base = dt.datetime(2024, 1, 1, 12)
+    # a busy day, and within it one instant that half of all rows share
+    rows = [(i, 1, base if i % 2 else base + dt.timedelta(milliseconds=i)) for i in range(4_000)]
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp").repartition(5)
+    small = {"group_rows": 200}
+    sizes = [r["count"] for r in _grouped(df, ["k"], ["ts", "id"], None, **small).groupBy("_grp").count().collect()]
+    assert sum(sizes) == 4_000 and len(sizes) >= 15 and max(sizes) <= 800
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    want = sorted(tuple(r) for r in df.select("id", F.lag("id").over(w), F.row_number().over(w)).collect())
+    lagged = neighbours(df, "k", ["ts", "id"], prev_cols={"id": "p"}, **small)
+    got = running_sum(lagged, ["k"], [("ts", "asc"), ("id", "asc")], F.lit(1), "n", **small)
+    assert sorted(tuple(r) for r in got.select("id", "p", "n").collect()) == want
+
+
+def test_rank_over_a_wide_range_of_numbers_has_no_one_task_step(spark):
+    rnd = random.Random(2)
+    values = [rnd.randrange(-2**62, 2**62) for _ in range(3_000)] + [None, 0, 0, 2**63 - 1, -2**63]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v long")
+    for way in ("asc", "desc"):
+        o = F.col("v").asc_nulls_first() if way == "asc" else F.col("v").desc_nulls_last()
+        want = sorted(tuple(r) for r in df.select("id", F.rank().over(Window.orderBy(o)).cast("bigint")).collect())
+        got = global_rank(df, [("v", way)])
+        assert sorted(tuple(r) for r in got.select("id", "_grank").collect()) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # windows over a whole table see stretches of stretches only
+    assert plan.count("_up") >= 4
