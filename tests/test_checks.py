@@ -189,3 +189,18 @@ def test_profile_of_extreme_values(spark):
     df = spark.createDataFrame([(1e300, [1.0, None]), (0.1234567, [2.0]), (None, None)], "x double, v array<double>")
     got = {r["col"]: r for r in column_profile(df).collect()}
     assert got["x"]["max_scale"] == 7 and got["v"]["inner_nulls"] == 1
+
+
+def test_a_long_chain_takes_few_rounds_and_cycles_and_orphans_are_named(spark):
+    from paritylake.operators.hierarchy import climbed, unreached, walk
+    chain = spark.range(10_000).selectExpr("id AS k", "CASE WHEN id > 0 THEN id - 1 END AS up", "cast(id AS string) AS name")
+    _, rounds = climbed(chain, "k", "up")
+    assert rounds <= 15
+    got = walk(chain, "k", "up", "name", with_path=False).agg(F.min("root"), F.max("root"), F.max("depth"), F.count("*")).first()
+    assert tuple(got) == (0, 0, 9_999, 10_000)
+    rows = [(1, None, "a"), (2, 1, "b"), (3, 2, "c"), (10, 12, "x"), (11, 10, "y"), (12, 11, "z"), (13, 12, "w"), (20, 99, "o"), (21, 20, "p"), (22, 21, "q"), (30, 30, "s")]
+    df = spark.createDataFrame(rows, "k long, up long, name string")
+    assert {(r["k"], r["reason"]) for r in unreached(df, "k", "up").collect()} == {
+        (10, "cycle"), (11, "cycle"), (12, "cycle"), (13, "cycle"), (20, "orphan"), (21, "below an orphan"), (22, "below an orphan"), (30, "cycle")}
+    assert {(r["k"], r["depth"], r["path"]) for r in walk(df, "k", "up", "name").collect()} == {(1, 0, "a"), (2, 1, "a > b"), (3, 2, "a > b > c")}
+    assert unreached(df.where("k < 4"), "k", "up").collect() == [] == walk(df.limit(0), "k", "up", "name").collect()
