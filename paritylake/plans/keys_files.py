@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 from paritylake.checks import CHECK_COLUMNS
 from paritylake.plans import derived as D
 from paritylake.plans.oracle import ORDERS_COLS, ORDERS_SNAPSHOT, ORDERS_TGT, digest_of
-from paritylake.session import scratch_dir
+from paritylake.session import materialize, scratch_dir
 from paritylake.sources import files as FS
 from paritylake.sources.tables import table
 
@@ -320,7 +320,7 @@ def q_v15(spark, sf):
     return _egress_checks(spark, sf, False, "export").unionByName(_egress_checks(spark, sf, True, "lossy"))
 
 
-SHARDS = 6
+SHARDS = 7
 
 
 @key("file_manifest_check", f"""WITH s AS (SELECT CAST(o_orderkey % {SHARDS} AS VARCHAR) AS shard, count(*) AS n,
@@ -329,26 +329,29 @@ SELECT 'intake:' || shard AS target, CAST(CASE WHEN shard = '5' THEN 0 ELSE n EN
   CAST(CASE shard WHEN '1' THEN half WHEN '3' THEN 0 WHEN '4' THEN 0 ELSE n END AS BIGINT) AS landed_rows,
   CASE WHEN shard IN ('0', '2') OR (shard = '1' AND half = n) THEN 'PASS' ELSE 'QUARANTINE' END AS status,
   CASE shard WHEN '1' THEN CASE WHEN half <> n THEN 'rows' END WHEN '2' THEN NULL WHEN '3' THEN 'absent' WHEN '4' THEN 'absent'
-    WHEN '5' THEN 'not in the manifest' END AS reason
+    WHEN '5' THEN 'not in the manifest' WHEN '6' THEN 'checksum' END AS reason
 FROM s
 UNION ALL
 SELECT 'header:' || v, 2, CASE v WHEN 'golden' THEN 2 ELSE 0 END, CASE v WHEN 'golden' THEN 'PASS' ELSE 'QUARANTINE' END,
   CASE v WHEN 'golden' THEN NULL ELSE 'header' END
 FROM (VALUES ('golden'), ('drifted')) AS t(v) WHERE (SELECT count(*) FROM orders) > 0""")
 def q_x1(spark, sf):
-    """Intake of gzip files against a manifest made from the table, not from the files: shard 1 lost half its rows, 3 was
-    not delivered, 4 is a damaged archive, 5 is not in the manifest; and the headers of delivered files."""
+    """Intake of gzip files against a manifest made from the table, not from the files, and the sender's file digests: shard 1
+    lost half its rows, 3 was not delivered, 4 is a damaged archive, 5 is not in the manifest, 6 was exchanged for other rows
+    that are as many and add up to the same; and the headers of delivered files."""
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(14,2)").alias("amount"))
     shard = (F.col("o_orderkey") % SHARDS).cast("string")
     manifest = o.groupBy(shard.alias("shard")).agg(F.count(F.lit(1)).alias("rows"), F.sum("amount").alias("total")).where("shard <> '5'")
-    path = scratch_dir(spark, "orders_delivery")
-    sent = o.withColumn("shard", shard).where("shard <> '3' and (shard <> '1' or floor(o_orderkey / 6) % 2 = 0)")
-    whole, damaged = sent.where("shard <> '4'"), sent.where("shard = '4'")
-    opts = {"sep": FS.CSV_SEP}
-    FS.by_date(whole, "shard", files=1).write.partitionBy("shard").options(**opts, compression="gzip").csv(path)
+    path, opts = scratch_dir(spark, "orders_delivery"), {"sep": FS.CSV_SEP}
+    sent = o.withColumn("shard", shard)
+    gz = lambda df, to: df.write.mode("overwrite").options(**opts, compression="gzip").csv(to)
+    FS.by_date(sent.where("shard NOT IN ('3', '4')"), "shard").write.partitionBy("shard").options(**opts, compression="gzip").csv(path)
+    digests = materialize(FS.file_digests(spark, path, "shard"))
+    gz(sent.where(f"shard = '1' AND floor(o_orderkey / {SHARDS}) % 2 = 0").drop("shard"), f"{path}/shard=1")
+    gz(sent.where("shard = '6'").select(F.col("o_orderkey") + 1, "amount"), f"{path}/shard=6")
     # plain text under a gzip name: the archive's first bytes are wrong
-    FS.damaged_archives(spark, damaged.select("o_orderkey", "amount"), f"{path}/shard=4", opts)
-    got = FS.intake(spark, path, o.schema, "shard", "amount", manifest).select(
+    FS.damaged_archives(spark, sent.where("shard = '4'").drop("shard"), f"{path}/shard=4", opts)
+    got = FS.intake(spark, path, o.schema, "shard", "amount", manifest, digests).select(
         F.concat(F.lit("intake:"), "shard").alias("target"), F.col("expected_rows").cast("bigint").alias("expected_rows"),
         F.col("landed_rows").cast("bigint").alias("landed_rows"), "status", "reason")
     names = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
@@ -371,7 +374,7 @@ def q_v18a(spark, sf):
     """Partitions a full and a pruned scan read, and whether the pruned one reads fewer bytes."""
     o = table(spark, sf, "orders")
     path = scratch_dir(spark, "orders_month_bytes")
-    FS.by_date(o.withColumn("order_month", F.date_format("o_orderdate", "yyyy-MM")), "order_month", files=1).write.mode("overwrite") \
+    FS.by_date(o.withColumn("order_month", F.date_format("o_orderdate", "yyyy-MM")), "order_month").write.mode("overwrite") \
         .partitionBy("order_month").parquet(path)
     part = spark.read.parquet(path)
     pruned = part.where(F.col("order_month") == "1998-06")

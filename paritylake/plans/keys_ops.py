@@ -17,6 +17,7 @@ from paritylake.plans import marts as Q
 from paritylake.plans.oracle import (ORDERS_DELTA, ORDERS_EPOCH, ORDERS_TGT, ORDERS_NAMES,
                                      EVENTS_SCD2, EVENTS_SCD2_BROKEN)
 from paritylake.session import scratch_dir
+from paritylake.sources.files import by_date
 from paritylake.sources.tables import table
 
 Q_ = {}
@@ -115,7 +116,7 @@ def q_p7(spark, sf):
     column (a PartitionFilters scan), compared with the unpartitioned filter."""
     o = table(spark, sf, "orders")
     path = scratch_dir(spark, "orders_by_month")
-    (o.withColumn("order_month", F.date_format("o_orderdate", "yyyy-MM"))
+    (by_date(o.withColumn("order_month", F.date_format("o_orderdate", "yyyy-MM")), "order_month")
      .write.mode("overwrite").partitionBy("order_month").parquet(path))
     part = spark.read.parquet(path)
     pruned = part.where(F.col("order_month") == "1998-06").agg(

@@ -60,11 +60,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder from the session. Only a session in one process (``local[...]``) may do without: it gets
     a private one; on a cluster an unset folder is an error, as executors cannot see each other's disks."""
     sc = spark.sparkContext
-    d = sc.getConf().get(_CKPT_CONF, None) or spark.conf.get(_CKPT_CONF, None) or _OWN.get(sc.applicationId)
+    d = sc.getConf().get(_CKPT_CONF, None) or spark.conf.get(_CKPT_CONF, None)
     if not d:
         if not _in_one_process(sc.master):
             raise RuntimeError(f"set {_CKPT_CONF} to a folder that the driver and all executors share")
-        d = _OWN[sc.applicationId] = tempfile.mkdtemp(prefix="paritylake-ckpt-")  # a running session's setting cannot be changed
+        # a running session's setting cannot be changed: the folder is kept here
+        d = _OWN.setdefault(sc.applicationId, "") or tempfile.mkdtemp(prefix="paritylake-ckpt-")
+        _OWN[sc.applicationId] = d
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d

@@ -10,6 +10,10 @@ collected except per-file or per-format summaries.
 
 from __future__ import annotations
 
+import hashlib
+import zlib
+
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
@@ -20,11 +24,14 @@ from paritylake.session import scratch_dir
 # fixed values: supported load formats and the CSV layout of staged files
 FORMATS = ("json", "csv", "parquet", "orc", "avro")
 CSV_SEP = "|"
+#: Largest file whose content is read for its digests (a file is one value in a task); larger ones are quarantined as such.
+MAX_FILE_BYTES = 512 * 2**20
 
 
-def by_date(df: DataFrame, *parts: str, files: int = 4) -> DataFrame:
-    """Rows brought together by partition value before a partitioned write, each value in up to ``files`` tasks."""
-    return df.repartition(*[F.col(p) for p in parts], F.pmod(F.xxhash64(*df.columns), F.lit(files)))
+def by_date(df: DataFrame, *parts: str) -> DataFrame:
+    """Rows brought together by partition value before a partitioned write: Spark splits a value's rows over tasks by their size
+    and puts small values together, so a task writes few folders and a large folder is written by many."""
+    return df.hint("rebalance", *parts)
 
 
 def write_format(df: DataFrame, fmt: str, path: str, **opts) -> None:
@@ -157,25 +164,73 @@ def scan_bytes(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("files"))
 
 
-def intake(spark: SparkSession, path: str, schema: T.StructType, part: str, control: str, manifest: DataFrame) -> DataFrame:
-    """CSV files of ``part=value`` folders (plain or gzip) against a manifest (part, rows, total) that came with them.
-
-    Every folder gets one row: PASS, or QUARANTINE with the reason (absent, not in the manifest, rows, total). A damaged
-    archive gives up the lines before its fault, so its counts show it.
+def _unpacked_sha256(packed: bytes, piece: int = 2**20) -> str | None:
+    """SHA-256 of what a gzip file unpacks to, in pieces; None for what is no whole archive."""
+    sha, unpack = hashlib.sha256(), zlib.decompressobj(zlib.MAX_WBITS | 16)
+    try:
+        for at in range(0, len(packed), piece):
+            rest = packed[at:at + piece]
+            while rest:
+                if unpack.eof:  # members may follow each other
+                    unpack = zlib.decompressobj(zlib.MAX_WBITS | 16)
+                sha.update(unpack.decompress(rest, 16 * piece))
+                rest = unpack.unused_data if unpack.eof else unpack.unconsumed_tail
+    except zlib.error:
+        return None
+    return sha.hexdigest() if unpack.eof else None
+
+
+def file_digests(spark: SparkSession, path: str, part: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """``part, bytes, sha256, plain_sha256`` of every file of the ``part=value`` folders: of the file as it lies there, and of what a gzip
+    file holds. Files above ``max_bytes`` have neither: their content is not read."""
+    files = spark.read.format("binaryFile").load(path).where(F.col("path").rlike(r"/[^_./][^/]*$"))
+    small, large = files.where(F.col("length") <= max_bytes), files.where(F.col("length") > max_bytes)
+    def unpack_all(content: pd.Series) -> pd.Series:
+        return content.map(_unpacked_sha256, na_action="ignore")
+
+    unpacked = F.pandas_udf(unpack_all, T.StringType())
+    plain = F.when(F.col("path").endswith(".gz"), unpacked(F.when(F.col("path").endswith(".gz"), F.col("content"))))
+    none = F.lit(None).cast("string")
+    of = lambda df, sha, inner: df.select(F.col(part).cast("string").alias(part), F.col("length").alias("bytes"), sha.alias("sha256"), inner.alias("plain_sha256"))
+    return of(small, F.sha2("content", 256), plain).unionByName(of(large, none, none))
+
+
+def intake(spark: SparkSession, path: str, schema: T.StructType, part: str, control: str, manifest: DataFrame,
+           digests: DataFrame | None = None, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """CSV files of ``part=value`` folders (plain or gzip) against a manifest (part, rows, total) that came with them, and against the
+    sender's file digests (part, sha256, plain_sha256).
+
+    Every folder gets one row: PASS, or QUARANTINE with the reason (absent, not in the manifest, rows, total, too large, checksum).
+    A damaged archive gives up the lines before its fault, so its counts show it. A file fits if its own digest or that of its
+    plain text is among the sender's, and every one of the sender's is met. Totals are compared at the manifest's scale, and in
+    full where the delivered values have more places.
     """
     read = (spark.read.schema(schema.add(part, T.StringType())).option("sep", CSV_SEP).option("ignoreCorruptFiles", "true").csv(path))
-    landed = read.groupBy(part).agg(F.count(F.lit(1)).alias("got_rows"), F.sum(F.col(control).cast("decimal(38,4)")).alias("got_total"))
-    want = manifest.select(F.col(part).cast("string").alias(part), "rows", F.col("total").cast("decimal(38,4)").alias("total"))
+    landed = read.groupBy(part).agg(F.count(F.lit(1)).alias("got_rows"), F.sum(F.col(control).cast("decimal(38,18)")).alias("got_total"))
+    want = manifest.select(F.col(part).cast("string").alias(part), "rows", F.col("total").cast("decimal(38,18)").alias("total"))
     j = want.join(landed, part, "full")
     reason = (F.when(F.col("rows").isNull(), "not in the manifest").when(F.col("got_rows").isNull(), "absent")
               .when(F.col("got_rows") != F.col("rows"), "rows").when(~F.col("got_total").eqNullSafe(F.col("total")), "total"))
+    if digests is not None:
+        got = file_digests(spark, path, part, max_bytes)
+        sent = digests.select(F.col(part).cast("string").alias(part), F.explode(F.array_compact(F.array("sha256", "plain_sha256"))).alias("sha")).distinct()
+        # a few rows per file: which of its digests the sender knows
+        own = got.withColumn("file", F.monotonically_increasing_id()).select(part, "file", "bytes", F.explode_outer(F.array_compact(F.array("sha256", "plain_sha256"))).alias("sha"))
+        known = own.join(sent.withColumn("_sent", F.lit(1)), [part, "sha"], "left").groupBy(part, "file").agg(
+            F.max("bytes").alias("bytes"), F.max("_sent").alias("_sent"))
+        per_part = known.groupBy(part).agg(F.count_if(F.col("bytes") > max_bytes).alias("_large"),
+                                           F.count_if(F.col("_sent").isNull() & (F.col("bytes") <= max_bytes)).alias("_strange"), F.count(F.lit(1)).alias("_files"))
+        expected = digests.groupBy(F.col(part).cast("string").alias(part)).agg(F.count(F.lit(1)).alias("_expected"))
+        j = j.join(per_part, part, "left").join(expected, part, "left")
+        reason = F.coalesce(reason, F.when(F.col("_large") > 0, "too large").when(
+            (F.col("_strange") > 0) | ~F.col("_files").eqNullSafe(F.col("_expected")), "checksum"))
     return j.select(part, F.coalesce("rows", F.lit(0)).alias("expected_rows"), F.coalesce("got_rows", F.lit(0)).alias("landed_rows"),
                     F.when(reason.isNull(), "PASS").otherwise("QUARANTINE").alias("status"), reason.alias("reason"))
 
 
 def damaged_archives(spark: SparkSession, df: DataFrame, path: str, opts: dict) -> None:
     """Files with a gzip name that no gzip reader can open (a test delivery): plain text, renamed."""
-    df.coalesce(1).write.options(**opts).csv(path)
+    df.write.options(**opts).csv(path)
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(conf)

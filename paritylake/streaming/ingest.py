@@ -32,11 +32,10 @@ __all__ = ["incremental_ingest", "sink_rows", "land_files", "stream_ingest", "st
 
 
 # ---------------------------------------------------------------- stream helpers
-def land_files(df: DataFrame, path: str, part_col: str, files_per_value: int = 4) -> None:
-    """Land a table as files, one folder per ``part_col`` value: rows are brought together by value first, each value
-    in up to ``files_per_value`` tasks, so neither a folder is one task nor every task writes every folder."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
-    df.repartition(F.col(part_col), salt).write.mode("overwrite").partitionBy(part_col).parquet(path)
+def land_files(df: DataFrame, path: str, part_col: str) -> None:
+    """Land a table as files, one folder per ``part_col`` value: rows are brought together by value first, and a large value is
+    split by its size, so neither a folder is one task nor every task writes every folder."""
+    df.hint("rebalance", part_col).write.mode("overwrite").partitionBy(part_col).parquet(path)
 
 
 def _file_stream(spark: SparkSession, landing: str, schema: T.StructType, files_per_batch: int | None, bytes_per_batch: int) -> DataFrame:

@@ -1,6 +1,9 @@
 """File sources and sinks: format loads, leading-row skipping, layouts,
 export/read-back and scanned bytes."""
 
+import hashlib
+import os
+
 from decimal import Decimal
 
 import pytest
@@ -113,3 +116,36 @@ def test_csv_values_survive_quotes_and_separators(spark, tmp_path):
     FS.write_with_banner(df, path, 2, ["# one", "# two"])
     back = {r["k"]: r["v"] for r in FS.skip_leading_rows(spark, path, 3, schema=df.schema).collect()}
     assert back[0] == "a|b" and back[1] == 'say "hi"' and back[4] == "x\\y" and back[5] == "plain" and len(back) == 6
+
+
+def test_checksums_of_delivered_files(spark):
+    import gzip
+    from paritylake.session import scratch_dir
+    from paritylake.sources import files as FS
+    df = spark.createDataFrame([(i, f"{i}.50", str(i % 3)) for i in range(60)], "k int, amount string, part string").selectExpr("k", "cast(amount as decimal(12,2)) amount", "part")
+    path = scratch_dir(spark, "delivery").removeprefix("file://")
+    FS.by_date(df, "part").write.partitionBy("part").option("sep", FS.CSV_SEP).option("compression", "gzip").csv(path)
+    manifest = df.groupBy("part").agg(F.count("*").alias("rows"), F.sum("amount").alias("total"))
+    digests = spark.createDataFrame([tuple(r) for r in FS.file_digests(spark, path, "part").collect()], "part string, bytes long, sha256 string, plain_sha256 string")
+    schema = df.drop("part").schema
+    check = lambda **kw: {r["part"]: r["reason"] for r in FS.intake(spark, path, schema, "part", "amount", manifest, digests, **kw).collect()}
+    assert check() == {"0": None, "1": None, "2": None}
+    assert set(check(max_bytes=10).values()) == {"too large"}
+
+    def rewrite(part, change, level):
+        for f in os.listdir(f"{path}/part={part}"):
+            if f.startswith("part-"):
+                with gzip.open(f"{path}/part={part}/{f}") as g:
+                    text = g.read()
+                with gzip.open(f"{path}/part={part}/{f}", "wb", level) as g:
+                    g.write(change(text))
+                crc = f"{path}/part={part}/.{f}.crc"
+                if os.path.exists(crc):
+                    os.remove(crc)
+
+    rewrite(1, lambda t: t.replace(b"1|1.50", b"2|1.50", 1), 9)  # one byte, equal rows and totals
+    rewrite(2, lambda t: t, 1)                                   # packed anew: the plain text is the same
+    assert check() == {"0": None, "1": "checksum", "2": None}
+    assert FS._unpacked_sha256(b"no archive") is None
+    assert FS._unpacked_sha256(gzip.compress(b"a" * 5_000_000) + gzip.compress(b"b"), 1000) == hashlib.sha256(b"a" * 5_000_000 + b"b").hexdigest()
+    assert FS._unpacked_sha256(gzip.compress(b"abc")[:-3]) is None
