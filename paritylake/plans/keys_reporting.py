@@ -16,8 +16,9 @@ from paritylake.operators.schema import ColumnSpec, fk_type_agreement, logical_t
 from paritylake.plans import derived as D
 from paritylake.plans.keys_parity import TABLE_COLS
 from paritylake.plans.oracle import ORDERS_COLS, ORDERS_EPOCH, ORDERS_TGT, digest_of
-from paritylake.session import scratch_dir
+from paritylake.session import materialize, scratch_dir
 from paritylake.sources.tables import table
+from paritylake.streaming.compaction import Manifest
 
 Q_: dict = {}
 O_: dict = {}
@@ -254,6 +255,46 @@ Q_["query_performance"] = q_v18
 O_["query_performance"] = _v18_sql()
 
 
+def q_v18_baseline(spark, sf):
+    """Gates against a stored baseline, read from the run log of the first days: the first call establishes it (measurements), the
+    second holds the whole log against it, the third comes after a commit of the whole log, and the last after that version's
+    rows were changed behind the manifest's back."""
+    from paritylake.operators import baseline as B
+    log, path = _run_log(table(spark, sf, "events")), scratch_dir(spark, "perf-baseline")
+    first = run_stats_fold(log.where(F.col("ts") < F.lit(BASELINE_CUTOFF).cast("timestamp_ntz")).where("query_id <> 'error'").drop("ts"))
+    stats = materialize(run_stats_fold(log.drop("ts")))
+    steps = [("first", B.gate(spark, path, first)), ("second", B.gate(spark, path, stats))]
+    version = B.commit(spark, path, stats, 1)
+    steps.append(("replaced", B.gate(spark, path, stats)))
+    _, content = Manifest(spark, path).read()
+    stats.withColumn("p95", F.col("p95") * 2).write.mode("overwrite").parquet(f"{path}/{content['name']}")
+    steps.append(("tampered", B.gate(spark, path, stats)))
+    out = None
+    for name, rows in steps:
+        r = rows.select(F.lit(name).alias("step"), "target", "status", "measurement")
+        out = r if out is None else out.unionByName(r)
+    return out.withColumn("last_version", F.lit(version))
+
+
+def _v18_baseline_sql():
+    from paritylake.plans.keys_ops import _nearest_rank_sql
+    return f"""WITH log AS (SELECT event_type AS query_id, 'value' AS metric, value, ts FROM events),
+stats AS {_nearest_rank_sql('log', 'query_id, metric', 'value', [(0.95, 'p95')])},
+blog AS (SELECT * FROM log WHERE ts < TIMESTAMP '{BASELINE_CUTOFF}' AND query_id <> 'error'),
+base AS {_nearest_rank_sql('blog', 'query_id, metric', 'value', [(0.95, 'p95')])},
+rows AS (
+  SELECT 'first' AS step, query_id, metric, 'PASS' AS status, true AS measurement FROM base
+  UNION ALL SELECT 'second', s.query_id, s.metric, CASE WHEN b.p95 IS NULL OR s.p95 <= b.p95 THEN 'PASS' ELSE 'FAIL' END, b.p95 IS NULL
+  FROM stats s LEFT JOIN base b ON b.query_id = s.query_id AND b.metric = s.metric
+  UNION ALL SELECT 'replaced', query_id, metric, 'PASS', false FROM stats
+  UNION ALL SELECT 'tampered', query_id, metric, 'FAIL', false FROM stats)
+SELECT step, 'regression:' || query_id || ':' || metric AS target, status, measurement, 2 AS last_version FROM rows"""
+
+
+Q_["performance_baseline"] = q_v18_baseline
+O_["performance_baseline"] = _v18_baseline_sql()
+
+
 # ------------------------------------------------------------------ V19
 def _elt(spark, sf, bad: bool):
     """load (staged CSV with declared schema) → transform (drop NULL epochs,
