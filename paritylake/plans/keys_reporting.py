@@ -263,9 +263,10 @@ def q_v18_baseline(spark, sf):
     log, path = _run_log(table(spark, sf, "events")), scratch_dir(spark, "perf-baseline")
     first = run_stats_fold(log.where(F.col("ts") < F.lit(BASELINE_CUTOFF).cast("timestamp_ntz")).where("query_id <> 'error'").drop("ts"))
     stats = materialize(run_stats_fold(log.drop("ts")))
-    steps = [("first", B.gate(spark, path, first)), ("second", B.gate(spark, path, stats))]
+    # each step's rows are kept before the next one touches the stored files
+    steps = [("first", materialize(B.gate(spark, path, first))), ("second", materialize(B.gate(spark, path, stats)))]
     version = B.commit(spark, path, stats, 1)
-    steps.append(("replaced", B.gate(spark, path, stats)))
+    steps.append(("replaced", materialize(B.gate(spark, path, stats))))
     _, content = Manifest(spark, path).read()
     stats.withColumn("p95", F.col("p95") * 2).write.mode("overwrite").parquet(f"{path}/{content['name']}")
     steps.append(("tampered", B.gate(spark, path, stats)))
