@@ -5,10 +5,10 @@ bits a level, and the depth follows from the counted rows, so a leaf holds about
 Below the leaves lies the key level: one digest (rows, two lane sums) per key. Every node's digest is the sum of its
 children's, whatever the order.
 
-A side is hashed once. The key level is written clustered by leaf, the levels above it as a table of nodes. Two stored
-trees are compared from the root down, reading only children of nodes that differ; of the key level only differing leaves
-are read. A later run against a stored tree therefore never scans the side that did not change. Two sides without a
-stored tree have nothing to descend: their key levels are written by one job, and one aggregate compares all leaves.
+A stored side is hashed once. The key level is written clustered by leaf, the levels above it as a table of nodes. Two
+stored trees are compared from the root down, reading only children of nodes that differ; of the key level only differing
+leaves are read. A later run against a stored tree therefore never scans the side that did not change. Two sides without a
+stored tree have nothing to descend: one aggregate compares all leaves, and rows of differing leaves are hashed again by key.
 """
 
 from __future__ import annotations
@@ -55,18 +55,21 @@ def _up(levels: int) -> Column:
     return F.shiftright("node", FAN_BITS * levels) if levels else F.col("node")
 
 
-def key_digests(df: DataFrame, shape: Shape, as_text: bool = False) -> DataFrame:
-    """``node, _key, n, s1, s2`` per key of one side (hashed, not yet written)."""
+def row_digests(df: DataFrame, shape: Shape, as_text: bool = False, leaves: DataFrame | None = None) -> DataFrame:
+    """``node, _key, h1, h2`` of the rows of one side; with a table of ``leaves``, of those in them alone: of other rows no more than
+    the key is hashed."""
     names = list(dict.fromkeys([*shape.cols, shape.key]))
     text = canon_col(df, shape.key, coerce_numeric=shape.coerce_numeric)
     place = F.conv(F.substring(F.md5(text), 1, LANE_HEX_DIGITS), 16, 10).cast("bigint")
     rows = df.select(*names, (text if as_text else F.col(shape.key)).alias("_key"),
                      F.coalesce(F.shiftright(place, HASH_BITS - FAN_BITS * shape.depth), F.lit(NULL_NODE).cast("bigint")).alias("node"))
+    if leaves is not None:
+        rows = rows.join(leaves, "node", "left_semi")
     return with_row_hash(rows, list(shape.cols), keep=["node", "_key"], coerce_numeric=shape.coerce_numeric)
 
 
-def _per_key(hashed: DataFrame, *groups: str) -> DataFrame:
-    return hashed.groupBy(*groups, "node", "_key").agg(
+def _folded(hashed: DataFrame, *groups: str) -> DataFrame:
+    return hashed.groupBy(*groups).agg(
         F.count(F.lit(1)).cast("bigint").alias("n"), *[F.sum(F.col(h).cast("decimal(38,0)")).alias(s) for h, s in (("h1", "s1"), ("h2", "s2"))])
 
 
@@ -109,7 +112,7 @@ def store_tree(df: DataFrame, cols: list[str], key: str, path: str, coerce_numer
     """
     spark, rows = df.sparkSession, df.count()
     shape = shape or Shape(key, tuple(cols), coerce_numeric, depth_for(rows, leaf_rows))
-    per_key = _per_key(key_digests(df, shape))
+    per_key = _folded(row_digests(df, shape), "node", "_key")
     files = max(1, -(-rows // FILE_ROWS))
     clustered = per_key.repartitionByRange(files, "node") if files > 1 else per_key.coalesce(1)
     clustered.sortWithinPartitions("node").write.parquet(f"{path}/keys")
@@ -195,16 +198,17 @@ def localize_against(stored: DigestTree, tgt: DataFrame, path: str | None = None
 def localize(src: DataFrame, tgt: DataFrame, cols: list[str], key: str, leaf_rows: int = LEAF_ROWS, coerce_numeric: bool = False) -> DataFrame:
     """Keys whose row multiset differs, of two sides without stored trees: ``key, kind, src_n, tgt_n``.
 
-    Both sides are hashed once, by one job. Keys of different types are compared (and returned) as their canonical text.
+    One aggregate compares all leaves; rows of differing leaves alone are hashed again, by key. Keys of different types are
+    compared (and returned) as their canonical text.
     """
-    spark = src.sparkSession
     as_text = src.schema[key].dataType != tgt.schema[key].dataType
     tagged = src.select(F.lit(1).alias("side")).unionByName(tgt.select(F.lit(2).alias("side")))
     rows = tagged.groupBy("side").count().agg(F.max("count")).first()[0] or 0
     shape = Shape(key, tuple(cols), coerce_numeric, depth_for(rows, leaf_rows))
-    hashed = [key_digests(df, shape, as_text).withColumn("side", F.lit(s)) for s, df in ((1, src), (2, tgt))]
-    path = scratch_dir(spark, "key-digests")
-    _per_key(hashed[0].unionByName(hashed[1]), "side").write.parquet(path)
-    keys = spark.read.parquet(path)
-    bad = _by_side(keys, "node").where(_differs()).select("node")
-    return changes(keys.join(bad, "node", "left_semi"), key)
+
+    def both(leaves: DataFrame | None = None) -> DataFrame:
+        sides = [row_digests(df, shape, as_text, leaves).withColumn("side", F.lit(s)) for s, df in ((1, src), (2, tgt))]
+        return sides[0].unionByName(sides[1])
+
+    differing = _by_side(_folded(both(), "side", "node"), "node").where(_differs()).select("node")
+    return changes(_folded(both(differing), "side", "_key"), key)

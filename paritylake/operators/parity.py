@@ -188,8 +188,8 @@ def bucket_compare(src: DataFrame, tgt: DataFrame, cols: list[str], key: str,
 def localize(src: DataFrame, tgt: DataFrame, cols: list[str], key: str, leaf_rows: int = LEAF_ROWS, coerce_numeric: bool = False) -> DataFrame:
     """V4: keys whose row multiset differs → (key, kind, src_n, tgt_n), by digest trees (``digesttree``).
 
-    Each side is hashed once; only key digests below differing leaves are compared. Duplicated rows are seen; NULL keys
-    form their own group. kind ∈ missing / extra / changed / duplicated / under_count.
+    The number of leaves follows the rows; only rows of differing leaves are hashed by key. Duplicated rows are seen; NULL
+    keys form their own group. kind ∈ missing / extra / changed / duplicated / under_count.
     """
     return digesttree.localize(src, tgt, cols, key, leaf_rows, coerce_numeric)
 
