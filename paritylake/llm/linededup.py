@@ -13,17 +13,19 @@ The join. A line is cut into tau + 1 segments of nearly equal length. If two
 lines are within tau edits, one of the shorter line's segments occurs unchanged
 in the longer one, near its place: every line probes, for each possible length of
 a shorter partner and each segment, only the starts that the remaining edits
-allow. Keys (length, segment number, segment text) met by two different lines give
-the candidate pairs. Each is verified by a banded bit-parallel edit distance: tau + 1
+allow. Lines under a key (length, segment number, segment text) that two lines meet lie
+in tiles of bounded size, earliest first; a line is held against whole tiles, so no
+pairs are built. A partner is verified by a banded bit-parallel edit distance: tau + 1
 words of 2 tau + 1 bits hold which diagonals are reachable with 0, 1, ... edits.
 
-Keys are combined before their shuffle, so a line repeated in a third of all
-documents costs one row a task. Texts of lines are fetched only for candidates;
+Keys are those of different lines, each once, so a line repeated in a third of all
+documents has one row a key. Texts of lines are fetched only for candidates;
 documents are shuffled once, to take the lines out.
 
 Defined cases: null texts count as empty; an empty or short line is never
 dropped (with ``short``: one without letter or digit); null ids come first in the order; rows equal in id and text share one
-answer; an empty table gives an empty result. Other columns pass through.
+answer; a very long line is a line like any other (its tiles hold fewer lines); an empty table gives an empty result. Other
+columns pass through.
 """
 
 from __future__ import annotations
@@ -39,9 +41,19 @@ _BROADCAST_KEYS = 2_000_000
 #: Edits within which two lines are near copies, by the least length of the shorter one.
 EDITS = ((8, 1), (20, 2), (100, 3), (200, 4))
 
+#: About so many lines, or characters, lie in a tile of lines under one key.
+_TILE_LINES, _TILE_CHARS = 1024, 1 << 20
+#: From so many occurrences on, a line's rows are looked up apart from the others'.
+_OFTEN = 4096
+
 Steps = tuple[tuple[int, int], ...]
 
 
+def _here() -> Column:
+    """A line's place; the least one is its first occurrence."""
+    return F.struct("doc_id", "text_hash", "line_no")
+
+
 def as_steps(tau: int | Steps, min_chars: int) -> Steps:
     return ((min_chars, tau),) if isinstance(tau, int) else tau
 
@@ -56,12 +68,13 @@ def edits_of(n: Column, steps: Steps) -> Column:
 
 
 def occurrences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, short: bool = False) -> DataFrame:
-    """``(doc_id, text_hash, line_no, line, h)`` of every line that takes part."""
+    """``(doc_id, text_hash, line_no, line, h, g)`` of every line that takes part."""
     # hash and split first: beside the generator they would be done for every line of a text
     split = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                       F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("lines"))
     return (split.select("doc_id", "text_hash", F.posexplode("lines").alias("line_no", "line"))
-            .where((F.length("line") >= min_chars) | (F.lit(short) & F.col("line").rlike(r"[\p{L}\p{N}]"))).withColumn("h", F.xxhash64("line")))
+            .where((F.length("line") >= min_chars) | (F.lit(short) & F.col("line").rlike(r"[\p{L}\p{N}]")))
+            .withColumn("h", F.xxhash64("line")).withColumn("g", F.xxhash64(F.lit(1), "line")))
 
 
 def _small(keys: DataFrame) -> DataFrame:
@@ -99,21 +112,26 @@ def with_keys(lines: DataFrame, steps: Steps) -> DataFrame:
     sizes = F.array(*(F.call_function("div", k, m).cast("int") for k, m in pieces))
     plain = F.array(*(m - F.pmod(k, m) for k, m in pieces))
     lines = lines.withColumn("own", edits_of(n, steps) + 1).withColumn("_n", n).withColumn("_sizes", sizes).withColumn("_plain", plain).withColumn("_table", table)
+    lines = lines.withColumn("_bytes", F.when(F.octet_length("line") == F.col("_n"), F.col("line").cast("binary")))
 
     def key(p: Column) -> Column:
         size, even, i = F.get("_sizes", p["shorter"]), F.get("_plain", p["shorter"]), p["i"]
         start = size * i + F.greatest(F.lit(0), i - even) + p["shift"]
         wide = size + (i >= even).cast("int")
         inside = (start >= 0) & (start + wide <= F.col("_n")) & (F.col("_n") >= p["shorter"])
-        return F.when(inside, F.xxhash64(F.col("_n") - p["shorter"], i, F.substring(F.col("line"), start + 1, wide)))
+        # in texts of single bytes a place is found without walking there
+        piece = F.when(F.col("_bytes").isNotNull(), F.substring("_bytes", start + 1, wide)).otherwise(
+            F.substring(F.col("line"), start + 1, wide).cast("binary"))
+        # 48 bits: a chance meeting adds a candidate, no more, and the key takes less room
+        return F.when(inside, F.call_function("shiftrightunsigned", F.xxhash64(F.col("_n") - p["shorter"], i, piece), F.lit(16)))
 
-    return lines.withColumn("keys", F.transform("_table", key)).drop("_n", "_sizes", "_plain", "_table")
+    return lines.withColumn("keys", F.transform("_table", key)).drop("_n", "_sizes", "_plain", "_table", "_bytes")
 
 
 def segment_rows(keyed: DataFrame) -> DataFrame:
-    """``(h, key, is_index)`` of every line's keys."""
-    rows = keyed.select("h", "own", F.posexplode("keys").alias("at", "key")).where("key is not null")
-    return rows.select("h", "key", (F.col("at") < F.col("own")).alias("is_index"))
+    """``(h, g, key, is_index)`` of every line's keys."""
+    rows = keyed.select("h", "g", "own", F.posexplode("keys").alias("at", "key")).where("key is not null")
+    return rows.select("h", "g", "key", (F.col("at") < F.col("own")).alias("is_index"))
 
 
 def within(a: Column, b: Column, tau: int) -> Column:
@@ -165,56 +183,103 @@ def letter_parity(line: Column) -> Column:
     return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), lambda acc, c: acc.bitwiseXOR(bit(c)))
 
 
+def distinct_keys(lines: DataFrame, repeats: DataFrame, steps: Steps) -> DataFrame:
+    """``(h, g, own, keys)``, one row for each different line, written once: of the lines that repeat, the first occurrence."""
+    once = lines.join(_small(repeats.select("h", "g", "first")), ["h", "g"], "left").where(F.col("first").isNull() | (F.col("first") == _here()))
+    return written(with_keys(once.select("h", "g", "line"), steps).drop("line"), "line-keys")
+
+
 def candidates(lines: DataFrame, keyed: DataFrame, steps: Steps) -> tuple[DataFrame, DataFrame]:
-    """Rows ``(key, h, is_index)`` of the segment keys that two different lines meet, and their lines ``(h, line, first, parity, edits)``."""
+    """Rows ``(key, h, g, is_index)`` of the segment keys that two lines meet, and their lines
+    ``(h, g, line, first, n, parity, edits, own, keys)``."""
     rows = segment_rows(keyed)
-    met = cut(rows.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("key"))
+    met = cut(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
     again = cut(rows.join(_small(met), "key", "left_semi").distinct())
-    asked = cut(again.select("h").distinct())
-    known = (lines.join(_small(asked), "h", "left_semi").groupBy("h")
-             .agg(F.min("line").alias("line"), F.min(F.struct("doc_id", "text_hash", "line_no")).alias("first")))
-    return again, cut(known.withColumn("parity", letter_parity(F.col("line"))).withColumn("edits", edits_of(F.length("line"), steps)))
+    asked = cut(again.select("h", "g").distinct())
+    known = (lines.join(_small(asked), ["h", "g"], "left_semi").groupBy("h", "g")
+             .agg(F.min("line").alias("line"), F.min(_here()).alias("first")))
+    known = (known.withColumn("n", F.length("line")).withColumn("parity", letter_parity(F.col("line")))
+             .withColumn("edits", edits_of(F.col("n"), steps)))
+    return again, cut(with_keys(known, steps))
 
 
-def keyed_occurrences(lines: DataFrame, steps: Steps) -> DataFrame:
-    """The lines without their text: place, two hashes and segment keys, written once for all later steps."""
-    return written(with_keys(lines.withColumn("g", F.xxhash64(F.lit(1), "line")), steps).drop("line"), "line-occurrences")
+def _met(seek: DataFrame, held: DataFrame, known: DataFrame, steps: Steps, longer: bool, links: bool) -> DataFrame:
+    """``(h, g, is_near, links)`` of the lines in ``seek`` with a partner among the lines ``held`` under the same key; the
+    partners are the longer lines or those that are not. Without ``links`` only the lines that have an earlier partner.
 
-
-def line_links(lines: DataFrame, keyed: DataFrame, steps: Steps) -> DataFrame:
-    """``(a, b, first_a, first_b)``: every pair of different lines within the steps' edits, by line hash, with the first
-    occurrence of each; from ``occurrences`` and their ``keyed_occurrences``."""
+    Lines held under a key lie in tiles of bounded size, earliest first, so a row leaves the join for a line and a tile, not
+    for a pair. A pair that meets under several keys is counted under the first of them.
+    """
+    size = F.ceil(F.greatest(F.count("*") / _TILE_LINES, F.sum("n") / _TILE_CHARS)).cast("int")
+    facts = known.select("h", "g", "first", "n", "parity", "edits")
+    sized = _small(cut(held.join(facts, ["h", "g"]).groupBy("key").agg(size.alias("tiles")).where("tiles > 1")))
+    tiles = F.coalesce("tiles", F.lit(1))
+    held = held.join(sized, "key", "left").select("key", "h", "g", F.pmod(F.xxhash64("h", "g"), tiles).cast("int").alias("tile"))
+    seek = seek.join(sized, "key", "left").select("key", "h", "g", F.explode(F.sequence(F.lit(0), tiles - 1)).alias("tile"))
+
+    def tiled(rows: DataFrame, *fields: str) -> DataFrame:
+        return rows.groupBy("key", "tile").agg(F.sort_array(F.collect_list(F.struct("first", *fields))).alias("held"))
+
+    def alike(p: Column) -> Column:
+        mine = {c: F.col(c) for c in ("n", "edits")}
+        short, long = (mine, p) if longer else (p, mine)
+        # partners within the shorter line's edits differ in twice as many parities at most: most lines that merely share a segment end here
+        close = ((p["h"] != F.col("h")) | (p["g"] != F.col("g"))) & (long["n"] - short["n"] <= short["edits"]) & (
+            F.bit_count(p["parity"].bitwiseXOR(F.col("parity"))) <= 2 * short["edits"])
+        close &= (short["n"] < long["n"]) if longer else (short["n"] <= long["n"])
+        return close if links else (p["first"] < F.col("first")) & close
+
+    first_pass = seek.join(facts, ["h", "g"]).join(tiled(held.join(facts, ["h", "g"]), "h", "g", "n", "parity", "edits"), ["key", "tile"])
+    hits = cut(first_pass.where(F.exists("held", alike)).select("key", "tile", "h", "g"))
+    held = held.join(hits.select("key", "tile").distinct(), ["key", "tile"], "left_semi")
+    ours = F.slice("keys", 1, F.col("own")) if longer else F.col("keys")
+    before = F.array_compact(F.slice(ours, 1, (F.array_position(ours, F.col("key")) - 1).cast("int")))
+    theirs = F.array_compact("keys") if longer else F.array_compact(F.slice("keys", 1, F.col("own")))
+    seekers, others = known, known.withColumn("theirs", theirs)
+    seekers = hits.join(seekers, ["h", "g"]).select("key", "tile", "h", "g", "first", "n", "parity", "edits", "line", before.alias("before"))
+    fields = ["h", "g", "n", "parity", "edits", "line"] + ["theirs"] * links
+    both = seekers.join(tiled(held.join(others, ["h", "g"]), *fields), ["key", "tile"])
+
+    def near(p: Column) -> Column:
+        a, b, edits = (F.col("line"), p["line"], F.col("edits")) if longer else (p["line"], F.col("line"), p["edits"])
+        new = [~F.arrays_overlap(p["theirs"], F.col("before"))] if links else []
+        return reduce(lambda x, y: x & y, [alike(p), *new, within_steps(a, b, edits, steps)])
+
+    if not links:
+        return both.where(F.exists("held", near)).select("h", "g", F.lit(True).alias("is_near"), F.lit(0).alias("links"))
+    found = both.select("h", "g", "first", F.filter("held", near).alias("found")).where(F.size("found") > 0)
+    return found.select("h", "g", F.exists("found", lambda p: p["first"] < F.col("first")).alias("is_near"), F.size("found").alias("links"))
+
+
+def near_lines(lines: DataFrame, keyed: DataFrame, steps: Steps, links: bool = True) -> DataFrame:
+    """``(h, g, is_near, links)``: has the line an earlier different line within the steps' edits, and how many such lines in all
+    (0 where not asked for); lines without any are left out. From ``occurrences`` and their ``distinct_keys``."""
     again, known = candidates(lines, keyed, steps)
-    rows = again.join(known.select("h", "parity", "edits"), "h")
-    index = rows.where("is_index").select("key", F.col("h").alias("a"), F.col("parity").alias("pa"), "edits")
-    probe = rows.select("key", F.col("h").alias("b"), F.col("parity").alias("pb"))
-    # the index side is never the longer line; partners within its edits differ in twice as many parities at most: most lines that merely share a segment end here
-    alike = (F.col("a") != F.col("b")) & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 2 * F.col("edits"))
-    pairs = index.join(probe, (index["key"] == probe["key"]) & alike).select("a", "b").distinct()
-    left = known.select(F.col("h").alias("a"), F.col("line").alias("line_a"), F.col("first").alias("first_a"), "edits")
-    right = known.select(F.col("h").alias("b"), F.col("line").alias("line_b"), F.col("first").alias("first_b"))
-    both = pairs.join(left, "a").join(right, "b")
-    return cut(both.where(within_steps(F.col("line_a"), F.col("line_b"), F.col("edits"), steps)).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-        F.when(F.col("a") < F.col("b"), F.col("first_a")).otherwise(F.col("first_b")).alias("first_a"),
-        F.when(F.col("a") < F.col("b"), F.col("first_b")).otherwise(F.col("first_a")).alias("first_b")).distinct())
-
-
-def line_verdicts(df: DataFrame, tau: int | Steps = 2, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, short: bool = False) -> DataFrame:
-    """``(doc_id, text_hash, line_no, is_copy, is_near, links)`` of the lines with an earlier equal line or with links."""
+    index, probe = again.where("is_index").drop("is_index"), again.drop("is_index").distinct()
+    beside = again.where("not is_index").drop("is_index")
+    sides = _met(probe, index, known, steps, False, links).union(_met(index, beside, known, steps, True, links))
+    return cut(sides.groupBy("h", "g").agg(F.max("is_near").alias("is_near"), F.sum("links").alias("links")))
+
+
+def line_verdicts(df: DataFrame, tau: int | Steps = 2, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, short: bool = False,
+                  links: bool = True) -> DataFrame:
+    """``(doc_id, text_hash, line_no, is_copy, is_near, links)`` of the lines with an earlier equal line or with links; without
+    ``links`` these are not counted, and a search ends at the first earlier partner."""
     steps = as_steps(tau, min_chars)
     lines = occurrences(df, id_col, text_col, min_chars, short)
-    keyed = keyed_occurrences(lines, steps)
-    occ = keyed.drop("keys", "own")
-    here = F.struct("doc_id", "text_hash", "line_no")
-    firsts = occ.groupBy("h", "g").agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    links = line_links(lines, keyed, steps)
-    sides = links.select(F.col("a").alias("h"), (F.col("first_b") < F.col("first_a")).alias("later")).union(
-        links.select(F.col("b"), F.col("first_a") < F.col("first_b")))
-    near = sides.groupBy("h").agg(F.max("later").alias("is_near"), F.count("*").alias("links"))
-    found = occ.join(firsts, ["h", "g"], "left").join(_small(cut(near)), "h", "left")
-    return (found.select("doc_id", "text_hash", "line_no", F.coalesce(F.col("first") < here, F.lit(False)).alias("is_copy"),
-                         F.coalesce("is_near", F.lit(False)).alias("is_near"), F.coalesce("links", F.lit(0)).alias("links"))
+    occ = written(lines.drop("line"), "line-occurrences")
+    repeats = cut(occ.groupBy("h", "g").agg(F.min(_here()).alias("first"), F.count("*").alias("times")).where("times > 1"))
+    near = near_lines(lines, distinct_keys(lines, repeats, steps), steps, links)
+    facts = cut(repeats.join(near, ["h", "g"], "full"))
+    # a line met very often is looked up in a broadcast list of at most rows / _OFTEN lines; its rows are then dealt at random
+    often = F.broadcast(facts.where(F.col("times") >= _OFTEN).select("h", "g", F.struct("first", "is_near", "links").alias("much")))
+    rest = facts.where(F.coalesce("times", F.lit(1)) < _OFTEN).select("h", "g", F.struct("first", "is_near", "links").alias("some"), F.lit(0).alias("salt"))
+    found = occ.join(often, ["h", "g"], "left")
+    found = found.withColumn("salt", F.when(F.col("much").isNotNull(), 1 + F.pmod(F.hash("text_hash", "line_no"), F.lit(4096))).otherwise(0))
+    found = found.join(_small(rest), ["h", "g", "salt"], "left").withColumn("fact", F.coalesce("much", "some"))
+    fact = F.col("fact")
+    return (found.select("doc_id", "text_hash", "line_no", F.coalesce(fact["first"] < _here(), F.lit(False)).alias("is_copy"),
+                         F.coalesce(fact["is_near"], F.lit(False)).alias("is_near"), F.coalesce(fact["links"], F.lit(0)).alias("links"))
             .where("is_copy or is_near or links > 0"))
 
 
@@ -255,7 +320,7 @@ def summarise(df: DataFrame, tau: int | Steps = 2, id_col: str = "doc_id", text_
 
 def dedup(df: DataFrame, tau: int | Steps = 2, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, short: bool = False) -> DataFrame:
     """The rows with the dropped lines taken out of their text; other columns unchanged. Rows left without any line go."""
-    both = _marked(df, line_verdicts(df, tau, id_col, text_col, min_chars, short), id_col, text_col)
+    both = _marked(df, line_verdicts(df, tau, id_col, text_col, min_chars, short, links=False), id_col, text_col)
     whole = F.col("_v").isNull() | (F.size("_kept") == F.size("_lines"))
     body = F.when(whole, F.col("_doc").getField(text_col)).otherwise(F.array_join("_kept", "\n"))
     # the number of kept lines is told from the edges, so that the filter does not build the lines again
