@@ -24,7 +24,7 @@ import unicodedata
 import zlib
 from array import array
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -107,39 +107,100 @@ class WordTokenizer:
         return np.frombuffer(b"".join(map(self._ids_of, pieces)), np.uint32)
 
 
-def choose_cuts(pos: list[int], penalty: list[int], window: int, powers: list[int], all_powers_from: int, per_window: int = 4) -> list[int]:
+#: Costs lie above, a cut's number below, these bits: the least code names the cut as well. At equal costs a window comes
+#: before a power (whose top bit is set) and a later window before an earlier one (numbers run backwards).
+_NUMBER_BITS = 24
+_NUMBER, _POWER = np.int64((1 << _NUMBER_BITS) - 1), np.int64(1 << _NUMBER_BITS - 1)
+_FAR = np.int64(1 << 61)
+
+
+def _cuts_in_blocks(at: np.ndarray, penalty: np.ndarray, window: int, powers: list[int], end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least cost plus position, and the cut before, of the cuts up to number ``end``.
+
+    A block's cuts lie closer than the smallest power. A window between two of them is worth at most one step: two such
+    windows in a row pad more than the one that spans both. So a block needs the costs before it and one running minimum.
+    """
+    span = min([*powers, window])
+    low = np.searchsorted(at, at[:end] - window)
+    number = np.arange(end + 1, dtype=np.int64)
+    back = np.full((max(1, len(powers)), end), end)
+    for row, w in zip(back, powers):
+        k = np.searchsorted(at, at[:end] - w)
+        row[:] = np.where(at[k] == at[:end] - w, k, end)
+    place = at[:end] << _NUMBER_BITS
+    pad, extra, own = (window << _NUMBER_BITS) - place, penalty[:end] << _NUMBER_BITS, place + (_POWER - 1 - number[:end])
+    step = pad + extra
+    code = np.full(end + 1, _FAR)  # cost and own number
+    keyed, chosen = np.empty(end, np.int64), np.zeros(end, np.int64)  # cost + position and own number; cost and the cut before
+    code[0], keyed[0] = _POWER, own[0]
+    scratch = np.empty(int((number[:end] - low).max(initial=0)) + 2, np.int64)
+    scratch[0] = _FAR
+    ends = np.searchsorted(at[:end], at[:end] + span).tolist()
+    s = 1
+    while s < end:
+        e, first = ends[s], int(low[s])
+        # the least cost + position from each cut up to the block: a minimum that runs backwards
+        np.minimum.accumulate(keyed[first:s][::-1], out=scratch[1:s - first + 1])
+        best = scratch[np.maximum(s - low[s:e], 0)] + pad[s:e]
+        best = np.minimum(best, code[back[:, s:e]].min(axis=0)) + extra[s:e]
+        running = np.minimum.accumulate((best & ~_NUMBER) + own[s:e])
+        best[1:] = np.minimum(best[1:], running[:-1] + step[s + 1:e])
+        chosen[s:e] = best
+        best &= ~_NUMBER
+        code[s:e] = best + (_POWER + number[s:e])
+        keyed[s:e] = best + own[s:e]
+        s = e
+    chosen &= _NUMBER
+    return keyed >> _NUMBER_BITS, np.where(chosen >= _POWER, chosen - _POWER, _POWER - 1 - chosen)
+
+
+def choose_cuts(pos: Sequence[int], penalty: Sequence[int], window: int, powers: list[int], all_powers_from: int, per_window: int = 4) -> list[int]:
     """Indices of the chosen cuts of least total cost among the allowed positions ``pos`` (first and last are taken).
 
-    ``powers`` are lengths that need no padding; from position ``all_powers_from`` on every power of two is tried.
+    ``powers`` are lengths that need no padding; from position ``all_powers_from`` on every power of two is tried: there the
+    cuts are taken one by one with a monotone queue, before it block by block.
     """
+    at, extra = np.asarray(pos, np.int64), np.asarray(penalty, np.int64) + per_window
+    late = max(1, int(np.searchsorted(at, all_powers_from)))
+    keyed, came = _cuts_in_blocks(at, extra, window, powers, late)
+    if late < len(at):
+        came = _cuts_one_by_one(at, extra, window, keyed, came)
+    cuts, j = [], len(at) - 1
+    while j:
+        cuts.append(j)
+        j = int(came[j])
+    return cuts[::-1]
+
+
+def _cuts_one_by_one(at: np.ndarray, penalty: np.ndarray, window: int, keyed: np.ndarray, came: np.ndarray) -> list[int]:
+    """The cut before each cut, where every power of two is tried for the cuts after the ``keyed`` ones."""
+    late, from_ = len(keyed), int(np.searchsorted(at, at[len(keyed)] - window))
+    pos, extra, keyed, came = at.tolist(), penalty.tolist(), keyed.tolist(), came.tolist()
     every = [1 << k for k in range(window.bit_length() - 1)]
-    place = {p: i for i, p in enumerate(pos)}
-    cost, came = [0] * len(pos), [0] * len(pos)
-    held = deque([0])  # candidates with cost + position ascending
-    keyed = [0] * len(pos)
-    find = place.get
-    for j in range(1, len(pos)):
+    place = {pos[i]: i for i in range(from_, len(pos))}
+    held: deque[int] = deque()  # candidates with cost + position ascending
+
+    def hold(j: int) -> None:
+        while held and keyed[held[-1]] >= keyed[j]:
+            held.pop()
+        held.append(j)
+
+    for j in range(from_, late):
+        hold(j)
+    for j in range(late, len(pos)):
         p = pos[j]
-        low = p - window
-        while pos[held[0]] < low:
+        while pos[held[0]] < p - window:
             held.popleft()
         i = held[0]
         best = keyed[i] + window - p
-        for w in powers if p < all_powers_from else every:
-            k = find(p - w)
-            if k is not None and cost[k] < best:
-                best, i = cost[k], k
-        cost[j] = best = best + penalty[j] + per_window
-        came[j] = i
-        keyed[j] = key = best + p
-        while held and keyed[held[-1]] >= key:
-            held.pop()
-        held.append(j)
-    cuts, j = [], len(pos) - 1
-    while j:
-        cuts.append(j)
-        j = came[j]
-    return cuts[::-1]
+        for w in every:
+            k = place.get(p - w)
+            if k is not None and keyed[k] - pos[k] < best:
+                best, i = keyed[k] - pos[k], k
+        came.append(i)
+        keyed.append(best + extra[j] + p)
+        hold(j)
+    return came
 
 
 class _Stream:
@@ -183,7 +244,7 @@ class _Stream:
         kind[total] = 0
         pos = np.flatnonzero(kind >= 0)
         powers = [self.window >> k for k in range(1, 4)]
-        chosen = choose_cuts(pos.tolist(), kind[pos].tolist(), self.window, powers, total - self.window if last else total + 1)
+        chosen = choose_cuts(pos, kind[pos], self.window, powers, total - self.window if last else total + 1)
         cuts = pos[chosen]
         if not last:  # windows near the end are chosen again when the stream goes on
             cuts = cuts[cuts <= total - 2 * self.window]

@@ -7,9 +7,9 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as E
 import corpus_pipeline as C
-from paritylake.llm import quality
+from paritylake.llm import linededup, quality
 from tests.llm.helpers import edge_docs, empty_docs
-from tests.llm.test_repeats import plain_line_dedup
+from tests.llm.test_repeats import plain_steps_dedup
 from tests.llm.test_search_pack_mix import check_pieces
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 
@@ -19,7 +19,7 @@ NAMES = ["quality rules", "line dedup", "simhash near-dedup", "mixing", "packing
 def test_stages_and_registration():
     assert [n for n, _ in C.STAGES] == NAMES
     assert E.queries()["pipeline"] is C.run and "pipeline" not in E.oracle_sql()
-    assert {int(k[2:].split("_")[0]) for k in E.queries() if k.startswith("op")} == set(range(1, 11))
+    assert {int(k[2:].split("_")[0]) for k in E.queries() if k.startswith("op")} == set(range(1, 14))
 
 
 @pytest.fixture(scope="module")
@@ -51,7 +51,7 @@ def test_quality_stage(stages):
 
 def test_line_stage(stages):
     before, after = by_id(stages[1]), by_id(stages[2])
-    want = plain_line_dedup([(i, r["text"]) for i, r in before.items()], 2, 20)
+    want = plain_steps_dedup([(i, r["text"]) for i, r in before.items()], linededup.EDITS, 20)
     assert {i: r["text"] for i, r in after.items()} == {i: w[3] for i, w in want.items() if w[4]}
     assert all(r["n_chars"] == len(r["text"]) for r in after.values())
 

@@ -98,8 +98,24 @@ def test_line_dedup_matches_brute_force(spark):
         assert got == {i: want[i][3] for i, _ in docs if want[i][4]}
 
 
+def near(a, b, tau):
+    """Are the strings within tau edits? Only the band is filled, and a row beyond tau ends it."""
+    if abs(len(a) - len(b)) > tau:
+        return False
+    row = {j: j for j in range(min(tau, len(b)) + 1)}
+    for i, x in enumerate(a, 1):
+        new = {}
+        for j in range(max(0, i - tau), min(len(b), i + tau) + 1):
+            new[j] = min(row.get(j, 99) + 1, new.get(j - 1, 99) + 1, row.get(j - 1, 99) + (j == 0 or x != b[j - 1]))
+        row = new
+        if min(row.values()) > tau:
+            return False
+    return row[len(b)] <= tau
+
+
 def plain_steps_dedup(docs, steps, min_chars):
-    """id -> (copies, nears, links, kept): every line with a letter or digit, edits by the shorter line's length."""
+    """id -> (copies, nears, links, kept, kept lines): every line with a letter or digit, edits by the shorter line's length."""
+    docs, most = [(i, t or "") for i, t in docs], max(t for _, t in steps)
     part = lambda s: len(s) >= min_chars or any(c.isalnum() for c in s)
     first = {}
     for i, t in sorted(docs):
@@ -109,8 +125,10 @@ def plain_steps_dedup(docs, steps, min_chars):
     kinds, links, near = list(first), Counter(), set()
     for x, a in enumerate(kinds):
         for b in kinds[:x]:
+            if abs(len(a) - len(b)) > most:
+                continue
             tau = max((t for least, t in steps if min(len(a), len(b)) >= least), default=0)
-            if abs(len(a) - len(b)) <= tau and edits(a, b) <= tau:
+            if near(a, b, tau):
                 links[a] += 1
                 links[b] += 1
                 near.add(max(a, b, key=first.get))
@@ -119,7 +137,7 @@ def plain_steps_dedup(docs, steps, min_chars):
         lines = t.split("\n")
         copies = [part(s) and first[s] != (i, n) for n, s in enumerate(lines)]
         kept = [s for s, c in zip(lines, copies) if not (c or s in near)]
-        out[i] = (sum(copies), sum(s in near and not c for s, c in zip(lines, copies)), sum(links[s] for s in lines), "\n".join(kept))
+        out[i] = (sum(copies), sum(s in near and not c for s, c in zip(lines, copies)), sum(links[s] for s in lines), "\n".join(kept), len(kept))
     return out
 
 
@@ -139,11 +157,25 @@ def test_short_lines_and_edits_by_length(spark):
     want = plain_steps_dedup(docs, steps, 20)
     df = spark.createDataFrame(docs, "doc_id long, text string")
     for r in linededup.summarise(df, steps, short=True).collect():
-        c, n, links, kept = want[r["doc_id"]]
+        c, n, links, kept, _ = want[r["doc_id"]]
         assert (r["n_copies"], r["n_near"], r["n_links"]) == (c, n, links)
         assert r["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
 
 
+def test_many_near_copies_in_several_tiles(spark, monkeypatch):
+    """Every line of a cluster is linked with every other, though a key's lines lie in many tiles; of a chain, the first stays."""
+    monkeypatch.setattr(linededup, "_TILE_LINES", 16)
+    monkeypatch.setattr(linededup, "_OFTEN", 10)
+    base = "".join(random.Random(4).choice("abcdefgh ") for _ in range(110))
+    docs = [(i, f"{base[:i]}#{base[i + 1:]}\n{base[:i]}{base[i + 1:]}\nthe same line everywhere") for i in range(60)]
+    want = plain_steps_dedup(docs, linededup.EDITS, 20)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = linededup.summarise(df, linededup.EDITS, short=True).collect()
+    assert {r["doc_id"]: (r["n_copies"], r["n_near"], r["n_links"]) for r in rows} == {i: w[:3] for i, w in want.items()}
+    kept = {r["doc_id"]: r["text"] for r in linededup.dedup(df, linededup.EDITS, short=True).collect()}
+    assert kept == {i: w[3] for i, w in want.items() if w[4]}
+
+
 def test_line_query_takes_short_lines_and_dates_in_long_ones(spark, tmp_path):
     from paritylake.llm.queries import QUERIES
     long = "".join(random.Random(3).choice("abcdefgh ") for _ in range(290))
