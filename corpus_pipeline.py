@@ -19,8 +19,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat or nearly repeat an earlier line go; ``n_chars`` follows the text; emptied documents go."""
-    out = linededup.dedup(docs, tau=2, min_chars=20)
+    """Lines that repeat an earlier line or come within 1 to 4 edits of one, by length, go, short lines included; ``n_chars``
+    follows the text; emptied documents go."""
+    out = linededup.dedup(docs, tau=linededup.EDITS, min_chars=20, short=True)
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
