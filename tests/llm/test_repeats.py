@@ -98,7 +98,7 @@ def test_line_dedup_matches_brute_force(spark):
         assert got == {i: want[i][3] for i, _ in docs if want[i][4]}
 
 
-def near(a, b, tau):
+def within_edits(a, b, tau):
     """Are the strings within tau edits? Only the band is filled, and a row beyond tau ends it."""
     if abs(len(a) - len(b)) > tau:
         return False
@@ -128,7 +128,7 @@ def plain_steps_dedup(docs, steps, min_chars):
             if abs(len(a) - len(b)) > most:
                 continue
             tau = max((t for least, t in steps if min(len(a), len(b)) >= least), default=0)
-            if near(a, b, tau):
+            if within_edits(a, b, tau):
                 links[a] += 1
                 links[b] += 1
                 near.add(max(a, b, key=first.get))
