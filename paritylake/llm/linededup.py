@@ -237,13 +237,11 @@ def _met(seek: DataFrame, held: DataFrame, known: DataFrame, steps: Steps, longe
     theirs = F.array_compact("keys") if longer else F.array_compact(F.slice("keys", 1, F.col("own")))
     seekers, others = known, known.withColumn("theirs", theirs)
     seekers = hits.join(seekers, ["h", "g"]).select("key", "tile", "h", "g", "first", "n", "parity", "edits", "line", before.alias("before"))
-    fields = ["h", "g", "n", "parity", "edits", "line"] + ["theirs"] * links
-    both = seekers.join(tiled(held.join(others, ["h", "g"]), *fields), ["key", "tile"])
+    both = seekers.join(tiled(held.join(others, ["h", "g"]), "h", "g", "n", "parity", "edits", "line", "theirs"), ["key", "tile"])
 
     def near(p: Column) -> Column:
         a, b, edits = (F.col("line"), p["line"], F.col("edits")) if longer else (p["line"], F.col("line"), p["edits"])
-        new = [~F.arrays_overlap(p["theirs"], F.col("before"))] if links else []
-        return reduce(lambda x, y: x & y, [alike(p), *new, within_steps(a, b, edits, steps)])
+        return alike(p) & ~F.arrays_overlap(p["theirs"], F.col("before")) & within_steps(a, b, edits, steps)
 
     if not links:
         return both.where(F.exists("held", near)).select("h", "g", F.lit(True).alias("is_near"), F.lit(0).alias("links"))
