@@ -29,3 +29,16 @@ def test_a_local_session_needs_no_configured_folder_and_leaves_no_files(tmp_path
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     done = subprocess.run([sys.executable, "-c", CODE], env=env | {"PYTHONPATH": root}, cwd=tmp_path, capture_output=True, text=True, timeout=180)
     assert done.stdout.strip().endswith("fine"), done.stderr[-2000:]
+
+
+def test_a_join_above_a_union_of_joins_is_dealt_again(spark, sf0001):
+    from paritylake.plans.registry import QUERIES
+    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.unionOutputPartitioning")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # as with tables too large for a broadcast
+        spark.conf.set("spark.sql.unionOutputPartitioning", "true")    # as Spark 4.1 ships it
+        got = {r["stage"]: r["n"] for r in QUERIES["delete_keys_present"](spark, sf0001).collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == {"before": 150, "after": 0}
