@@ -140,3 +140,26 @@ def test_rank_over_a_wide_range_of_numbers_has_no_one_task_step(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     # windows over a whole table see stretches of stretches only
     assert plan.count("_up") >= 4
+
+
+def test_a_global_rank_of_two_columns_sorts_the_rows_once(spark, sf0001):
+    from paritylake.plans.registry import QUERIES
+    rnd = random.Random(3)
+    value = lambda: rnd.choice([None, 5.0, 5.0, 5.0, float("nan"), 0.0, -0.0, rnd.random()])
+    df = spark.createDataFrame([(i, value()) for i in range(3_000)], "id long, v double").repartition(8)
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # runs of one value go over several partitions
+    try:
+        for way in ("asc", "desc"):
+            o = F.col("v").asc_nulls_first() if way == "asc" else F.col("v").desc_nulls_last()
+            want = sorted(tuple(r) for r in df.select("id", F.row_number().over(Window.orderBy(o, "id")), F.rank().over(Window.orderBy(o)), F.lit(3_000)).collect())
+            got = global_rank(df, [("v", way), ("id", "asc")])
+            assert sorted(tuple(r) for r in got.select("id", "_grn", "_grank", "_gn").collect()) == want
+            same = df.withColumn("v", F.lit(1.0))
+            assert {r[0] for r in global_rank(same, [("v", way), ("id", "asc")]).select("_grank").collect()} == {1}
+        assert global_rank(df.where("id < 0"), [("v", "asc"), ("id", "asc")]).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    # no row meets its value's rank in a join, and no window has rows
+    plan = QUERIES["ntile_global"](spark, sf0001)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and plan.count("Window [") == 2, plan
