@@ -75,3 +75,27 @@ def test_query_parity_rowset_and_scalar(spark):
     c2 = tgt.agg((F.count("*") + 1).alias("c"))
     assert P.query_parity(c1, c2, "scalar", 1).first()["status"] == "PASS"
     assert P.query_parity(c1, c2, "scalar", 0).first()["status"] == "FAIL"
+
+
+def test_a_side_of_several_fingerprints_is_hashed_once(spark):
+    df = spark.range(500).selectExpr("id", "cast(id % 7 as string) AS v")
+    both = P.fingerprint_parity(df, df.select("v", "id"), ["id", "v"], "self").unionByName(
+        P.fingerprint_parity(df, df.where("id <> 3"), ["id", "v"], "other"))
+    assert sorted((r["target"], r["status"]) for r in both.collect()) == [("other", "FAIL"), ("self", "PASS")]
+    plan = both._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 2, plan
+
+
+def test_strings_that_are_integers_already_take_their_number_form_unread(spark):
+    from paritylake.functions.canon import _number_of_string, numeric_like
+    forms = {"5": "5", "-12": "-12", "0": "0", "-0": "0", "007": "7", "+5": "5", " 5 ": "5", "5.0": "5", "9223372036854775807": "9223372036854775807",
+             "9223372036854775808": "9223372036854775808", "-9223372036854775808": "-9223372036854775808", "1e3": "1000", "": "", "-": "-", "abc": "abc",
+             "5a": "5a", "\x005": "\x005", None: None}
+    df = spark.createDataFrame([(k,) for k in forms], "v string")
+    got = {r[0]: (r[1], r[2]) for r in df.select("v", _number_of_string(F.col("v")), numeric_like(F.col("v"))).collect()}
+    texts = {"", "-", "abc", "5a", "\x005"}
+    assert got == {k: (v, None if k is None else k not in texts) for k, v in forms.items()}
+    long_keys = spark.range(3).selectExpr("cast(id as string) AS k")
+    # the patterns stand behind the cheap comparison
+    plan = long_keys.select(_number_of_string(F.col("k")))._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("as bigint)") < plan.find("RLIKE")
