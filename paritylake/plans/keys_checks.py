@@ -152,7 +152,7 @@ def q_merge_apply(spark, sf):
 def q_merge_idempotency(spark, sf):
     o = _orders(spark, sf)
     t = D.orders_target_snapshot(o)
-    latest = M.delta_latest(D.orders_delta(o), ["o_orderkey"], ["change_ms"])
+    latest = materialize(M.delta_latest(D.orders_delta(o), ["o_orderkey"], ["change_ms"]))   # kept: four merges read it
     good = M.merge_idempotency(t, latest, ["o_orderkey"]).withColumn(
         "target", F.concat(F.lit("merge:"), F.col("target")))
     bad = M.merge_idempotency(t, latest, ["o_orderkey"],

@@ -204,3 +204,14 @@ def test_a_long_chain_takes_few_rounds_and_cycles_and_orphans_are_named(spark):
         (10, "cycle"), (11, "cycle"), (12, "cycle"), (13, "cycle"), (20, "orphan"), (21, "below an orphan"), (22, "below an orphan"), (30, "cycle")}
     assert {(r["k"], r["depth"], r["path"]) for r in walk(df, "k", "up", "name").collect()} == {(1, 0, "a"), (2, 1, "a > b"), (3, 2, "a > b > c")}
     assert unreached(df.where("k < 4"), "k", "up").collect() == [] == walk(df.limit(0), "k", "up", "name").collect()
+
+
+def test_the_signoff_report_stores_its_checks_in_one_job(spark, sf0001):
+    from paritylake import session
+    from paritylake.plans.registry import QUERIES
+    handed_out = len(session._WRITTEN)
+    got = {r["pattern"]: (r["status"], r["checks"]) for r in QUERIES["signoff_report"](spark, sf0001).collect()}
+    stored = [p for p in session._WRITTEN[handed_out:] if "signoff_checks" in p]
+    assert len(stored) == 1
+    assert len(spark.read.parquet(stored[0]).inputFiles()) == 1
+    assert got["fingerprint_parity"] == ("FAIL", 7) and got["merge_idempotency"] == ("FAIL", 4) and got["schema_conformance"][0] == "GAP"
