@@ -17,11 +17,11 @@ def utf8_crc32(c: Column) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary"))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared checkpoint folder and read it back."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.option("compression", "zstd").parquet(path)  # read a few times by the same job: size matters more than time
+    df.write.options(compression="zstd", **options).parquet(path)  # read a few times by the same job: size matters more than time
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,14 +9,14 @@ edits) as in ``EDITS``: then the shorter line of a pair sets the edits, and line
 below the first step have equal copies only. The rule looks at the input lines alone, so the answer does not depend
 on an order of work.
 
-The join. A line is cut into tau + 1 segments of nearly equal length. If two
-lines are within tau edits, one of the shorter line's segments occurs unchanged
-in the longer one, near its place: every line probes, for each possible length of
-a shorter partner and each segment, only the starts that the remaining edits
-allow. Lines under a key (length, segment number, segment text) that two lines meet lie
-in tiles of bounded size, earliest first; a line is held against whole tiles, so no
-pairs are built. A partner is verified by a banded bit-parallel edit distance: tau + 1
-words of 2 tau + 1 bits hold which diagonals are reachable with 0, 1, ... edits.
+The join. Lengths are grouped in classes; a line is cut into tau + 1 segments, as long as its class allows, the first
+ones placed from its start, the others from its end. If two lines are within tau edits, one of the shorter line's
+segments occurs unchanged in the longer one, near its place from that end: every line probes, for its own class and
+those a shorter partner may be in, only the starts that the remaining edits allow (13 for 4 edits in one class). Lines
+under a key (class, segment number, segment text) that two lines meet lie in tiles of bounded size, earliest first; a line
+is held against whole tiles, so no pairs are built. A partner is verified by a banded edit distance over what is left without
+the common beginning and end: Spark's own, or for long strings a bit-parallel one, where tau + 1 words of 2 tau + 1 bits
+hold which diagonals are reachable with 0, 1, ... edits.
 
 Keys are those of different lines, each once, so a line repeated in a third of all
 documents has one row a key. Texts of lines are fetched only for candidates;
@@ -43,6 +43,8 @@ EDITS = ((8, 1), (20, 2), (100, 3), (200, 4))
 
 #: About so many lines, or characters, lie in a tile of lines under one key.
 _TILE_LINES, _TILE_CHARS = 1024, 1 << 20
+#: Lines that differ over more characters are compared by the bit-parallel distance, whose time is in proportion to the length.
+_LONG = 1024
 #: From so many occurrences on, a line's rows are looked up apart from the others'.
 _OFTEN = 4096
 
@@ -82,56 +84,71 @@ def _small(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= _BROADCAST_KEYS else keys
 
 
-def probes(tau: int) -> list[tuple[int, int, int]]:
-    """``(shorter, segment, shift)``: what a line looks up. For partners ``shorter`` characters shorter, the segment's place
-    in the partner moved by ``shift``: edits left of segment i number at most i, right of it at most tau - i.
+def class_of(n: int, steps: Steps) -> tuple[int, int]:
+    """``(least length, edits)`` of the lengths that are cut alike with ``n``; (0, 0) below the first step."""
+    least = max((least for least, _ in steps if n >= least), default=0)
+    wide = _class_width(least)
+    return (least + (n - least) // wide * wide, edits_at(n, steps)) if least else (0, 0)
 
-    (0, i, 0) are the line's own segments, which it also enters in the index.
+
+def _class_width(least: int) -> int:
+    return max(1, least // 6)
+
+
+def classes(n: int, steps: Steps) -> list[tuple[int, int, int]]:
+    """``(least length, edits, shorter)`` of the classes a partner not longer than ``n`` may be in, which is then at least
+    ``shorter`` characters shorter; the line's own class first."""
+    found, top = [], n
+    while (c := class_of(top, steps))[1] and n - top <= c[1]:
+        found.append((*c, n - top))
+        top = c[0] - 1
+    return found
+
+
+def probes(tau: int) -> list[tuple[int, bool, int]]:
+    """``(segment, from_end, shift)``: where a line looks for segment i of a partner not longer than itself, shift 0 first.
+
+    Of the segments of a pair, one is unchanged with at most i edits left of it and tau - i right of it: take the first up to whose
+    end there are no more than i. So its place moves by i at most, counted from the start, and by tau - i, counted from the end.
     """
-    return [(shorter, i, shift) for shorter in range(tau + 1) for i in range(tau + 1)
-            for shift in range(max(-i, shorter - (tau - i)), min(i, shorter + tau - i) + 1)]
-
-
-def probe_tables(steps: Steps) -> list[tuple[int, list[tuple[int, int, int]]]]:
-    """``(least length, probes)``: what lines of that length up to the next one look up, their own segments first."""
-    reach = max(tau for _, tau in steps)
-    return [(n, sorted(((d, i, x) for d in range(reach + 1) if edits_at(n - d, steps)
-                        for e, i, x in probes(edits_at(n - d, steps)) if e == d), key=lambda p: p[0] > 0 or p[2] != 0))
-            for n in sorted({least + more for least, _ in steps for more in range(reach + 1)})]
-
-
-def with_keys(lines: DataFrame, steps: Steps) -> DataFrame:
-    """``lines`` with ``keys``: one hash for each probe of their length, null where the line is too short for it; the first
-    ``own`` are the line's own segments."""
-    n, table = F.length("line"), F.lit(None)
-    for least, entries in probe_tables(steps):
-        row = F.array(*(F.struct(F.lit(d).alias("shorter"), F.lit(i).alias("i"), F.lit(x).alias("shift")) for d, i, x in entries))
-        table = F.when(n >= least, row).otherwise(table) if entries else table
-    # by length of the partner: characters of its first segments, and how many segments have no more
-    pieces = [(n - d, edits_of(n - d, steps) + 1) for d in range(max(tau for _, tau in steps) + 1)]
-    sizes = F.array(*(F.call_function("div", k, m).cast("int") for k, m in pieces))
-    plain = F.array(*(m - F.pmod(k, m) for k, m in pieces))
-    lines = lines.withColumn("own", edits_of(n, steps) + 1).withColumn("_n", n).withColumn("_sizes", sizes).withColumn("_plain", plain).withColumn("_table", table)
-    lines = lines.withColumn("_bytes", F.when(F.octet_length("line") == F.col("_n"), F.col("line").cast("binary")))
-
-    def key(p: Column) -> Column:
-        size, even, i = F.get("_sizes", p["shorter"]), F.get("_plain", p["shorter"]), p["i"]
-        start = size * i + F.greatest(F.lit(0), i - even) + p["shift"]
-        wide = size + (i >= even).cast("int")
-        inside = (start >= 0) & (start + wide <= F.col("_n")) & (F.col("_n") >= p["shorter"])
-        # in texts of single bytes a place is found without walking there
-        piece = F.when(F.col("_bytes").isNotNull(), F.substring("_bytes", start + 1, wide)).otherwise(
-            F.substring(F.col("line"), start + 1, wide).cast("binary"))
-        # 48 bits: a chance meeting adds a candidate, no more, and the key takes less room
-        return F.when(inside, F.call_function("shiftrightunsigned", F.xxhash64(F.col("_n") - p["shorter"], i, piece), F.lit(16)))
-
-    return lines.withColumn("keys", F.transform("_table", key)).drop("_n", "_sizes", "_plain", "_table", "_bytes")
-
-
-def segment_rows(keyed: DataFrame) -> DataFrame:
-    """``(h, g, key, is_index)`` of every line's keys."""
-    rows = keyed.select("h", "g", "own", F.posexplode("keys").alias("at", "key")).where("key is not null")
-    return rows.select("h", "g", "key", (F.col("at") < F.col("own")).alias("is_index"))
+    return [(i, i > tau - i, x) for i in range(tau + 1) for x in sorted(range(-min(i, tau - i), min(i, tau - i) + 1), key=abs)]
+
+
+def segment_rows(lines: DataFrame, steps: Steps) -> DataFrame:
+    """``(h, g, key, is_index)`` of every line's keys; ``is_index``: one of its own segments."""
+    n = F.length("line")
+
+    def in_step(value, of: Column) -> Column:
+        out = F.lit(0)
+        for least, _ in sorted(steps):
+            out = F.when(of >= least, value(least)).otherwise(out)
+        return out
+
+    # the classes one below the other, as in ``classes``
+    far = max(steps)[0] + 2 * (max(_class_width(least) for least, _ in steps) + max(tau for _, tau in steps))
+    found, top = [], F.col("n")
+    for _ in range(max(len(classes(k, steps)) for k in range(far))):
+        base = in_step(lambda least: least + F.call_function("div", top - least, F.lit(_class_width(least))).cast("int") * _class_width(least), top)
+        found.append(F.struct(base.alias("base"), edits_of(top, steps).alias("tau"), (F.col("n") - top).alias("shorter")))
+        top = base - 1
+    lines = lines.select("h", "g", "line", n.alias("n"), F.when(F.octet_length("line") == n, F.col("line").cast("binary")).alias("bytes"))
+    rows = lines.select("*", F.inline(F.array(*found))).where("tau > 0 and shorter <= tau")
+    table = F.lit(None)
+    for tau in sorted({tau for _, tau in steps}):
+        entries = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(e).alias("from_end"), F.lit(x).alias("shift")) for i, e, x in probes(tau)))
+        table = F.when(F.col("tau") == tau, entries).otherwise(table)
+    rows = rows.select("*", F.inline(table)).withColumn("size", F.call_function("div", F.col("base"), F.col("tau") + 1).cast("int"))
+    i, x, size, tau = F.col("i"), F.col("shift"), F.col("size"), F.col("tau")
+    rows = rows.withColumn("start", F.when(F.col("from_end"), F.col("n") - (tau + 1 - i) * size + x).otherwise(i * size + x))
+    # of a partner that is shorter by so much, the other end has moved as well
+    fits = F.when(F.col("from_end"), x <= i - F.col("shorter")).otherwise(x >= F.col("shorter") - (tau - i))
+    rows = rows.where(fits & (F.col("start") >= 0) & (F.col("start") + size <= F.col("n")))
+    # in texts of single bytes a place is found without walking there
+    piece = F.when(F.col("bytes").isNotNull(), F.substring("bytes", F.col("start") + 1, size)).otherwise(
+        F.substring("line", F.col("start") + 1, size).cast("binary"))
+    # 48 bits: a chance meeting adds a candidate, no more, and the key takes less room
+    key = F.call_function("shiftrightunsigned", F.xxhash64("base", "i", piece), F.lit(16))
+    return rows.select("h", "g", key.alias("key"), ((F.col("shorter") == 0) & (x == 0)).alias("is_index"))
 
 
 def within(a: Column, b: Column, tau: int) -> Column:
@@ -172,9 +189,40 @@ def within(a: Column, b: Column, tau: int) -> Column:
         F.call_function("shiftright", reached, last).bitwiseAND(F.lit(1)) == 1)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, the value worked out once: bound to a lambda variable."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def trimmed(a: Column, b: Column) -> Column:
+    """``(a, b)`` without their common beginning and end, found by halving steps; their distance stays the same."""
+    steps = F.array(*(F.lit(1 << k) for k in range(12, -1, -1)))
+
+    def same(p: Column, part) -> Column:
+        least = F.least(F.length(p["a"]), F.length(p["b"]))
+        return F.aggregate(steps, F.lit(0), lambda done, w: F.when(
+            (done + w <= least) & (part(p["a"], done, w) == part(p["b"], done, w)), done + w).otherwise(done))
+
+    def middle(p: Column) -> Column:
+        at_start = same(p, lambda c, done, w: F.substring(c, done + 1, w))
+        rest = _bound(at_start, lambda k: F.struct(*(F.substring(p[c], k + 1, F.length(p[c])).alias(c) for c in ("a", "b"))))
+        return _bound(rest, lambda q: _bound(same(q, lambda c, done, w: F.substring(c, F.length(c) - done - w + 1, w)),
+                                             lambda k: F.struct(*(F.substring(q[c], F.lit(1), F.length(q[c]) - k).cast("string").alias(c) for c in ("a", "b")))))
+
+    # in texts of single bytes a place is found without walking there
+    single = (F.octet_length(a) == F.length(a)) & (F.octet_length(b) == F.length(b))
+    return F.when(single, _bound(F.struct(a.cast("binary").alias("a"), b.cast("binary").alias("b")), middle)).otherwise(
+        _bound(F.struct(a.alias("a"), b.alias("b")), middle))
+
+
 def within_steps(a: Column, b: Column, edits: Column, steps: Steps) -> Column:
-    """Are the strings within ``edits``, one of the steps' numbers?"""
-    return reduce(lambda rest, tau: F.when(edits == tau, within(a, b, tau)).otherwise(rest), sorted({tau for _, tau in steps}), F.lit(False))
+    """Are the strings within ``edits``, one of the steps' numbers? Spark's own banded distance is compiled, but walks to the band
+    anew for every character, so long strings take the bit-parallel one."""
+    def check(p: Column) -> Column:
+        near = lambda tau: F.when(F.length(p["a"]) <= _LONG, F.levenshtein(p["a"], p["b"], tau) >= 0).otherwise(within(p["a"], p["b"], tau))
+        return reduce(lambda rest, tau: F.when(edits == tau, near(tau)).otherwise(rest), sorted({tau for _, tau in steps}), F.lit(False))
+
+    return _bound(trimmed(a, b), check)
 
 
 def letter_parity(line: Column) -> Column:
@@ -184,79 +232,76 @@ def letter_parity(line: Column) -> Column:
 
 
 def distinct_keys(lines: DataFrame, repeats: DataFrame, steps: Steps) -> DataFrame:
-    """``(h, g, own, keys)``, one row for each different line, written once: of the lines that repeat, the first occurrence."""
+    """``segment_rows`` of the different lines, written once: of the lines that repeat, the first occurrence."""
     once = lines.join(_small(repeats.select("h", "g", "first")), ["h", "g"], "left").where(F.col("first").isNull() | (F.col("first") == _here()))
-    return written(with_keys(once.select("h", "g", "line"), steps).drop("line"), "line-keys")
+    # hashes: a dictionary of them is built in vain
+    return written(segment_rows(once, steps), "line-keys", **{"parquet.enable.dictionary": "false"})
 
 
-def candidates(lines: DataFrame, keyed: DataFrame, steps: Steps) -> tuple[DataFrame, DataFrame]:
+def candidates(lines: DataFrame, rows: DataFrame, steps: Steps) -> tuple[DataFrame, DataFrame]:
     """Rows ``(key, h, g, is_index)`` of the segment keys that two lines meet, and their lines
-    ``(h, g, line, first, n, parity, edits, own, keys)``."""
-    rows = segment_rows(keyed)
-    met = cut(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
-    again = cut(rows.join(_small(met), "key", "left_semi").distinct())
+    ``(h, g, line, first, n, parity, edits, own, keys)``, with the keys among those."""
+    # one of the two has the key as its own segment
+    met = cut(rows.groupBy("key").agg(F.count("*").alias("n"), F.max("is_index").alias("is_index")).where("n > 1 and is_index").select("key"))
+    again = cut(rows.join(_small(met), "key", "left_semi").groupBy("key", "h", "g").agg(F.max("is_index").alias("is_index")))
+    keys = again.groupBy("h", "g").agg(F.collect_list("key").alias("keys"), F.collect_list(F.when(F.col("is_index"), F.col("key"))).alias("own"))
     asked = cut(again.select("h", "g").distinct())
     known = (lines.join(_small(asked), ["h", "g"], "left_semi").groupBy("h", "g")
              .agg(F.min("line").alias("line"), F.min(_here()).alias("first")))
     known = (known.withColumn("n", F.length("line")).withColumn("parity", letter_parity(F.col("line")))
              .withColumn("edits", edits_of(F.col("n"), steps)))
-    return again, cut(with_keys(known, steps))
+    return again, cut(known.join(keys, ["h", "g"]))
 
 
-def _met(seek: DataFrame, held: DataFrame, known: DataFrame, steps: Steps, longer: bool, links: bool) -> DataFrame:
-    """``(h, g, is_near, links)`` of the lines in ``seek`` with a partner among the lines ``held`` under the same key; the
-    partners are the longer lines or those that are not. Without ``links`` only the lines that have an earlier partner.
+def _met(again: DataFrame, known: DataFrame, steps: Steps, links: bool) -> DataFrame:
+    """``(h, g, is_near, links)`` of the lines with a partner under the same key, which is a segment of the shorter one's own;
+    the later line of a pair looks for the earlier one. Without ``links`` only the lines that have an earlier partner.
 
-    Lines held under a key lie in tiles of bounded size, earliest first, so a row leaves the join for a line and a tile, not
-    for a pair. A pair that meets under several keys is counted under the first of them.
+    Lines under a key lie in tiles of bounded size, earliest first, so a row leaves the join for a line and a tile, not
+    for a pair. A pair that meets under several keys is counted under the least of them.
     """
     size = F.ceil(F.greatest(F.count("*") / _TILE_LINES, F.sum("n") / _TILE_CHARS)).cast("int")
     facts = known.select("h", "g", "first", "n", "parity", "edits")
-    sized = _small(cut(held.join(facts, ["h", "g"]).groupBy("key").agg(size.alias("tiles")).where("tiles > 1")))
-    tiles = F.coalesce("tiles", F.lit(1))
-    held = held.join(sized, "key", "left").select("key", "h", "g", F.pmod(F.xxhash64("h", "g"), tiles).cast("int").alias("tile"))
-    seek = seek.join(sized, "key", "left").select("key", "h", "g", F.explode(F.sequence(F.lit(0), tiles - 1)).alias("tile"))
+    rows = cut(again.join(facts, ["h", "g"]))
+    sized = _small(cut(rows.groupBy("key").agg(size.alias("tiles")).where("tiles > 1")))
+    rows = rows.join(sized, "key", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    held = rows.withColumn("tile", F.pmod(F.xxhash64("h", "g"), "tiles").cast("int")).drop("tiles")
+    seek = rows.withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).drop("tiles")
 
     def tiled(rows: DataFrame, *fields: str) -> DataFrame:
-        return rows.groupBy("key", "tile").agg(F.sort_array(F.collect_list(F.struct("first", *fields))).alias("held"))
+        return rows.groupBy("key", "tile").agg(F.sort_array(F.collect_list(F.struct("first", "h", "g", "n", "parity", "edits", "is_index", *fields))).alias("held"))
 
     def alike(p: Column) -> Column:
-        mine = {c: F.col(c) for c in ("n", "edits")}
-        short, long = (mine, p) if longer else (p, mine)
         # partners within the shorter line's edits differ in twice as many parities at most: most lines that merely share a segment end here
-        close = ((p["h"] != F.col("h")) | (p["g"] != F.col("g"))) & (long["n"] - short["n"] <= short["edits"]) & (
-            F.bit_count(p["parity"].bitwiseXOR(F.col("parity"))) <= 2 * short["edits"])
-        close &= (short["n"] < long["n"]) if longer else (short["n"] <= long["n"])
-        return close if links else (p["first"] < F.col("first")) & close
+        edits = F.least(p["edits"], "edits")
+        close = (F.abs(p["n"] - F.col("n")) <= edits) & (F.bit_count(p["parity"].bitwiseXOR(F.col("parity"))) <= 2 * edits)
+        close &= F.when(p["n"] <= F.col("n"), p["is_index"]).otherwise(F.col("is_index"))
+        return (p["first"] < F.col("first")) & close
 
-    first_pass = seek.join(facts, ["h", "g"]).join(tiled(held.join(facts, ["h", "g"]), "h", "g", "n", "parity", "edits"), ["key", "tile"])
-    hits = cut(first_pass.where(F.exists("held", alike)).select("key", "tile", "h", "g"))
+    hits = cut(seek.join(tiled(held), ["key", "tile"]).where(F.exists("held", alike)).select("key", "tile", "h", "g", "is_index"))
     held = held.join(hits.select("key", "tile").distinct(), ["key", "tile"], "left_semi")
-    ours = F.slice("keys", 1, F.col("own")) if longer else F.col("keys")
-    before = F.array_compact(F.slice(ours, 1, (F.array_position(ours, F.col("key")) - 1).cast("int")))
-    theirs = F.array_compact("keys") if longer else F.array_compact(F.slice("keys", 1, F.col("own")))
-    seekers, others = known, known.withColumn("theirs", theirs)
-    seekers = hits.join(seekers, ["h", "g"]).select("key", "tile", "h", "g", "first", "n", "parity", "edits", "line", before.alias("before"))
-    both = seekers.join(tiled(held.join(others, ["h", "g"]), "h", "g", "n", "parity", "edits", "line", "theirs"), ["key", "tile"])
+    before = lambda keys: F.filter(keys, lambda k: k < F.col("key"))
+    seekers = hits.join(known, ["h", "g"]).withColumn("keys", before("keys")).withColumn("own", before("own"))
+    both = seekers.join(tiled(held.join(known.select("h", "g", "line", "keys", "own"), ["h", "g"]), "line", "keys", "own"), ["key", "tile"])
 
     def near(p: Column) -> Column:
-        a, b, edits = (F.col("line"), p["line"], F.col("edits")) if longer else (p["line"], F.col("line"), p["edits"])
-        return alike(p) & ~F.arrays_overlap(p["theirs"], F.col("before")) & within_steps(a, b, edits, steps)
+        met = F.when(p["n"] <= F.col("n"), F.arrays_overlap(p["own"], "keys")).otherwise(F.arrays_overlap(p["keys"], "own"))
+        a, b, edits = p["line"], F.col("line"), F.least(p["edits"], "edits")
+        return alike(p) & ~met & within_steps(a, b, edits, steps)
 
     if not links:
         return both.where(F.exists("held", near)).select("h", "g", F.lit(True).alias("is_near"), F.lit(0).alias("links"))
-    found = both.select("h", "g", "first", F.filter("held", near).alias("found")).where(F.size("found") > 0)
-    return found.select("h", "g", F.exists("found", lambda p: p["first"] < F.col("first")).alias("is_near"), F.size("found").alias("links"))
+    found = both.select("h", "g", F.transform(F.filter("held", near), lambda p: F.struct(p["h"], p["g"], F.lit(False).alias("is_near"), F.lit(1).alias("links"))).alias("found"))
+    own = F.struct("h", "g", F.lit(True).alias("is_near"), F.size("found").alias("links"))
+    # summed up before the shuffle that follows, so that no pairs go there
+    return found.where(F.size("found") > 0).select(F.inline(F.array_append("found", own)))
 
 
-def near_lines(lines: DataFrame, keyed: DataFrame, steps: Steps, links: bool = True) -> DataFrame:
+def near_lines(lines: DataFrame, rows: DataFrame, steps: Steps, links: bool = True) -> DataFrame:
     """``(h, g, is_near, links)``: has the line an earlier different line within the steps' edits, and how many such lines in all
     (0 where not asked for); lines without any are left out. From ``occurrences`` and their ``distinct_keys``."""
-    again, known = candidates(lines, keyed, steps)
-    index, probe = again.where("is_index").drop("is_index"), again.drop("is_index").distinct()
-    beside = again.where("not is_index").drop("is_index")
-    sides = _met(probe, index, known, steps, False, links).union(_met(index, beside, known, steps, True, links))
-    return cut(sides.groupBy("h", "g").agg(F.max("is_near").alias("is_near"), F.sum("links").alias("links")))
+    again, known = candidates(lines, rows, steps)
+    return cut(_met(again, known, steps, links).groupBy("h", "g").agg(F.max("is_near").alias("is_near"), F.sum("links").alias("links")))
 
 
 def line_verdicts(df: DataFrame, tau: int | Steps = 2, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, short: bool = False,
@@ -266,7 +311,9 @@ def line_verdicts(df: DataFrame, tau: int | Steps = 2, id_col: str = "doc_id", t
     steps = as_steps(tau, min_chars)
     lines = occurrences(df, id_col, text_col, min_chars, short)
     occ = written(lines.drop("line"), "line-occurrences")
-    repeats = cut(occ.groupBy("h", "g").agg(F.min(_here()).alias("first"), F.count("*").alias("times")).where("times > 1"))
+    # places are compared (in sorted groups) for the lines that repeat only
+    times = cut(occ.groupBy("h", "g").agg(F.count("*").alias("times")).where("times > 1"))
+    repeats = cut(occ.join(_small(times), ["h", "g"]).groupBy("h", "g").agg(F.min(_here()).alias("first"), F.first("times").alias("times")))
     near = near_lines(lines, distinct_keys(lines, repeats, steps), steps, links)
     facts = cut(repeats.join(near, ["h", "g"], "full"))
     # a line met very often is looked up in a broadcast list of at most rows / _OFTEN lines; its rows are then dealt at random

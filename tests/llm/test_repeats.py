@@ -176,6 +176,53 @@ def test_many_near_copies_in_several_tiles(spark, monkeypatch):
     assert kept == {i: w[3] for i, w in want.items() if w[4]}
 
 
+def edited(rnd, text, much):
+    out = list(text)
+    for _ in range(much):
+        at = rnd.randrange(len(out) + 1)
+        out[at:at + rnd.randrange(2)] = rnd.choice(["", "x", "é"])
+    return "".join(out)
+
+
+def test_lines_have_few_keys_and_near_ones_share_one(spark):
+    """Lengths around the classes' borders; a line of 4 edits had 49 keys, of 2 edits 12."""
+    rnd = random.Random(12)
+    pairs = []
+    for n in [8, 9, 12, 19, 20, 21, 22, 23, 24, 97, 98, 99, 100, 101, 102, 103, 115, 116, 117, 118, 119, 198, 199, 200, 201, 203, 204, 232, 233, 234, 236, 237, 300] * 4:
+        a = "".join(rnd.choice("abcdefé gh") for _ in range(n))
+        b = edited(rnd, a, linededup.edits_at(n, linededup.EDITS))
+        if len(b) >= 8 and within_edits(a, b, linededup.edits_at(min(len(a), len(b)), linededup.EDITS)):
+            pairs.append((a, b))
+    lines = spark.createDataFrame([(2 * i + k, 0, s) for i, p in enumerate(pairs) for k, s in enumerate(p)], "h long, g long, line string")
+    own, every, rows = {}, {}, Counter()
+    for r in linededup.segment_rows(lines, linededup.EDITS).collect():
+        rows[r["h"]] += 1
+        every.setdefault(r["h"], set()).add(r["key"])
+        if r["is_index"]:
+            own.setdefault(r["h"], set()).add(r["key"])
+    assert len(pairs) > 60
+    for i, (a, b) in enumerate(pairs):
+        short, long = (2 * i, 2 * i + 1) if len(a) <= len(b) else (2 * i + 1, 2 * i)
+        assert own[short] & every[long], (a, b)
+    most = {0: 4, 20: 10, 100: 16, 200: 26}
+    size = {2 * i + k: len(s) for i, p in enumerate(pairs) for k, s in enumerate(p)}
+    assert all(n <= most[max(m for m in most if size[h] >= m)] for h, n in rows.items())
+    assert sum(n for h, n in rows.items() if size[h] >= 200) < 20 * sum(m >= 200 for m in size.values())
+
+
+def test_distance_is_the_same_without_common_ends(spark, monkeypatch):
+    rnd = random.Random(13)
+    pairs = [("", ""), ("aaaa", "aaaaa"), ("ab" * 30, "ab" * 31), ("é" * 9, "é" * 8 + "è")]
+    for _ in range(150):
+        a = "".join(rnd.choice("ab" + rnd.choice(["", "é\U0001f600"])) for _ in range(rnd.randrange(1, 70)))
+        pairs.append((a, edited(rnd, a, rnd.randrange(4))))
+    df = spark.createDataFrame([(a, b, tau) for a, b in pairs for tau in (1, 2)], "a string, b string, tau int").repartition(2).cache()
+    for long in (linededup._LONG, 0):  # the second time by the bit-parallel distance alone
+        monkeypatch.setattr(linededup, "_LONG", long)
+        got = df.select("*", linededup.within_steps(F.col("a"), F.col("b"), F.col("tau"), ((8, 1), (20, 2))).alias("w")).collect()
+        assert all(r["w"] == within_edits(r["a"], r["b"], r["tau"]) for r in got)
+
+
 def test_line_query_takes_short_lines_and_dates_in_long_ones(spark, tmp_path):
     from paritylake.llm.queries import QUERIES
     long = "".join(random.Random(3).choice("abcdefgh ") for _ in range(290))
