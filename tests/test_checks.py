@@ -215,3 +215,31 @@ def test_the_signoff_report_stores_its_checks_in_one_job(spark, sf0001):
     assert len(stored) == 1
     assert len(spark.read.parquet(stored[0]).inputFiles()) == 1
     assert got["fingerprint_parity"] == ("FAIL", 7) and got["merge_idempotency"] == ("FAIL", 4) and got["schema_conformance"][0] == "GAP"
+
+
+def test_the_signoff_report_runs_every_required_pattern_and_names_uncovered_flows(spark, monkeypatch):
+    from paritylake.plans import registry
+    rows = lambda ddl, *r: lambda s, sf: s.createDataFrame(list(r), ddl)
+    checks = "pattern string, target string, status string, measurement boolean"
+    fakes = {p: rows(checks, (p, "a", "PASS", False), (p, "b", "FAIL", False)) for p in (
+        "fingerprint_parity", "merge_idempotency", "egress_parity", "schema_conformance", "aggregate_parity")}
+    fakes |= {p: rows("relation string, status string", ("a", "PASS")) for p in ("rowcount_parity", "fk_orphan")}
+    # a query that Spark refuses; checks that fail or err, one that only measures
+    fakes["transform_unit"] = lambda s, sf: s.table("a_table_that_is_not_there")
+    fakes["query_parity"] = rows(checks, ("query_parity", "a", "FAIL", False), ("query_parity", "b", "ERROR", False))
+    fakes["bulk_load"] = rows(checks, ("bulk_load", "a", "PASS", True))
+    fakes["query_performance"] = rows(checks, ("query_performance", "a", "PASS", False), ("query_performance", "b", "PASS", True))
+    # violations
+    fakes["epoch_conversion"] = rows("unit string, class string, n long", ("millis", "matched", 5), ("millis", "null_ok", 1), ("seconds", "lying", 2))
+    fakes["decimal_roundtrip"] = rows("o_orderkey long, column string", (1, "amount"), (2, "amount"), (1, "digits_25"))
+    fakes["scd2_continuity"] = rows("variant string, rule string, violations long", ("broken", "gap_or_overlap", 3))
+    fakes["transform_diff"] = rows("variant string, copies long")
+    for p, fn in fakes.items():
+        monkeypatch.setitem(registry.QUERIES, p, fn)
+    got = sorted(tuple(r) for r in registry.QUERIES["signoff_report"](spark, "no folder").collect())
+    want = [(p, "FAIL", 2, 1, 1, 0) for p in ("fingerprint_parity", "merge_idempotency", "egress_parity", "schema_conformance",
+                                              "aggregate_parity", "epoch_conversion", "scd2_continuity")]
+    want += [(p, "PASS", 1, 1, 0, 0) for p in ("rowcount_parity", "fk_orphan", "query_performance")]
+    want += [("transform_unit", "ERROR", 1, 0, 0, 1), ("query_parity", "ERROR", 2, 0, 1, 1), ("decimal_roundtrip", "FAIL", 4, 2, 2, 0), ("transform_diff", "PASS", 2, 2, 0, 0)]
+    want += [(p, "GAP", 0, 0, 0, 0) for p in ("transform_unit", "query_parity", "bulk_load", "Consumer Migration: query_parity", "Extract-Load: bulk_load")]
+    assert got == sorted(want)

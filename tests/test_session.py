@@ -42,3 +42,18 @@ def test_a_join_above_a_union_of_joins_is_dealt_again(spark, sf0001):
         for k, v in kept.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert got == {"before": 150, "after": 0}
+
+
+def test_a_scratch_scope_deletes_its_own_folders_only(spark):
+    from paritylake import session
+    before = session.scratch_dir(spark, "kept")
+    spark.range(3).write.parquet(before)
+    with session.scratch_scope(spark):
+        inside = session.scratch_dir(spark, "staged")
+        spark.range(5).write.parquet(inside)
+        n = session.materialize(spark.read.parquet(inside))
+    assert inside not in session._WRITTEN and before in session._WRITTEN
+    assert n.count() == 5 and spark.read.parquet(before).count() == 3
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(inside)
+    assert not path.getFileSystem(conf).exists(path)
